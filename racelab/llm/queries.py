@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.llm import bpe, simhash, tokens
+from racelab.llm import bpe, decontam, simhash, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": decontam.op1_decontamination,
         "op2_token_files": tokens.op2_token_files,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_bpe": bpe.op6_bpe,
@@ -18,4 +19,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_decontamination": decontam.OP1_SQL,
+    }
