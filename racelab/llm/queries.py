@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.llm import bpe, decontam, simhash, tokens
+from racelab.llm import bpe, decontam, pii, quality, simhash, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,10 +15,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": tokens.op2_token_files,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_bpe": bpe.op6_bpe,
+        "op9_quality_rules": quality.op9_quality_rules,
+        "op10_pii": pii.op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL where it can express a query; the others are tested against brute force in tests/llm."""
     return {
         "op1_decontamination": decontam.OP1_SQL,
+        "op9_quality_rules": quality.OP9_SQL,
     }
