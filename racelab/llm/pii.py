@@ -135,10 +135,14 @@ def _joined(found: Column) -> Column:
     return F.concat_ws(",", F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def _count(found: Column, kind: str) -> Column:
+    return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op10_pii(spark, sf_dir: str) -> DataFrame:
     def digest(found: Column) -> Column:
         base = F.filter(found, lambda s: s["kind"].isin(*BASE))
-        counts = [F.size(F.filter(found, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+        counts = [_count(found, kind).alias(f"n_{kind}") for kind in BASE]
         return F.struct(*counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(found).alias("spans"))
 
     rows = table(spark, sf_dir, "documents").select("doc_id", let(spans(F.col("text")), digest).alias("r"))
