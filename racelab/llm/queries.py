@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.llm import bpe, decontam, pii, quality, simhash, tokens
+from racelab.llm import bpe, decontam, pii, quality, secrets, simhash, tokens, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": decontam.op1_decontamination,
         "op2_token_files": tokens.op2_token_files,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_bpe": bpe.op6_bpe,
+        "op7_secrets": secrets.op7_secrets,
+        "op8_url_filters": urls.op8_url_filters,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_pii": pii.op10_pii,
     }
