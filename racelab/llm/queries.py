@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.llm import bpe, decontam, pii, quality, secrets, simhash, tokens, toxicity, urls
+from racelab.llm import bpe, chat, decontam, pii, quality, secrets, simhash, tokens, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": decontam.op1_decontamination,
         "op2_token_files": tokens.op2_token_files,
         "op3_toxicity": toxicity.op3_toxicity,
+        "op4_chat_format": chat.op4_chat_format,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_bpe": bpe.op6_bpe,
         "op7_secrets": secrets.op7_secrets,
