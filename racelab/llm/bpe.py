@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -57,6 +58,16 @@ class PieceTable(dict):
         return ids
 
 
+def latin_pattern() -> re.Pattern[str]:
+    """The public pattern for texts of the first 256 characters, with its classes written out: several times as fast."""
+
+    def chars(*kinds: str) -> str:
+        return "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] in kinds)
+
+    letters, numbers, space = chars("L"), chars("N"), r"\t-\r \x85\xa0"
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
 class Pieces:
     """Splits texts into special tokens and pieces as the vocabulary file says."""
 
@@ -66,13 +77,20 @@ class Pieces:
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.at_special = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.special else None
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.pattern, self.latin = regex.compile(public_tokenizers.PATTERN), latin_pattern()
+
+    def split(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.pattern.findall(text)
+        return self.latin.findall(text)
 
     def ids(self, text: str, table: PieceTable) -> bytes:
         if self.at_special is None or not self.at_special.search(text):
-            return b"".join(map(table.__getitem__, self.pattern.findall(text)))
+            return b"".join(map(table.__getitem__, self.split(text)))
         return b"".join(
-            self.special[part].to_bytes(4, "little") if part in self.special else b"".join(map(table.__getitem__, self.pattern.findall(part)))
+            self.special[part].to_bytes(4, "little") if part in self.special else b"".join(map(table.__getitem__, self.split(part)))
             for part in self.at_special.split(text)
         )
 

@@ -16,6 +16,7 @@ without rows.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,12 +42,16 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.library, self.pieces = Tokenizer.from_file(path), Pieces(path)
+        self.library.model._resize_cache(0)  # the table below holds the same, and the library's is slower than none
         self.symbols = byte_symbols()
         self.table = PieceTable(self.piece)
 
     def piece(self, piece: str) -> bytes:
-        tokens = self.library.model.tokenize("".join(map(self.symbols.__getitem__, piece.encode())))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
+        if piece.isascii() and (bare := piece.removeprefix(" ")).isalpha():
+            symbols = piece if bare is piece else self.symbols[32] + bare
+        else:
+            symbols = "".join(map(self.symbols.__getitem__, piece.encode()))
+        return struct.pack(f"<{len(ids := [t.id for t in self.library.model.tokenize(symbols)])}I", *ids)
 
     def encode(self, text: str) -> bytes:
         return self.pieces.ids(text, self.table)
