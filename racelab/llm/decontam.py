@@ -152,6 +152,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
     )
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
+    """The rows of ``docs``, all columns, in whose texts no window of the benchmark occurs.
+
+    Which rows to drop is known by doc_id; of rows that share one with a hit row each is looked at by itself.
+    """
+    hit = stored(contamination(docs, benchmark, size).groupBy("doc_id").agg(F.max(F.col("n_hit") > 0).alias("any"), F.min(F.col("n_hit") > 0).alias("all")).where("any"))
+    ids = hit.select(F.col("doc_id").alias("_id"), "all")
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc_id"))
+    clean = packed.join(ids, F.col("_doc_id").eqNullSafe(F.col("_id")), "left_anti").select("row.*")
+    mixed = ids.where("not all")
+    if mixed.isEmpty():
+        return clean
+    # some rows with these ids are clean: tell them by their texts
+    unsure = packed.join(mixed, F.col("_doc_id").eqNullSafe(F.col("_id"))).select("row", F.xxhash64("row.text").alias("doc_id"), F.col("row.text").alias("text"))
+    by_text = contamination(unsure.select("doc_id", "text").distinct(), benchmark, size)
+    rest = unsure.join(by_text.where("n_hit = 0").select("doc_id").distinct(), "doc_id").select("row.*")
+    return clean.unionByName(rest)
+
+
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from racelab.llm import bpe, chat, decontam, pii, quality, secrets, simhash, tokens, toxicity, urls
 
 
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": urls.op8_url_filters,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_pii": pii.op10_pii,
+        "pipeline": corpus_pipeline.run,
     }
 
 
