@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple = ()
+from racelab.plans import stats
+
+MODULES = (stats,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
