@@ -274,18 +274,16 @@ def keep_one(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
 
     Of rows that repeat that id within the component one stays. A component whose ids are all null keeps one row.
     """
-    found = near_duplicates(docs, budget)
-    kept = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id", "representative").agg(F.count("*").alias("copies"), F.min("fp").alias("fp"))
-    )
-    kept = stored(kept.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "copies"))
+    found = near_duplicates(docs, budget).withColumn("stays", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ids = stored(found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.max("stays").alias("stays")).where("stays").select("_id", "n"))
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc_id"))
-    ids = kept.select("_id", "copies").groupBy("_id").agg(F.max("copies").alias("copies"), F.count("*").alias("components"))
     joined = packed.join(ids, F.col("_doc_id").eqNullSafe(F.col("_id")))
-    plain = joined.where("copies = 1 and components = 1").select("row.*")
-    # an id that repeats: its rows need their fingerprints to tell which of them stays
-    repeated = joined.where("not (copies = 1 and components = 1)").select("row", "_doc_id", fingerprint(F.col("row.text")).alias("_row_fp"))
-    chosen = repeated.join(kept.drop("copies"), F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_row_fp") == F.col("_fp")))
+    plain = joined.where("n = 1").select("row.*")
+    if ids.where("n > 1").isEmpty():
+        return plain
+    # ids that repeat: their rows' fingerprints tell which of them stays, one for each component
+    firsts = found.where("stays").groupBy("doc_id", "representative").agg(F.min("fp").alias("_fp")).select("doc_id", "_fp")
+    repeated = joined.where("n > 1").select("row", "_doc_id", fingerprint(F.col("row.text")).alias("_row_fp"))
+    chosen = repeated.join(firsts, F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_row_fp") == F.col("_fp")))
     again = chosen.groupBy("_doc_id", "_fp").agg(F.min("row").alias("row")).select("row.*")
     return plain.unionByName(again)
