@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.plans import stats
+from racelab.plans import segments, stats
 
-MODULES = (stats,)
+MODULES = (stats, segments)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
