@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.plans import segments, stats
+from racelab.plans import rankings, segments, stats
 
-MODULES = (stats, segments)
+MODULES = (stats, segments, rankings)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
