@@ -105,14 +105,14 @@ def presentation_name(name: Column, entity: Column, bib: Column) -> Column:
 def format_time(seconds: Column) -> Column:
     """``[-]H:MM:SS``, halves away from zero."""
     s = F.floor(F.abs(seconds) + 0.5).cast("long")
-    body = F.format_string("%d:%02d:%02d", F.expr("1L") * F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
-    return F.concat(F.when(seconds < 0, "-").otherwise(""), body)
+    body = F.format_string("%d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
+    return F.when(seconds.isNotNull(), F.concat(F.when(seconds < 0, "-").otherwise(""), body))
 
 
 def format_pace(pace: Column) -> Column:
     """Seconds a km as ``M:SS min/km``."""
     s = F.floor(pace + 0.5).cast("long")
-    return F.format_string("%d:%02d min/km", F.floor(s / 60), s % 60)
+    return F.when(pace.isNotNull(), F.format_string("%d:%02d min/km", F.floor(s / 60), s % 60))
 
 
 def status_label(status: Column) -> Column:

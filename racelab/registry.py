@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.plans import rankings, segments, stats
+from racelab.plans import compare, joins, rankings, segments, stats
 
-MODULES = (stats, segments, rankings)
+MODULES = (stats, segments, rankings, joins, compare)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
