@@ -16,10 +16,12 @@ without rows.
 
 from __future__ import annotations
 
-import struct
+import sys
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,17 @@ ROW_GROUP_BYTES, PAGE_BYTES = 64 << 20, 1 << 20
 SCHEMA = "part int, doc_id {}, start_in_part long, n_tokens long, ids array<int>"
 
 
+_ID = attrgetter("id")
+
+
+def pack_ids(ids: Iterable[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class LibraryEncoder:
     """Ids by the tokenizers library's model, piece by piece."""
 
@@ -43,7 +56,7 @@ class LibraryEncoder:
 
         self.library, self.pieces = Tokenizer.from_file(path), Pieces(path)
         self.library.model._resize_cache(0)  # the table below holds the same, and the library's is slower than none
-        self.symbols = byte_symbols()
+        self.tokenize, self.symbols = self.library.model.tokenize, byte_symbols()
         self.table = PieceTable(self.piece)
 
     def piece(self, piece: str) -> bytes:
@@ -51,7 +64,7 @@ class LibraryEncoder:
             symbols = piece if bare is piece else self.symbols[32] + bare
         else:
             symbols = "".join(map(self.symbols.__getitem__, piece.encode()))
-        return struct.pack(f"<{len(ids := [t.id for t in self.library.model.tokenize(symbols)])}I", *ids)
+        return pack_ids(map(_ID, self.tokenize(symbols)))
 
     def encode(self, text: str) -> bytes:
         return self.pieces.ids(text, self.table)
@@ -88,7 +101,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: i
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, SCHEMA.format(docs.schema["doc_id"].dataType.simpleString())).write.options(
         **{
-            "compression": "zstd",
+            "compression": "snappy",
             "parquet.block.size": str(row_group_bytes),
             "parquet.page.size": str(page_bytes),
             "parquet.enable.dictionary": str(encoding == "dictionary").lower(),
