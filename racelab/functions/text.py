@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -125,17 +127,32 @@ def grade_class(grade: Column) -> Column:
     return F.when(grade <= -6, "steep down").when(grade <= -2, "down").when(grade < 1, "flat").when(grade < 4, "up").when(grade < 8, "climb").otherwise("steep climb")
 
 
-@F.pandas_udf("string")
-def slug(text: pd.Series) -> pd.Series:
-    """NFKD, ASCII only, lower case, other runs as one hyphen. Spark has no Unicode normalization."""
-    bare = text.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower())
-    return bare.str.replace(r"[^a-z0-9]+", "-", regex=True).str.strip("-")
+def _of_texts(one: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A column function from one of texts; null stays null. The UDF is made on use, when there is a session."""
 
+    def column(text: Column) -> Column:
+        @F.pandas_udf("string")
+        def run(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: None if t is None else one(t))
 
-@F.pandas_udf("string")
-def normalize_name(text: pd.Series) -> pd.Series:
-    """NFKC, case folded, white space collapsed."""
-    return text.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFKC", t).casefold().split()))
+        return run(text)
+
+    return column
+
+
+def _slug(text: str) -> str:
+    bare = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
+    return re.sub(r"[^a-z0-9]+", "-", bare).strip("-")
+
+
+def _normal(text: str) -> str:
+    return " ".join(unicodedata.normalize("NFKC", text).casefold().split())
+
+
+#: NFKD, ASCII only, lower case, other runs as one hyphen. Spark has no Unicode normalization.
+slug = _of_texts(_slug)
+#: NFKC, case folded, white space collapsed.
+normalize_name = _of_texts(_normal)
 
 
 def name_fingerprint(text: Column) -> Column:
