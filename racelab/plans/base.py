@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from racelab.operators import observations as ob
 from racelab.sources import fixtures as fx
@@ -71,13 +72,18 @@ class Book:
         self.queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
         self.sql: dict[str, str] = {}
 
-    def query(self, sql: str | None = None):
-        """Registers the decorated function of a :class:`Data` under its name."""
+    def query(self, sql: str | None = None, rounded: str = ""):
+        """Registers the decorated function of a :class:`Data` under its name.
+
+        Columns named in ``rounded`` are rounded to six places on both sides: interpolation differs in the last bits.
+        """
+        columns = rounded.split()
 
         def add(f: Callable[[Data], DataFrame]):
-            self.queries[f.__name__] = lambda spark, sf: f(Data(spark, sf))
+            self.queries[f.__name__] = lambda spark, sf: f(Data(spark, sf)).withColumns({c: F.round(c, 6) for c in columns})
             if sql:
-                self.sql[f.__name__] = fx.oracle(sql)
+                cut = ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+                self.sql[f.__name__] = fx.oracle(f"SELECT * REPLACE ({cut}) FROM ({sql})" if columns else sql)
             return f
 
         return add

@@ -66,7 +66,7 @@ def segment_stats(cohort: DataFrame, *series: str) -> DataFrame:
     )
 
 
-@query(_SEG_STATS)
+@query(_SEG_STATS, rounded="pace_median pace_q25 pace_q75 pace_q10 pace_q90 seconds_median retention_median")
 def seg_stats(d: Data) -> DataFrame:
     return segment_stats(d.cohort_segments)
 
@@ -118,7 +118,7 @@ def seg_field_flow(d: Data) -> DataFrame:
     )
 
 
-@query("SELECT race_key, sex, cp_key, quantile_cont(seconds, 0.1) AS p10, quantile_cont(seconds, 0.5) AS median, quantile_cont(seconds, 0.9) AS p90, quantile_cont(seconds, 0.9) - quantile_cont(seconds, 0.1) AS spread FROM f_obs WHERE sex IS NOT NULL AND seconds IS NOT NULL AND cp_key <> 'start' GROUP BY 1, 2, 3 HAVING count(*) >= 20")
+@query("SELECT race_key, sex, cp_key, quantile_cont(seconds, 0.1) AS p10, quantile_cont(seconds, 0.5) AS median, quantile_cont(seconds, 0.9) AS p90, quantile_cont(seconds, 0.9) - quantile_cont(seconds, 0.1) AS spread FROM f_obs WHERE sex IS NOT NULL AND seconds IS NOT NULL AND cp_key <> 'start' GROUP BY 1, 2, 3 HAVING count(*) >= 20", rounded="p10 median p90 spread")
 def seg_field_spread(d: Data) -> DataFrame:
     known = d.obs.where("sex is not null and seconds is not null and cp_key <> 'start'")
     q = F.percentile("seconds", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
@@ -169,7 +169,7 @@ def seg_class_insights(d: Data) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT race_key, seg_no, sex, quantile_cont(pace, 0.5) AS p, quantile_cont(pace, 0.75) - quantile_cont(pace, 0.25) AS iqr FROM f_segc WHERE sex IS NOT NULL GROUP BY 1, 2, 3 HAVING count(pace) >= 5)
-SELECT f.race_key, arg_max(f.seg_no, (abs(f.p - m.p), f.seg_no)) AS widest_seg, max(abs(f.p - m.p)) AS widest_gap, max(abs(f.iqr - m.iqr)) AS widest_iqr_gap FROM s f JOIN s m ON f.race_key = m.race_key AND f.seg_no = m.seg_no AND f.sex = 'F' AND m.sex = 'M' GROUP BY 1""")
+SELECT f.race_key, arg_max(f.seg_no, (abs(f.p - m.p), f.seg_no)) AS widest_seg, max(abs(f.p - m.p)) AS widest_gap, max(abs(f.iqr - m.iqr)) AS widest_iqr_gap FROM s f JOIN s m ON f.race_key = m.race_key AND f.seg_no = m.seg_no AND f.sex = 'F' AND m.sex = 'M' GROUP BY 1""", rounded="widest_gap widest_iqr_gap")
 def seg_sex_insights(d: Data) -> DataFrame:
     known = d.cohort_segments.where("sex is not null")
     s = known.groupBy("race_key", "seg_no", "sex").agg(F.count("pace").alias("n"), st.quantile("pace", 0.5).alias("p"), (st.quantile("pace", 0.75) - st.quantile("pace", 0.25)).alias("iqr")).where("n >= 5")
@@ -220,7 +220,7 @@ def seg_profile_journey(d: Data) -> DataFrame:
 
 
 @query("""WITH w AS (SELECT race_key, seg_no, km, CASE WHEN count(*) >= 5 THEN quantile_cont(seconds / finish_seconds, 0.5) ELSE any_value(km) / 60.0::DOUBLE END AS w FROM f_segc GROUP BY race_key, seg_no, km),
-n AS (SELECT *, 36000.0::DOUBLE * w / sum(w) OVER (PARTITION BY race_key) AS target FROM w) SELECT race_key, seg_no, target, sum(target) OVER (PARTITION BY race_key ORDER BY seg_no) AS cumulative FROM n""")
+n AS (SELECT *, 36000.0::DOUBLE * w / sum(w) OVER (PARTITION BY race_key) AS target FROM w) SELECT race_key, seg_no, target, sum(target) OVER (PARTITION BY race_key ORDER BY seg_no) AS cumulative FROM n""", rounded="target cumulative")
 def seg_goal_plan(d: Data) -> DataFrame:
     """A target of ten hours dealt out over the segments as the cohort's median shares, else by distance."""
     share = st.quantile(F.col("seconds") / F.col("finish_seconds"), 0.5)

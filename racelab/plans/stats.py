@@ -19,7 +19,7 @@ MED = f"CASE WHEN count(*) FILTER (WHERE {FIN}) >= 5 THEN quantile_cont(finish_s
 SUMMARY = f"count(*) AS total, count(*) FILTER (WHERE {START}) AS starters, count(*) FILTER (WHERE {FIN}) AS finished, count(*) FILTER (WHERE status = 'DNF') AS dnf, count(*) FILTER (WHERE status = 'UNKNOWN') AS unknown, {MED} AS median"
 
 
-@query("SELECT race_key, quantile_cont(finish_seconds, 0.25) AS q25, quantile_cont(finish_seconds, 0.5) AS median, quantile_cont(finish_seconds, 0.95) AS q95 FROM f_results GROUP BY race_key")
+@query("SELECT race_key, quantile_cont(finish_seconds, 0.25) AS q25, quantile_cont(finish_seconds, 0.5) AS median, quantile_cont(finish_seconds, 0.95) AS q95 FROM f_results GROUP BY race_key", rounded="q25 median q95")
 def agg_quantile(d: Data) -> DataFrame:
     return d.results.groupBy("race_key").agg(*(st.quantile("finish_seconds", q).alias(n) for q, n in ((0.25, "q25"), (0.5, "median"), (0.95, "q95"))))
 
@@ -39,7 +39,7 @@ _DIST = """count(t) AS n, CASE WHEN count(t) >= 5 THEN quantile_cont(t, 0.5) END
   CASE WHEN count(t) >= 10 THEN quantile_cont(t, 0.75) END AS q75, CASE WHEN count(t) >= 20 THEN quantile_cont(t, 0.1) END AS q10, CASE WHEN count(t) >= 20 THEN quantile_cont(t, 0.9) END AS q90"""
 
 
-@query(f"SELECT race_key, sex, {_DIST} FROM (SELECT race_key, sex, CASE WHEN {FIN} THEN finish_seconds END AS t FROM f_results) GROUP BY race_key, sex")
+@query(f"SELECT race_key, sex, {_DIST} FROM (SELECT race_key, sex, CASE WHEN {FIN} THEN finish_seconds END AS t FROM f_results) GROUP BY race_key, sex", rounded="median q25 q75 q10 q90")
 def agg_distribution(d: Data) -> DataFrame:
     return d.results.withColumn("t", st.finish_time()).groupBy("race_key", "sex").agg(*st.distribution("t"))
 
@@ -47,7 +47,7 @@ def agg_distribution(d: Data) -> DataFrame:
 @query(f"""WITH x AS (SELECT race_key, count(t) AS n, unnest([10, 25, 50, 75, 90]) AS p, unnest([20, 10, 5, 10, 20]) AS k,
   unnest([quantile_cont(t, 0.1), quantile_cont(t, 0.25), quantile_cont(t, 0.5), quantile_cont(t, 0.75), quantile_cont(t, 0.9)]) AS v
   FROM (SELECT race_key, CASE WHEN {FIN} THEN finish_seconds END AS t FROM f_results) GROUP BY race_key)
-SELECT race_key, p AS percentile, CASE WHEN n >= k THEN v END AS seconds FROM x""")
+SELECT race_key, p AS percentile, CASE WHEN n >= k THEN v END AS seconds FROM x""", rounded="seconds")
 def agg_percentile_ladder(d: Data) -> DataFrame:
     wide = d.results.withColumn("t", st.finish_time()).groupBy("race_key").agg(*st.distribution("t"))
     return wide.selectExpr("race_key", "stack(5, 10, q10, 25, q25, 50, median, 75, q75, 90, q90) AS (percentile, seconds)")
@@ -248,7 +248,7 @@ def agg_percentile_by_sex(d: Data) -> DataFrame:
 
 
 @query(f"""SELECT race_key, sex, unnest([10, 25, 50, 75, 90]) AS share, unnest([quantile_cont(finish_seconds, 0.1), quantile_cont(finish_seconds, 0.25), quantile_cont(finish_seconds, 0.5), quantile_cont(finish_seconds, 0.75), quantile_cont(finish_seconds, 0.9)]) AS seconds
-FROM f_results WHERE {FIN} AND sex IS NOT NULL GROUP BY race_key, sex HAVING count(*) >= 5""")
+FROM f_results WHERE {FIN} AND sex IS NOT NULL GROUP BY race_key, sex HAVING count(*) >= 5""", rounded="seconds")
 def agg_finish_progression(d: Data) -> DataFrame:
     qs = (0.1, 0.25, 0.5, 0.75, 0.9)
     wide = d.results.where(finished() & F.col("sex").isNotNull()).groupBy("race_key", "sex").agg(F.percentile("finish_seconds", F.array(*map(F.lit, qs))).alias("q"), F.count("*").alias("n")).where("n >= 5")
