@@ -219,34 +219,31 @@ def links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge; root is the smallest node reachable.
 
-    Each round every node takes its smallest neighbour, if smaller, as its parent, and edges go on between parents:
-    at least half the nodes with edges fall away, so the rounds grow with the logarithm of a component's diameter.
+    Each round every node moves to its neighbour with the smallest hash, if smaller than its own, and edges go on
+    between the places moved to. Hashes stand in random order along any path, so about half the places fall away in a
+    round, also on long chains of ascending nodes; once no edge is left, all nodes of a component are in one place.
     """
     edges = stored(edges.where("u != v").select("u", "v"))
     found = None
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parents = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("p")))
+        ranked = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("n"))
+        parents = stored(both.groupBy("u").agg(F.least(ranked("u"), F.min(ranked("v"))).alias("p")).select("u", "p.n").withColumnRenamed("n", "p"))
         pu, pv = (parents.select(F.col("u").alias(x), F.col("p").alias(f"p{x}")) for x in "uv")
         edges = stored(
             edges.join(pu, "u").join(pv, "v").where("pu != pv")
             .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct()
         )
-        step = parents.select(F.col("u").alias("root"), "p")
+        step = parents.select(F.col("u").alias("place"), "p")
         found = (
-            parents.select(F.col("u").alias("node"), F.col("p").alias("root"))
+            parents.select(F.col("u").alias("node"), F.col("p").alias("place"))
             if found is None
-            else stored(found.join(step, "root", "left").select("node", F.coalesce("p", "root").alias("root")))
+            else stored(found.join(step, "place", "left").select("node", F.coalesce("p", "place").alias("place")))
         )
     if found is None:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    # a parent may have a parent of the same round: follow until nothing moves
-    while True:
-        up = found.select(F.col("node").alias("root"), F.col("root").alias("p"))
-        moved = stored(found.join(up, "root", "left").select("node", F.coalesce("p", "root").alias("root"), (F.col("p") < F.col("root")).alias("moved")))
-        found = moved.select("node", "root")
-        if moved.where("moved").isEmpty():
-            return found
+    least = found.groupBy("place").agg(F.min("node").alias("root"))
+    return found.join(least, "place").select("node", "root")
 
 
 def near_duplicates(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGLE) -> DataFrame:
