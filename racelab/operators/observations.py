@@ -52,6 +52,13 @@ def complete_cohort(obs: DataFrame) -> DataFrame:
     return obs.where(finished()).groupBy("rid").agg(F.count("seconds").alias("seen"), bounds.alias("n")).where("seen = n").select("rid")
 
 
+def of_complete_cohort(obs: DataFrame) -> DataFrame:
+    """The observations of that cohort, counted in a window: segments need the same rows together anyway."""
+    w = Window.partitionBy("rid")
+    seen = F.count("seconds").over(w) == F.count("*").over(w)
+    return obs.where(finished()).withColumn("_seen", seen).where("_seen").drop("_seen")
+
+
 def at_least(n: int, value: Column, count: Column | str = "n") -> Column:
     """``value`` where enough rows stand behind it, else null."""
     return F.when((F.col(count) if isinstance(count, str) else count) >= n, value)

@@ -54,7 +54,7 @@ class Data:
     @cached_property
     def cohort_segments(self) -> DataFrame:
         """Segments of results that were seen at every boundary."""
-        return self.segments.join(self.complete, "rid", "left_semi")
+        return ob.segments(ob.of_complete_cohort(self.obs))
 
     @cached_property
     def courses(self) -> DataFrame:
