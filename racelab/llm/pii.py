@@ -23,6 +23,14 @@ THRESHOLD = 0.5
 NEAR = 40
 CONTEXT_BONUS = 0.3
 _LOCAL, _LABEL = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
+#: What follows the first four characters of a bank account number: at most 34 characters in all, spaces not counted.
+_REST = r"(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+#: Registered length of bank account numbers by country.
+ACCOUNT_LENGTHS = {code: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}.items() for code in codes.split()}
 #: Kinds in order: pattern, what a text with a match contains, score before context, context words. Possessive
 #: quantifiers and the looks behind change no match; they keep the search linear in long runs of digits or letters.
 KINDS: dict[str, tuple[str, str | None, float, str]] = {
@@ -30,7 +38,8 @@ KINDS: dict[str, tuple[str, str | None, float, str]] = {
     "ip": (r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", ".", 0.6, r"(?i)\bip\b|\bhost|\bserver|\baddress"),
     "card": (r"[0-9](?:[\x20-]?[0-9]){12,}+", None, 0.7, r"(?i)\bcard|\bvisa\b|\bcredit|\bdebit|\bpayment"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.7, r"(?i)\bphone|\bcall\b|\btel\b|\bmobile|\bfax\b"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", None, 0.6, r"(?i)\biban\b|\bbank|\baccount|\btransfer"),
+    # the start of an account number only: where it ends, account_at() decides
+    "iban": (rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?={_REST})", None, 0.6, r"(?i)\biban\b|\bbank|\baccount|\btransfer"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, r"(?i)\bssn\b|\bsocial security|\btax id|\btaxpayer"),
 }
 BASE = ("email", "ip", "card", "phone")
@@ -60,11 +69,41 @@ def _valid(kind: str) -> Callable[[Column], Column]:
         return lambda m: let(_digits(m), lambda d: F.length(d).between(13, 19) & F.call_function("luhn_check", d))
     if kind == "phone":
         return lambda m: F.length(_digits(m)).between(9, 15)
-    if kind == "iban":
-        return lambda m: mod97(m) == 1
     return lambda m: F.lit(True)
 
 
+def account_at(text: Column, start: Column) -> Column:
+    """The bank account number that begins at ``start``, null if none does.
+
+    It ends at a space or where the run of groups ends. Of the ends that pass mod-97 the one of the country's registered
+    length counts, then the longest; short of the run's end, a registered country's number has its registered length.
+    """
+    run = F.regexp_extract(F.substr(text, start + 1, F.lit(65)), rf"^[A-Z]{{2}}[0-9]{{2}}{_REST}", 0)
+    lengths = F.create_map(*(F.lit(x) for pair in ACCOUNT_LENGTHS.items() for x in pair))
+
+    def best(groups: Column) -> Column:
+        ends = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.concat_ws(" ", F.slice(groups, 1, i)))
+        registered = F.try_element_at(lengths, F.substr(groups[0], F.lit(1), F.lit(2)))
+        bare = lambda m: F.length(F.replace(m, F.lit(" "), F.lit("")))
+        fits = lambda m: F.coalesce(bare(m) == registered, F.lit(False))
+        whole = lambda m: F.length(m) == F.length(F.concat_ws(" ", groups))
+        passed = F.filter(ends, lambda m: F.when((bare(m) >= 15) & (registered.isNull() | fits(m) | whole(m)), mod97(m) == 1).otherwise(False))
+        return let(passed, lambda p: F.coalesce(F.try_element_at(F.filter(p, fits), F.lit(1)), F.try_element_at(p, F.lit(-1))))
+
+    return let(F.split(run, " "), best)
+
+
+def _accounts(text: Column, starts: Column) -> Column:
+    """The account numbers at the found starts, without those that begin within the one before."""
+    ends = F.transform(starts, lambda s: let(account_at(text, s["start"]), lambda m: F.struct(m.alias("m"), s["start"].alias("start"), (s["start"] + F.length(m)).alias("end"))))
+
+    def step(kept: Column, s: Column) -> Column:
+        return F.when(s["start"] >= F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0)), F.array_append(kept, s)).otherwise(kept)
+
+    none = F.array().cast("array<struct<m:string,start:int,end:int>>")
+    return F.aggregate(F.filter(ends, lambda s: s["m"].isNotNull()), none, step)
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """array<struct<kind, start, end, score>> of a kind's confirmed spans, by start. ``text`` is not null."""
     pattern, sign, score, context = KINDS[kind]
@@ -83,6 +122,7 @@ def spans_of(text: Column, kind: str) -> Column:
 
         found = F.aggregate(whole, start, step, lambda acc: acc["found"])
         valid = _valid(kind)
+        confirmed = _accounts(text, found) if kind == "iban" else F.filter(found, lambda s: valid(s["m"]))
 
         def scored(s: Column) -> Column:
             left = F.greatest(s["start"] - NEAR, F.lit(0))
@@ -90,7 +130,7 @@ def spans_of(text: Column, kind: str) -> Column:
             value = F.lit(score) + F.when(around.rlike(context), CONTEXT_BONUS).otherwise(0.0)
             return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), value.alias("score"))
 
-        kept = F.transform(F.filter(found, lambda s: valid(s["m"])), scored)
+        kept = F.transform(confirmed, scored)
         return kept if kind in BASE else F.filter(kept, lambda s: s["score"] >= THRESHOLD)
 
     found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(none))
