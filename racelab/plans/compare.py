@@ -95,11 +95,20 @@ def cmp_finish_gap(d: Data) -> DataFrame:
     return comparable(d.courses).join(side("a"), "a").join(side("b"), "b").select("a", "b", F.when(F.col("comparable"), F.col("tb") - F.col("ta")).alias("gap"))
 
 
+_PERSON_RESULTS = f"SELECT r.custkey, r.race_key, r.rid, r.status, r.finish_seconds, 100.0::DOUBLE * s.slower / s.n AS percentile FROM f_results r LEFT JOIN ({_SLOWER}) s ON s.rid = r.rid"
+
+
+@query(_PERSON_RESULTS)
+def cmp_person_results(d: Data) -> DataFrame:
+    """Every person's results across editions, side by side."""
+    pct = slower(d.results).select("rid", (100.0 * F.col("slower") / F.col("n")).alias("percentile"))
+    return d.results.join(pct, "rid", "left").select("custkey", "race_key", "rid", "status", "finish_seconds", "percentile")
+
+
 @query(f"SELECT r.custkey, r.race_key, r.rid, r.status, r.finish_seconds, 100.0::DOUBLE * s.slower / s.n AS percentile FROM f_results r LEFT JOIN ({_SLOWER}) s ON s.rid = r.rid WHERE r.custkey % 50 = 1")
 def cmp_multi_result(d: Data) -> DataFrame:
-    """A person's results across editions, side by side."""
-    pct = slower(d.results).select("rid", (100.0 * F.col("slower") / F.col("n")).alias("percentile"))
-    return d.results.where("custkey % 50 = 1").join(pct, "rid", "left").select("custkey", "race_key", "rid", "status", "finish_seconds", "percentile")
+    """The chosen persons of ``cmp_person_results``: one in fifty, as its SQL has it."""
+    return cmp_person_results(d).where("custkey % 50 = 1")
 
 
 @query(f"""WITH e AS ({_EDITION}), y AS (SELECT race_family, unnest(range(min(year), max(year) + 2)) AS year FROM e GROUP BY 1)
