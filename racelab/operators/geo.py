@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EARTH_M = 6371008.8
-#: Side of the cells by which nearest points are looked up, in degrees of latitude and longitude at these courses.
+#: Metres of a degree of latitude, rounded down.
+METRES_A_DEGREE = 111194.9
+#: Side of the cells of the grid index, in degrees of latitude and longitude at these courses.
 CELL_LAT, CELL_LON = 0.0025, 0.0045
 
 
@@ -46,22 +48,49 @@ def resampled(points: DataFrame, step: float) -> DataFrame:
     return inner.unionByName(ends.where("last").select("route_id", "family", F.col("m1").alias("along_m"), "lat", "lon"))
 
 
+def densified(points: DataFrame, step: float) -> DataFrame:
+    """(route_id, family, idx, part, lat, lon): each point of a route and, before it, its leg's parts of ``step`` metres at most."""
+    w = along()
+    legs = measured(points).withColumns({"lat0": F.lag("lat").over(w), "lon0": F.lag("lon").over(w)})
+    n = F.when(F.col("lat0").isNull(), 1).otherwise(F.greatest(F.ceil(F.col("leg") / step), F.lit(1))).cast("int")
+    parts = legs.withColumn("n", n).withColumn("part", F.explode(F.sequence(F.lit(1), "n")))
+    at = lambda c: (F.when(F.col("part") == F.col("n"), F.col(c)).otherwise(F.col(f"{c}0") + F.col("part") / F.col("n") * (F.col(c) - F.col(f"{c}0")))).alias(c)
+    return parts.select("route_id", "family", "idx", "part", at("lat"), at("lon"))
+
+
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], within: float) -> DataFrame:
     """Each left point with the metres to the nearest right point of the same keys, null beyond ``within``.
 
     Points meet by cells wider than ``within``: the right side stands in its own cell and the eight around it, so one
-    equi-join finds every point near enough.
+    equi-join finds every point near enough. Cells of a row are as wide in longitude as ``within`` at the farthest
+    latitude of the rows beside it.
     """
-    if within > 250:
-        raise ValueError("cells are 250 m wide")
     around = F.sequence(F.lit(-1), F.lit(1))
-    cell = lambda c, size: F.floor(F.col(c) / size)
-    r = right.select(*keys, F.col("lat").alias("rlat"), F.col("lon").alias("rlon"), cell("lat", CELL_LAT).alias("cy"), cell("lon", CELL_LON).alias("cx"))
-    r = r.withColumn("dy", F.explode(around)).withColumn("dx", F.explode(around)).select(*keys, "rlat", "rlon", (F.col("cy") + F.col("dy")).alias("cy"), (F.col("cx") + F.col("dx")).alias("cx"))
-    own = left.withColumns({"cy": cell("lat", CELL_LAT), "cx": cell("lon", CELL_LON)})
+    tall = 1.01 * within / METRES_A_DEGREE
+    cy = F.floor(F.col("lat") / tall)
+    farthest = (F.greatest(F.abs(F.col("cy") - 1), F.abs(F.col("cy") + 2)) * tall).cast("double")
+    wide = F.least(tall / F.greatest(F.cos(F.radians(F.least(farthest, F.lit(90.0)))), F.lit(1e-9)), F.lit(360.0))
+    cx = lambda c: F.floor(F.col(c) / wide)
+    r = right.select(*keys, F.col("lat").alias("rlat"), F.col("lon").alias("rlon"), cy.alias("own"), F.explode(around).alias("dy"))
+    r = r.withColumn("cy", F.col("own") + F.col("dy")).withColumn("dx", F.explode(around)).select(*keys, "rlat", "rlon", "cy", (cx("rlon") + F.col("dx")).alias("cx"))
+    own = left.withColumn("cy", cy).withColumn("cx", cx("lon"))
+    d = haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
+    return own.join(r, [*keys, "cy", "cx"], "left").groupBy(*left.columns).agg(F.min(F.when(d <= within, d)).alias("separation"))
+
+
+def nearest_exact(left: DataFrame, right: DataFrame, keys: list[str], first: float) -> DataFrame:
+    """Each left point with the metres to the nearest right point of the same keys, however far.
+
+    Points without a hit within ``first`` metres are searched within four times that, then among all points of the keys.
+    """
+    done, rest = None, left
+    for within in (first, 4 * first):
+        found = nearest(rest, right, keys, within)
+        hit = found.where("separation is not null")
+        done, rest = done.unionByName(hit) if done else hit, found.where("separation is null").drop("separation")
+    r = right.select(*keys, F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
     d = haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
-    cols = [c for c in left.columns]
-    return own.join(r, [*keys, "cy", "cx"], "left").groupBy(*cols).agg(F.min(F.when(d <= within, d)).alias("separation"))
+    return done.unionByName(rest.join(r, keys, "left").groupBy(*left.columns).agg(F.min(d).alias("separation")))
 
 
 def divergence(series: DataFrame, keys: list[str], over: float, least: float) -> DataFrame:
