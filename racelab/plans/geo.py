@@ -311,6 +311,90 @@ def geo_loop_splice(d: Data) -> DataFrame:
     return best.select("route_id", "s.i", "s.j", F.round("s.loop_m", 3).alias("loop_m"))
 
 
+# whole comparisons: every pair of a family, both ways, however far ------------------------------------------------
+
+
+def both_ways(d: Data, samples: DataFrame, step: float) -> DataFrame:
+    """Each route's samples, for every other route ``b`` of its family, with the metres to b's nearest sample."""
+    ids = d.points.select("route_id", "family").distinct()
+    pairs = ids.select("family", F.col("route_id").alias("a")).join(ids.select("family", F.col("route_id").alias("b")), "family").where("a <> b").select("a", "b")
+    left = pairs.join(samples.drop("family").withColumnRenamed("route_id", "a"), "a")
+    return g.nearest_exact(left, samples.select(F.col("route_id").alias("b"), "lat", "lon"), ["b"], 5 * step)
+
+
+def pooled(sep: DataFrame) -> DataFrame:
+    """Both ways under one pair a < b."""
+    return sep.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "separation")
+
+
+def route_ends(d: Data) -> DataFrame:
+    m = g.measured(d.points)
+    at = lambda f, c: f(c, "idx").alias(f"{'from' if f is F.min_by else 'to'}_{c}")
+    return m.groupBy("route_id").agg(F.max("cum_m").alias("m"), *(at(f, c) for f in (F.min_by, F.max_by) for c in ("lat", "lon")))
+
+
+def with_ends(pairs: DataFrame, d: Data) -> DataFrame:
+    """Pairs with both routes' lengths (``ma``, ``mb``) and how far their starts and finishes are apart."""
+    ends = route_ends(d)
+    side = lambda x: ends.select(F.col("route_id").alias(x), *(F.col(c).alias(f"{c}{x}") for c in ends.columns[1:]))
+    gap = lambda p: g.haversine(F.col(f"{p}_lata"), F.col(f"{p}_lona"), F.col(f"{p}_latb"), F.col(f"{p}_lonb"))
+    x = pairs.join(side("a"), "a").join(side("b"), "b").withColumns({"start_m": gap("from"), "finish_m": gap("to")})
+    return x.select(*pairs.columns, "ma", "mb", "start_m", "finish_m")
+
+
+def _share(m: int):
+    return F.avg((F.col("separation") <= m).cast("double"))
+
+
+@query()
+def geo_pair_corridor(d: Data) -> DataFrame:
+    """Samples 50 m apart: separations each way, shares within a corridor each way and their least and mean, a class."""
+    metres = (25, 50, 100, 250)
+    figures = {"points": F.count("*"), "median": st.quantile("separation", 0.5), "p95": st.quantile("separation", 0.95), "most": F.max("separation")} | {f"within_{m}": _share(m) for m in metres}
+    one = both_ways(d, g.resampled(d.points, 50.0), 50.0).groupBy("a", "b").agg(*(c.alias(name) for name, c in figures.items()))
+    way = lambda x, y: one.select(F.col("a").alias(x), F.col("b").alias(y), *(F.col(c).alias(f"{c}_{x}") for c in figures))
+    least = {f"within_{m}_least": F.round(F.least(f"within_{m}_a", f"within_{m}_b"), 4) for m in metres}
+    mean = {f"within_{m}_mean": F.round((F.col(f"within_{m}_a") + F.col(f"within_{m}_b")) / 2, 4) for m in metres}
+    x = with_ends(way("a", "b").where("a < b").join(way("b", "a"), ["a", "b"]), d).withColumns(least | mean)
+    prints = geo_fingerprint(d)
+    side = lambda c: prints.select(F.col("route_id").alias(c), F.col("fingerprint").alias(f"print_{c}"))
+    kind = F.expr("""CASE WHEN print_a = print_b THEN 'exact' WHEN within_50_least >= 0.98D AND abs(mb - ma) <= 500 AND start_m <= 100 AND finish_m <= 100 THEN 'strong'
+      WHEN within_100_least >= 0.95D THEN 'largely' WHEN within_100_least >= 0.7D THEN 'substantial' ELSE 'different' END""")
+    return x.join(side("a"), "a").join(side("b"), "b").withColumn("class", kind).drop("print_a", "print_b")
+
+
+@query()
+def geo_pair_divergence(d: Data) -> DataFrame:
+    """Stretches of 300 m and more on which a route's samples, 50 m apart, are all over 100 m from the other route."""
+    w = Window.partitionBy("a", "b").orderBy("along_m")
+    far = F.col("separation") > 100
+    marked = both_ways(d, g.resampled(d.points, 50.0), 50.0).withColumn("far", far).withColumn("new", (F.col("far") & ~F.coalesce(F.lag("far").over(w), F.lit(False))).cast("int"))
+    runs = marked.withColumn("run", F.sum("new").over(w)).where("far").groupBy("a", "b", "run").agg(
+        F.min("along_m").alias("from_m"), F.max("along_m").alias("to_m"), F.count("*").alias("points"), st.quantile("separation", 0.5).alias("median"), F.max("separation").alias("most")
+    )
+    return runs.where("to_m - from_m >= 300").drop("run")
+
+
+@query()
+def geo_pair_overlap(d: Data) -> DataFrame:
+    """Samples 100 m apart, both ways pooled: shares, separations and a hint."""
+    x = pooled(both_ways(d, g.resampled(d.points, 100.0), 100.0)).groupBy("a", "b").agg(
+        F.count("*").alias("points"), *(F.round(_share(m), 4).alias(f"within_{m}") for m in (10, 25, 50, 100, 250)),
+        st.quantile("separation", 0.5).alias("median"), st.quantile("separation", 0.95).alias("p95"), F.max("separation").alias("most"),
+    )
+    hint = F.expr("CASE WHEN within_50 >= 0.98D THEN 'same' WHEN within_50 >= 0.95D THEN 'near' WHEN within_100 >= 0.9D THEN 'similar' ELSE 'different' END")
+    return with_ends(x, d).withColumn("hint", hint)
+
+
+@query()
+def geo_pair_benchmark(d: Data) -> DataFrame:
+    """A route against the reference ``b``, legs in parts of 10 m, both ways pooled: nearest ranks and shares."""
+    x = pooled(both_ways(d, g.densified(d.points, 10.0), 10.0)).groupBy("a", "b").agg(
+        F.count("*").alias("points"), *(_share(m).alias(f"within_{m}") for m in (10, 25, 50)), st.nearest_rank("separation", 0.5).alias("p50"), st.nearest_rank("separation", 0.95).alias("p95")
+    )
+    return with_ends(x, d).withColumn("length_error_pct", F.round(100 * (F.col("ma") - F.col("mb")) / F.nullif(F.col("mb"), F.lit(0.0)), 4)).drop("start_m", "finish_m")
+
+
 # positions in time -----------------------------------------------------------------------------------------------
 
 _ANCH = "SELECT race_key, rid, seconds AS t, km FROM (SELECT *, max(seconds) OVER (PARTITION BY rid ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM f_obs WHERE seconds IS NOT NULL) WHERE seconds > coalesce(top, -1)"
