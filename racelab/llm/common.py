@@ -48,3 +48,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; all other characters stay."""
     return F.translate(text, UPPER, LOWER)
+
+
+class Remembered(dict):
+    """A function's values by argument; computes what it lacks and, beyond a bound, drops what wasn't used lately."""
+
+    def __init__(self, of: Callable, kept: int = 300_000):
+        super().__init__()
+        self.of, self.kept, self.older = of, kept, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.of(key)
+        if len(key) <= 64:
+            if len(self) >= self.kept:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value

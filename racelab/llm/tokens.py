@@ -16,20 +16,18 @@ without rows.
 
 from __future__ import annotations
 
-import sys
 import zlib
-from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from racelab.llm.bpe import SLICE, VOCABULARY, Pieces, PieceTable, byte_symbols
+from racelab.llm.bpe import VOCABULARY, Ids, KnownIds, Pieces, byte_symbols, slices
 from racelab.llm.common import shared_folder
 
 END_ID = 0
@@ -37,37 +35,42 @@ ROW_GROUP_BYTES, PAGE_BYTES = 64 << 20, 1 << 20
 SCHEMA = "part int, doc_id {}, start_in_part long, n_tokens long, ids array<int>"
 
 
-_ID = attrgetter("id")
-
-
-def pack_ids(ids: Iterable[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
+#: Pieces that the library encodes in one call, parted by a byte that no merge has.
+TOGETHER = 256
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library's model, piece by piece."""
+    """Ids by the tokenizers library's model, many pieces at once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.library, self.pieces = Tokenizer.from_file(path), Pieces(path)
-        self.library.model._resize_cache(0)  # the table below holds the same, and the library's is slower than none
-        self.tokenize, self.symbols = self.library.model.tokenize, byte_symbols()
-        self.table = PieceTable(self.piece)
-
-    def piece(self, piece: str) -> bytes:
-        if piece.isascii() and (bare := piece.removeprefix(" ")).isalpha():
-            symbols = piece if bare is piece else self.symbols[32] + bare
-        else:
-            symbols = "".join(map(self.symbols.__getitem__, piece.encode()))
-        return pack_ids(map(_ID, self.tokenize(symbols)))
-
-    def encode(self, text: str) -> bytes:
-        return self.pieces.ids(text, self.table)
+        self.pieces, self.symbols = Pieces(path), byte_symbols()
+        self.model = Tokenizer(Tokenizer.from_file(path).model)  # without the steps before and after
+        model = self.pieces.spec["model"]
+        self.part = next(chr(b) for b in range(128) if not any(self.symbols[b] in pair[0] + pair[1] for pair in model["merges"]))
+        self.part_id = model["vocab"][self.symbols[ord(self.part)]]
+        self.by_byte = dict(enumerate(self.symbols))
+        self.known = KnownIds(self.pieces.of_stretches(KnownIds(self.pieces.beside_special(self.encode))))
+
+    def symbolic(self, text: str) -> str:
+        """Bytes as the vocabulary writes them."""
+        return text.encode().decode("latin-1").translate(self.by_byte)
+
+    def encode(self, pieces: pa.StringArray) -> Ids:
+        if not len(pieces):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        texts, part = pieces.to_numpy(zero_copy_only=False), self.part
+        rows = [self.symbolic(part.join(texts[i : i + TOGETHER])) for i in range(0, len(texts), TOGETHER)]
+        found = self.model.encode_batch_fast(rows, add_special_tokens=False)
+        ids = np.concatenate([np.append(np.array(row.ids, np.uint32), self.part_id) for row in found])
+        # a piece ends at the part after it; it may have some of its own
+        ends = np.flatnonzero(ids == self.part_id)[np.cumsum(pc.count_substring(pieces, part).to_numpy() + 1) - 1]
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after another, and where each text's begin and end."""
+        return self.pieces.ids(texts, self.known)
 
 
 @lru_cache(maxsize=2)
@@ -80,25 +83,23 @@ def write_tokens(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: i
     """Writes the ids of every row of ``docs`` below ``folder``, in ascending order of doc_id."""
     if encoding not in ("dictionary", "delta"):
         raise ValueError("encoding is dictionary or delta")
-    end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library, part, start = encoder(path), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                rows = batch.slice(at, SLICE)
-                ids = [library.encode(t or "") + end for t in rows.column("text").to_pylist()]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(sizes)])
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                parts = pa.array(np.full(len(ids), part, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [parts, rows.column("doc_id"), pa.array(start + offsets[:-1]), pa.array(sizes), lists],
-                    ["part", "doc_id", "start_in_part", "n_tokens", "ids"],
-                )
-                start += int(offsets[-1])
-
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+        for rows in (rows for batch in batches for rows in slices(batch)):
+            ids, ends = library.ids(rows.column("text"))
+            ids = np.insert(ids.astype(np.int32), ends[1:], end_id)
+            ends = ends + np.arange(len(ends))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(rows.num_rows, part, np.int32)), rows.column("doc_id"), pa.array(start + ends[:-1]), pa.array(np.diff(ends)),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
+                ],
+                ["part", "doc_id", "start_in_part", "n_tokens", "ids"],
+            )
+            start += int(ends[-1])
+
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, SCHEMA.format(docs.schema["doc_id"].dataType.simpleString())).write.options(
         **{
             "compression": "snappy",

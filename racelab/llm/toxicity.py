@@ -24,8 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racelab.llm.bpe import PieceTable
-from racelab.llm.common import stored, table
+from racelab.llm.common import Remembered, stored, table
 
 BITS = 20
 TRAIN_TOXIC, TRAIN_CLEAN = 2000, 6000
@@ -54,9 +53,9 @@ def features(text: str | None, hashes: dict[bytes, int], bits: int = BITS) -> np
     return np.concatenate([[0], one, *pairs]).astype(np.int64)
 
 
-def word_hashes() -> PieceTable:
+def word_hashes() -> Remembered:
     """Word -> hash; a bounded table for a worker."""
-    return PieceTable(_hash)
+    return Remembered(_hash)
 
 
 def ftrl(samples: list[np.ndarray], labels: np.ndarray, bits: int = BITS, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:

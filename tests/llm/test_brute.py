@@ -8,12 +8,15 @@ from collections import Counter
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
 import __spark_entry__
 from racelab.llm import bpe, chat, decontam, pii, quality, secrets, simhash, tokens
+from racelab.llm.common import Remembered
 
 SF = "/root/testdata/sf0.001"
 
@@ -132,18 +135,28 @@ def test_bpe_as_library(library):
     rng = random.Random(3)
     parts = [*"abcd eE \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 ​'sdé²½Ⅷ٣€漢🙂\x00#.,_-01 ", "<|endoftext|>", "'ll", " the", "  "]
     cases = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)] + ["a" * 5000, "ab" * 3000, "", " " * 2000]
-    own, by_piece = bpe.Bpe(), tokens.LibraryEncoder(bpe.VOCABULARY)
-    for text in cases:
-        want = library.encode(text, add_special_tokens=False).ids
-        ids = np.array(want, "<u4").tobytes()
-        assert own.encode(text) == ids and by_piece.encode(text) == ids
-        assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
+    own, by_library = bpe.Bpe(), tokens.LibraryEncoder(bpe.VOCABULARY)
+    for known in (own.known, by_library.known):
+        known.kept = 500  # forgets between batches
+    for i in range(0, len(cases), 100):
+        batch = pa.array([*cases[i : i + 100], None], pa.string())
+        ours, theirs = own.ids(batch), by_library.ids(batch)
+        for text, a, b in zip(cases[i : i + 100], ours[1].tolist(), ours[1].tolist()[1:], strict=False):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert ours[0][a:b].tolist() == want and theirs[0][a:b].tolist() == want, text
+            assert own.decode(np.array(want, "<u4").tobytes()) == library.decode(want, skip_special_tokens=False)
+        assert ours[1].tolist() == theirs[1].tolist() and ours[1][-1] == ours[1][-2]
+    assert own.encode(cases[0]) == np.array(library.encode(cases[0], add_special_tokens=False).ids, "<u4").tobytes()
     assert own.decode(np.array([165, 50256], "<u4").tobytes()) == library.decode([165, 50256], skip_special_tokens=False)
 
 
 def test_piece_table_forgets():
-    table = bpe.PieceTable(str.encode, kept=3)
+    table = Remembered(str.encode, kept=3)
     assert [table[c] for c in "abcdabcdxyzabc"] == [c.encode() for c in "abcdabcdxyzabc"] and len(table) <= 3 and len(table.older) <= 3
+    known = bpe.KnownIds(lambda x: (np.array([ord(c) for s in x.to_pylist() for c in s], np.uint32), pc.binary_length(x).to_numpy().astype(np.int64)), kept=3, longest=2)
+    for want in (["a", "bb"], ["ccc", "a"], ["d", "e", "bb"], [], ["a", "ccc"]):
+        ids, sizes = known.of(pa.array(want, pa.string()))
+        assert "".join(map(chr, ids)) == "".join(want) and sizes.tolist() == list(map(len, want)) and len(known.strings) <= 4
 
 
 def test_token_queries(spark, library):

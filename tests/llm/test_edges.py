@@ -92,6 +92,8 @@ def test_token_files(spark, docs, tmp_path):
         assert ids == sorted(ids)
     with pytest.raises(ValueError):
         tokens.write_tokens(docs, folder, encoding="plain")
+    tokens.write_tokens(docs.limit(0), f"file://{tmp_path}/empty")
+    assert tokens.with_crc32(tokens.read_tokens(spark, f"file://{tmp_path}/empty")).collect() == []
 
 
 def test_redaction(spark):
