@@ -45,6 +45,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def running(items: Column, start: Column, kind: str, step: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """The states of a fold over an array, after each item; ``kind`` is a state's type.
+
+    Each append copies an array, so the fold goes by blocks and copies no more than a block, or one entry for each.
+    """
+
+    def of(all_: Column) -> Column:
+        def one(acc: Column, x: Column) -> Column:
+            return let(step(acc["s"], x), lambda s: F.struct(s.alias("s"), F.array_append(acc["out"], s).alias("out")))
+
+        def of_block(acc: Column, b: Column) -> Column:
+            begin = F.struct(acc["s"].cast(kind).alias("s"), F.array().cast(f"array<{kind}>").alias("out"))
+            part = F.aggregate(F.slice(all_, b * block + 1, F.lit(block)), begin, one)
+            return let(part, lambda p: F.struct(p["s"].alias("s"), F.array_append(acc["out"], p["out"]).alias("out")))
+
+        blocks = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / block).cast("int"))
+        begin = F.struct(start.cast(kind).alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        return F.when(F.size(all_) > 0, F.aggregate(blocks, begin, of_block, lambda acc: F.flatten(acc["out"]))).otherwise(F.array().cast(f"array<{kind}>"))
+
+    return let(items, of)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; all other characters stay."""
     return F.translate(text, UPPER, LOWER)

@@ -5,8 +5,9 @@ mod-97 sum of bank accounts), and context words nearby raise a span's score. The
 stay once confirmed; bank accounts and national identity numbers are added if their score reaches ``THRESHOLD``.
 
 Offsets are code points, the end exclusive. Matches are leftmost and don't overlap within a kind; kinds may overlap.
-Null and empty texts have no spans. All work stays within a row; repeated rows repeat. ``find`` reads doc_id and text
-only; ``redacted`` keeps all columns and replaces each span, overlapping ones together, by its kind in brackets.
+Null and empty texts have no spans. All work stays within a row, and time grows little more than in proportion to a
+text's length and matches; repeated rows repeat. ``find`` reads doc_id and text only; ``redacted`` keeps all columns and
+replaces each span, overlapping ones together, by its kind in brackets.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racelab.llm.common import let, table
+from racelab.llm.common import let, running, table
 
 THRESHOLD = 0.5
 #: Context words count within so many code points around a span.
@@ -72,13 +73,12 @@ def _valid(kind: str) -> Callable[[Column], Column]:
     return lambda m: F.lit(True)
 
 
-def account_at(text: Column, start: Column) -> Column:
-    """The bank account number that begins at ``start``, null if none does.
+def account_in(run: Column) -> Column:
+    """The bank account number at the start of a text, null if none is there.
 
     It ends at a space or where the run of groups ends. Of the ends that pass mod-97 the one of the country's registered
     length counts, then the longest; short of the run's end, a registered country's number has its registered length.
     """
-    run = F.regexp_extract(F.substr(text, start + 1, F.lit(65)), rf"^[A-Z]{{2}}[0-9]{{2}}{_REST}", 0)
     lengths = F.create_map(*(F.lit(x) for pair in ACCOUNT_LENGTHS.items() for x in pair))
 
     def best(groups: Column) -> Column:
@@ -90,50 +90,72 @@ def account_at(text: Column, start: Column) -> Column:
         passed = F.filter(ends, lambda m: F.when((bare(m) >= 15) & (registered.isNull() | fits(m) | whole(m)), mod97(m) == 1).otherwise(False))
         return let(passed, lambda p: F.coalesce(F.try_element_at(F.filter(p, fits), F.lit(1)), F.try_element_at(p, F.lit(-1))))
 
-    return let(F.split(run, " "), best)
+    return let(F.split(F.regexp_extract(run, rf"^[A-Z]{{2}}[0-9]{{2}}{_REST}", 0), " "), best)
 
 
-def _accounts(text: Column, starts: Column) -> Column:
+#: The shortest match of any kind has so many characters, so this many pieces hold what lies within a distance.
+_SHORTEST, _ACCOUNT = 4, 65
+
+
+def _before(pieces: Column, i: Column, n: int) -> Column:
+    """The last ``n`` characters before match ``i``; pieces are a text's gaps, each with the match behind it."""
+    most = n // _SHORTEST + 1
+    earlier = F.slice(pieces, F.greatest(i - most, F.lit(0)) + 1, F.least(i, F.lit(most)))
+    joined = F.array_join(F.transform(earlier, lambda x: F.concat(F.right(x["g"], F.lit(n)), F.right(x["m"], F.lit(n)))), "")
+    return F.right(F.concat(joined, F.right(pieces[i]["g"], F.lit(n))), F.lit(n))
+
+
+def _after(pieces: Column, i: Column, n: int) -> Column:
+    """The first ``n`` characters after match ``i``."""
+    later = F.slice(pieces, i + 2, F.lit(n // _SHORTEST + 1))
+    return F.left(F.array_join(F.transform(later, lambda x: F.concat(F.left(x["g"], F.lit(n)), F.left(x["m"], F.lit(n)))), ""), F.lit(n))
+
+
+def _accounts(pieces: Column, found: Column) -> Column:
     """The account numbers at the found starts, without those that begin within the one before."""
-    ends = F.transform(starts, lambda s: let(account_at(text, s["start"]), lambda m: F.struct(m.alias("m"), s["start"].alias("start"), (s["start"] + F.length(m)).alias("end"))))
 
-    def step(kept: Column, s: Column) -> Column:
-        return F.when(s["start"] >= F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0)), F.array_append(kept, s)).otherwise(kept)
+    def account(s: Column) -> Column:
+        number = account_in(F.concat(s["m"], _after(pieces, s["i"], _ACCOUNT)))
+        return let(number, lambda m: F.struct(s["i"].alias("i"), m.alias("m"), s["start"].alias("start"), (s["start"] + F.length(m)).alias("end")))
+
+    def apart(numbers: Column) -> Column:
+        ends = running(numbers, F.lit(0), "int", lambda end, s: F.when(s["start"] >= end, s["end"]).otherwise(end))
+        return let(ends, lambda e: F.filter(numbers, lambda s, j: s["start"] >= F.coalesce(F.get(e, j - 1), F.lit(0))))
 
-    none = F.array().cast("array<struct<m:string,start:int,end:int>>")
-    return F.aggregate(F.filter(ends, lambda s: s["m"].isNotNull()), none, step)
+    return let(F.filter(F.transform(found, account), lambda s: s["m"].isNotNull()), apart)
 
 
 def spans_of(text: Column, kind: str) -> Column:
     """array<struct<kind, start, end, score>> of a kind's confirmed spans, by start. ``text`` is not null."""
     pattern, sign, score, context = KINDS[kind]
     none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
+    valid = _valid(kind)
 
-    def placed(matches: Column) -> Column:
+    def placed(pieces: Column) -> Column:
         # what stands between the matches gives their places
-        gaps = F.split(text, pattern, -1)
-        whole = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, F.size(matches)).alias("g"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<m:string,start:int,end:int>>").alias("found"))
-
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + F.length(x["g"])
-            end = begin + F.length(x["m"])
-            return F.struct(end.alias("at"), F.array_append(acc["found"], F.struct(x["m"].alias("m"), begin.alias("start"), end.alias("end"))).alias("found"))
-
-        found = F.aggregate(whole, start, step, lambda acc: acc["found"])
-        valid = _valid(kind)
-        confirmed = _accounts(text, found) if kind == "iban" else F.filter(found, lambda s: valid(s["m"]))
+        ends = running(pieces, F.lit(0), "int", lambda at, x: at + F.length(x["g"]) + F.length(x["m"]))
 
         def scored(s: Column) -> Column:
-            left = F.greatest(s["start"] - NEAR, F.lit(0))
-            around = F.concat_ws(" ", F.substr(text, left + 1, s["start"] - left), F.substr(text, s["end"] + 1, F.lit(NEAR)))
+            beyond = F.length(s["m"]) - F.length(pieces[s["i"]]["m"])  # an account goes on behind its match
+            right = F.substr(_after(pieces, s["i"], NEAR + _ACCOUNT), beyond + 1, F.lit(NEAR)) if kind == "iban" else _after(pieces, s["i"], NEAR)
+            around = F.concat_ws(" ", _before(pieces, s["i"], NEAR), right)
             value = F.lit(score) + F.when(around.rlike(context), CONTEXT_BONUS).otherwise(0.0)
             return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), value.alias("score"))
 
-        kept = F.transform(confirmed, scored)
+        def confirmed(ends_: Column) -> Column:
+            one = lambda x, i: F.struct(i.alias("i"), x["m"].alias("m"), (ends_[i] - F.length(x["m"])).alias("start"), ends_[i].alias("end"))
+            found = F.slice(F.transform(pieces, one), 1, F.size(pieces) - 1)  # behind the last gap there is no match
+            kept = let(found, lambda f: _accounts(pieces, f)) if kind == "iban" else F.filter(found, lambda s: valid(s["m"]))
+            return F.transform(kept, scored)
+
+        kept = let(ends, confirmed)
         return kept if kind in BASE else F.filter(kept, lambda s: s["score"] >= THRESHOLD)
 
-    found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(none))
+    def with_gaps(matches: Column) -> Column:
+        pieces = F.arrays_zip(F.concat(matches, F.array(F.lit(""))).alias("m"), F.split(text, pattern, -1).alias("g"))
+        return F.when(F.size(matches) > 0, let(pieces, placed)).otherwise(none)
+
+    found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), with_gaps)
     return F.when(F.contains(text, F.lit(sign)), found).otherwise(none) if sign else found
 
 
@@ -148,21 +170,36 @@ def find(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", spans(F.col("text")).alias("spans"))
 
 
+#: Texts are cut into blocks of so many characters to take parts of them.
+_BLOCK = 512
+
+
+def _part(blocks: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to ``end`` of a text cut into blocks."""
+    first, last = F.floor(start / _BLOCK).cast("int"), F.floor((end - 1) / _BLOCK).cast("int")
+
+    def of(k: Column) -> Column:
+        left = F.greatest(start - k * _BLOCK, F.lit(0))
+        return F.substr(blocks[k], left + 1, F.least(end - k * _BLOCK, F.lit(_BLOCK)) - left)
+
+    return F.when(start < end, F.array_join(F.transform(F.sequence(first, last), of), "")).otherwise("")
+
+
 def redact(text: Column, found: Column) -> Column:
     """The text with each span replaced by its kind; overlapping spans as one, by the first's kind."""
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.array_append(acc["parts"], piece)).otherwise(acc["parts"]).alias("parts"),
-        )
+    def of(ordered: Column, ends: Column, blocks: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(ends, i - 1), F.lit(0))
+            return F.when(s["start"] >= before, F.concat(_part(blocks, before, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+
+        rest = _part(blocks, F.element_at(ends, -1), F.length(text))
+        return F.concat(F.array_join(F.transform(ordered, one), ""), rest)
 
     ordered = F.sort_array(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    end = lambda acc: F.concat(F.concat_ws("", acc["parts"]), F.substr(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(found) > 0, F.aggregate(ordered, start, step, end)).otherwise(text)
+    ends = lambda o: running(o, F.lit(0), "int", lambda end, s: F.greatest(end, s["end"]))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    return F.when(F.size(found) > 0, let(ordered, lambda o: let(ends(o), lambda e: let(blocks, lambda b: of(o, e, b))))).otherwise(text)
 
 
 def redacted(docs: DataFrame) -> DataFrame:

@@ -52,8 +52,8 @@ PII = {
 def test_pii(docs, texts):
     out = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] in pii.BASE] for r in pii.find(docs).collect()}
     for i, text in texts.items():
-        want = [(k, m.start(), m.end()) for k, (p, ok) in PII.items() for m in re.finditer(p, text or "") if len(m[0]) < 4000 and ok(m[0], re.sub("[^0-9]", "", m[0]))]
-        assert [s for s in out[i] if s[2] - s[1] < 4000] == want
+        want = [(k, m.start(), m.end()) for k, (p, ok) in PII.items() for m in re.finditer(p, text or "") if ok(m[0], re.sub("[^0-9]", "", m[0]))]
+        assert out[i] == want, i
 
 
 def test_mod97(spark):
