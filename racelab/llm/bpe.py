@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Strings whose ids a worker keeps.
-KEPT = 600_000
+KEPT = 300_000
 #: Characters, about, of the texts that are encoded together.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 #: White space as the vocabulary's pattern has it, without and with the space.
 BREAKS = r"\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WHITE = rf" {BREAKS}"
