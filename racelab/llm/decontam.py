@@ -6,10 +6,15 @@ t - k + 1 of them keeps its smallest hash: the fingerprint. Equal windows have e
 span of t words shares one. Fingerprints of documents and windows are joined, and each hit is extended: the document's
 words around it have to be the window's words.
 
+One scan hashes all texts, for all sizes; what leaves it are a row with the number of words for each document and rows
+for fingerprints that met. Only documents with such a row are read again, to be extended. Rows are known by a hash of
+their doc_id and text, so neither repeated nor missing doc_ids gather in one group. Spark broadcasts the stored tables
+of fingerprints and candidates only while their size on disk is below its threshold.
+
 Words are A-Z in lower case, split at ASCII characters other than digits and letters. Null and empty texts have no
 words; they are never hit. Repeated rows are judged one by one if their doc_ids differ; rows with equal doc_ids (null
-among them) are each judged by their own text. An empty benchmark hits nothing. Columns besides doc_id and text (item_id
-and text) aren't read.
+among them) are each judged by their own text. An empty benchmark hits nothing. Windows of an item without an id hit
+words but count for no item. Columns besides doc_id and text (item_id and text) aren't read.
 """
 
 from __future__ import annotations
@@ -20,8 +25,6 @@ from pyspark.sql import functions as F
 from racelab.llm.common import ascii_lower, let, stored, table
 
 SIZE = 10
-#: The benchmark's fingerprints are broadcast up to so many rows (of a few hundred bytes each), else joined by shuffle.
-BROADCAST_ROWS = 100_000
 #: All ASCII characters but digits and letters.
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -76,60 +79,62 @@ def fingerprints(hashes: Column, size: int) -> Column:
 
 
 def windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """Distinct windows: (window, size, items)."""
-    cut = benchmark.select("item_id", words(ascii_lower(F.col("text"))).alias("words")).where(F.size("words") > 0)
+    """(item, size, window) of every window; equal ones of an item once."""
+    cut = benchmark.select(F.col("item_id").cast("string").alias("item"), words(ascii_lower(F.col("text"))).alias("words")).where(F.size("words") > 0)
     cut = cut.withColumn("n", F.least(F.size("words"), F.lit(size)))
     starts = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1))
-    return (
-        cut.select("item_id", "n", "words", starts.alias("at"))
-        .select("item_id", F.col("n").alias("size"), F.concat_ws(" ", F.slice("words", F.col("at"), F.col("n"))).alias("window"))
-        .groupBy("window", "size")
-        .agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-    )
-
-
-def window_fingerprints(found: DataFrame) -> list[DataFrame]:
-    """Each window's own fingerprint, by size: (size, hash, shift, window, items); shift is its first place in the window."""
-    out = []
-    for t in sorted(r["size"] for r in found.select("size").distinct().collect()):  # SIZE values at most
+    window = F.concat_ws(" ", F.slice("words", F.col("at"), F.col("n"))).alias("window")
+    return cut.select("item", "n", "words", starts.alias("at")).select("item", F.col("n").alias("size"), window).distinct()
+
+
+def window_fingerprints(found: DataFrame, sizes: list[int]) -> DataFrame:
+    """Each window's own fingerprint: (size, hash, shift, window); shift is its first place in the window."""
+    out = None
+    for t in sizes:
         k = (t + 1) // 2
-        of_size = found.where(F.col("size") == t)
         grams = _grams(_word_hashes(F.split("window", " ")), k)
         smallest = let(grams, lambda g: F.struct(F.array_min(g).alias("hash"), (F.array_position(g, F.array_min(g)) - 1).cast("int").alias("shift")))
-        out.append(of_size.select("size", smallest.alias("f"), "window", "items").select("size", "f.hash", "f.shift", "window", "items"))
+        of_size = found.where(F.col("size") == t).select("size", "window").distinct()
+        of_size = of_size.select("size", smallest.alias("f"), "window").select("size", "f.hash", "f.shift", "window")
+        out = of_size if out is None else out.unionByName(of_size)
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
-    """For every row of ``docs``: doc_id, n_words, n_hit, n_items, items (sorted), and ``hit``, the places of hit words.
+def _row_key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("key")
 
-    A word is hit if it lies in any occurrence of a window.
+
+def _judged(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three stored tables: (key, doc_id, n_words) of every row of ``docs``; (key, doc_id, n_words, hit, windows, row) of
+    those with a candidate, where ``windows`` occur; and the benchmark's windows.
     """
     found = stored(windows(benchmark, size))
-    fitting = found.count() <= BROADCAST_ROWS
+    sizes = sorted(r["size"] for r in found.select("size").distinct().collect())  # SIZE values at most
     own = docs.select("doc_id", "text")
-    # nothing but hashes and places leaves this scan
-    hits = None
-    for prints in window_fingerprints(found):
-        t = prints.select("size").first()["size"]
-        # explode() would have the optimizer compute the array a second time, to filter empty ones
-        prints_of = F.explode_outer(fingerprints(_word_hashes(words(F.col("text"))), t))
-        rows = own.select("doc_id", prints_of.alias("p")).select("doc_id", "p.hash", "p.place")
-        joined = rows.join(F.broadcast(prints) if fitting else prints, "hash")
-        near = joined.where(F.col("place") >= F.col("shift")).select("doc_id", (F.col("place") - F.col("shift")).alias("at"), "size", "window", "items")
-        hits = near if hits is None else hits.unionByName(near)
-    if hits is None:
-        near = F.array().cast("array<struct<at:int,size:int,window:string,items:array<string>>>")
-        given = own.select("doc_id", "text", near.alias("near"))
+
+    def facts_of(ws: Column) -> Column:
+        # size 0: the number of words, under a hash that spreads the rows
+        number = F.array(F.struct(F.lit(0).alias("size"), F.hash(F.size(ws)).cast("long").alias("hash"), F.size(ws).alias("place")))
+        if not sizes:
+            return number
+        tagged = lambda h, t: F.transform(fingerprints(h, t), lambda p: F.struct(F.lit(t).alias("size"), p["hash"].alias("hash"), p["place"].alias("place")))
+        return let(_word_hashes(ws), lambda h: F.concat(number, *(tagged(h, t) for t in sizes)))
+
+    # explode() would have the optimizer compute the array a second time, to filter empty ones
+    facts = own.select("doc_id", _row_key(), F.explode_outer(let(words(F.col("text")), facts_of)).alias("p")).select("doc_id", "key", "p.*")
+    if sizes:
+        prints = stored(window_fingerprints(found, sizes))
+        facts = facts.join(prints, ["size", "hash"], "left").where((F.col("size") == 0) | (F.col("place") >= F.col("shift")))
     else:
-        # rows with equal ids share what may be hit; each is extended by its own text
-        by_doc = hits.groupBy("doc_id").agg(F.collect_set(F.struct("at", "size", "window", "items")).alias("near"))
-        by_doc = by_doc.withColumnRenamed("doc_id", "_hit_id")
-        given = own.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left").select("doc_id", "text", "near")
+        facts = facts.withColumns({"shift": F.lit(None).cast("int"), "window": F.lit(None).cast("string")})
+    facts = stored(facts.select("doc_id", "key", "size", "place", "shift", "window"))
+    counts = facts.where("size = 0").select("key", "doc_id", F.col("place").cast("long").alias("n_words"))
+    near = facts.where("size > 0").groupBy("key").agg(F.collect_set(F.struct((F.col("place") - F.col("shift")).alias("at"), "size", "window")).alias("near"))
+    near = stored(near)
 
     def extended(ws: Column) -> Column:
         same = F.filter(
-            F.coalesce(F.col("near"), F.array()),
+            F.col("near"),
             lambda h: (h["at"] + h["size"] <= F.size(ws)) & (ascii_lower(F.concat_ws(" ", F.slice(ws, h["at"] + 1, h["size"]))) == h["window"]),
         )
         return let(
@@ -137,38 +142,38 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
             lambda s: F.struct(
                 F.size(ws).cast("long").alias("n_words"),
                 F.array_sort(F.array_distinct(F.flatten(F.transform(s, lambda h: F.sequence(h["at"], h["at"] + h["size"] - 1))))).alias("hit"),
-                F.array_sort(F.array_distinct(F.flatten(F.transform(s, lambda h: h["items"])))).alias("items"),
+                F.array_distinct(F.transform(s, lambda h: h["window"])).alias("windows"),
             ),
         )
 
-    judged = given.select("doc_id", let(words(F.col("text")), extended).alias("r")).select("doc_id", "r.*")
-    return judged.select(
-        "doc_id",
-        "n_words",
-        F.size("hit").cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        "items",
-        "hit",
-    )
+    given = own.withColumn("key", _row_key()).join(near, "key")
+    judged = given.select("key", "doc_id", let(words(F.col("text")), extended).alias("r")).select("key", "doc_id", "r.*", F.monotonically_increasing_id().alias("row"))
+    return counts.join(near.select("key"), "key", "left_anti"), stored(judged), found
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
+    """For every row of ``docs``: doc_id, n_words, n_hit, n_items, items (sorted), and ``hit``, the places of hit words.
+
+    A word is hit if it lies in any occurrence of a window.
+    """
+    untouched, judged, found = _judged(docs, benchmark, size)
+    by_row = judged.select("row", F.explode("windows").alias("window")).join(found.select("window", "item"), "window")
+    items = by_row.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    touched = judged.join(items, "row", "left").select("doc_id", "n_words", "hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    rest = untouched.select("doc_id", "n_words", F.array().cast("array<int>").alias("hit"), F.array().cast("array<string>").alias("items"))
+    counts = F.size("hit").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items")
+    return touched.unionByName(rest).select("doc_id", "n_words", *counts, "items", "hit")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """The rows of ``docs``, all columns, in whose texts no window of the benchmark occurs.
 
-    Which rows to drop is known by doc_id; of rows that share one with a hit row each is looked at by itself.
+    The few rows that go are known by doc_id and a hash of doc_id and text, so nothing but these is held against all.
     """
-    hit = stored(contamination(docs, benchmark, size).groupBy("doc_id").agg(F.max(F.col("n_hit") > 0).alias("any"), F.min(F.col("n_hit") > 0).alias("all")).where("any"))
-    ids = hit.select(F.col("doc_id").alias("_id"), "all")
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc_id"))
-    clean = packed.join(ids, F.col("_doc_id").eqNullSafe(F.col("_id")), "left_anti").select("row.*")
-    mixed = ids.where("not all")
-    if mixed.isEmpty():
-        return clean
-    # some rows with these ids are clean: tell them by their texts
-    unsure = packed.join(mixed, F.col("_doc_id").eqNullSafe(F.col("_id"))).select("row", F.xxhash64("row.text").alias("doc_id"), F.col("row.text").alias("text"))
-    by_text = contamination(unsure.select("doc_id", "text").distinct(), benchmark, size)
-    rest = unsure.join(by_text.where("n_hit = 0").select("doc_id").distinct(), "doc_id").select("row.*")
-    return clean.unionByName(rest)
+    _, judged, _ = _judged(docs, benchmark, size)
+    hit = stored(judged.where(F.size("hit") > 0).select(F.col("key").alias("_key"), F.col("doc_id").alias("_id")).distinct())
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc_id"), _row_key().alias("_row_key"))
+    return packed.join(hit, (F.col("_row_key") == F.col("_key")) & F.col("_doc_id").eqNullSafe(F.col("_id")), "left_anti").select("row.*")
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:

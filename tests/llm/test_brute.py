@@ -112,8 +112,9 @@ def test_decontamination(spark, docs, texts):
         for i in range(len(w) - n + 1 if w else 0):
             windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
     sizes = {len(w) for w in windows}
-    shuffled, decontam.BROADCAST_ROWS = decontam.BROADCAST_ROWS, 0  # by shuffle join, then by broadcast
-    for _ in range(2):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    for most in ("-1", spark.conf.get(threshold)):  # by shuffle join, then by broadcast
+        spark.conf.set(threshold, most)
         for r in decontam.contamination(docs, benchmark).collect():
             w = split(texts[r["doc_id"]])
             hit, found = set(), set()
@@ -123,7 +124,7 @@ def test_decontamination(spark, docs, texts):
                         hit |= set(range(i, i + n))
                         found |= got
             assert (r["n_words"], r["hit"], r["items"]) == (len(w), sorted(hit), sorted(found))
-        decontam.BROADCAST_ROWS = shuffled
+        spark.conf.set(threshold, most)
 
 
 @pytest.fixture(scope="module")

@@ -61,6 +61,13 @@ def test_decontam_by_own_text(docs, tables):
     assert out[4, 60_000]["n_hit"] == 60_000 and out[4, 60_000]["items"] == ["10"]
 
 
+def test_item_without_id_hits_words_only(spark):
+    rows = spark.createDataFrame([(1, "x of no item y"), (2, "two three")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, "of no item"), (3, "two three"), (4, "two three")], "item_id long, text string")
+    out = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontam.contamination(rows, benchmark).collect()}
+    assert out == {1: (3, []), 2: (2, ["3", "4"])}
+
+
 def test_decontam_keeps_clean_rows_of_a_hit_id(spark, tables):
     rows = spark.createDataFrame([(1, "a two three four"), (1, "clean words only"), (2, "fine"), (None, None)], "doc_id long, text string")
     assert {r["text"] for r in decontam.without_contaminated(rows, tables["benchmark"]).collect()} == {"clean words only", "fine", None}
