@@ -107,8 +107,7 @@ class Pieces:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            self.spec = json.load(f)
-        self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+            self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.at_special = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.special else None
         self.pattern, self.latin = regex.compile(public_tokenizers.PATTERN), latin_pattern()
@@ -208,7 +207,8 @@ class Bpe:
 
     def __init__(self, path: str = VOCABULARY):
         self.pieces = Pieces(path)
-        model = self.pieces.spec["model"]
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
         vocabulary, symbols = model["vocab"], byte_symbols()
         self.first = [vocabulary[s] for s in symbols]
         self.merges = {}

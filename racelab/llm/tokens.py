@@ -16,6 +16,7 @@ without rows.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,6 +38,8 @@ SCHEMA = "part int, doc_id {}, start_in_part long, n_tokens long, ids array<int>
 
 #: Pieces that the library encodes in one call, parted by a byte that no merge has.
 TOGETHER = 256
+#: Such calls in a batch: the library's own results take much memory.
+AT_ONCE = 16
 
 
 class LibraryEncoder:
@@ -44,12 +47,17 @@ class LibraryEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.pieces, self.symbols = Pieces(path), byte_symbols()
-        self.model = Tokenizer(Tokenizer.from_file(path).model)  # without the steps before and after
-        model = self.pieces.spec["model"]
-        self.part = next(chr(b) for b in range(128) if not any(self.symbols[b] in pair[0] + pair[1] for pair in model["merges"]))
-        self.part_id = model["vocab"][self.symbols[ord(self.part)]]
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merges = [tuple(pair) for pair in model["merges"]]
+        # the model without the steps before and after, and without its table of strings, which here are long rows
+        self.model = Tokenizer(BPE(model["vocab"], merges, cache_capacity=0))
+        merged = {c for left, right in merges for c in left + right}
+        self.part = next(chr(b) for b in range(128) if self.symbols[b] not in merged)
+        self.part_id = self.model.token_to_id(self.symbols[ord(self.part)])
         self.by_byte = dict(enumerate(self.symbols))
         self.known = KnownIds(self.pieces.of_stretches(KnownIds(self.pieces.beside_special(self.encode))))
 
@@ -62,7 +70,7 @@ class LibraryEncoder:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
         texts, part = pieces.to_numpy(zero_copy_only=False), self.part
         rows = [self.symbolic(part.join(texts[i : i + TOGETHER])) for i in range(0, len(texts), TOGETHER)]
-        found = self.model.encode_batch_fast(rows, add_special_tokens=False)
+        found = (row for i in range(0, len(rows), AT_ONCE) for row in self.model.encode_batch_fast(rows[i : i + AT_ONCE], add_special_tokens=False))
         ids = np.concatenate([np.append(np.array(row.ids, np.uint32), self.part_id) for row in found])
         # a piece ends at the part after it; it may have some of its own
         ends = np.flatnonzero(ids == self.part_id)[np.cumsum(pc.count_substring(pieces, part).to_numpy() + 1) - 1]
