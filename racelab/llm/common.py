@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,15 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors see.
 
-    Only where that setting is absent (tests, a local session) one below the system's temporary folder is used.
+    Without that setting a local session has one below its temporary folder, removed as Python ends; any other fails.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        existing = spark.sparkContext.getCheckpointDir()
-        root = existing or f"file://{tempfile.mkdtemp(prefix='racelab-')}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = local_folder()
     return f"{root.rstrip('/')}/racelab-{uuid.uuid4().hex}"
 
 
+@lru_cache(maxsize=1)
+def local_folder() -> str:
+    path = tempfile.mkdtemp(prefix="racelab-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the lineage and survives a lost executor."""
     spark = df.sparkSession
@@ -36,6 +47,25 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than so many rows, and more than one in so many of all rows, is hot.
+HOT_ROWS, HOT_KEYS = 1000, 1000
+
+
+def joined(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``unique``, which has one row for each key and in ``n`` at least how many rows have that key.
+
+    Hot keys are ``HOT_KEYS`` at most, so their rows of ``unique`` are broadcast and their many rows stay where they are;
+    the others meet by key. The column ``n`` doesn't come along.
+    """
+    total, most = unique.agg(F.sum("n"), F.max("n")).first()
+    cut = max(HOT_ROWS, (total or 0) // HOT_KEYS)
+    if (most or 0) <= cut:
+        return rows.join(unique.drop("n"), key, how)
+    hot = F.broadcast(unique.where(F.col("n") > cut).drop("n"))
+    rest = rows.join(hot.select(key), key, "left_anti").join(unique.where(F.col("n") <= cut).drop("n"), key, how)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once for each row.
 

@@ -11,7 +11,8 @@ Subtries with more than ``CELL`` fingerprints are cut into pairs of shards, so n
 a spanning forest of the links that it found rather than all pairs, which keeps the components.
 
 Empty and null texts have fingerprint zero and link like any other. Null ids take part; a component's id is its
-smallest id that isn't null. Repeated rows stay repeated. An empty table gives an empty result.
+smallest id that isn't null. Repeated rows stay repeated. An empty table gives an empty result. Fingerprints, roots and
+hubs with very many rows are joined by broadcast, as they are few; see ``joined``.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racelab.llm.common import stored
+from racelab.llm.common import joined, stored
 
 SHINGLE, SEED, BUDGET = 4, 42, 4
 #: Fingerprints of a subtrie, or of a shard of one, that a task handles at once.
@@ -228,37 +229,38 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         ranked = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("n"))
-        parents = stored(both.groupBy("u").agg(F.least(ranked("u"), F.min(ranked("v"))).alias("p")).select("u", "p.n").withColumnRenamed("n", "p"))
-        pu, pv = (parents.select(F.col("u").alias(x), F.col("p").alias(f"p{x}")) for x in "uv")
-        edges = stored(
-            edges.join(pu, "u").join(pv, "v").where("pu != pv")
-            .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct()
-        )
-        step = parents.select(F.col("u").alias("place"), "p")
-        found = (
-            parents.select(F.col("u").alias("node"), F.col("p").alias("place"))
-            if found is None
-            else stored(found.join(step, "place", "left").select("node", F.coalesce("p", "place").alias("place")))
-        )
+        parents = stored(both.groupBy("u").agg(F.least(ranked("u"), F.min(ranked("v"))).alias("p"), F.count("*").alias("n")).select("u", F.col("p.n").alias("p"), "n"))
+        pu, pv = (parents.select(F.col("u").alias(x), F.col("p").alias(f"p{x}"), "n") for x in "uv")
+        edges = stored(joined(joined(edges, pu, "u"), pv, "v").where("pu != pv").select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct())
+        if found is None:
+            found = parents.select(F.col("u").alias("node"), F.col("p").alias("place"))
+            continue
+        at = found.groupBy("place").agg(F.count("*").alias("n"))
+        step = stored(parents.select(F.col("u").alias("place"), "p").join(at, "place"))
+        found = stored(joined(found, step, "place", "left").select("node", F.coalesce("p", "place").alias("place")))
     if found is None:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    least = found.groupBy("place").agg(F.min("node").alias("root"))
-    return found.join(least, "place").select("node", "root")
+    least = stored(found.groupBy("place").agg(F.min("node").alias("root"), F.count("*").alias("n")))
+    return joined(found, least, "place").select("node", "root")
 
 
 def near_duplicates(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id, representative) for every row; see the module's text for nulls and ties.
+    """(doc_id, key, fp, component_id, representative) for every row; see the module's text for nulls and ties.
 
-    ``representative`` is the smallest fingerprint of the component: rows with equal values are one component, also
-    where all ids are null.
+    ``key`` is a hash of doc_id and text. ``representative`` is the smallest fingerprint of the component: rows with
+    equal values are one component, also where all ids are null.
     """
-    rows = stored(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")))
-    fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    rows = stored(docs.select("doc_id", _row_key(), fingerprint(F.col("text"), shingle).alias("fp")))
+    fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = components(links(fps.select("fp"), budget)).withColumnRenamed("node", "fp")
-    fps = stored(fps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    ids = fps.groupBy("root").agg(F.min("least").alias("component_id"))
-    whole = fps.select("fp", "root").join(ids, "root")
-    return rows.join(whole, "fp").select("doc_id", "fp", "component_id", F.col("root").alias("representative"))
+    fps = stored(fps.join(roots, "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")))
+    ids = stored(fps.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    whole = stored(joined(fps.withColumnRenamed("n", "copies"), ids, "root").withColumnRenamed("copies", "n"))
+    return joined(rows, whole.drop("least"), "fp").select("doc_id", "key", "fp", "component_id", F.col("root").alias("representative"))
+
+
+def _row_key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("key")
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
@@ -269,18 +271,20 @@ def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     """The rows of ``docs``, all columns, without near-duplicates: of each component the row with its id stays.
 
-    Of rows that repeat that id within the component one stays. A component whose ids are all null keeps one row.
+    Of rows that share that id within the component the one with the smallest hash of its text stays, and of rows that
+    repeat id and text the smallest by its columns. A component whose ids are all null keeps one row. The rows that go
+    are known by doc_id and a hash of doc_id and text: nothing but these is held against all texts.
     """
-    found = near_duplicates(docs, budget).withColumn("stays", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stored(found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.max("stays").alias("stays")).where("stays").select("_id", "n"))
-    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc_id"))
-    joined = packed.join(ids, F.col("_doc_id").eqNullSafe(F.col("_id")))
-    plain = joined.where("n = 1").select("row.*")
-    if ids.where("n > 1").isEmpty():
-        return plain
-    # ids that repeat: their rows' fingerprints tell which of them stays, one for each component
-    firsts = found.where("stays").groupBy("doc_id", "representative").agg(F.min("fp").alias("_fp")).select("doc_id", "_fp")
-    repeated = joined.where("n > 1").select("row", "_doc_id", fingerprint(F.col("row.text")).alias("_row_fp"))
-    chosen = repeated.join(firsts, F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_row_fp") == F.col("_fp")))
-    again = chosen.groupBy("_doc_id", "_fp").agg(F.min("row").alias("row")).select("row.*")
-    return plain.unionByName(again)
+    found = stored(near_duplicates(docs, budget).select("doc_id", "key", "representative"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")
+    first_of = stored(found.groupBy("representative").agg(first, F.count("*").alias("n")))
+    placed = joined(found, first_of, "representative").withColumn("stays", (F.col("key") == F.col("first.key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id")))
+    rows = stored(placed.groupBy("doc_id", "key").agg(F.max("stays").alias("stays"), F.count("*").alias("n")).where("n > 1 or not stays"))
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc_id"), _row_key().alias("_row_key"))
+    same = (F.col("_row_key") == F.col("key")) & F.col("_doc_id").eqNullSafe(F.col("doc_id"))
+    kept = packed.join(rows.select("doc_id", "key"), same, "left_anti").select("row.*")
+    repeated = rows.where("stays")
+    if repeated.isEmpty():
+        return kept
+    again = packed.join(repeated.select("doc_id", "key"), same, "left_semi").groupBy("_doc_id", "_row_key").agg(F.min("row").alias("row"))
+    return kept.unionByName(again.select("row.*"))
