@@ -9,8 +9,8 @@ have the smallest hashes, and none whose crc32(doc_id as text) is divisible by `
 hash, so the weights don't depend on the order of rows. Labels, lang, source and doc_id are no features.
 
 Null and empty texts have the score of no feature but the bias. A null doc_id is never learned from and isn't held
-out. Of repeated labels the largest counts. Without labels of both kinds every score is the sample's share of toxic
-rows, or 0 without any. Repeated rows are scored alike.
+out. Of repeated labels the largest counts. Where nothing can be learned, as there are labels of one kind only or no
+weight is left, every score is the sample's share of toxic rows, or 0 without any. Repeated rows are scored alike.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -85,8 +86,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights from the bounded sample; one task learns, as the method takes samples in turn."""
+class Model(NamedTuple):
+    """Weights that aren't zero; where there are none, the score of all."""
+
+    at: np.ndarray
+    values: np.ndarray
+    share: float
+
+
+def train(docs: DataFrame, labels: DataFrame, bits: int = BITS) -> Model:
+    """Learns from the bounded sample; one task does, as the method takes samples in turn, and it gets hashed features."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("turn", F.xxhash64("doc_id"))
     sample = known.where("toxic = 1").orderBy("turn", "doc_id").limit(TRAIN_TOXIC)
@@ -94,22 +103,29 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS) -> tuple[np.ndar
     # at most TRAIN_TOXIC + TRAIN_CLEAN rows of 24 bytes
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     # of rows that repeat an id one is learned from, so the bound holds
-    rows = rows.groupBy("doc_id", "toxic", "turn").agg(F.min("text").alias("text")).withColumn("all", F.lit(0))
+    rows = rows.groupBy("doc_id", "toxic", "turn").agg(F.min("text").alias("text"))
+
+    @F.pandas_udf("array<int>")
+    def distinct(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = word_hashes()
+        for texts in batches:
+            yield pd.Series([np.unique(features(t, hashes, bits)).astype(np.int32) for t in texts], dtype=object)
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["turn", "doc_id"])
-        hashes = word_hashes()
-        at, w = ftrl([np.unique(features(t, hashes, bits)) for t in pdf["text"]], pdf["toxic"].to_numpy(np.float64), bits)
-        return pd.DataFrame({"at": at, "w": w})
+        y = pdf["toxic"].to_numpy(np.float64)
+        at, w = ftrl([np.asarray(x, np.int64) for x in pdf["features"]], y, bits) if len(np.unique(y)) == 2 else (np.empty(0, np.int64), np.empty(0))
+        return pd.DataFrame({"at": [*at, -1], "w": [*w, y.mean()]})
 
-    found = stored(rows.groupBy("all").applyInPandas(learn, "at long, w double")).toPandas()  # at most 2 ** bits rows
-    found = found.sort_values("at")
-    return found["at"].to_numpy(np.int64), found["w"].to_numpy(np.float64)
+    given = rows.select("doc_id", "toxic", "turn", distinct("text").alias("features"), F.lit(0).alias("all"))
+    found = stored(given.groupBy("all").applyInPandas(learn, "at long, w double")).toPandas().sort_values("at")  # at most 2 ** bits rows and one
+    at, w = found["at"].to_numpy(np.int64), found["w"].to_numpy(np.float64)
+    return Model(at[1:], w[1:], float(w[0])) if len(at) else Model(at, w, 0.0)
 
 
-def score(text: Column, weights: tuple[np.ndarray, np.ndarray], bits: int = BITS) -> Column:
+def score(text: Column, model: Model, bits: int = BITS) -> Column:
     """The probability of label 1."""
-    at, values = weights
+    at, values, share = model
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -125,7 +141,7 @@ def score(text: Column, weights: tuple[np.ndarray, np.ndarray], bits: int = BITS
         for texts in batches:
             yield pd.Series([one(t) for t in texts], dtype="float64")
 
-    return of(text) if len(at) else F.lit(0.0)
+    return of(text) if len(at) else F.lit(share)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

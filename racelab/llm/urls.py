@@ -2,8 +2,8 @@
 
 A rule fits its host and all subdomains if the path starts with the rule's; of several the longest wins, of equally
 long ones the one with the longer host, then block. Urls that no rule fits are judged by logistic regression on hashed
-character n-grams of host and path. It is trained from a small labelled table of urls; by default that is what the
-rules say of at most ``TRAIN`` urls, those with the smallest hashes, and it has no more inputs than the url.
+character n-grams of host and path, with no other inputs than the url. It is trained from a small labelled table of
+urls, by default that of ``url_labels``, in which the rules have no part.
 
 Null urls and those without ``://`` have an empty host and path; without features they get the verdict of the bias.
 Without labels of both kinds the method allows, or blocks, all as the one kind says; without any it allows. Rows are
@@ -15,19 +15,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from racelab.llm.common import ascii_lower, let, stored, table
+from racelab.llm.url_labels import ALLOWED, BLOCKED
 
 #: (verdict, rule): a host and the start of a path.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Rules stand in the plan as a constant, so their number is bounded.
 MOST_RULES = 1000
-TRAIN, BITS, GRAMS = 4000, 14, (3, 4)
+BITS, GRAMS = 14, (3, 4)
+MOST_STEPS, PENALTY = 30, 0.01
 THRESHOLD = 0.5
 
 
@@ -81,27 +83,40 @@ def parsed(pages: DataFrame, rules=RULES) -> DataFrame:
     return rows.withColumn("by_rule", rule_for(F.col("host"), F.col("path"), rules))
 
 
-def labelled_by_rules(pages: DataFrame, rules=RULES, most: int = TRAIN) -> DataFrame:
-    """(host, path, blocked) of a bounded sample of distinct urls that rules decide."""
-    known = parsed(pages, rules).where("by_rule is not null").select("host", "path", (F.col("by_rule.verdict") == "block").cast("double").alias("blocked"))
-    return known.distinct().orderBy(F.xxhash64("host", "path"), "host", "path").limit(most)
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """(host, path, blocked) of the labelled table that comes with the library."""
 
+    def rows(text: str, blocked: float) -> DataFrame:
+        url = F.explode(F.split(F.lit(text.strip()), "\n")).alias("url")
+        return spark.range(1).select(url).select(F.substring_index("url", "/", 1).alias("host"), F.regexp_extract("url", "/.*", 0).alias("path"), F.lit(blocked).alias("blocked"))
 
-def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) of every row; score is the regression's, also where a rule decides.
+    return rows(BLOCKED, 1.0).unionByName(rows(ALLOWED, 0.0))
+
+
+def hashing() -> HashingTF:
+    return HashingTF(numFeatures=1 << BITS, binary=True, inputCol="grams", outputCol="features")
+
+
+def fitted(labelled: DataFrame) -> LogisticRegressionModel | float:
+    """The regression, or the one label where there are no labels of both kinds (0 without any).
 
     ``labelled`` is a small table (host, path, blocked 0 or 1).
     """
-    labelled = stored(labelled_by_rules(pages, rules) if labelled is None else labelled)
-    hashing = HashingTF(numFeatures=1 << BITS, binary=True, inputCol="grams", outputCol="features")
-    sample = hashing.transform(labelled.withColumn("grams", grams(F.col("host"), F.col("path")))).select("features", F.col("blocked").alias("label"))
+    sample = hashing().transform(labelled.withColumn("grams", grams(F.col("host"), F.col("path")))).select("features", F.col("blocked").cast("double").alias("label"))
     kinds = [r["label"] for r in sample.select("label").distinct().collect()]  # two at most
-    rows = parsed(pages, rules)
     if len(kinds) < 2:
-        scored = rows.withColumn("score", F.lit(kinds[0] if kinds else 0.0))
+        return kinds[0] if kinds else 0.0
+    return LogisticRegression(maxIter=MOST_STEPS, regParam=PENALTY, probabilityCol="probability", rawPredictionCol="raw").fit(sample)
+
+
+def judged(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES) -> DataFrame:
+    """(page_id, host, path, rule, verdict, score) of every row; score is the regression's, also where a rule decides."""
+    model = fitted(stored(labelled_urls(pages.sparkSession) if labelled is None else labelled))
+    rows = parsed(pages, rules)
+    if isinstance(model, float):
+        scored = rows.withColumn("score", F.lit(model))
     else:
-        model = LogisticRegression(maxIter=30, regParam=0.01, probabilityCol="probability", rawPredictionCol="raw").fit(sample)
-        scored = model.transform(hashing.transform(rows.withColumn("grams", grams(F.col("host"), F.col("path")))))
+        scored = model.transform(hashing().transform(rows.withColumn("grams", grams(F.col("host"), F.col("path")))))
         scored = scored.withColumn("score", F.get(vector_to_array("probability"), 1))
     verdict = F.coalesce(F.col("by_rule.verdict"), F.when(F.col("score") >= THRESHOLD, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", F.col("by_rule.rule").alias("rule"), verdict.alias("verdict"), "score")

@@ -116,12 +116,16 @@ def test_urls(spark):
     assert {x[1:4] for x in out if x[0] in (3, 4)} == {("", "", None)} and {x[1:4] for x in out if x[0] == 5} == {("b:", "//c.com/fr/", None)}
     assert {x[1:4] for x in out if x[0] == 7} == {("org", "", None)}
     assert urls.judged(pages).count() == len(rows) and urls.judged(pages.limit(0)).count() == 0
-    assert urls.judged(pages, rules=()).where("verdict = 'allow'").count() == len(rows)
+    none = urls.labelled_urls(spark).limit(0)
+    assert urls.judged(pages, none, rules=()).where("verdict = 'allow' and score = 0").count() == len(rows)
+    assert urls.judged(pages, urls.labelled_urls(spark).where("blocked = 1"), rules=()).where("verdict = 'block'").count() == len(rows)
 
 
 def test_chat_edges(spark):
     rows = [(None, None, None, None), (1, 1, "user", "a"), (1, 1, "user", "a"), (2, None, "Assistant ", ""), (3, 1, "bot", "x" * 200_000)]
-    talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumnRenamed("x", "place")
+    talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for name in ("place", "rendered", "action", "block", "n", "state", "cost"):
+        talk = talk.withColumn(name, chat.F.lit("own"))  # names that the operator uses itself
     assert chat.formatted(talk).count() == len(rows) and chat.formatted(talk.limit(0)).count() == 0
     one = "".join(r["rendered"] for r in chat.formatted(talk).where("conv_id = 1").orderBy("place").collect())
     assert one == "<|user|>\na<|end|>\n<|assistant|>\na<|end|>\n"  # relabelling costs less than a merge and an empty turn
