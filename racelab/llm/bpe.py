@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Strings whose ids a worker keeps.
-KEPT = 300_000
+#: Pieces, and stretches of several, whose ids a worker keeps.
+KEPT_PIECES, KEPT_STRETCHES = 300_000, 200_000
 #: Characters, about, of the texts that are encoded together.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 #: White space as the vocabulary's pattern has it, without and with the space.
 BREAKS = r"\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WHITE = rf" {BREAKS}"
@@ -64,7 +64,7 @@ def spread(starts: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> tuple[n
 class KnownIds:
     """A bounded table of strings' ids; encodes what it lacks and, once full, keeps what was wanted last."""
 
-    def __init__(self, encode: Callable[[pa.StringArray], Ids], kept: int = KEPT, longest: int = 64):
+    def __init__(self, encode: Callable[[pa.StringArray], Ids], kept: int, longest: int = 64):
         self.encode, self.kept, self.longest = encode, kept, longest
         self._set(pa.array([], pa.string()), np.empty(0, np.uint32), np.empty(0, np.int64))
 
@@ -172,6 +172,10 @@ class Pieces:
 
         return run
 
+    def known(self, encode: Callable[[pa.StringArray], Ids]) -> KnownIds:
+        """The table of stretches' ids, by a table of the ids that ``encode`` gives for pieces."""
+        return KnownIds(self.of_stretches(KnownIds(self.beside_special(encode), KEPT_PIECES)), KEPT_STRETCHES)
+
     def ids(self, texts: pa.Array, known: KnownIds) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another, and where each text's begin and end; ``known`` encodes stretches."""
         texts = texts.fill_null("")
@@ -217,7 +221,7 @@ class Bpe:
         byte = {s: b for b, s in enumerate(symbols)}
         names = {i: t for t, i in vocabulary.items()}
         self.bytes = {i: bytes(byte[c] for c in t) for i, t in names.items()} | {i: t.encode() for t, i in self.pieces.special.items()}
-        self.known = KnownIds(self.pieces.of_stretches(KnownIds(self.pieces.beside_special(self.merged))))
+        self.known = self.pieces.known(self.merged)
 
     def merged(self, pieces: pa.StringArray) -> Ids:
         each = list(map(self.merge, pieces.to_pylist()))

@@ -1,7 +1,7 @@
 """Token ids of a corpus as Parquet files with list columns.
 
 Documents are dealt out by ranges of their ids and sorted, so the files hold them in ascending order of doc_id (null
-first; rows with equal ids by their text). Each row has its ids as a list, with dictionary encoding (50 thousand ids
+first; rows with equal ids by a hash of their text). Each row has its ids as a list, with dictionary encoding (50 thousand ids
 take 16 bits each before compression) or, with ``encoding="delta"``, the second version of Parquet's pages and its
 delta encoding. Row groups and pages have set sizes and the files have page indexes, so one can read few documents, or
 only doc_id and n_tokens, without the ids.
@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from racelab.llm.bpe import VOCABULARY, Ids, KnownIds, Pieces, byte_symbols, slices
+from racelab.llm.bpe import VOCABULARY, Ids, Pieces, byte_symbols, slices
 from racelab.llm.common import shared_folder
 
 END_ID = 0
@@ -59,7 +59,7 @@ class LibraryEncoder:
         self.part = next(chr(b) for b in range(128) if self.symbols[b] not in merged)
         self.part_id = self.model.token_to_id(self.symbols[ord(self.part)])
         self.by_byte = dict(enumerate(self.symbols))
-        self.known = KnownIds(self.pieces.of_stretches(KnownIds(self.pieces.beside_special(self.encode))))
+        self.known = self.pieces.known(self.encode)
 
     def symbolic(self, text: str) -> str:
         """Bytes as the vocabulary writes them."""
@@ -107,7 +107,9 @@ def write_tokens(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: i
             )
             start += int(ends[-1])
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # the hash parts rows with equal ids; the ranges' bounds come from a sample of keys, which should be short
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("turn"))
+    ordered = keyed.repartitionByRange("doc_id", "turn").sortWithinPartitions("doc_id", "turn").drop("turn")
     ordered.mapInArrow(run, SCHEMA.format(docs.schema["doc_id"].dataType.simpleString())).write.options(
         **{
             "compression": "snappy",
