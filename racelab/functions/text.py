@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Callable
 
@@ -11,12 +10,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def stripped(text: Column) -> Column:
+    """Without white space, of any kind, at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def parse_seconds(text: Column) -> Column:
-    """``[H:]MM:SS`` in seconds."""
-    hit = r"^(?:(\d+):)?(\d{1,2}):(\d{2})$"
-    part = lambda i: F.regexp_extract(text, hit, i)
+    """``[H:]MM:SS`` in seconds; white space around it doesn't matter."""
+    hit = r"^(?:([0-9]+):)?([0-9]{1,2}):([0-9]{2})$"
+    bare = stripped(text)
+    part = lambda i: F.regexp_extract(bare, hit, i)
     hours = F.when(part(1) == "", 0).otherwise(F.try_to_number(part(1), F.lit("999999")).cast("int"))
-    return F.when(text.rlike(hit), hours * 3600 + part(2).try_cast("int") * 60 + part(3).try_cast("int"))
+    return F.when(bare.rlike(hit), hours * 3600 + part(2).try_cast("int") * 60 + part(3).try_cast("int"))
 
 
 def clock_seconds(text: Column) -> Column:
@@ -32,13 +37,13 @@ def clock_delta(a: Column, b: Column) -> Column:
 
 
 def parse_distance(text: Column) -> Column:
-    """The first ``12[.,]5 km`` as a number."""
-    return F.replace(F.regexp_extract(text, r"([0-9]+(?:[.,][0-9]+)?) ?km", 1), F.lit(","), F.lit(".")).try_cast("double")
+    """The first ``12[.,]5 km`` as a number, in either case and with any white space between."""
+    return F.replace(F.regexp_extract(text, r"(?iU)([0-9]+(?:[.,][0-9]+)?)\s*km", 1), F.lit(","), F.lit(".")).try_cast("double")
 
 
 def parse_rank_of(text: Column) -> Column:
     """``12 av 345`` as struct<place, count>."""
-    hit = r"(\d+)\s+av\s+(\d+)"
+    hit = r"(?iU)([0-9]+)\s+av\s+([0-9]+)"
     return F.when(text.rlike(hit), F.struct(F.regexp_extract(text, hit, 1).try_cast("int").alias("place"), F.regexp_extract(text, hit, 2).try_cast("int").alias("count")))
 
 
@@ -57,9 +62,13 @@ def opaque_id(namespace: str, race: Column, ident: Column) -> Column:
 
 
 def list_value(headers: Column, row: Column, wanted: str) -> Column:
-    """The value under a header, compared trimmed and in lower case, in parallel arrays."""
-    at = F.array_position(F.transform(headers, lambda h: F.lower(F.trim(h))), F.lit(wanted.strip().lower()))
-    return F.when(at > 0, F.get(row, (at - 1).cast("int")))
+    """The trimmed value under a header in parallel arrays, null if empty.
+
+    Headers are compared in lower case, trimmed, with white space collapsed.
+    """
+    normal = lambda h: F.lower(F.regexp_replace(stripped(h), r"(?U)\s+", " "))
+    at = F.array_position(F.transform(headers, normal), F.lit(" ".join(wanted.split()).lower()))
+    return F.when(at > 0, F.nullif(stripped(F.get(row, (at - 1).cast("int"))), F.lit("")))
 
 
 def category_split(text: Column) -> Column:
@@ -68,35 +77,102 @@ def category_split(text: Column) -> Column:
     return F.when(text.rlike(hit), F.struct(F.regexp_extract(text, hit, 1).alias("sex"), F.nullif(F.regexp_extract(text, hit, 2), F.lit("")).alias("age_category")))
 
 
-#: Words by which sources publish a status.
+#: The words by which sources publish a status.
 STATUS_WORDS = {
-    "DNF": r"\bdnf\b|did not finish|\bbröt\b|\butgått\b",
-    "DNS": r"\bdns\b|did not start|\bej start",
-    "DSQ": r"\bdsq\b|\bdq\b|disqualified|diskad|diskvalificerad",
+    "DNF": (r"\butgått\b", r"\bdnf\b", r"\bbrutit\b", r"\bbröt\b", r"\bretired\b", r"\bdid not finish\b"),
+    "DNS": (r"\bdns\b", r"\bej start(?:at)?\b", r"\binte start(?:at)?\b", r"\bdid not start\b", r"\bno start\b"),
+    "DSQ": (r"\bdsq\b", r"\bdq\b", r"\bdiskval\w*\b", r"\bdisqual\w*\b"),
 }
+#: Status words that are counted in raw texts.
+COUNTED_WORDS = ("dnf", "dns", "dsq", "dq", "did not finish", "did not start", "disqual", "retired", "abandon", "brutit", "bröt", "brutet", "ej start", "inte start", "utgått")
 
 
 def status_detect(text: Column) -> Column:
     """The one status whose words occur; null for none or several."""
-    found = [(s, text.rlike(f"(?iu){p}")) for s, p in STATUS_WORDS.items()]
-    n = sum((f.cast("int") for _, f in found), F.lit(0))
-    out = F.lit(None).cast("string")
-    for s, f in found:
-        out = F.when((n == 1) & f, s).otherwise(out)
+    found = F.array_compact(F.array(*(F.when(text.rlike(f"(?iuU){'|'.join(words)}"), status) for status, words in STATUS_WORDS.items())))
+    return F.when(F.size(found) == 1, F.get(found, 0))
+
+
+def status_words(text: Column) -> Column:
+    """The status words of a text in order, in lower case."""
+    return F.transform(F.regexp_extract_all(text, F.lit(rf"(?iuU)\b({'|'.join(COUNTED_WORDS)})\b"), F.lit(1)), F.lower)
+
+
+def _label(text: Column) -> Column:
+    return F.lower(F.regexp_replace(stripped(text), r"(?U)\s+", " "))
+
+
+def race_family(label: Column) -> Column:
+    """A class label's family by the first rule that fits; null is an unmapped label."""
+    s, km = _label(label), lambda n: rf"(?U)\b(?:{n})\s*k(?:m)?\b"
+    return (
+        F.when(s.contains("duo") | s.contains("relay"), "duo60").when(s.contains("ultra") | s.rlike(km("60")), "ultra60")
+        .when(s.rlike(km("21|22")), "trail22").when(s.rlike(km("13|14")), "trail14").when(s.rlike(km("5")), "trail5")
+    )
+
+
+def nominal_km(family: Column) -> Column:
+    """A family's distance."""
+    return F.create_map(*(F.lit(x) for pair in {"ultra60": 60, "duo60": 60, "trail22": 22, "trail14": 14, "trail5": 5}.items() for x in pair))[family]
+
+
+def historical_km(label: Column) -> Column:
+    """The distance that a label itself states, of the known ones; a duo's is 60."""
+    s, out = _label(label), F.when(_label(label).contains("duo"), 60)
+    for n in (5, 13, 14, 21, 22, 60):  # the last one asked counts first
+        out = F.when(s.rlike(rf"(?U)\b{n}\s*k(?:m)?\b"), n).otherwise(out)
     return out
 
 
+def landmark(title: Column, types: Column) -> Column:
+    """What a waypoint of this title and these types stands for, null for none of the known."""
+    s, kinds = F.lower(F.coalesce(title, F.lit(""))), F.coalesce(types, F.array().cast("array<string>"))
+    return (
+        # fixed values: parts of titles
+        F.when(s.contains("bengtem"), "bengtemolla").when(s.contains("vantal"), "vantalangan").when(s.contains("stenshuvud"), "stenshuvud")
+        .when(s.rlike(r"(?U)\bstart\b|\bdepart\b") | F.exists(kinds, lambda t: F.lower(t) == "depart"), "start")
+        .when(s.rlike("finish|mål|malgang|arriv") | F.exists(kinds, lambda t: F.lower(t).contains("arriv")), "finish")
+    )
+
+
 def mask_shape(text: Column) -> Column:
-    """Letters as <A>, digits as <N>, the first 120 characters."""
-    return F.substring(F.regexp_replace(F.regexp_replace(text, r"\p{L}+", "<A>"), r"[0-9]+(?![^<]*>)", "<N>"), 1, 120)
+    """NFKC and trimmed, letters as <A>, digits as <N>, white space collapsed, the first 120 characters."""
+    letters = F.regexp_replace(stripped(nfkc(text)), r"[\p{L}\p{Nl}\p{No}]+", "<A>")
+    return F.substring(F.regexp_replace(F.regexp_replace(letters, r"\p{Nd}+", "<N>"), r"(?U)\s+", " "), 1, 120)
 
 
-def safe_cell(text: Column) -> Column:
-    bare = F.trim(text)
-    return (
-        F.when(bare.isNull() | (bare == ""), "<EMPTY>").when(bare.rlike(r"^\d+$"), "<NUMBER>").when(bare.rlike(r"^(\d+:)?\d{1,2}:\d{2}$"), "<TIME>")
-        .when(bare.rlike(r"^[0-9]+([.,][0-9]+)? ?km$"), "<DISTANCE>").otherwise("<TEXT>")
+#: Cells that are shown as they are.
+SAFE_LABELS = (
+    r"status|resultat?|tid|time|distans|distance|klass|class|placering|rank|sträcka|etapp|leg|löpare|deltagare|medlem|member|växling|bengtemölla|"
+    r"starttidspunkt|sluttidspunkt|nettotid|bruttotid|mellantid\s*\d*"
+)
+
+
+def safe_cell(text: Column, linked: Column | None = None) -> Column:
+    """A cell's kind in angle brackets; known labels and single digits as they are."""
+    bare = stripped(F.coalesce(text, F.lit("")))
+    kind = (
+        F.when(bare == "", "<EMPTY>").when(bare.rlike(rf"(?iuU)^(?:{SAFE_LABELS})$") | bare.rlike("^[0-9]$"), bare).when(bare.rlike(r"^[0-9]+([.,][0-9]+)?$"), "<NUMBER>")
+        .when(bare.rlike(r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"), "<TIME>").when(bare.rlike(r"(?iU)^[0-9]+([.,][0-9]+)?\s*km$"), "<DISTANCE>").otherwise("<TEXT>")
     )
+    return kind if linked is None else F.when(linked, "<LINKED_TEXT>").otherwise(kind)
+
+
+#: The forms of published identity values.
+IDENTITY_KINDS = {
+    "gender_age_with_year_word": r"^(Man|Kvinna|Male|Female)\s*,\s*(\d{1,3})\s*år\b",
+    "gender_age_without_year_word": r"^(Man|Kvinna|Male|Female)\s*,\s*(\d{1,3})\s*$",
+    "age_category_words": r"^\s*\d{1,2}\s*[-–]\s*\d{1,2}\s+(?:män|kvinnor|men|women)\b",
+    "age_category_prefix": r"^\s*(?:M|K|W|F)\s*\d{1,2}(?:\s*[-–+]\s*\d{0,2})?\s*$",
+}
+
+
+def identity_kind(value: Column) -> Column:
+    """The first form that a value has, else ``other``."""
+    bare, out = stripped(F.coalesce(value, F.lit(""))), F.lit("other")
+    for kind, pattern in reversed(IDENTITY_KINDS.items()):
+        out = F.when(bare.rlike(f"(?iuU){pattern}"), kind).otherwise(out)
+    return out
 
 
 def presentation_name(name: Column, entity: Column, bib: Column) -> Column:
@@ -117,9 +193,13 @@ def format_pace(pace: Column) -> Column:
     return F.when(pace.isNotNull(), F.format_string("%d:%02d min/km", F.floor(s / 60), s % 60))
 
 
+#: How a status is shown.
+STATUS_LABELS = {"FINISHED": "Fullföljt", "DNF": "DNF", "DNS": "Startade inte", "DSQ": "Diskvalificerad", "UNKNOWN": "Okänd status"}
+
+
 def status_label(status: Column) -> Column:
-    labels = {"FINISHED": "Finished", "DNF": "Did not finish", "DNS": "Did not start", "DSQ": "Disqualified", "UNKNOWN": "Unknown"}
-    return F.create_map(*(F.lit(x) for kv in labels.items() for x in kv))[status]
+    """A status as shown; others as they are, a dash for null."""
+    return F.coalesce(F.create_map(*(F.lit(x) for kv in STATUS_LABELS.items() for x in kv))[status], status, F.lit("–"))
 
 
 def grade_class(grade: Column) -> Column:
@@ -140,19 +220,17 @@ def _of_texts(one: Callable[[str], str]) -> Callable[[Column], Column]:
     return column
 
 
-def _slug(text: str) -> str:
-    bare = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
-    return re.sub(r"[^a-z0-9]+", "-", bare).strip("-")
-
-
-def _normal(text: str) -> str:
-    return " ".join(unicodedata.normalize("NFKC", text).casefold().split())
+#: Unicode normalization, which Spark lacks.
+nfkc = _of_texts(lambda text: unicodedata.normalize("NFKC", text))
+nfkd = _of_texts(lambda text: unicodedata.normalize("NFKD", text))
+#: NFKC, case folded, white space collapsed.
+normalize_name = _of_texts(lambda text: " ".join(unicodedata.normalize("NFKC", text).casefold().split()))
 
 
-#: NFKD, ASCII only, lower case, other runs as one hyphen. Spark has no Unicode normalization.
-slug = _of_texts(_slug)
-#: NFKC, case folded, white space collapsed.
-normalize_name = _of_texts(_normal)
+def slug(text: Column) -> Column:
+    """NFKD, ASCII only, lower case, runs of other characters as one hyphen."""
+    ascii_only = F.lower(F.regexp_replace(nfkd(text), r"[^\x00-\x7F]", ""))
+    return F.btrim(F.regexp_replace(ascii_only, "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 def name_fingerprint(text: Column) -> Column:

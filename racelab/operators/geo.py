@@ -58,23 +58,34 @@ def densified(points: DataFrame, step: float) -> DataFrame:
     return parts.select("route_id", "family", "idx", "part", at("lat"), at("lon"))
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], within: float) -> DataFrame:
-    """Each left point with the metres to the nearest right point of the same keys, null beyond ``within``.
+def meeting(left: DataFrame, right: DataFrame, keys: list[str], within: float, among: Column, by: list[str]) -> DataFrame:
+    """The least metres between points of both sides with the same keys and the condition ``among``, for each ``by``.
 
     Points meet by cells wider than ``within``: the right side stands in its own cell and the eight around it, so one
     equi-join finds every point near enough. Cells of a row are as wide in longitude as ``within`` at the farthest
     latitude of the rows beside it.
     """
+    own, r, d = _in_cells(left, right, within)
+    return own.join(r, [*keys, "cy", "cx"]).where(among).withColumn("separation", d).where(F.col("separation") <= within).groupBy(*by).agg(F.min("separation").alias("separation"))
+
+
+def _in_cells(left: DataFrame, right: DataFrame, within: float) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with cells ``cy`` and ``cx``, the right one as ``rlat`` and ``rlon``, and the metres between points."""
     around = F.sequence(F.lit(-1), F.lit(1))
     tall = 1.01 * within / METRES_A_DEGREE
     cy = F.floor(F.col("lat") / tall)
     farthest = (F.greatest(F.abs(F.col("cy") - 1), F.abs(F.col("cy") + 2)) * tall).cast("double")
     wide = F.least(tall / F.greatest(F.cos(F.radians(F.least(farthest, F.lit(90.0)))), F.lit(1e-9)), F.lit(360.0))
     cx = lambda c: F.floor(F.col(c) / wide)
-    r = right.select(*keys, F.col("lat").alias("rlat"), F.col("lon").alias("rlon"), cy.alias("own"), F.explode(around).alias("dy"))
-    r = r.withColumn("cy", F.col("own") + F.col("dy")).withColumn("dx", F.explode(around)).select(*keys, "rlat", "rlon", "cy", (cx("rlon") + F.col("dx")).alias("cx"))
-    own = left.withColumn("cy", cy).withColumn("cx", cx("lon"))
-    d = haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
+    kept = [c for c in right.columns if c not in ("lat", "lon")]
+    r = right.select(*kept, F.col("lat").alias("rlat"), F.col("lon").alias("rlon"), cy.alias("own"), F.explode(around).alias("dy"))
+    r = r.withColumn("cy", F.col("own") + F.col("dy")).withColumn("dx", F.explode(around)).select(*kept, "rlat", "rlon", "cy", (cx("rlon") + F.col("dx")).alias("cx"))
+    return left.withColumn("cy", cy).withColumn("cx", cx("lon")), r, haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
+
+
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], within: float) -> DataFrame:
+    """Each left point with the metres to the nearest right point of the same keys, null beyond ``within``; see ``meeting``."""
+    own, r, d = _in_cells(left, right.select(*keys, "lat", "lon"), within)
     return own.join(r, [*keys, "cy", "cx"], "left").groupBy(*left.columns).agg(F.min(F.when(d <= within, d)).alias("separation"))
 
 

@@ -97,14 +97,29 @@ def evi_double_timing(d: Data) -> DataFrame:
     )
 
 
-@query("SELECT race_family, count(*) AS teams, count(*) FILTER (WHERE abs(legs - finish_seconds) <= 2) AS within_2s, count(*) FILTER (WHERE n = 3) AS all_legs FROM (SELECT r.race_family, r.rid, r.finish_seconds, sum(s.secs) AS legs, count(*) AS n FROM f_results r JOIN f_segsum s ON s.k = r.rid WHERE finish_seconds IS NOT NULL GROUP BY 1, 2, 3) GROUP BY ROLLUP (race_family)")
+_TEAM = """SELECT r.race_family, r.rid, r.finish_seconds, count(s.rid) AS n, max(s.elapsed_seconds) AS last, bool_and(coalesce(s.elapsed_seconds > s.prev, TRUE)) AS in_order, sum(l.secs) FILTER (WHERE l.cp = 3) AS final_leg FROM f_results r
+  LEFT JOIN (SELECT *, lag(elapsed_seconds) OVER (PARTITION BY rid ORDER BY seq) AS prev FROM f_splits) s ON s.rid = r.rid LEFT JOIN (SELECT k, cp, secs FROM f_segsum) l ON l.k = r.rid AND l.cp = 3 AND s.seq = 1 WHERE finish_seconds IS NOT NULL GROUP BY 1, 2, 3"""
+
+
+@query(f"""SELECT race_family, teams, exchanged, within_2s, in_order, within_2s >= 0.99::DOUBLE * exchanged AS order_proven FROM (SELECT race_family, count(*) AS teams, count(*) FILTER (WHERE n = 2) AS exchanged,
+  count(*) FILTER (WHERE n = 2 AND abs(last + coalesce(final_leg, 0) - finish_seconds) <= 2) AS within_2s, count(*) FILTER (WHERE n = 2 AND in_order) AS in_order FROM ({_TEAM}) GROUP BY ROLLUP (race_family))""")
 def evi_relay_legs(d: Data) -> DataFrame:
-    """How often the legs add up to the team's time, by family and in total."""
+    """How often the last exchange that was timed, and the leg after it, make the team's own finish time; by family and in total.
+
+    Exchanges come from published passages, finish times from results, so both sides can differ.
+    """
     from racelab.sources.fixtures import segment_sums
 
-    legs = segment_sums(d.spark, d.sf).groupBy("k").agg(F.sum("secs").alias("legs"), F.count("*").alias("n"))
-    x = d.results.where("finish_seconds is not null").join(legs, F.col("rid") == F.col("k"))
-    return x.rollup("race_family").agg(F.count("*").alias("teams"), F.count_if(F.abs(F.col("legs") - F.col("finish_seconds")) <= 2).alias("within_2s"), F.count_if(F.col("n") == 3).alias("all_legs"))
+    w = Window.partitionBy("rid").orderBy("seq")
+    passed = d.splits.withColumn("prev", F.lag("elapsed_seconds").over(w)).groupBy("rid").agg(
+        F.count("*").alias("n"), F.max("elapsed_seconds").alias("last"), F.bool_and(F.coalesce(F.col("elapsed_seconds") > F.col("prev"), F.lit(True))).alias("in_order")
+    )
+    final = segment_sums(d.spark, d.sf).where("cp = 3").select(F.col("k").alias("rid"), F.col("secs").alias("final_leg"))
+    x = d.results.where("finish_seconds is not null").join(passed, "rid", "left").join(final, "rid", "left")
+    two = F.col("n") == 2
+    sums = F.abs(F.col("last") + F.coalesce("final_leg", F.lit(0.0)) - F.col("finish_seconds")) <= 2
+    totals = x.rollup("race_family").agg(F.count("*").alias("teams"), F.count_if(two).alias("exchanged"), F.count_if(two & sums).alias("within_2s"), F.count_if(two & F.col("in_order")).alias("in_order"))
+    return totals.withColumn("order_proven", F.col("within_2s") >= 0.99 * F.col("exchanged"))
 
 
 @query("SELECT class_name, count(*) AS unknown, count(*) FILTER (WHERE custkey % 3 = 0) AS explicit, count(*) FILTER (WHERE custkey % 3 = 1) AS conflicting FROM f_results WHERE status = 'UNKNOWN' GROUP BY 1")
@@ -187,9 +202,16 @@ def aud_config_integrity(d: Data) -> DataFrame:
     return d.courses.groupBy("course_version").agg(F.count("*").alias("editions"), F.count_distinct("course_group").alias("groups"), (F.count_distinct(g) == 1).alias("one_group"))
 
 
-@query(f"SELECT race_key, NOT (segments AND checkpoints >= 2) OR segments AS replay_implies_segments, with_splits <= results AS splits_within_results FROM (SELECT {_FLAGS} FROM ({_READY}))")
+@query(f"""SELECT race_key, with_splits, coalesce(published, 0) AS published, with_splits = coalesce(published, 0) AS passages_agree, NOT segments OR with_splits > 0 AS segments_have_passages, results = assigned AS results_agree
+FROM (SELECT {_FLAGS} FROM ({_READY})) LEFT JOIN (SELECT race_key, count(DISTINCT rid) AS published FROM f_splits GROUP BY 1) USING (race_key)
+  LEFT JOIN (SELECT year(o_orderdate) || '-' || lower(c_mktsegment) AS race_key, count(*) AS assigned FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1) USING (race_key)""")
 def aud_readiness_agreement(d: Data) -> DataFrame:
-    return agg_readiness(d).selectExpr("race_key", "NOT (segments AND checkpoints >= 2) OR segments AS replay_implies_segments", "with_splits <= results AS splits_within_results")
+    """What readiness claims of a race against the passages and the entries themselves."""
+    published = d.splits.groupBy("race_key").agg(F.count_distinct("rid").alias("published"))
+    entries = d.table("orders").join(d.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    assigned = entries.groupBy(F.concat_ws("-", F.year("o_orderdate"), F.lower("c_mktsegment")).alias("race_key")).agg(F.count("*").alias("assigned"))
+    x = agg_readiness(d).join(published, "race_key", "left").join(assigned, "race_key", "left").withColumn("published", F.coalesce("published", F.lit(0)))
+    return x.selectExpr("race_key", "with_splits", "published", "with_splits = published AS passages_agree", "NOT segments OR with_splits > 0 AS segments_have_passages", "results = assigned AS results_agree")
 
 
 _CONTRACT = dict(bad_status="status NOT IN ('FINISHED', 'DNF', 'DNS', 'DSQ', 'UNKNOWN')", bad_sex="sex NOT IN ('F', 'M')", bad_age="age < 1 OR age > 99", bad_place="overall_place <= 0")
@@ -200,16 +222,27 @@ def aud_contract(d: Data) -> DataFrame:
     return checks(d.placed, **{n: F.expr(c) for n, c in _CONTRACT.items()})
 
 
-@query("SELECT race_key, count(*) AS records, count(*) * 40 <= 20000 AS within_budget FROM f_results GROUP BY 1")
+#: Bytes that a race's records may take.
+BUNDLE_BYTES = 20_000
+
+
+@query(f"""SELECT race_key, count(*) AS records, CAST(sum(length(encode('{{"rid":' || rid || ',"name":"' || name || '","status":"' || status || '"' || CASE WHEN finish_seconds IS NULL THEN '' ELSE ',"finish_seconds":' || finish_seconds END || '}}')) + 1) AS BIGINT) AS bytes,
+  sum(length(encode('{{"rid":' || rid || ',"name":"' || name || '","status":"' || status || '"' || CASE WHEN finish_seconds IS NULL THEN '' ELSE ',"finish_seconds":' || finish_seconds END || '}}')) + 1) <= {BUNDLE_BYTES} AS within_budget FROM f_results GROUP BY 1""".replace("length(encode(", "octet_length(encode("))
 def aud_delivery_budget(d: Data) -> DataFrame:
-    """Each race's bundle against a limit of size."""
-    return d.results.groupBy("race_key").agg(F.count("*").alias("records")).withColumn("within_budget", F.col("records") * 40 <= 20000)
+    """The bytes of each race's records, one JSON line each, against a limit: summed, not gathered."""
+    line = F.to_json(F.struct("rid", "name", "status", "finish_seconds"))
+    x = d.results.groupBy("race_key").agg(F.count("*").alias("records"), F.sum(F.octet_length(line) + 1).alias("bytes"))
+    return x.withColumn("within_budget", F.col("bytes") <= BUNDLE_BYTES)
 
 
-@query("SELECT race_family, count(*) AS races, count(DISTINCT sha256(race_family)) = 1 AS one_generation FROM f_races GROUP BY 1")
+@query("""WITH p AS (SELECT race_key, string_agg(cp_key || '@' || km, ';' ORDER BY seq) AS payload FROM f_checkpoints GROUP BY 1)
+SELECT race_family, count(*) AS races, count(DISTINCT sha256(payload)) AS payloads, count(DISTINCT sha256(payload)) = 1 AS one_generation FROM f_races JOIN p USING (race_key) GROUP BY 1""")
 def aud_generation(d: Data) -> DataFrame:
-    """Every document of a delivery has the same payload hash."""
-    return d.races.groupBy("race_family").agg(F.count("*").alias("races"), (F.count_distinct(F.sha2("race_family", 256)) == 1).alias("one_generation"))
+    """Whether all editions of a family were delivered with the same payload, here their checkpoints."""
+    parts = F.array_sort(F.collect_list(F.struct("seq", F.concat_ws("@", "cp_key", F.col("km").cast("string")).alias("part"))))
+    payload = d.checkpoints.groupBy("race_key").agg(F.sha2(F.array_join(F.transform(parts, lambda p: p["part"]), ";"), 256).alias("sha"))
+    x = d.races.join(payload, "race_key").groupBy("race_family").agg(F.count("*").alias("races"), F.count_distinct("sha").alias("payloads"))
+    return x.withColumn("one_generation", F.col("payloads") == 1)
 
 
 @query("SELECT year, race_family, count(*) AS discovered, count(finish_seconds) AS normalized, count(*) <> count(finish_seconds) AS differs FROM f_results GROUP BY 1, 2")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,11 +48,18 @@ def geo_ascent_all_or_nothing(d: Data) -> DataFrame:
     )
 
 
-_RESAMPLED = f"""SELECT route_id, family, CAST(k * 500 AS DOUBLE) AS along_m, lat0 + (k * 500 - m0) / (m1 - m0) * (lat - lat0) AS lat, lon0 + (k * 500 - m0) / (m1 - m0) * (lon - lon0) AS lon
-FROM (SELECT *, unnest(range(CAST(ceil(m0 / 500) AS BIGINT), CAST(ceil(m1 / 500) AS BIGINT))) AS k FROM (SELECT *, lag(cum_m) OVER w AS m0, cum_m AS m1, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0 FROM ({_MEAS}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE m1 > m0)
+def _resampled(step: int) -> str:
+    return f"""SELECT route_id, family, CAST(k * {step} AS DOUBLE) AS along_m, lat0 + (k * {step} - m0) / (m1 - m0) * (lat - lat0) AS lat, lon0 + (k * {step} - m0) / (m1 - m0) * (lon - lon0) AS lon
+FROM (SELECT *, unnest(range(CAST(ceil(m0 / {step}) AS BIGINT), CAST(ceil(m1 / {step}) AS BIGINT))) AS k FROM (SELECT *, lag(cum_m) OVER w AS m0, cum_m AS m1, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0 FROM ({_MEAS}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE m1 > m0)
 UNION ALL SELECT route_id, family, max(cum_m), arg_max(lat, idx), arg_max(lon, idx) FROM ({_MEAS}) GROUP BY 1, 2"""
 
 
+#: Metres between samples: of the plain series, and of comparisons.
+COARSE, FINE = 500, 50
+_RESAMPLED = _resampled(COARSE)
+_FINE = f"r AS MATERIALIZED ({_resampled(FINE)})"
+
+
 @query(f"SELECT route_id, round(along_m, 3) AS along_m, round(lat, 7) AS lat, round(lon, 7) AS lon FROM ({_RESAMPLED})")
 def geo_resample(d: Data) -> DataFrame:
     return g.resampled(d.points, 500.0).select("route_id", F.round("along_m", 3).alias("along_m"), F.round("lat", 7).alias("lat"), F.round("lon", 7).alias("lon"))
@@ -85,34 +94,40 @@ def geo_grid_index(d: Data) -> DataFrame:
     return d.points.groupBy("route_id", F.floor(F.col("lat") / g.CELL_LAT).alias("cy"), F.floor(F.col("lon") / g.CELL_LON).alias("cx")).agg(F.count("*").alias("n"))
 
 
-_PAIR_R = "SELECT a.route_id AS a, b.route_id AS b FROM (SELECT DISTINCT route_id, family FROM f_route_points) a JOIN (SELECT DISTINCT route_id, family FROM f_route_points) b ON a.family = b.family AND a.route_id < b.route_id AND b.route_id <= a.route_id + 20"
-_SERIES = f"""SELECT p.a, p.b, round(x.along_m, 3) AS along_m, min(CASE WHEN {_HAV.format(a="x.lat", b="x.lon", c="y.lat", d="y.lon")} <= 250 THEN {_HAV.format(a="x.lat", b="x.lon", c="y.lat", d="y.lon")} END) AS separation
-FROM ({_PAIR_R}) p JOIN r x ON x.route_id = p.a JOIN r y ON y.route_id = p.b GROUP BY 1, 2, 3"""
+_D = _HAV.format(a="x.lat", b="x.lon", c="y.lat", d="y.lon")
+_EXACT = f"SELECT x.route_id AS a, y.route_id AS b, round(x.along_m, 3) AS along_m, min({_D}) AS separation FROM r x JOIN r y ON x.family = y.family AND x.route_id < y.route_id GROUP BY 1, 2, 3 QUALIFY min(min({_D})) OVER (PARTITION BY x.route_id, y.route_id) <= 250"
+_SERIES = f"SELECT a, b, along_m, CASE WHEN separation <= 250 THEN separation END AS separation FROM ({_EXACT})"
 
 
-def route_pairs(d: Data) -> DataFrame:
-    ids = d.points.select("route_id", "family").distinct()
-    b = ids.select("family", F.col("route_id").alias("b"))
-    return ids.select("family", F.col("route_id").alias("a")).join(b, "family").where("a < b and b <= a + 20").select("a", "b")
+def separations(d: Data, step: int = FINE) -> DataFrame:
+    """For pairs of routes of a family that come within 250 m, the first one's samples and how far the second's nearest is.
+
+    Samples of all routes meet by family and cell, each once, so no pair of routes is formed before it is known to meet.
+    A separation beyond 250 m is null.
+    """
+    r = g.resampled(d.points, float(step)).withColumn("along_m", F.round("along_m", 3))
+    left = r.withColumnRenamed("route_id", "a")
+    hits = g.meeting(left, r.select("family", F.col("route_id").alias("b"), "lat", "lon"), ["family"], 250.0, F.col("a") < F.col("b"), ["a", "along_m", "b"])
+    return hits.select("a", "b").distinct().join(left.drop("family"), "a").join(hits, ["a", "b", "along_m"], "left")
 
 
-def separations(d: Data) -> DataFrame:
-    """For each pair of routes of a family the first one's points and how far the second is."""
-    r, pairs = g.resampled(d.points, 500.0), route_pairs(d)
-    left = pairs.join(r.withColumnRenamed("route_id", "a"), "a").select("a", "b", F.round("along_m", 3).alias("along_m"), "lat", "lon")
-    right = pairs.join(r.withColumnRenamed("route_id", "b"), "b").select("a", "b", "lat", "lon")
-    return g.nearest(left, right, ["a", "b"], 250.0)
+def exact_separations(d: Data) -> DataFrame:
+    """The same pairs and samples, with the metres to the nearest sample however far it is."""
+    near, r = separations(d), g.resampled(d.points, float(FINE))
+    far = near.where("separation is null").drop("separation")
+    rest = g.nearest_exact(far, r.select(F.col("route_id").alias("b"), "lat", "lon"), ["b"], 1000.0)
+    return near.where("separation is not null").select("a", "b", "along_m", "separation").unionByName(rest.select("a", "b", "along_m", "separation"))
 
 
 @query(f"WITH r AS ({_RESAMPLED}) SELECT a, b, along_m, round(separation, 3) AS separation FROM ({_SERIES})")
 def geo_nearest_series(d: Data) -> DataFrame:
     """Exactly the nearest point within 250 m, by cells."""
-    return separations(d).select("a", "b", "along_m", F.round("separation", 3).alias("separation"))
+    return separations(d, COARSE).select("a", "b", "along_m", F.round("separation", 3).alias("separation"))
 
 
 @query(f"WITH r AS ({_RESAMPLED}) SELECT a, b, count(*) AS points, count(separation) AS near, round(min(separation), 3) AS closest FROM ({_SERIES}) GROUP BY 1, 2")
 def jn_nearest_neighbor(d: Data) -> DataFrame:
-    return separations(d).groupBy("a", "b").agg(F.count("*").alias("points"), F.count("separation").alias("near"), F.round(F.min("separation"), 3).alias("closest"))
+    return separations(d, COARSE).groupBy("a", "b").agg(F.count("*").alias("points"), F.count("separation").alias("near"), F.round(F.min("separation"), 3).alias("closest"))
 
 
 _WITHIN = ", ".join(f"round(avg(CASE WHEN coalesce(round(separation, 3) <= {m}, FALSE) THEN 1.0::DOUBLE ELSE 0 END), 4) AS within_{m}" for m in (25, 50, 100, 250))
@@ -123,7 +138,7 @@ def corridor(d: Data) -> DataFrame:
     return separations(d).groupBy("a", "b").agg(*(share(m).alias(f"within_{m}") for m in (25, 50, 100, 250)), F.count("*").alias("points"))
 
 
-@query(f"WITH r AS ({_RESAMPLED}) SELECT a, b, {_WITHIN}, count(*) AS points FROM ({_SERIES}) GROUP BY 1, 2")
+@query(f"WITH {_FINE} SELECT a, b, {_WITHIN}, count(*) AS points FROM ({_SERIES}) GROUP BY 1, 2")
 def geo_corridor_stats(d: Data) -> DataFrame:
     return corridor(d)
 
@@ -131,27 +146,28 @@ def geo_corridor_stats(d: Data) -> DataFrame:
 _CLASS = "CASE WHEN within_25 >= 0.99::DOUBLE THEN 'exact' WHEN within_50 >= 0.95::DOUBLE THEN 'strong' WHEN within_100 >= 0.8::DOUBLE THEN 'largely' WHEN within_250 >= 0.5::DOUBLE THEN 'substantial' ELSE 'different' END"
 
 
-@query(f"WITH r AS ({_RESAMPLED}) SELECT a, b, {_CLASS} AS class FROM (SELECT a, b, {_WITHIN} FROM ({_SERIES}) GROUP BY 1, 2)")
+@query(f"WITH {_FINE} SELECT a, b, {_CLASS} AS class FROM (SELECT a, b, {_WITHIN} FROM ({_SERIES}) GROUP BY 1, 2)")
 def geo_classify(d: Data) -> DataFrame:
     """Shares are rounded before they are classified."""
     return corridor(d).select("a", "b", F.expr(_CLASS.replace("::DOUBLE", "D")).alias("class"))
 
 
-@query(f"WITH r AS ({_RESAMPLED}) SELECT a, b, CASE WHEN within_50 >= 0.98::DOUBLE THEN 'same' WHEN within_50 >= 0.95::DOUBLE THEN 'near' WHEN within_100 >= 0.9::DOUBLE THEN 'similar' END AS hint FROM (SELECT a, b, {_WITHIN} FROM ({_SERIES}) GROUP BY 1, 2)")
+@query(f"WITH {_FINE} SELECT a, b, CASE WHEN within_50 >= 0.98::DOUBLE THEN 'same' WHEN within_50 >= 0.95::DOUBLE THEN 'near' WHEN within_100 >= 0.9::DOUBLE THEN 'similar' END AS hint FROM (SELECT a, b, {_WITHIN} FROM ({_SERIES}) GROUP BY 1, 2)")
 def geo_overlap_hint(d: Data) -> DataFrame:
     return corridor(d).select("a", "b", F.expr("CASE WHEN within_50 >= 0.98D THEN 'same' WHEN within_50 >= 0.95D THEN 'near' WHEN within_100 >= 0.9D THEN 'similar' END").alias("hint"))
 
 
-@query(f"""WITH r AS ({_RESAMPLED}), s AS (SELECT *, coalesce(separation > 100, TRUE) AS far FROM ({_SERIES})), m AS (SELECT *, CASE WHEN far <> coalesce(lag(far) OVER (PARTITION BY a, b ORDER BY along_m), NOT far) THEN 1 ELSE 0 END AS fresh FROM s),
+@query(f"""WITH {_FINE}, s AS (SELECT *, coalesce(separation > 100, TRUE) AS far FROM ({_SERIES})), m AS (SELECT *, CASE WHEN far <> coalesce(lag(far) OVER (PARTITION BY a, b ORDER BY along_m), NOT far) THEN 1 ELSE 0 END AS fresh FROM s),
 i AS (SELECT *, sum(fresh) OVER (PARTITION BY a, b ORDER BY along_m) AS run FROM m) SELECT a, b, min(along_m) AS from_m, max(along_m) AS to_m, count(*) AS points FROM i WHERE far GROUP BY a, b, run HAVING max(along_m) - min(along_m) >= 300""")
 def geo_divergence(d: Data) -> DataFrame:
     return g.divergence(separations(d), ["a", "b"], 100.0, 300.0)
 
 
-@query()
+@query("SELECT route_id, sha256(string_agg(CAST(floor(lat * 100000 + 0.5::DOUBLE) AS BIGINT) || ',' || CAST(floor(lon * 100000 + 0.5::DOUBLE) AS BIGINT), ';' ORDER BY idx)) AS fingerprint FROM f_route_points GROUP BY 1")
 def geo_fingerprint(d: Data) -> DataFrame:
-    """A hash of a route's ordered coordinates at five decimals."""
-    ordered = F.array_sort(F.collect_list(F.struct("idx", F.format_string("%.5f,%.5f", "lat", "lon").alias("at"))))
+    """A hash of a route's ordered coordinates, in hundred-thousandths of a degree."""
+    at = lambda c: F.floor(F.col(c) * 100000 + 0.5).cast("string")
+    ordered = F.array_sort(F.collect_list(F.struct("idx", F.concat_ws(",", at("lat"), at("lon")).alias("at"))))
     return d.points.groupBy("route_id").agg(F.sha2(F.array_join(F.transform(ordered, lambda s: s["at"]), ";"), 256).alias("fingerprint"))
 
 
@@ -186,12 +202,35 @@ def win_median7(d: Data) -> DataFrame:
     return d.points.select("route_id", "idx", F.when(F.col("ele").isNotNull(), F.percentile("ele", F.lit(0.5)).over(w)).alias("smooth"))
 
 
-@query()
+_THIN = f"""SELECT route_id, unnest(kept).idx AS idx, round(unnest(kept).cum_m, 3) AS cum_m FROM (SELECT route_id, list_reduce(list([{{'idx': idx, 'cum_m': cum_m, 'final': idx = n}}] ORDER BY idx),
+  lambda acc, x: CASE WHEN x[1].cum_m - acc[-1].cum_m >= 50 OR x[1].final THEN list_concat(acc, x) ELSE acc END) AS kept FROM (SELECT *, max(idx) OVER (PARTITION BY route_id) AS n FROM ({_MEAS})) GROUP BY 1)"""
+
+
+def thinned(points: DataFrame, step: float) -> DataFrame:
+    """(route_id, idx, cum_m): the first point, each that is ``step`` metres or more after the last kept one, and the last.
+
+    A route's points are looked at in turn, so a route is one group: its size is that of a course, not of the table.
+    """
+
+    def keep(route: pd.DataFrame) -> pd.DataFrame:
+        route = route.sort_values("idx", ignore_index=True)
+        metres, at, chosen = route["cum_m"].to_numpy(), 0, []
+        while at < len(metres):
+            chosen.append(at)
+            at = int(np.searchsorted(metres, metres[at], "right"))
+            while at < len(metres) and metres[at] - metres[chosen[-1]] < step:
+                at += 1
+        if chosen[-1] != len(metres) - 1:
+            chosen.append(len(metres) - 1)
+        return route.loc[chosen]
+
+    kept = g.measured(points).select("route_id", "idx", "cum_m")
+    return kept.groupBy("route_id").applyInPandas(keep, kept.schema)
+
+
+@query(_THIN)
 def win_thin_50m(d: Data) -> DataFrame:
-    """Points at least 50 m after the last kept one, and the last: a fold over each route's own points."""
-    pts = F.array_sort(F.collect_list(F.struct("idx", "cum_m")))
-    kept = F.aggregate("p", F.slice("p", 1, 1), lambda acc, x: F.when((x["cum_m"] - F.element_at(acc, -1)["cum_m"] >= 50) | (x["idx"] == F.element_at(F.col("p"), -1)["idx"]), F.array_append(acc, x)).otherwise(acc))
-    return g.measured(d.points).groupBy("route_id").agg(pts.alias("p")).select("route_id", F.inline(F.array_distinct(kept)))
+    return thinned(d.points, 50.0).withColumn("cum_m", F.round("cum_m", 3))
 
 
 @query("SELECT route_id, CASE WHEN ok THEN round(up, 4) END AS ascent, CASE WHEN ok THEN round(down, 4) END AS descent, CASE WHEN ok THEN lo END AS lowest, CASE WHEN ok THEN hi END AS highest FROM (SELECT route_id, count(ele) >= 2 AND count(ele) >= 0.9::DOUBLE * count(*) AS ok, sum(CASE WHEN ele - prev IS NOT NULL THEN greatest(ele - prev, 0) END) AS up, -sum(CASE WHEN ele - prev IS NOT NULL THEN least(ele - prev, 0) END) AS down, min(ele) AS lo, max(ele) AS hi FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM f_route_points) GROUP BY 1)")
@@ -205,24 +244,24 @@ def geo_bounds(d: Data) -> DataFrame:
     return d.points.rollup("family", "route_id").agg(F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"))
 
 
-@query(f"WITH r AS ({_RESAMPLED}), s AS (SELECT a, b, round(separation, 3) AS separation FROM ({_SERIES})) SELECT a, b, count(*) AS points, " + ", ".join(f"round(avg(CASE WHEN coalesce(separation <= {m}, FALSE) THEN 1.0::DOUBLE ELSE 0 END), 4) AS within_{m}" for m in (10, 25, 50, 100, 250)) + ", quantile_cont(separation, 0.5) AS median, max(separation) AS most FROM s GROUP BY 1, 2")
+@query(f"WITH {_FINE}, s AS (SELECT a, b, round(separation, 3) AS separation FROM ({_EXACT})) SELECT a, b, count(*) AS points, " + ", ".join(f"round(avg(CASE WHEN coalesce(separation <= {m}, FALSE) THEN 1.0::DOUBLE ELSE 0 END), 4) AS within_{m}" for m in (10, 25, 50, 100, 250)) + ", quantile_cont(separation, 0.5) AS median, max(separation) AS most FROM s GROUP BY 1, 2")
 def geo_within_share(d: Data) -> DataFrame:
-    sep = separations(d).withColumn("separation", F.round("separation", 3))
+    sep = exact_separations(d).withColumn("separation", F.round("separation", 3))
     share = lambda m: F.round(F.avg(F.coalesce(F.col("separation") <= m, F.lit(False)).cast("double")), 4)
     return sep.groupBy("a", "b").agg(F.count("*").alias("points"), *(share(m).alias(f"within_{m}") for m in (10, 25, 50, 100, 250)), st.quantile("separation", 0.5).alias("median"), F.max("separation").alias("most"))
 
 
-@query(f"""WITH r AS ({_RESAMPLED}), s AS (SELECT a, b, round(separation, 3) AS separation FROM ({_SERIES})), l AS (SELECT route_id, max(along_m) AS m FROM r GROUP BY 1)
+@query(f"""WITH {_FINE}, s AS (SELECT a, b, round(separation, 3) AS separation FROM ({_EXACT})), l AS (SELECT route_id, max(along_m) AS m FROM r GROUP BY 1)
 SELECT s.a, s.b, round(100.0::DOUBLE * abs(x.m - y.m) / y.m, 4) AS length_error_pct, quantile_disc(separation, 0.5) AS p50, quantile_disc(separation, 0.95) AS p95 FROM s JOIN l x ON x.route_id = s.a JOIN l y ON y.route_id = s.b GROUP BY 1, 2, x.m, y.m""")
 def geo_benchmark(d: Data) -> DataFrame:
     """A route against a reference: its length, and separations by nearest rank."""
     length = g.measured(d.points).groupBy("route_id").agg(F.max("cum_m").alias("m"))
     side = lambda x: length.select(F.col("route_id").alias(x), F.col("m").alias(f"m{x}"))
-    sep = separations(d).withColumn("separation", F.round("separation", 3)).groupBy("a", "b").agg(st.nearest_rank("separation", 0.5).alias("p50"), st.nearest_rank("separation", 0.95).alias("p95"))
+    sep = exact_separations(d).withColumn("separation", F.round("separation", 3)).groupBy("a", "b").agg(st.nearest_rank("separation", 0.5).alias("p50"), st.nearest_rank("separation", 0.95).alias("p95"))
     return sep.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.round(100.0 * F.abs(F.col("ma") - F.col("mb")) / F.col("mb"), 4).alias("length_error_pct"), "p50", "p95")
 
 
-@query()
+@query(f"SELECT t.route_id, t.idx, cum_m, CASE WHEN ele IS NOT NULL THEN smooth END AS smooth FROM ({_THIN}) t JOIN (SELECT route_id, idx, ele, quantile_cont(ele, 0.5) OVER (PARTITION BY route_id ORDER BY idx ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS smooth FROM f_route_points) m USING (route_id, idx)")
 def geo_elevation_profile(d: Data) -> DataFrame:
     """Points 50 m apart with the median of seven elevations; unknown ones stay null."""
     return win_thin_50m(d).join(win_median7(d), ["route_id", "idx"])
@@ -269,7 +308,7 @@ def geo_affine(d: Data) -> DataFrame:
     return xy.withColumn("step", step).groupBy("route_id").agg(F.round(F.sum("step"), 4).alias("length"))
 
 
-@query(f"""WITH r AS ({_RESAMPLED}), s AS (SELECT a, b, along_m, least(coalesce(round(separation, 3), 250), 250) AS sep FROM ({_SERIES}))
+@query(f"""WITH {_FINE}, s AS (SELECT a, b, along_m, least(coalesce(round(separation, 3), 250), 250) AS sep FROM ({_SERIES}))
 SELECT a, b, CAST(floor(along_m / 2000) AS BIGINT) AS edge, round(quantile_cont(sep, 0.8), 4) AS deviation, round(count(*) * (1 + pow(quantile_cont(sep, 0.8) / 100, 2)), 4) AS cost FROM s GROUP BY 1, 2, 3""")
 def geo_edge_trace_deviation(d: Data) -> DataFrame:
     """For each stretch of two kilometres how far the other trace is, and the cost that grows with its square."""

@@ -183,41 +183,54 @@ def nrm_team_members(d: Data) -> DataFrame:
 
 
 def identities(d: Data) -> DataFrame:
-    """(rid, values): unlabelled values of two tables, the longer list."""
-    age = F.when(F.col("sex").isNotNull() & F.col("age").isNotNull(), F.concat("sex", F.lit(" ("), F.col("age").cast("string"), F.lit(")")))
-    lists = F.array(F.array(F.lit("x")), F.array_compact(F.array("name", age, F.lit("SWE"), "club")))
+    """(rid, values): unlabelled values of two tables, the longer list, of equally long ones the first."""
+    known = F.col("sex").isNotNull() & F.col("age").isNotNull()
+    word = F.when(F.col("sex") == "F", F.when(F.col("rid") % 2 == 0, "Kvinna").otherwise("female")).otherwise(F.when(F.col("rid") % 2 == 0, "Man").otherwise("Male"))
+    person = F.when(known, F.concat(word, F.lit(", "), F.col("age").cast("string"), F.lit(" år")))
+    low = F.expr("age div 5 * 5")
+    band = F.when(known, F.concat(low.cast("string"), F.lit("-"), (low + 4).cast("string"), F.when(F.col("sex") == "F", " kvinnor").otherwise(" män"), F.lit(" Åldersgrupp")))
+    lists = F.array(F.array(F.lit("x")), F.array_compact(F.array("name", person, band, F.lit("Sverige"), "club")))
     each = d.results.select("rid", F.posexplode(lists).alias("table_no", "values"))
     return each.groupBy("rid").agg(F.max_by("values", F.struct(F.size("values"), -F.col("table_no"))).alias("values"))
 
 
-@query("SELECT rid, CASE WHEN sex IS NOT NULL AND age IS NOT NULL THEN 4 ELSE 3 END AS n FROM f_results")
+_KNOWN = "sex IS NOT NULL AND age IS NOT NULL"
+
+
+@query(f"SELECT rid, CASE WHEN {_KNOWN} THEN 5 ELSE 3 END AS n FROM f_results")
 def fn_identity_values(d: Data) -> DataFrame:
     return identities(d).select("rid", F.size("values").alias("n"))
 
 
-def identity_kind(value: Column) -> Column:
-    return (
-        F.when(value.rlike(r"^[FM] \(\d{1,2}\)$"), "sex_age").when(value.rlike(r"^\d{1,2}-\d{1,2}$"), "age_band").when(value.rlike(r"^[A-Z]{3}$"), "country")
-        .when(value.rlike(r"^\d+$"), "number").otherwise("text")
-    )
+#: Countries as sources write them.
+COUNTRIES = ("Sverige", "Sweden", "Danmark", "Denmark", "Norge", "Norway", "Finland", "Tyskland", "Germany", "Frankrike", "France", "Storbritannien", "United Kingdom")
+_PERSON, _BAND = r"(?iuU)^(Man|Kvinna|Male|Female),\s*(\d+)\s*år", r"(?iuU)^\d{1,2}-\d{1,2}\s+(?:män|kvinnor)"
 
 
-@query("SELECT rid, CASE WHEN age IS NOT NULL THEN sex END AS sex, CASE WHEN sex IS NOT NULL THEN age END AS age, 'SWE' AS country, name, club FROM f_results")
+@query(f"""SELECT rid, CASE WHEN age IS NOT NULL THEN sex END AS sex, CASE WHEN sex IS NOT NULL THEN age END AS age, CASE WHEN {_KNOWN} THEN (age // 5 * 5) || '-' || (age // 5 * 5 + 4) || CASE sex WHEN 'F' THEN ' kvinnor' ELSE ' män' END END AS age_category,
+  'Sverige' AS country, name, club FROM f_results""")
 def fn_identity_classify(d: Data) -> DataFrame:
-    """Values by their form; of the texts that are left the first is the name, the second the club."""
-    v = identities(d).select("rid", F.posexplode("values").alias("pos", "value")).withColumn("kind", identity_kind(F.col("value")))
-    nth = F.row_number().over(Window.partitionBy("rid", "kind").orderBy("pos"))
-    x = v.withColumn("nth", nth)
-    of = lambda kind, n=1: F.max(F.when((F.col("kind") == kind) & (F.col("nth") == n), F.col("value")))
-    both = of("sex_age")
-    return x.groupBy("rid").agg(
-        F.nullif(F.regexp_extract(both, r"^([FM])", 1), F.lit("")).alias("sex"), F.regexp_extract(both, r"(\d+)", 1).try_cast("int").alias("age"), of("country").alias("country"), of("text").alias("name"), of("text", 2).alias("club")
-    )
-
-
-@query("SELECT CAST(unnest(['text', 'country', 'sex_age']) AS VARCHAR) AS kind, unnest([2 * count(*), count(*), count(*) FILTER (WHERE sex IS NOT NULL AND age IS NOT NULL)]) AS n FROM f_results")
+    """Values by their form; of those that are left the first is the name, the second the club."""
+    value = F.col("value")
+    kind = F.when(value.rlike(_PERSON), "person").when(value.rlike(_BAND), "band").when(value.isin(*COUNTRIES), "country").otherwise("rest")
+    v = identities(d).select("rid", F.posexplode("values").alias("pos", "value")).withColumn("kind", kind)
+    last = lambda k: F.max_by(F.when(F.col("kind") == k, value), F.when(F.col("kind") == k, F.col("pos")))
+    rest = F.array_sort(F.collect_list(F.when(F.col("kind") == "rest", F.struct("pos", "value"))))  # a person's few values
+    person = F.regexp_extract("person", _PERSON, 1)
+    return v.groupBy("rid").agg(last("person").alias("person"), last("band").alias("band"), last("country").alias("country"), rest.alias("rest")).select(
+        "rid", F.when(F.lower(person).isin("man", "male"), "M").when(person != "", "F").alias("sex"), F.regexp_extract("person", _PERSON, 2).try_cast("int").alias("age"),
+        F.trim(F.split_part("band", F.lit(" Åldersgrupp"), F.lit(1))).alias("age_category"), "country", F.get("rest", 0)["value"].alias("name"), F.get("rest", 1)["value"].alias("club"),
+    )
+
+
+@query(f"""SELECT CAST(unnest(['other', 'gender_age_with_year_word', 'gender_age_without_year_word', 'age_category_words', 'age_category_prefix']) AS VARCHAR) AS kind,
+  unnest([3 * count(*), count(*) FILTER (WHERE {_KNOWN}), count(*) FILTER (WHERE {_KNOWN}), count(*) FILTER (WHERE {_KNOWN}), 2 * count(*) FILTER (WHERE {_KNOWN})]) AS n FROM f_results""")
 def fn_identity_kind(d: Data) -> DataFrame:
-    return identities(d).select(F.explode("values").alias("v")).groupBy(identity_kind(F.col("v")).alias("kind")).agg(F.count("*").alias("n"))
+    """Published values and further writings of the same age and band, by their form."""
+    known = F.col("sex").isNotNull() & F.col("age").isNotNull()
+    more = d.results.where(known).select(F.explode(F.array(F.concat(F.lit("MALE ,"), "age", F.lit(" ")), F.concat(F.lit(" "), "sex", F.lit(" "), F.lit("40 – ")), F.lit("W35+"))).alias("v"))
+    values = identities(d).select(F.explode("values").alias("v")).unionByName(more)
+    return values.groupBy(tx.identity_kind(F.col("v")).alias("kind")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT regexp_replace(regexp_replace(club, '[A-Za-z]+', '<A>', 'g'), '[0-9]+', '<N>', 'g') AS shape, count(*) AS n FROM f_results GROUP BY 1 HAVING count(*) >= 20")
@@ -226,10 +239,10 @@ def evi_identity_profile(d: Data) -> DataFrame:
     return d.results.groupBy(tx.mask_shape(F.col("club")).alias("shape")).agg(F.count("*").alias("n")).where("n >= 20")
 
 
-@query("SELECT '<NUMBER>|<TEXT>|<TEXT>|<TEXT>|' || CASE WHEN finish_seconds IS NULL THEN '<EMPTY>' ELSE '<TIME>' END AS shape, count(*) AS n FROM f_results GROUP BY 1")
+@query("SELECT CASE WHEN length(bib) = 1 THEN bib ELSE '<NUMBER>' END || '|<TEXT>|<TEXT>|<TEXT>|' || CASE WHEN finish_seconds IS NULL THEN '<EMPTY>' ELSE '<TIME>' END AS shape, count(*) AS n FROM f_results GROUP BY 1")
 def evi_semantics_profile(d: Data) -> DataFrame:
     """Rows of raw records by the kinds of their cells."""
-    kinds = F.transform(F.slice("row", 1, 5), tx.safe_cell)
+    kinds = F.transform(F.slice("row", 1, 5), lambda cell: tx.safe_cell(cell))
     return read_snapshots(d).groupBy(F.array_join(kinds, "|").alias("shape")).agg(F.count("*").alias("n"))
 
 

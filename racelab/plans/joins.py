@@ -52,9 +52,6 @@ def jn_anti_cascade(d: Data) -> DataFrame:
     return d.splits.join(d.results.where("custkey % 100 = 0"), "rid", "left_anti").select("rid", "cp_key")
 
 
-_PAIRS = "SELECT a.race_key, a.rid AS a, b.rid AS b FROM f_places a JOIN f_places b ON a.race_key = b.race_key AND a.overall_place = 1 AND b.overall_place BETWEEN 2 AND 5"
-
-
 def leader_pairs(d: Data) -> DataFrame:
     """The winner of each race with those on places 2 to 5."""
     few = d.placed.where("overall_place <= 5").select("race_key", "rid", "overall_place")
@@ -69,7 +66,8 @@ def checkpoint_pairs(d: Data) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b").drop("seq"), ["b", "cp_key"])
 
 
-CP_PAIRS = f"SELECT p.race_key, p.a, p.b, x.cp_key, x.seq, x.seconds AS sa, y.seconds AS sb, x.place AS pa, y.place AS pb FROM ({_PAIRS}) p JOIN f_obs x ON x.rid = p.a JOIN f_obs y ON y.rid = p.b AND y.cp_key = x.cp_key WHERE x.seconds IS NOT NULL AND y.seconds IS NOT NULL"
+CP_PAIRS = """WITH few AS MATERIALIZED (SELECT race_key, rid, overall_place FROM f_places WHERE overall_place <= 5), o AS MATERIALIZED (SELECT o.rid, cp_key, seq, seconds, place FROM f_obs o SEMI JOIN few ON o.rid = few.rid WHERE seconds IS NOT NULL)
+SELECT p.race_key, p.rid AS a, q.rid AS b, x.cp_key, x.seq, x.seconds AS sa, y.seconds AS sb, x.place AS pa, y.place AS pb FROM few p JOIN few q ON p.race_key = q.race_key AND p.overall_place = 1 AND q.overall_place > 1 JOIN o x ON x.rid = p.rid JOIN o y ON y.rid = q.rid AND y.cp_key = x.cp_key"""
 
 
 @query(f"SELECT race_key, a, b, cp_key, sb - sa AS gap FROM ({CP_PAIRS})")
@@ -200,8 +198,9 @@ def fn_format_time(d: Data) -> DataFrame:
 
 @query("SELECT rid, CAST(finish_seconds AS BIGINT) AS seconds FROM f_results WHERE finish_seconds IS NOT NULL")
 def fn_parse_seconds(d: Data) -> DataFrame:
-    """Formatted times parse back to themselves."""
-    return d.results.where("finish_seconds is not null").select("rid", tx.parse_seconds(tx.format_time(F.col("finish_seconds"))).cast("long").alias("seconds"))
+    """Formatted times, with white space around them, parse back to themselves."""
+    padded = F.concat(F.lit(" \t"), tx.format_time(F.col("finish_seconds")), F.lit("\u00a0"))
+    return d.results.where("finish_seconds is not null").select("rid", tx.parse_seconds(padded).cast("long").alias("seconds"))
 
 
 @query("SELECT event_id, CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS INTEGER) AS seconds FROM events")
@@ -216,13 +215,16 @@ def fn_clock_delta(d: Data) -> DataFrame:
 
 @query("SELECT p_partkey, CAST(p_size AS DOUBLE) + 0.5::DOUBLE AS km FROM part")
 def fn_parse_distance(d: Data) -> DataFrame:
-    return d.table("part").select("p_partkey", tx.parse_distance(F.concat(F.lit("Varv "), F.col("p_size").cast("string"), F.lit(",5 km"))).alias("km"))
+    """Comma or point, ``km`` in either case, with or without white space before it."""
+    forms = F.array(*map(F.lit, (",5 km", ".5km", ",5  KM", ".50\u00a0Km")))
+    text = F.concat(F.lit("Varv "), F.col("p_size").cast("string"), F.get(forms, (F.col("p_partkey") % 4).cast("int")), F.lit(" av 99 km"))
+    return d.table("part").select("p_partkey", tx.parse_distance(text).alias("km"))
 
 
 @query("SELECT rid, overall_place AS place, CAST(n AS INTEGER) AS of FROM (SELECT *, count(overall_place) OVER (PARTITION BY race_key) AS n FROM f_places) WHERE overall_place IS NOT NULL")
 def fn_parse_rank_of(d: Data) -> DataFrame:
     n = F.count("overall_place").over(Window.partitionBy("race_key"))
-    text = d.placed.withColumn("t", F.concat_ws(" av ", "overall_place", n)).where("overall_place is not null")
+    text = d.placed.withColumn("t", F.concat_ws(" Av ", "overall_place", n)).where("overall_place is not null")
     return text.select("rid", tx.parse_rank_of(F.col("t")).alias("r")).select("rid", "r.place", F.col("r.count").alias("of"))
 
 
@@ -242,9 +244,11 @@ def fn_opaque_id(d: Data) -> DataFrame:
     return d.results.select("rid", tx.opaque_id("results", F.col("race_key"), F.col("bib")).alias("opaque"))
 
 
-@query("SELECT rid, club AS value FROM f_results")
+@query("SELECT rid, CASE WHEN custkey % 9 <> 0 THEN club END AS value FROM f_results")
 def fn_list_value(d: Data) -> DataFrame:
-    return d.results.select("rid", tx.list_value(F.array(F.lit("Bib"), F.lit(" CLUB "), F.lit("Name")), F.array("bib", "club", "name"), "club").alias("value"))
+    """The value under a header; an empty cell is null."""
+    cell = F.when(F.col("custkey") % 9 == 0, "  ").otherwise(F.concat(F.lit(" "), "club", F.lit("\t")))
+    return d.results.select("rid", tx.list_value(F.array(F.lit("Bib"), F.lit(" CLUB \t Name "), F.lit("Name")), F.array(F.col("bib"), cell, F.col("name")), "club name").alias("value"))
 
 
 @query("SELECT rid, name, club FROM f_results")
@@ -262,40 +266,83 @@ def fn_category_split(d: Data) -> DataFrame:
     return d.results.where("sex is not null").select("rid", tx.category_split(text).alias("r")).select("rid", "r.sex", "r.age_category")
 
 
+#: Texts by which a status is published, one of them for each result.
+_SAID = {
+    "DNF": ("DNF", "UTGÅTT efter 20 km", "har Brutit loppet", "bröt vid 45 km", "retired", "Did not finish"),
+    "DNS": ("DNS", "ej start", "Ej startat", "inte start", "Inte startat", "Did not START", "no start"),
+    "DSQ": ("DSQ", "DQ", "diskvalificerad", "Diskval.", "disqualified"),
+    "FINISHED": ("startade", "utgåttan", "DNFX"),
+    "UNKNOWN": ("DNF eller DNS", "", "diskret"),
+}
+
+
 @query("SELECT rid, CASE WHEN status IN ('DNF', 'DNS', 'DSQ') THEN status END AS detected FROM f_results")
 def fn_status_detect(d: Data) -> DataFrame:
-    words = F.create_map(*(F.lit(x) for x in ("DNF", "UTGÅTT efter 20 km", "DNS", "Did not START", "DSQ", "diskvalificerad")))
-    text = F.concat_ws(" ", F.lit("tid"), words[F.col("status")], F.col("club"))
+    said = F.create_map(*(x for status, texts in _SAID.items() for x in (F.lit(status), F.array(*map(F.lit, texts)))))[F.col("status")]
+    text = F.concat_ws(" ", F.lit("tid"), F.get(said, (F.col("rid") % F.size(said)).cast("int")), F.col("club"))
     return d.results.select("rid", tx.status_detect(text).alias("detected"))
 
 
-@query("SELECT status, count(*) AS n FROM f_results WHERE status IN ('DNF', 'DNS', 'DSQ') GROUP BY 1")
+@query(f"SELECT (ARRAY[{', '.join(repr(w) for w in tx.COUNTED_WORDS)}])[custkey % {len(tx.COUNTED_WORDS)} + 1] AS word, count(*) AS n FROM f_results GROUP BY 1")
 def fn_status_words(d: Data) -> DataFrame:
-    found = F.regexp_extract_all(F.concat_ws(" ", F.lit("x"), "status"), F.lit(r"\b(DNF|DNS|DSQ)\b"), F.lit(1))
-    return d.results.select(F.explode(found).alias("status")).groupBy("status").agg(F.count("*").alias("n"))
+    """How often each status word stands in raw texts, by itself and in either case."""
+    word = F.get(F.array(*map(F.lit, tx.COUNTED_WORDS)), (F.col("custkey") % len(tx.COUNTED_WORDS)).cast("int"))
+    text = F.concat(F.lit("undnf dnfs ("), F.initcap(word), F.lit("), disqualx"))
+    return d.results.select(F.explode(tx.status_words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+
 
+#: Class label, its family, nominal and stated distance.
+_LABELS = (
+    ("ULTRA", "ultra60", 60, None), ("Lopp  60 km", "ultra60", 60, 60), ("Duo 60k", "duo60", 60, 60), ("DUO", "duo60", 60, 60), ("Relay 22 km", "duo60", 60, 22),
+    ("Trail 22KM", "trail22", 22, 22), ("21 k herrar", "trail22", 22, 21), ("13km", "trail14", 14, 13), ("Trail 14 km", "trail14", 14, 14), ("5 km knatte", "trail5", 5, 5),
+    ("15 km", None, None, None), ("60kmx", None, None, None), ("160 km", None, None, None),
+)
+_LABEL_ROWS = ", ".join("({}, {}, {}, {})".format(i, *("NULL" if x is None else repr(x) for x in row[1:])) for i, row in enumerate(_LABELS))
 
-@query("SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'heavy' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'motor' END AS family FROM customer")
+
+@query(f"SELECT c_custkey, CAST(family AS VARCHAR) AS family, CAST(nominal AS INTEGER) AS nominal, CAST(stated AS INTEGER) AS stated FROM customer JOIN (VALUES {_LABEL_ROWS}) l(i, family, nominal, stated) ON c_custkey % {len(_LABELS)} = i")
 def fn_race_family(d: Data) -> DataFrame:
-    """A label's family by the first pattern that fits; null is an unmapped label."""
-    s = F.col("c_mktsegment")
-    return d.table("customer").select("c_custkey", F.when(s.rlike("^(BUILD|MACH)"), "heavy").when(s.rlike("MOBILE$"), "motor").alias("family"))
+    """A label's family by the first pattern that fits, its distance, and the distance that the label states."""
+    label = F.get(F.array(*(F.lit(row[0]) for row in _LABELS)), (F.col("c_custkey") % len(_LABELS)).cast("int"))
+    family = tx.race_family(label)
+    return d.table("customer").select("c_custkey", family.alias("family"), tx.nominal_km(family).alias("nominal"), tx.historical_km(label).alias("stated"))
+
+
+#: Title and types of a waypoint, and what it stands for.
+_WAYPOINTS = (
+    ("Bengtemölla", (), "bengtemolla"), ("VANTALÄNGAN", ("drink",), "vantalangan"), ("Vid Stenshuvud", (), "stenshuvud"), ("Start/mål", (), "start"), ("restart", (), None),
+    ("Målgång", (), "finish"), ("Finish line", (), "finish"), (None, ("Depart",), "start"), ("x", ("photo", "Arrivee"), "finish"), ("Departure", (), None), (None, (), None),
+)
+_WAYPOINT_ROWS = ", ".join(f"({i}, {'NULL' if row[2] is None else repr(row[2])})" for i, row in enumerate(_WAYPOINTS))
 
 
-@query("SELECT p_partkey, CASE WHEN contains(p_name, 'ring') THEN 'ring' WHEN contains(p_name, 'widget') THEN 'widget' END AS landmark FROM part")
+@query(f"SELECT p_partkey, CAST(landmark AS VARCHAR) AS landmark FROM part JOIN (VALUES {_WAYPOINT_ROWS}) l(i, landmark) ON p_partkey % {len(_WAYPOINTS)} = i")
 def fn_semantic_landmark(d: Data) -> DataFrame:
-    n = F.lower("p_name")
-    return d.table("part").select("p_partkey", F.when(n.contains("ring"), "ring").when(n.contains("widget"), "widget").alias("landmark"))
+    kinds = "array<string>"
+    rows = F.array(*(F.struct(F.lit(title).cast("string").alias("title"), F.array(*map(F.lit, types)).cast(kinds).alias("types")) for title, types, _ in _WAYPOINTS))
+    point = F.get(rows, (F.col("p_partkey") % len(_WAYPOINTS)).cast("int"))
+    return d.table("part").select("p_partkey", tx.landmark(point["title"], point["types"]).alias("landmark"))
 
 
-@query("SELECT c_custkey, regexp_replace(regexp_replace(c_name, '[A-Za-z]+', '<A>', 'g'), '[0-9]+', '<N>', 'g') AS shape FROM customer")
+@query("SELECT c_custkey, regexp_replace(regexp_replace(c_name, '[A-Za-z]+', '<A>', 'g'), '[0-9]+', '<N>', 'g') || ' <A> <N>⁄<N>' AS shape FROM customer")
 def fn_mask_shape(d: Data) -> DataFrame:
-    return d.table("customer").select("c_custkey", tx.mask_shape(F.col("c_name")).alias("shape"))
+    """Shapes also of texts with composed letters, wide digits, fractions and other white space."""
+    return d.table("customer").select("c_custkey", tx.mask_shape(F.concat(F.lit("\u00a0 "), "c_name", F.lit("  Ärê \t１½ "))).alias("shape"))
+
+
+#: A cell and how it is shown.
+_CELLS = (
+    ("", "<EMPTY>"), (" \u00a0", "<EMPTY>"), (None, "<EMPTY>"), ("Klass", "Klass"), (" mellantid 3", "mellantid 3"), ("7", "7"), ("12", "<NUMBER>"), ("12,5", "<NUMBER>"), ("1:02:03", "<TIME>"),
+    ("59:10", "<TIME>"), ("123:45", "<TEXT>"), ("10 KM", "<DISTANCE>"), ("9.5km", "<DISTANCE>"), ("Klass A", "<TEXT>"), ("-3", "<TEXT>"),
+)
+_CELL_ROWS = ", ".join(f"({i}, '{shown}')" for i, (_, shown) in enumerate(_CELLS))
 
 
-@query("SELECT rid, CASE WHEN finish_seconds IS NULL THEN '<EMPTY>' ELSE '<TIME>' END AS time_cell, '<NUMBER>' AS bib_cell, '<TEXT>' AS club_cell FROM f_results")
+@query(f"SELECT rid, CASE WHEN finish_seconds IS NULL THEN '<EMPTY>' ELSE '<TIME>' END AS time_cell, shown AS cell, CASE WHEN rid % 2 = 0 THEN '<LINKED_TEXT>' ELSE '<TEXT>' END AS club_cell FROM f_results JOIN (VALUES {_CELL_ROWS}) c(i, shown) ON rid % {len(_CELLS)} = i")
 def fn_safe_cell(d: Data) -> DataFrame:
-    return d.results.select("rid", tx.safe_cell(tx.format_time(F.col("finish_seconds"))).alias("time_cell"), tx.safe_cell(F.col("bib")).alias("bib_cell"), tx.safe_cell(F.col("club")).alias("club_cell"))
+    cell = F.get(F.array(*(F.lit(text).cast("string") for text, _ in _CELLS)), (F.col("rid") % len(_CELLS)).cast("int"))
+    shown = tx.safe_cell(tx.format_time(F.col("finish_seconds"))), tx.safe_cell(cell), tx.safe_cell(F.col("club"), F.col("rid") % 2 == 0)
+    return d.results.select("rid", *(c.alias(name) for c, name in zip(shown, ("time_cell", "cell", "club_cell"), strict=True)))
 
 
 @query("SELECT rid, CASE WHEN custkey % 5 = 0 THEN 'person ' || bib ELSE name END AS shown FROM f_results")
@@ -316,7 +363,7 @@ def fn_format_pace(d: Data) -> DataFrame:
     return d.results.where("finish_seconds is not null").select("rid", tx.format_pace(F.col("finish_seconds") / 60).alias("pace"))
 
 
-@query("SELECT rid, CASE status WHEN 'FINISHED' THEN 'Finished' WHEN 'DNF' THEN 'Did not finish' WHEN 'DNS' THEN 'Did not start' WHEN 'DSQ' THEN 'Disqualified' ELSE 'Unknown' END AS label FROM f_results")
+@query("SELECT rid, CASE status WHEN 'FINISHED' THEN 'Fullföljt' WHEN 'DNF' THEN 'DNF' WHEN 'DNS' THEN 'Startade inte' WHEN 'DSQ' THEN 'Diskvalificerad' ELSE 'Okänd status' END AS label FROM f_results")
 def fn_status_label(d: Data) -> DataFrame:
     return d.results.select("rid", tx.status_label(F.col("status")).alias("label"))
 

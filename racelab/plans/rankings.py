@@ -112,10 +112,16 @@ def rnk_sprint_control(d: Data) -> DataFrame:
     return near.groupBy("race_key").agg(F.min_by("cp_key", "remaining").alias("control"), F.min("remaining").alias("remaining_km"))
 
 
-@query(_top_sql("SELECT r.race_key, r.sex, r.rid, finish_seconds - elapsed_seconds AS sprint FROM f_results r JOIN f_splits s ON s.rid = r.rid AND s.cp_key = 'cp2' WHERE status = 'FINISHED' AND sex IS NOT NULL AND finish_seconds > elapsed_seconds", "race_key, sex", "sprint, rid", 5, "rid, sprint"))
+_CONTROL = """SELECT race_key, arg_min(cp_key, remaining) AS control FROM (SELECT race_key, cp_key, 60.0::DOUBLE - coalesce(CAST(nullif(regexp_extract(label, '([0-9]+(?:[.,][0-9]+)?) km', 1), '') AS DOUBLE), km) AS remaining
+FROM f_checkpoints WHERE cp_key NOT IN ('start', 'finish')) WHERE remaining > 0 AND remaining <= 15 GROUP BY race_key"""
+
+
+@query(_top_sql(f"SELECT r.race_key, r.sex, r.rid, finish_seconds - elapsed_seconds AS sprint FROM f_results r JOIN ({_CONTROL}) c ON c.race_key = r.race_key JOIN f_splits s ON s.rid = r.rid AND s.cp_key = c.control WHERE status = 'FINISHED' AND sex IS NOT NULL AND finish_seconds > elapsed_seconds", "race_key, sex", "sprint, rid", 5, "rid, sprint"))
 def rnk_sprint(d: Data) -> DataFrame:
-    control = d.splits.where("cp_key = 'cp2'").select("rid", "elapsed_seconds")
-    x = d.results.where(finished() & F.col("sex").isNotNull()).join(control, "rid").withColumn("sprint", F.col("finish_seconds") - F.col("elapsed_seconds")).where("sprint > 0")
+    """Fastest from each race's own last control."""
+    control = rnk_sprint_control(d).select("race_key", F.col("control").alias("cp_key"))
+    passed = d.splits.join(control, ["race_key", "cp_key"]).select("rid", "elapsed_seconds")
+    x = d.results.where(finished() & F.col("sex").isNotNull()).join(passed, "rid").withColumn("sprint", F.col("finish_seconds") - F.col("elapsed_seconds")).where("sprint > 0")
     return st.top(x, 5, ["race_key", "sex"], F.col("sprint"), F.col("rid")).select("race_key", "sex", "rank", "rid", "sprint")
 
 
@@ -190,7 +196,9 @@ def win_monotone_anchors(d: Data) -> DataFrame:
     return raw_passages(d).withColumn("top", F.max("elapsed").over(w)).where(F.col("elapsed") > F.coalesce("top", F.lit(-1))).drop("top")
 
 
-@query()
+@query("""SELECT rid, unnest(kept).seq AS seq, unnest(kept).time AS time, unnest(kept).distance AS distance FROM (SELECT rid, list_reduce(list([{'seq': seq, 'time': time, 'distance': distance}] ORDER BY seq),
+  lambda acc, x: CASE WHEN x[1].time > acc[-1].time AND x[1].distance > acc[-1].distance THEN list_concat(acc, x) ELSE acc END) AS kept
+FROM (SELECT l_orderkey AS rid, l_linenumber AS seq, max(l_extendedprice) AS time, max(l_quantity) AS distance FROM lineitem GROUP BY 1, 2) GROUP BY 1)""")
 def win_monotone_2d(d: Data) -> DataFrame:
     """Anchors later and further than the last kept one: a fold over each result's few anchors."""
     item = d.table("lineitem").groupBy(F.col("l_orderkey").alias("rid"), F.col("l_linenumber").alias("seq")).agg(F.max("l_extendedprice").alias("time"), F.max("l_quantity").alias("distance"))
