@@ -18,18 +18,21 @@ def observations(results: DataFrame, checkpoints: DataFrame, splits: DataFrame)
     """One row for each result and boundary: seconds and place, null where none was published.
 
     The start is 0 unless the result is DNS or UNKNOWN; the finish is known of finishers only; nothing is interpolated.
-    Checkpoints are few for each race, so their side is broadcast by size; results and splits meet on rid and cp_key.
+    A race's few boundaries and a result's few passages stand in its row until they are laid out, so results and
+    passages meet by rid alone, and what follows by rid needs no further shuffle.
     """
-    grid = results.join(checkpoints, "race_key")
-    passed = splits.select("rid", "cp_key", "elapsed_seconds", "place_overall")
-    key = F.col("cp_key")
+    catalog = checkpoints.groupBy("race_key").agg(F.collect_list(F.struct("cp_key", "seq", "km")).alias("boundaries"))
+    passage = F.struct("elapsed_seconds", "place_overall").alias("p")
+    passed = splits.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("cp_key", passage))).alias("passed"))
+    grid = results.join(catalog, "race_key").join(passed, "rid", "left").select(*results.columns, "passed", F.inline("boundaries"))
+    key, seen = F.col("cp_key"), F.try_element_at("passed", F.col("cp_key"))
     seconds = (
         F.when(key == "start", F.when(~F.col("status").isin("DNS", "UNKNOWN"), F.lit(0.0)))
         .when(key == "finish", F.when(finished(), F.col("finish_seconds")))
-        .otherwise(F.col("elapsed_seconds"))
+        .otherwise(seen["elapsed_seconds"])
     )
-    place = F.when(key == "finish", F.col("overall_place")).otherwise(F.col("place_overall"))
-    return grid.join(passed, ["rid", "cp_key"], "left").select(*results.columns, "cp_key", "seq", "km", seconds.alias("seconds"), place.alias("place"))
+    place = F.when(key == "finish", F.col("overall_place")).otherwise(seen["place_overall"])
+    return grid.select(*results.columns, "cp_key", "seq", "km", seconds.alias("seconds"), place.alias("place"))
 
 
 def segments(obs: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ class Data:
 
     @cached_property
     def checkpoints(self) -> DataFrame:
-        return fx.checkpoints(self.results)
+        return fx.checkpoints(fx.race_keys(self.spark, self.sf))
 
     @cached_property
     def splits(self) -> DataFrame:

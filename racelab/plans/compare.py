@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.operators import stats as st
-from racelab.operators.observations import at_least, finished
+from racelab.operators.observations import at_least, finished, segments
 from racelab.plans.base import Book, Data
-from racelab.plans.joins import CP_PAIRS, checkpoint_pairs, leader_pairs
+from racelab.plans.joins import CP_PAIRS, beside_winner, checkpoint_pairs, leader_observations
 from racelab.plans.rankings import _SLOWER, slower
 from racelab.plans.segments import _REF, _SEG_STATS, segment_stats, with_reference
 from racelab.plans.stats import _EDITION, FIN, editions
@@ -68,8 +68,8 @@ _PAIR = "SELECT a.race_key, a.rid AS a, b.rid AS b FROM f_places a JOIN f_places
 
 @query(f"SELECT p.race_key, p.a, p.b, x.seg_no, y.seconds - x.seconds AS delta FROM ({_PAIR}) p JOIN f_seg x ON x.rid = p.a JOIN f_seg y ON y.rid = p.b AND x.seg_no = y.seg_no WHERE x.seconds IS NOT NULL AND y.seconds IS NOT NULL")
 def cmp_segment_duel(d: Data) -> DataFrame:
-    side = lambda x: d.segments.where("seconds is not null").select(F.col("rid").alias(x), "seg_no", F.col("seconds").alias(f"s{x}"))
-    x = leader_pairs(d).join(side("a"), "a").join(side("b"), ["b", "seg_no"])
+    known = segments(leader_observations(d)).where("seconds is not null").select("race_key", "rid", "overall_place", "seg_no", "seconds")
+    x = beside_winner(known, "seg_no", {"seconds": "s"}).where("sa is not null")
     return x.select("race_key", "a", "b", "seg_no", (F.col("sb") - F.col("sa")).alias("delta"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
-from racelab.operators.observations import finished, starter
+from racelab.operators.observations import finished, observations, starter
 from racelab.plans.base import Book, Data
 from racelab.plans.stats import FIN, START
 
@@ -52,18 +52,31 @@ def jn_anti_cascade(d: Data) -> DataFrame:
     return d.splits.join(d.results.where("custkey % 100 = 0"), "rid", "left_anti").select("rid", "cp_key")
 
 
-def leader_pairs(d: Data) -> DataFrame:
-    """The winner of each race with those on places 2 to 5."""
-    few = d.placed.where("overall_place <= 5").select("race_key", "rid", "overall_place")
-    first = few.where("overall_place = 1").select("race_key", F.col("rid").alias("a"))
-    return first.join(few.where("overall_place > 1").select("race_key", F.col("rid").alias("b")), "race_key")
+def leaders(d: Data, most: int = 5) -> DataFrame:
+    """The results on the first places, with overall_place: Spark keeps each task's first rows only before it shuffles."""
+    place = F.row_number().over(Window.partitionBy("race_key").orderBy("finish_seconds", "rid"))
+    return d.results.where("finish_seconds is not null").withColumn("overall_place", place).where(F.col("overall_place") <= most)
+
+
+def beside_winner(rows: DataFrame, at: str, values: dict[str, str]) -> DataFrame:
+    """Rows of leaders, each beside the winner's of the same race and place of measurement ``at``.
+
+    Column c of ``values`` becomes ``<name>b``, the winner's ``<name>a``; ``a`` and ``b`` are the results' rids.
+    """
+    w = Window.partitionBy("race_key", at)
+    first = lambda c: F.max(F.when(F.col("overall_place") == 1, F.col(c))).over(w)
+    x = rows.withColumns({"a": first("rid")} | {f"{name}a": first(c) for c, name in values.items()})
+    return x.where("overall_place > 1").withColumnsRenamed({"rid": "b"} | {c: f"{name}b" for c, name in values.items()})
+
+
+def leader_observations(d: Data) -> DataFrame:
+    return observations(leaders(d), d.checkpoints, d.splits)
 
 
 def checkpoint_pairs(d: Data) -> DataFrame:
     """(race_key, a, b, cp_key, seq, sa, sb, pa, pb): both sides' observations at shared checkpoints."""
-    pairs = leader_pairs(d)
-    side = lambda x: d.obs.where("seconds is not null").select(F.col("rid").alias(x), "cp_key", "seq", F.col("seconds").alias(f"s{x}"), F.col("place").alias(f"p{x}"))
-    return pairs.join(side("a"), "a").join(side("b").drop("seq"), ["b", "cp_key"])
+    known = leader_observations(d).where("seconds is not null").select("race_key", "rid", "overall_place", "cp_key", "seq", "seconds", "place")
+    return beside_winner(known, "cp_key", {"seconds": "s", "place": "p"}).where("sa is not null").drop("overall_place")
 
 
 CP_PAIRS = """WITH few AS MATERIALIZED (SELECT race_key, rid, overall_place FROM f_places WHERE overall_place <= 5), o AS MATERIALIZED (SELECT o.rid, cp_key, seq, seconds, place FROM f_obs o SEMI JOIN few ON o.rid = few.rid WHERE seconds IS NOT NULL)

@@ -21,11 +21,11 @@ FROM f_segc s LEFT JOIN r ON r.race_key = s.race_key AND r.seg_no = s.seg_no AND
 def rnk_segment(d: Data) -> DataFrame:
     """Ranks of each segment by time and by places gained, and the time against the own class's median."""
     keys = ["race_key", "seg_no"]
-    ref = d.cohort_segments.groupBy(*keys, "class_name").agg(at_least_five("seconds").alias("ref"))
-    w = Window.partitionBy(*keys)
-    ranked = d.cohort_segments.where("seconds is not null").join(ref, [*keys, "class_name"], "left")
-    return ranked.select(
-        *keys, "rid", (F.col("seconds") / F.col("ref")).alias("relative"), F.row_number().over(w.orderBy("seconds", "rid")).alias("rank_time"),
+    w, own = Window.partitionBy(*keys), Window.partitionBy(*keys, "class_name")
+    ref = F.when(F.col("class_name").isNotNull() & (F.count("seconds").over(own) >= 5), F.percentile("seconds", F.lit(0.5)).over(own))
+    known = d.cohort_segments.where("seconds is not null").select(*keys, "rid", "class_name", "seconds", "gain").repartition(*keys)  # one shuffle for all windows
+    return known.select(
+        *keys, "rid", (F.col("seconds") / ref).alias("relative"), F.row_number().over(w.orderBy("seconds", "rid")).alias("rank_time"),
         F.row_number().over(w.orderBy(F.desc_nulls_last("gain"), "rid")).alias("rank_gain"),
     )
 

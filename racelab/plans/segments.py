@@ -57,13 +57,14 @@ def retention():
 
 def segment_stats(cohort: DataFrame, *series: str) -> DataFrame:
     """Figures of each segment on the complete cohort, by race and further series."""
-    n = F.count("pace")
-    return cohort.groupBy("race_key", *series, "seg_no", "from_key", "to_key").agg(
-        F.count("*").alias("cohort"), n.alias("n"), at_least(5, st.quantile("pace", 0.5), n).alias("pace_median"),
-        *(at_least(k, st.quantile("pace", q), n).alias(f"pace_{name}") for q, k, name in ((0.25, 10, "q25"), (0.75, 10, "q75"), (0.1, 20, "q10"), (0.9, 20, "q90"))),
-        at_least(5, st.quantile("seconds", 0.5), F.count("seconds")).alias("seconds_median"), st.quantile("gain", 0.5).alias("gain_median"),
-        at_least(5, st.quantile(retention(), 0.5), n).alias("retention_median"),
+    n, keys = F.count("pace"), ["race_key", *series, "seg_no", "from_key", "to_key"]
+    steps = (("median", 0.5, 5), ("q25", 0.25, 10), ("q75", 0.75, 10), ("q10", 0.1, 20), ("q90", 0.9, 20))
+    pace = F.percentile("pace", F.array(*(F.lit(q) for _, q, _ in steps)))  # all in one pass over the values
+    x = cohort.groupBy(*keys).agg(
+        F.count("*").alias("cohort"), n.alias("n"), pace.alias("pace"), at_least(5, st.quantile("seconds", 0.5), F.count("seconds")).alias("seconds_median"),
+        st.quantile("gain", 0.5).alias("gain_median"), at_least(5, st.quantile(retention(), 0.5), n).alias("retention_median"),
     )
+    return x.select(*keys, "cohort", "n", *(at_least(k, F.col("pace")[i]).alias(f"pace_{name}") for i, (name, _, k) in enumerate(steps)), "seconds_median", "gain_median", "retention_median")
 
 
 @query(_SEG_STATS, rounded="pace_median pace_q25 pace_q75 pace_q10 pace_q90 seconds_median retention_median")

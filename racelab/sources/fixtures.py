@@ -58,7 +58,7 @@ def places(res: DataFrame) -> DataFrame:
         w = Window.partitionBy("race_key", "fin", *keys).orderBy("finish_seconds", "rid")
         return F.when(F.col("fin"), F.row_number().over(w))
 
-    marked = res.withColumn("fin", F.col("finish_seconds").isNotNull())
+    marked = res.withColumn("fin", F.col("finish_seconds").isNotNull()).repartition("race_key")  # one shuffle for all three
     ranked = marked.select("*", place().alias("overall_place"), place("sex").alias("gender_place"), place("class_name").alias("class_place"))
     return ranked.withColumn("gender_place", F.when(F.col("sex").isNotNull(), F.col("gender_place"))).drop("fin")
 
@@ -67,10 +67,16 @@ def races(res: DataFrame) -> DataFrame:
     return res.select("race_key", "year", "race_family").distinct()
 
 
-def checkpoints(res: DataFrame) -> DataFrame:
+def race_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The races that orders belong to, from the two narrow columns that say so."""
+    joined = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.select(F.concat_ws("-", F.year("o_orderdate"), F.lower("c_mktsegment")).alias("race_key")).distinct()
+
+
+def checkpoints(keys: DataFrame) -> DataFrame:
     """Each race's ordered checkpoints; all are boundaries."""
     rows = F.array(*(F.struct(F.lit(k).alias("cp_key"), F.lit(n).alias("seq"), F.lit(km).alias("km"), F.lit(label).alias("label")) for k, n, km, label in CHECKPOINTS))
-    return races(res).select("race_key", F.inline(rows))
+    return keys.select("race_key", F.inline(rows))
 
 
 def splits(spark: SparkSession, sf: str, res: DataFrame) -> DataFrame:
