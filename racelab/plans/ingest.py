@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
 from racelab.plans.base import Book, Data
+from racelab.sources import files
 from racelab.sources.html import table_cells
+from racelab.sources.shared import shared_folder
 
 book = Book()
 query = book.query
@@ -61,9 +63,6 @@ def src_page_dedup(d: Data) -> DataFrame:
     return links.groupBy("page_id").agg(F.count("*").alias("result_links")).join(first, "page_id", "left").select("page_id", "result_links", F.coalesce("new_ids", F.lit(0)).alias("new_ids"))
 
 
-SNAPSHOT = "result_id long, headers array<string>, row array<string>, error string"
-
-
 def snapshots(d: Data) -> DataFrame:
     """(raw): each result as a provider's JSON record."""
     body = F.struct(
@@ -75,7 +74,10 @@ def snapshots(d: Data) -> DataFrame:
 
 
 def read_snapshots(d: Data) -> DataFrame:
-    return snapshots(d).select("raw", F.from_json("raw", SNAPSHOT).alias("r")).select("raw", "r.*")
+    """The records written as a folder of JSON lines and read back."""
+    folder = shared_folder(d.spark)
+    snapshots(d).withColumnRenamed("raw", "value").write.text(folder)
+    return files.read_snapshots(d.spark, folder)
 
 
 @query("SELECT rid AS result_id, custkey % 97 = 0 AS failed FROM f_results")
@@ -123,28 +125,36 @@ def route_text(d: Data, point: Column, sep: str) -> DataFrame:
     return d.points.groupBy("route_id").agg(F.array_join(F.transform(pts, lambda p: p["t"]), sep).alias("body"))
 
 
+#: A route's id by its file's folder.
+ROUTE = "CAST(regexp_extract(file, '/route_id=(-?[0-9]+)/', 1) AS BIGINT) AS route_id"
 _POINTS = "SELECT route_id, CAST(idx - 1 AS INTEGER) AS pos, lat, lon FROM f_route_points"
 
 
 @query("SELECT route_id, CAST(idx - 1 AS INTEGER) AS pos, lat, lon, ele FROM f_route_points")
 def src_gpx_points(d: Data) -> DataFrame:
-    """GPX track points by Spark's XML reader, in order, with elevation where given."""
+    """A GPX file for each route, with two segments or, for some, a route instead of a track; read back from the folder."""
     ele = F.coalesce(F.concat(F.lit("<ele>"), F.col("ele").cast("string"), F.lit("</ele>")), F.lit(""))
-    point = F.concat(F.lit('<trkpt lat="'), F.col("lat").cast("string"), F.lit('" lon="'), F.col("lon").cast("string"), F.lit('">'), ele, F.lit("</trkpt>"))
-    gpx = route_text(d, point, "").select("route_id", F.concat(F.lit("<trkseg>"), "body", F.lit("</trkseg>")).alias("xml"))
-    parsed = F.from_xml("xml", "trkpt array<struct<_lat:double,_lon:double,ele:double>>")
-    return gpx.select("route_id", F.posexplode(parsed["trkpt"]).alias("pos", "p")).select("route_id", "pos", F.col("p._lat").alias("lat"), F.col("p._lon").alias("lon"), "p.ele")
+    point = F.concat(F.lit('<pt lat="'), F.col("lat").cast("string"), F.lit('" lon="'), F.col("lon").cast("string"), F.lit('">'), ele, F.lit("</pt>"), F.when(F.col("idx") == 20, "<cut/>").otherwise(""))
+    named = lambda tag: F.replace(F.replace("body", F.lit("<pt "), F.lit(f"<{tag} ")), F.lit("</pt>"), F.lit(f"</{tag}>"))
+    track = F.concat(F.lit("<trk><trkseg>"), F.replace(named("trkpt"), F.lit("<cut/>"), F.lit("</trkseg><trkseg>")), F.lit("</trkseg></trk>"))
+    route = F.concat(F.lit("<rte>"), F.replace(named("rtept"), F.lit("<cut/>"), F.lit("")), F.lit("</rte>"))
+    body = F.concat(F.lit('<?xml version="1.0"?><gpx version="1.1">'), F.when(F.col("route_id") % 3 == 0, route).otherwise(track), F.lit("</gpx>"))
+    folder = shared_folder(d.spark)
+    files.write_documents(route_text(d, point, "").select("route_id", body.alias("body")), folder, "route_id")
+    return files.read_gpx(d.spark, folder).selectExpr(ROUTE, "pos", "lat", "lon", "ele")
 
 
 @query(_POINTS)
 def src_geojson_line(d: Data) -> DataFrame:
-    """A LineString, bare or in a Feature."""
+    """A GeoJSON file for each route: a LineString, bare, in a Feature or in a FeatureCollection; read back from the folder."""
     point = F.concat(F.lit("["), F.col("lon").cast("string"), F.lit(","), F.col("lat").cast("string"), F.lit("]"))
     line = F.concat(F.lit('{"type":"LineString","coordinates":['), "body", F.lit("]}"))
-    doc = F.when(F.col("route_id") % 2 == 0, line).otherwise(F.concat(F.lit('{"type":"Feature","geometry":'), line, F.lit("}")))
-    parsed = F.from_json("doc", "coordinates array<array<double>>, geometry struct<coordinates:array<array<double>>>")
-    rows = route_text(d, point, ",").select("route_id", doc.alias("doc")).select("route_id", parsed.alias("g"))
-    return rows.select("route_id", F.posexplode(F.coalesce("g.coordinates", "g.geometry.coordinates")).alias("pos", "c")).select("route_id", "pos", F.col("c")[1].alias("lat"), F.col("c")[0].alias("lon"))
+    feature = F.concat(F.lit('{"type":"Feature","geometry":'), line, F.lit("}"))
+    collection = F.concat(F.lit('{"type":"FeatureCollection","features":[{"type":"Feature","geometry":null},'), feature, F.lit("]}"))
+    body = F.when(F.col("route_id") % 3 == 0, line).when(F.col("route_id") % 3 == 1, feature).otherwise(collection)
+    folder = shared_folder(d.spark)
+    files.write_documents(route_text(d, point, ",").select("route_id", body.alias("body")), folder, "route_id")
+    return files.read_geojson(d.spark, folder).selectExpr(ROUTE, "pos", "lat", "lon")
 
 
 @query("SELECT route_id, CAST(idx - 1 AS INTEGER) AS pos, round(lat, 8) AS lat, round(lon, 8) AS lon FROM f_route_points")
@@ -159,10 +169,12 @@ def src_mercator_json(d: Data) -> DataFrame:
 
 @query("SELECT n_nationkey AS key, n_name AS label, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")
 def src_config_dims(d: Data) -> DataFrame:
-    """A JSON configuration with lists, as rows."""
+    """A configuration folder with a file of nations for each region, as rows."""
     n = d.table("nation").join(d.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    doc = n.groupBy("r_name").agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("label")))).alias("json"))
-    return doc.select("r_name", F.inline(F.from_json("json", "array<struct<key:int,label:string>>"))).select("key", "label", F.col("r_name").alias("region"))
+    entries = F.to_json(F.collect_list(F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("label"), F.col("r_name").alias("region"))))
+    folder = shared_folder(d.spark)
+    files.write_documents(n.groupBy("r_regionkey").agg(entries.alias("body")), folder, "r_regionkey")
+    return files.read_config(d.spark, folder, "key int, label string, region string").select("key", "label", "region")
 
 
 @query("SELECT rid, cp_key AS point, CAST(elapsed_seconds AS BIGINT) AS seconds, CAST(row_number() OVER (PARTITION BY rid ORDER BY seq) AS INTEGER) AS sequence_no, 'team' AS source_kind FROM f_splits WHERE rid IN (SELECT rid FROM f_results WHERE class_name = '1-URGENT')")
@@ -281,44 +293,43 @@ def src_osm_ways(d: Data) -> DataFrame:
 # writing ---------------------------------------------------------------------------------------------------------
 
 
-def bundles(d: Data) -> DataFrame:
-    """(race_key, document): one JSON document for each race with its records, in order of rid, and its checkpoints.
+RECORD = "rid long, name string, status string, finish_seconds double"
+_LINES = """SELECT race_key, '{"rid":' || rid || ',"name":"' || name || '","status":"' || status || '"' || CASE WHEN finish_seconds IS NULL THEN '' ELSE ',"finish_seconds":' || finish_seconds END || '}' || chr(10) AS line, rid FROM f_results"""
+
 
-    A race is the unit of delivery; its records are as many as took part.
-    """
-    rec = F.array_sort(F.collect_list(F.struct("rid", "name", "status", "finish_seconds")))
-    cps = d.checkpoints.groupBy("race_key").agg(F.array_sort(F.collect_list(F.struct("seq", "cp_key", "km"))).alias("checkpoints"))
-    return d.results.groupBy("race_key").agg(rec.alias("records")).join(cps, "race_key").select("race_key", F.to_json(F.struct("race_key", "checkpoints", "records")).alias("document"))
+def written_bundles(d: Data) -> str:
+    """The folder of all races' records; at these scales a race is one file."""
+    folder = shared_folder(d.spark)
+    files.write_bundles(d.results.select("race_key", "rid", "name", "status", "finish_seconds"), folder)
+    return folder
 
 
-@query("SELECT race_key, count(*) AS records, 4 AS checkpoints FROM f_results GROUP BY 1")
+@query("SELECT race_key, count(*) AS records, sum(finish_seconds) AS seconds, count(DISTINCT rid) AS rids FROM f_results GROUP BY 1")
 def snk_race_bundles(d: Data) -> DataFrame:
-    """The bundles, read back."""
-    back = F.from_json("document", "race_key string, checkpoints array<struct<seq:int>>, records array<struct<rid:long>>")
-    return bundles(d).select(back.alias("b")).select("b.race_key", F.size("b.records").cast("long").alias("records"), F.size("b.checkpoints").alias("checkpoints"))
+    """Records written by race, read back."""
+    back = files.read_bundles(d.spark, written_bundles(d), f"{RECORD}, race_key string")
+    return back.groupBy("race_key").agg(F.count("*").alias("records"), F.sum("finish_seconds").alias("seconds"), F.count_distinct("rid").alias("rids"))
 
 
-@query()
+@query(f"""WITH f AS (SELECT race_key, string_agg(line, '' ORDER BY rid) AS body FROM ({_LINES}) GROUP BY 1), e AS (SELECT race_key, 1 AS files, octet_length(encode(body)) AS bytes, sha256(body) AS sha FROM f)
+SELECT race_key, CAST(count(*) AS BIGINT) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(string_agg(sha, '' ORDER BY sha)) AS sha256 FROM e GROUP BY ROLLUP (race_key)""")
 def snk_manifest(d: Data) -> DataFrame:
-    """Bytes and checksum of each bundle, and the totals."""
-    each = bundles(d).select("race_key", F.octet_length("document").cast("long").alias("bytes"), F.sha2("document", 256).alias("sha256"))
-    return each.rollup("race_key").agg(F.count("*").alias("bundles"), F.sum("bytes").alias("bytes"), F.when(F.grouping("race_key") == 0, F.max("sha256")).alias("sha256"))
+    """Files, bytes and a hash of each bundle as written, and of all."""
+    return files.manifest(d.spark, written_bundles(d))
 
 
-@query("SELECT race_key, '{\"race_key\":\"' || race_key || '\",\"year\":' || year || '}' AS document FROM f_races")
+@query("SELECT race_key, CAST(year AS INTEGER) AS year, race_family FROM f_races")
 def snk_bootstrap(d: Data) -> DataFrame:
-    """The catalog alone."""
-    return d.races.select("race_key", F.to_json(F.struct("race_key", "year")).alias("document"))
+    """The catalog alone, written as one file and read back."""
+    folder = shared_folder(d.spark)
+    files.write_bootstrap(d.races, folder)
+    return d.spark.read.schema(d.races.schema).json(folder)
 
 
 @query("SELECT year, race_family, count(*) AS n, count(finish_seconds) AS timed FROM f_results GROUP BY 1, 2")
 def snk_star_tables(d: Data) -> DataFrame:
     """Results as a table partitioned by year and family, written to the shared folder and read back."""
-    import tempfile
-    import uuid
-
-    root = d.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='racelab-')}"
-    path = f"{root.rstrip('/')}/star-{uuid.uuid4().hex}"
+    path = shared_folder(d.spark)
     d.results.repartition("year", "race_family").write.partitionBy("year", "race_family").parquet(path)
     back = d.spark.read.schema(d.results.schema).parquet(path)
     return back.groupBy("year", "race_family").agg(F.count("*").alias("n"), F.count("finish_seconds").alias("timed"))
