@@ -40,7 +40,7 @@ def read_gpx(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_geojson(spark: SparkSession, folder: str) -> DataFrame:
     """(file, line, pos, lat, lon): line strings of each GeoJSON file, bare, in a feature or in a collection of features."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(folder)
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
     g = files.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", _GEOJSON).alias("g"))
     one = F.coalesce(F.col("g.coordinates"), F.col("g.geometry.coordinates"))
     of_features = F.transform("g.features", lambda f: f["geometry"]["coordinates"])
@@ -68,7 +68,7 @@ def write_bundles(records: DataFrame, folder: str, race: str = "race_key", order
     """Records as JSON lines by race, in ascending ``order`` within a file; a large race has as many files as it needs."""
     parts = records.groupBy(race).agg(F.ceil(F.count("*") / file_records).cast("int").alias("_parts"))
     dealt = records.join(parts, race).withColumn("_part", F.pmod(F.xxhash64(order), F.col("_parts"))).repartition(race, "_part")
-    dealt.sortWithinPartitions(race, "_part", order).drop("_parts", "_part").write.partitionBy(race).option("maxRecordsPerFile", 2 * file_records).json(folder)
+    dealt.sortWithinPartitions(race, order).drop("_parts", "_part").write.partitionBy(race).option("maxRecordsPerFile", 2 * file_records).json(folder)
 
 
 def read_bundles(spark: SparkSession, folder: str, schema: str) -> DataFrame:
