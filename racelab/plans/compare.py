@@ -105,10 +105,12 @@ def cmp_person_results(d: Data) -> DataFrame:
     return d.results.join(pct, "rid", "left").select("custkey", "race_key", "rid", "status", "finish_seconds", "percentile")
 
 
-@query(f"SELECT r.custkey, r.race_key, r.rid, r.status, r.finish_seconds, 100.0::DOUBLE * s.slower / s.n AS percentile FROM f_results r LEFT JOIN ({_SLOWER}) s ON s.rid = r.rid WHERE r.custkey % 50 = 1")
+@query(f"SELECT *, count(*) OVER (PARTITION BY custkey) AS results FROM ({_PERSON_RESULTS}) QUALIFY count(DISTINCT race_key) OVER (PARTITION BY custkey) >= 2")
 def cmp_multi_result(d: Data) -> DataFrame:
-    """The chosen persons of ``cmp_person_results``: one in fifty, as its SQL has it."""
-    return cmp_person_results(d).where("custkey % 50 = 1")
+    """The results of every person who has some in two editions or more, with their number."""
+    w = Window.partitionBy("custkey")
+    x = cmp_person_results(d).withColumns({"results": F.count("*").over(w), "first": F.min("race_key").over(w), "last": F.max("race_key").over(w)})
+    return x.where("first <> last").drop("first", "last")
 
 
 @query(f"""WITH e AS ({_EDITION}), y AS (SELECT race_family, unnest(range(min(year), max(year) + 2)) AS year FROM e GROUP BY 1)
