@@ -131,6 +131,7 @@ def _judged(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame
     counts = facts.where("size = 0").select("key", "doc_id", F.col("place").cast("long").alias("n_words"))
     near = facts.where("size > 0").groupBy("key").agg(F.collect_set(F.struct((F.col("place") - F.col("shift")).alias("at"), "size", "window")).alias("near"))
     near = stored(near)
+    keys = stored(near.select("key"))  # eight bytes for each candidate
 
     def extended(ws: Column) -> Column:
         same = F.filter(
@@ -146,9 +147,10 @@ def _judged(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame
             ),
         )
 
-    given = own.withColumn("key", _row_key()).join(near, "key")
+    # only candidates' texts are shuffled, to what they met: that may be much, so it is never broadcast
+    given = own.withColumn("key", _row_key()).join(keys, "key", "left_semi").join(near.hint("merge"), "key")
     judged = given.select("key", "doc_id", let(words(F.col("text")), extended).alias("r")).select("key", "doc_id", "r.*", F.monotonically_increasing_id().alias("row"))
-    return counts.join(near.select("key"), "key", "left_anti"), stored(judged), found
+    return counts.join(keys, "key", "left_anti"), stored(judged), found
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
