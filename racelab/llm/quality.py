@@ -43,30 +43,34 @@ def words(text: Column) -> Column:
 def repeated_words(ws: Column, window: int = WINDOW) -> Column:
     """Words in windows that occur twice or more in the text, the first occurrence included.
 
-    Windows are told apart by 64-bit hashes.
+    Windows are sorted by a hash and, where hashes are equal, by their words, so equal windows are neighbours.
     """
 
     def grams(all_: Column) -> Column:
         each = F.transform(all_, lambda w, i: F.xxhash64(w, *(F.get(all_, i + d) for d in range(1, window))))
         return F.slice(each, 1, F.greatest(F.size(all_) - (window - 1), F.lit(0)))
 
-    def places(by_hash: Column) -> Column:
-        """Starts of windows equal to a neighbour, in the order of hashes."""
-        found = F.transform(
-            by_hash,
-            lambda g, j: F.when((g["h"] == F.get(by_hash, j - 1)["h"]) | (g["h"] == F.get(by_hash, j + 1)["h"]), g["i"]),
-        )
+    def same(a: Column, b: Column) -> Column:
+        equal = a["h"] == b["h"]
+        for d in range(window):
+            equal = equal & (a[f"w{d}"] == b[f"w{d}"])
+        return equal
+
+    def places(ordered: Column) -> Column:
+        """Starts of windows equal to a neighbour, in order."""
+        found = F.transform(ordered, lambda g, j: F.when(same(g, F.get(ordered, j - 1)) | same(g, F.get(ordered, j + 1)), g["i"]))
         return F.sort_array(F.filter(found, lambda i: i.isNotNull()))
 
     def covered(starts: Column) -> Column:
         steps = F.transform(starts, lambda p, j: F.least(F.lit(window), F.coalesce(F.get(starts, j + 1) - p, F.lit(window))))
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
-    def count(hashes: Column) -> Column:
-        placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    def count(all_: Column, hashes: Column) -> Column:
+        words_of = lambda i: [F.get(all_, i + d).alias(f"w{d}") for d in range(window)]
+        placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), *words_of(i), i.alias("i"))))
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(let(let(placed, places), covered))
 
-    return let(let(ws, grams), count).cast("long")
+    return let(ws, lambda all_: let(grams(all_), lambda hashes: count(all_, hashes))).cast("long")
 
 
 def line_fails(line: Column) -> Column:
