@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from racelab.llm import bpe, chat, decontam, pii, quality, secrets, simhash, tokens, toxicity, urls
+from racelab.llm import align, bpe, chat, convnet, decontam, fim, pii, quality, secrets, simhash, tokens, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": urls.op8_url_filters,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_pii": pii.op10_pii,
+        "op11_quality_classifier": convnet.op11_quality_classifier,
+        "op12_fill_in_middle": fim.op12_fill_in_middle,
+        "op13_token_alignment": align.op13_token_alignment,
         "pipeline": corpus_pipeline.run,
     }
 
