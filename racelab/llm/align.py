@@ -400,7 +400,7 @@ def pair_counts(counted: DataFrame, shard_pairs: int = SHARD_PAIRS, leaf_rows: i
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_py(), np.int64)) for x in (keys, dense)], ["pair", "n"])
 
     schema = "shard int, branch long, dense binary"
-    branches = F.explode(F.sequence(F.lit(0), F.lit(n_branches - 1))).cast("long").alias("branch")
+    branches = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_branches - 1).cast("long"))).alias("branch")
     rows = with_shard(counted.withColumn("branch", F.pmod("part", F.lit(n_branches)).cast("long")), n_shards)
     vectors = rows.groupBy("shard", "branch").cogroup(hashes.select("*", branches).groupBy("shard", "branch")).applyInPandas(leaf, schema)
     while n_branches > 1:

@@ -87,7 +87,7 @@ def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def convolved(net: Net, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each chunk's largest value of each filter, without the offset, and where it is."""
-    best, place = np.empty((len(rows), FILTERS), np.float32), np.empty((len(rows), FILTERS), np.int64)
+    best, place = np.empty((len(rows), FILTERS), net.filters.dtype), np.empty((len(rows), FILTERS), np.int64)
     m, wide = WIDTH // STRIDE, STRIDE * DIM
     for i in range(0, len(rows), BLOCK):
         x = net.bytes[rows[i : i + BLOCK]].reshape(-1, CHUNK // STRIDE, wide)
@@ -100,7 +100,7 @@ def convolved(net: Net, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def largest(net: Net, rows: np.ndarray) -> np.ndarray:
     """``convolved`` without the places."""
-    best = np.empty((len(rows), FILTERS), np.float32)
+    best = np.empty((len(rows), FILTERS), net.filters.dtype)
     m, wide = WIDTH // STRIDE, STRIDE * DIM
     for i in range(0, len(rows), BLOCK):
         x = net.bytes[rows[i : i + BLOCK]].reshape(-1, CHUNK // STRIDE, wide)

@@ -102,7 +102,7 @@ def transformed(docs: DataFrame, seed: int = SEED, rate: int = RATE, spm_rate: i
     begin with what another ends with: otherwise where one begins wouldn't be certain.
     """
     tails = lambda x: (x[i:] for i in range(1, len(x)))
-    meet = any(y.startswith(e) for x in markers for y in markers for e in tails(x)) or any(x in y for x in markers for y in markers if x is not y)
+    meet = any(y.startswith(e) for x in markers for y in markers for e in tails(x)) or any(x in y for i, x in enumerate(markers) for j, y in enumerate(markers) if i != j)
     if not all(markers) or meet:
         raise ValueError("markers overlap")
 

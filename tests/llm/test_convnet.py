@@ -47,9 +47,9 @@ def test_gradient_is_that_of_the_loss(texts):
         for _ in range(5):
             at = tuple(rng.integers(0, n) for n in net[k].shape)
             more, less = ([x.copy() for x in net] for _ in range(2))
-            more[k][at] += 1e-3
-            less[k][at] -= 1e-3
-            assert abs((loss(convnet.Net(*more)) - loss(convnet.Net(*less))) / 2e-3 - g[at]) < 1e-4
+            more[k][at] += 1e-6
+            less[k][at] -= 1e-6
+            assert abs((loss(convnet.Net(*more)) - loss(convnet.Net(*less))) / 2e-6 - g[at]) < 1e-5
 
 
 def test_packed_and_alone(texts):
