@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from racelab.sources.shared import stored
+
 EARTH_M = 6371008.8
+#: No two points are farther apart.
+HALF_ROUND_M = 20_040_000.0
 #: Metres of a degree of latitude, rounded down.
 METRES_A_DEGREE = 111194.9
 #: Side of the cells of the grid index, in degrees of latitude and longitude at these courses.
@@ -38,14 +44,12 @@ def resampled(points: DataFrame, step: float) -> DataFrame:
         "route_id", "family", "idx", F.lag("cum_m").over(w).alias("m0"), F.col("cum_m").alias("m1"), F.lag("lat").over(w).alias("lat0"), F.lag("lon").over(w).alias("lon0"), "lat", "lon",
         (F.lead("idx").over(w).isNull()).alias("last"),
     )
-    legs = ends.where("m0 is not null and m1 > m0")
     first, upto = F.ceil(F.col("m0") / step), F.ceil(F.col("m1") / step) - 1  # the leg holds m0 <= at < m1
-    at = F.explode(F.when(first <= upto, F.sequence(first, upto)).otherwise(F.array().cast("array<bigint>")))
+    inner = F.when((F.col("m1") > F.col("m0")) & (first <= upto), F.transform(F.sequence(first, upto), lambda k: k * F.lit(step))).otherwise(F.array().cast("array<double>"))
+    at = F.explode(F.concat(inner, F.when(F.col("last"), F.array(F.col("m1"))).otherwise(F.array().cast("array<double>"))))
     part = (F.col("along_m") - F.col("m0")) / (F.col("m1") - F.col("m0"))
-    inner = legs.select("*", at.alias("k")).withColumn("along_m", F.col("k") * F.lit(step)).select(
-        "route_id", "family", "along_m", (F.col("lat0") + part * (F.col("lat") - F.col("lat0"))).alias("lat"), (F.col("lon0") + part * (F.col("lon") - F.col("lon0"))).alias("lon")
-    )
-    return inner.unionByName(ends.where("last").select("route_id", "family", F.col("m1").alias("along_m"), "lat", "lon"))
+    mix = lambda c: F.when(F.col("along_m") == F.col("m1"), F.col(c)).otherwise(F.col(f"{c}0") + part * (F.col(c) - F.col(f"{c}0"))).alias(c)
+    return ends.withColumn("along_m", at).select("route_id", "family", "along_m", mix("lat"), mix("lon"))
 
 
 def densified(points: DataFrame, step: float) -> DataFrame:
@@ -58,50 +62,56 @@ def densified(points: DataFrame, step: float) -> DataFrame:
     return parts.select("route_id", "family", "idx", "part", at("lat"), at("lon"))
 
 
-def meeting(left: DataFrame, right: DataFrame, keys: list[str], within: float, among: Column, by: list[str]) -> DataFrame:
-    """The least metres between points of both sides with the same keys and the condition ``among``, for each ``by``.
+def cell_row(lat: Column, side: float) -> Column:
+    """The row of cells, a little taller than ``side`` metres, that a latitude lies in."""
+    return F.floor(lat / (1.01 * side / METRES_A_DEGREE))
+
+
+def cell_column(lon: Column, row: Column, side: float) -> Column:
+    """The column of a longitude: cells of a row are as wide as ``side`` at the farthest latitude of the rows beside it."""
+    tall = 1.01 * side / METRES_A_DEGREE
+    farthest = (F.greatest(F.abs(row - 1), F.abs(row + 2)) * tall).cast("double")
+    wide = F.least(tall / F.greatest(F.cos(F.radians(F.least(farthest, F.lit(90.0)))), F.lit(1e-9)), F.lit(360.0))
+    return F.floor(lon / wide)
 
-    Points meet by cells wider than ``within``: the right side stands in its own cell and the eight around it, so one
-    equi-join finds every point near enough. Cells of a row are as wide in longitude as ``within`` at the farthest
-    latitude of the rows beside it.
-    """
-    own, r, d = _in_cells(left, right, within)
-    return own.join(r, [*keys, "cy", "cx"]).where(among).withColumn("separation", d).where(F.col("separation") <= within).groupBy(*by).agg(F.min("separation").alias("separation"))
 
+def in_cells(points: DataFrame, side: float) -> DataFrame:
+    """Points with their cell, ``cy`` and ``cx``."""
+    return points.withColumn("cy", cell_row(F.col("lat"), side)).withColumn("cx", cell_column(F.col("lon"), F.col("cy"), side))
 
-def _in_cells(left: DataFrame, right: DataFrame, within: float) -> tuple[DataFrame, DataFrame, Column]:
-    """Both sides with cells ``cy`` and ``cx``, the right one as ``rlat`` and ``rlon``, and the metres between points."""
+
+def around_cells(points: DataFrame, side: float) -> DataFrame:
+    """Points in each of the nine cells from which a point within ``side`` metres may look at them."""
     around = F.sequence(F.lit(-1), F.lit(1))
-    tall = 1.01 * within / METRES_A_DEGREE
-    cy = F.floor(F.col("lat") / tall)
-    farthest = (F.greatest(F.abs(F.col("cy") - 1), F.abs(F.col("cy") + 2)) * tall).cast("double")
-    wide = F.least(tall / F.greatest(F.cos(F.radians(F.least(farthest, F.lit(90.0)))), F.lit(1e-9)), F.lit(360.0))
-    cx = lambda c: F.floor(F.col(c) / wide)
-    kept = [c for c in right.columns if c not in ("lat", "lon")]
-    r = right.select(*kept, F.col("lat").alias("rlat"), F.col("lon").alias("rlon"), cy.alias("own"), F.explode(around).alias("dy"))
-    r = r.withColumn("cy", F.col("own") + F.col("dy")).withColumn("dx", F.explode(around)).select(*kept, "rlat", "rlon", "cy", (cx("rlon") + F.col("dx")).alias("cx"))
-    return left.withColumn("cy", cy).withColumn("cx", cx("lon")), r, haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
+    rows = points.withColumn("_dy", F.explode(around)).withColumn("cy", cell_row(F.col("lat"), side) + F.col("_dy"))
+    return rows.withColumn("_dx", F.explode(around)).withColumn("cx", cell_column(F.col("lon"), F.col("cy"), side) + F.col("_dx")).drop("_dy", "_dx")
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], within: float) -> DataFrame:
-    """Each left point with the metres to the nearest right point of the same keys, null beyond ``within``; see ``meeting``."""
-    own, r, d = _in_cells(left, right.select(*keys, "lat", "lon"), within)
-    return own.join(r, [*keys, "cy", "cx"], "left").groupBy(*left.columns).agg(F.min(F.when(d <= within, d)).alias("separation"))
+    """Each left point with the metres to the nearest right point of the same keys, null beyond ``within``.
+
+    Points meet by cells wider than ``within``: the right side stands in its own cell and the eight around it, so one
+    equi-join finds every point near enough.
+    """
+    r = around_cells(right.select(*keys, "lat", "lon"), within).select(*keys, "cy", "cx", F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
+    d = haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
+    return in_cells(left, within).join(r, [*keys, "cy", "cx"], "left").groupBy(*left.columns).agg(F.min(F.when(d <= within, d)).alias("separation"))
 
 
-def nearest_exact(left: DataFrame, right: DataFrame, keys: list[str], first: float) -> DataFrame:
-    """Each left point with the metres to the nearest right point of the same keys, however far.
+def nearest_anywhere(left: DataFrame, right: DataFrame, keys: list[str], first: float) -> DataFrame:
+    """Each left point with the metres to the nearest right point of the same keys, however far; null without one.
 
-    Points without a hit within ``first`` metres are searched within four times that, then among all points of the keys.
+    The search goes by cells of doubling size, one equi-join for each: a point leaves as soon as its nearest is known to
+    be nearer than a cell is wide, so wide cells are asked for few points. Courses must not cross the 180th meridian.
     """
-    done, rest = None, left
-    for within in (first, 4 * first):
-        found = nearest(rest, right, keys, within)
-        hit = found.where("separation is not null")
-        done, rest = done.unionByName(hit) if done else hit, found.where("separation is null").drop("separation")
-    r = right.select(*keys, F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
-    d = haversine(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
-    return done.unionByName(rest.join(r, keys, "left").groupBy(*left.columns).agg(F.min(d).alias("separation")))
+    done, rest, within = [], left, first
+    while True:
+        found = stored(nearest(rest, right, keys, within))
+        far = F.col("separation").isNull()
+        if within > HALF_ROUND_M or found.where(far).isEmpty():
+            return reduce(DataFrame.unionByName, [*done, found])
+        done.append(found.where(~far))
+        rest, within = found.where(far).drop("separation"), 2 * within
 
 
 def divergence(series: DataFrame, keys: list[str], over: float, least: float) -> DataFrame:

@@ -64,6 +64,10 @@ class Data:
     def points(self) -> DataFrame:
         return fx.route_points(self.spark, self.sf)
 
+    @cached_property
+    def landmarks(self) -> DataFrame:
+        return fx.landmarks(self.spark, self.sf)
+
 
 class Book:
     """The queries of a module and the SQL that checks them."""

@@ -16,22 +16,22 @@ from racelab.plans.stats import FIN
 book = Book()
 query = book.query
 
-_HAV = "2 * 6371008.8::DOUBLE * asin(sqrt(pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2)))"
-_LEG = _HAV.format(a="lag(lat) OVER w", b="lag(lon) OVER w", c="lat", d="lon")
-_MEAS = f"SELECT *, sum(leg) OVER (PARTITION BY route_id ORDER BY idx) AS cum_m FROM (SELECT *, coalesce({_LEG}, 0) AS leg FROM f_route_points WINDOW w AS (PARTITION BY route_id ORDER BY idx))"
+HAVERSINE = "2 * 6371008.8::DOUBLE * asin(sqrt(pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2)))"
+_LEG = HAVERSINE.format(a="lag(lat) OVER w", b="lag(lon) OVER w", c="lat", d="lon")
+MEASURED = f"SELECT *, sum(leg) OVER (PARTITION BY route_id ORDER BY idx) AS cum_m FROM (SELECT *, coalesce({_LEG}, 0) AS leg FROM f_route_points WINDOW w AS (PARTITION BY route_id ORDER BY idx))"
 
 
-@query(f"SELECT route_id, idx, round(leg, 4) AS leg FROM ({_MEAS})")
+@query(f"SELECT route_id, idx, round(leg, 4) AS leg FROM ({MEASURED})")
 def geo_haversine(d: Data) -> DataFrame:
     return g.measured(d.points).select("route_id", "idx", F.round("leg", 4).alias("leg"))
 
 
-@query(f"SELECT route_id, idx, round(cum_m, 3) AS cum_m FROM ({_MEAS})")
+@query(f"SELECT route_id, idx, round(cum_m, 3) AS cum_m FROM ({MEASURED})")
 def win_running_distance(d: Data) -> DataFrame:
     return g.measured(d.points).select("route_id", "idx", F.round("cum_m", 3).alias("cum_m"))
 
 
-@query(f"SELECT route_id, count(*) AS points, round(max(cum_m) / 1000, 4) AS km, count(ele) AS with_ele, round(sum(greatest(ele - prev, 0)), 4) AS raw_ascent FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM ({_MEAS})) GROUP BY 1")
+@query(f"SELECT route_id, count(*) AS points, round(max(cum_m) / 1000, 4) AS km, count(ele) AS with_ele, round(sum(greatest(ele - prev, 0)), 4) AS raw_ascent FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM ({MEASURED})) GROUP BY 1")
 def geo_inventory(d: Data) -> DataFrame:
     x = g.measured(d.points).withColumn("step", F.col("ele") - F.lag("ele").over(g.along()))
     up = F.sum(F.when(F.col("step").isNotNull(), F.greatest("step", F.lit(0.0))))
@@ -48,24 +48,18 @@ def geo_ascent_all_or_nothing(d: Data) -> DataFrame:
     )
 
 
-def _resampled(step: int) -> str:
+def resampled_sql(step: int) -> str:
     return f"""SELECT route_id, family, CAST(k * {step} AS DOUBLE) AS along_m, lat0 + (k * {step} - m0) / (m1 - m0) * (lat - lat0) AS lat, lon0 + (k * {step} - m0) / (m1 - m0) * (lon - lon0) AS lon
-FROM (SELECT *, unnest(range(CAST(ceil(m0 / {step}) AS BIGINT), CAST(ceil(m1 / {step}) AS BIGINT))) AS k FROM (SELECT *, lag(cum_m) OVER w AS m0, cum_m AS m1, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0 FROM ({_MEAS}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE m1 > m0)
-UNION ALL SELECT route_id, family, max(cum_m), arg_max(lat, idx), arg_max(lon, idx) FROM ({_MEAS}) GROUP BY 1, 2"""
+FROM (SELECT *, unnest(range(CAST(ceil(m0 / {step}) AS BIGINT), CAST(ceil(m1 / {step}) AS BIGINT))) AS k FROM (SELECT *, lag(cum_m) OVER w AS m0, cum_m AS m1, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0 FROM ({MEASURED}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE m1 > m0)
+UNION ALL SELECT route_id, family, max(cum_m), arg_max(lat, idx), arg_max(lon, idx) FROM ({MEASURED}) GROUP BY 1, 2"""
 
 
-#: Metres between samples: of the plain series, and of comparisons.
-COARSE, FINE = 500, 50
-_RESAMPLED = _resampled(COARSE)
-_FINE = f"r AS MATERIALIZED ({_resampled(FINE)})"
-
-
-@query(f"SELECT route_id, round(along_m, 3) AS along_m, round(lat, 7) AS lat, round(lon, 7) AS lon FROM ({_RESAMPLED})")
+@query(f"SELECT route_id, round(along_m, 3) AS along_m, round(lat, 7) AS lat, round(lon, 7) AS lon FROM ({resampled_sql(500)})")
 def geo_resample(d: Data) -> DataFrame:
     return g.resampled(d.points, 500.0).select("route_id", F.round("along_m", 3).alias("along_m"), F.round("lat", 7).alias("lat"), F.round("lon", 7).alias("lon"))
 
 
-@query(f"SELECT route_id, idx, CAST(unnest(range(1, CAST(ceil(leg / 25) AS BIGINT) + 1)) AS INTEGER) AS part, ceil(leg / 25) AS parts FROM ({_MEAS}) WHERE leg > 0")
+@query(f"SELECT route_id, idx, CAST(unnest(range(1, CAST(ceil(leg / 25) AS BIGINT) + 1)) AS INTEGER) AS part, ceil(leg / 25) AS parts FROM ({MEASURED}) WHERE leg > 0")
 def geo_densify(d: Data) -> DataFrame:
     """Each leg in parts of 25 metres at most."""
     n = F.ceil(F.col("leg") / 25)
@@ -94,102 +88,7 @@ def geo_grid_index(d: Data) -> DataFrame:
     return d.points.groupBy("route_id", F.floor(F.col("lat") / g.CELL_LAT).alias("cy"), F.floor(F.col("lon") / g.CELL_LON).alias("cx")).agg(F.count("*").alias("n"))
 
 
-_D = _HAV.format(a="x.lat", b="x.lon", c="y.lat", d="y.lon")
-_EXACT = f"SELECT x.route_id AS a, y.route_id AS b, round(x.along_m, 3) AS along_m, min({_D}) AS separation FROM r x JOIN r y ON x.family = y.family AND x.route_id < y.route_id GROUP BY 1, 2, 3 QUALIFY min(min({_D})) OVER (PARTITION BY x.route_id, y.route_id) <= 250"
-_SERIES = f"SELECT a, b, along_m, CASE WHEN separation <= 250 THEN separation END AS separation FROM ({_EXACT})"
-
-
-def separations(d: Data, step: int = FINE) -> DataFrame:
-    """For pairs of routes of a family that come within 250 m, the first one's samples and how far the second's nearest is.
-
-    Samples of all routes meet by family and cell, each once, so no pair of routes is formed before it is known to meet.
-    A separation beyond 250 m is null.
-    """
-    r = g.resampled(d.points, float(step)).withColumn("along_m", F.round("along_m", 3))
-    left = r.withColumnRenamed("route_id", "a")
-    hits = g.meeting(left, r.select("family", F.col("route_id").alias("b"), "lat", "lon"), ["family"], 250.0, F.col("a") < F.col("b"), ["a", "along_m", "b"])
-    return hits.select("a", "b").distinct().join(left.drop("family"), "a").join(hits, ["a", "b", "along_m"], "left")
-
-
-def exact_separations(d: Data) -> DataFrame:
-    """The same pairs and samples, with the metres to the nearest sample however far it is."""
-    near, r = separations(d), g.resampled(d.points, float(FINE))
-    far = near.where("separation is null").drop("separation")
-    rest = g.nearest_exact(far, r.select(F.col("route_id").alias("b"), "lat", "lon"), ["b"], 1000.0)
-    return near.where("separation is not null").select("a", "b", "along_m", "separation").unionByName(rest.select("a", "b", "along_m", "separation"))
-
-
-@query(f"WITH r AS ({_RESAMPLED}) SELECT a, b, along_m, round(separation, 3) AS separation FROM ({_SERIES})")
-def geo_nearest_series(d: Data) -> DataFrame:
-    """Exactly the nearest point within 250 m, by cells."""
-    return separations(d, COARSE).select("a", "b", "along_m", F.round("separation", 3).alias("separation"))
-
-
-@query(f"WITH r AS ({_RESAMPLED}) SELECT a, b, count(*) AS points, count(separation) AS near, round(min(separation), 3) AS closest FROM ({_SERIES}) GROUP BY 1, 2")
-def jn_nearest_neighbor(d: Data) -> DataFrame:
-    return separations(d, COARSE).groupBy("a", "b").agg(F.count("*").alias("points"), F.count("separation").alias("near"), F.round(F.min("separation"), 3).alias("closest"))
-
-
-_WITHIN = ", ".join(f"round(avg(CASE WHEN coalesce(round(separation, 3) <= {m}, FALSE) THEN 1.0::DOUBLE ELSE 0 END), 4) AS within_{m}" for m in (25, 50, 100, 250))
-
-
-def corridor(d: Data) -> DataFrame:
-    share = lambda m: F.round(F.avg(F.coalesce(F.round("separation", 3) <= m, F.lit(False)).cast("double")), 4)
-    return separations(d).groupBy("a", "b").agg(*(share(m).alias(f"within_{m}") for m in (25, 50, 100, 250)), F.count("*").alias("points"))
-
-
-@query(f"WITH {_FINE} SELECT a, b, {_WITHIN}, count(*) AS points FROM ({_SERIES}) GROUP BY 1, 2")
-def geo_corridor_stats(d: Data) -> DataFrame:
-    return corridor(d)
-
-
-_CLASS = "CASE WHEN within_25 >= 0.99::DOUBLE THEN 'exact' WHEN within_50 >= 0.95::DOUBLE THEN 'strong' WHEN within_100 >= 0.8::DOUBLE THEN 'largely' WHEN within_250 >= 0.5::DOUBLE THEN 'substantial' ELSE 'different' END"
-
-
-@query(f"WITH {_FINE} SELECT a, b, {_CLASS} AS class FROM (SELECT a, b, {_WITHIN} FROM ({_SERIES}) GROUP BY 1, 2)")
-def geo_classify(d: Data) -> DataFrame:
-    """Shares are rounded before they are classified."""
-    return corridor(d).select("a", "b", F.expr(_CLASS.replace("::DOUBLE", "D")).alias("class"))
-
-
-@query(f"WITH {_FINE} SELECT a, b, CASE WHEN within_50 >= 0.98::DOUBLE THEN 'same' WHEN within_50 >= 0.95::DOUBLE THEN 'near' WHEN within_100 >= 0.9::DOUBLE THEN 'similar' END AS hint FROM (SELECT a, b, {_WITHIN} FROM ({_SERIES}) GROUP BY 1, 2)")
-def geo_overlap_hint(d: Data) -> DataFrame:
-    return corridor(d).select("a", "b", F.expr("CASE WHEN within_50 >= 0.98D THEN 'same' WHEN within_50 >= 0.95D THEN 'near' WHEN within_100 >= 0.9D THEN 'similar' END").alias("hint"))
-
-
-@query(f"""WITH {_FINE}, s AS (SELECT *, coalesce(separation > 100, TRUE) AS far FROM ({_SERIES})), m AS (SELECT *, CASE WHEN far <> coalesce(lag(far) OVER (PARTITION BY a, b ORDER BY along_m), NOT far) THEN 1 ELSE 0 END AS fresh FROM s),
-i AS (SELECT *, sum(fresh) OVER (PARTITION BY a, b ORDER BY along_m) AS run FROM m) SELECT a, b, min(along_m) AS from_m, max(along_m) AS to_m, count(*) AS points FROM i WHERE far GROUP BY a, b, run HAVING max(along_m) - min(along_m) >= 300""")
-def geo_divergence(d: Data) -> DataFrame:
-    return g.divergence(separations(d), ["a", "b"], 100.0, 300.0)
-
-
-@query("SELECT route_id, sha256(string_agg(CAST(floor(lat * 100000 + 0.5::DOUBLE) AS BIGINT) || ',' || CAST(floor(lon * 100000 + 0.5::DOUBLE) AS BIGINT), ';' ORDER BY idx)) AS fingerprint FROM f_route_points GROUP BY 1")
-def geo_fingerprint(d: Data) -> DataFrame:
-    """A hash of a route's ordered coordinates, in hundred-thousandths of a degree."""
-    at = lambda c: F.floor(F.col(c) * 100000 + 0.5).cast("string")
-    ordered = F.array_sort(F.collect_list(F.struct("idx", F.concat_ws(",", at("lat"), at("lon")).alias("at"))))
-    return d.points.groupBy("route_id").agg(F.sha2(F.array_join(F.transform(ordered, lambda s: s["at"]), ";"), 256).alias("fingerprint"))
-
-
-_PROJ = """SELECT route_id, idx, lat AS lat1, lon AS lon1, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0 FROM f_route_points WINDOW w AS (PARTITION BY route_id ORDER BY idx)"""
-
-
-@query(f"""WITH s AS (SELECT *, 55.51::DOUBLE AS plat, 14.014::DOUBLE AS plon, cos(radians(55.5::DOUBLE)) AS c FROM ({_PROJ}) WHERE lat0 IS NOT NULL),
-v AS (SELECT *, (lon1 - lon0) * c AS dx, lat1 - lat0 AS dy, (plon - lon0) * c AS px, plat - lat0 AS py FROM s), t AS (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, (px * dx + py * dy) / nullif(dx * dx + dy * dy, 0))) AS f FROM v),
-o AS (SELECT route_id, idx, round(sqrt(pow(px - f * dx, 2) + pow(py - f * dy, 2)) * 111195.08::DOUBLE, 3) AS off_m FROM t) SELECT route_id, min(off_m) AS off_m, arg_min(idx, (off_m, idx)) AS segment FROM o GROUP BY 1""")
-def geo_project_point(d: Data) -> DataFrame:
-    """A landmark's nearest segment on each route and how far off the route it is."""
-    w, c = g.along(), F.cos(F.radians(F.lit(55.5)))
-    s = d.points.select("route_id", "idx", F.lag("lat").over(w).alias("lat0"), F.lag("lon").over(w).alias("lon0"), "lat", "lon").where("lat0 is not null")
-    s = s.withColumns({"dx": (F.col("lon") - F.col("lon0")) * c, "dy": F.col("lat") - F.col("lat0"), "px": (14.014 - F.col("lon0")) * c, "py": 55.51 - F.col("lat0")})
-    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("px") * F.col("dx") + F.col("py") * F.col("dy")) / F.nullif(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"), F.lit(0.0))))
-    s = s.withColumn("f", f)
-    x, y = F.col("px") - F.col("f") * F.col("dx"), F.col("py") - F.col("f") * F.col("dy")
-    s = s.withColumn("off_m", F.round(F.sqrt(x * x + y * y) * 111195.08, 3))
-    return s.groupBy("route_id").agg(F.min("off_m").alias("off_m"), F.min_by("idx", F.struct("off_m", "idx")).alias("segment"))
-
-
-@query(f"SELECT route_id, arg_min(idx, (round(dist, 3), idx)) AS idx, min(round(dist, 3)) AS offset_m FROM (SELECT route_id, idx, {_HAV.format(a='lat', b='lon', c='55.51::DOUBLE', d='14.014::DOUBLE')} AS dist FROM f_route_points) GROUP BY 1")
+@query(f"SELECT route_id, arg_min(idx, (round(dist, 3), idx)) AS idx, min(round(dist, 3)) AS offset_m FROM (SELECT route_id, idx, {HAVERSINE.format(a='lat', b='lon', c='55.51::DOUBLE', d='14.014::DOUBLE')} AS dist FROM f_route_points) GROUP BY 1")
 def geo_anchor_nearest(d: Data) -> DataFrame:
     dist = F.round(g.haversine(F.col("lat"), F.col("lon"), F.lit(55.51), F.lit(14.014)), 3)
     x = d.points.withColumn("dist", dist).groupBy("route_id").agg(F.min(F.struct("dist", "idx")).alias("s"))
@@ -203,7 +102,7 @@ def win_median7(d: Data) -> DataFrame:
 
 
 _THIN = f"""SELECT route_id, unnest(kept).idx AS idx, round(unnest(kept).cum_m, 3) AS cum_m FROM (SELECT route_id, list_reduce(list([{{'idx': idx, 'cum_m': cum_m, 'final': idx = n}}] ORDER BY idx),
-  lambda acc, x: CASE WHEN x[1].cum_m - acc[-1].cum_m >= 50 OR x[1].final THEN list_concat(acc, x) ELSE acc END) AS kept FROM (SELECT *, max(idx) OVER (PARTITION BY route_id) AS n FROM ({_MEAS})) GROUP BY 1)"""
+  lambda acc, x: CASE WHEN x[1].cum_m - acc[-1].cum_m >= 50 OR x[1].final THEN list_concat(acc, x) ELSE acc END) AS kept FROM (SELECT *, max(idx) OVER (PARTITION BY route_id) AS n FROM ({MEASURED})) GROUP BY 1)"""
 
 
 def thinned(points: DataFrame, step: float) -> DataFrame:
@@ -244,23 +143,6 @@ def geo_bounds(d: Data) -> DataFrame:
     return d.points.rollup("family", "route_id").agg(F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"))
 
 
-@query(f"WITH {_FINE}, s AS (SELECT a, b, round(separation, 3) AS separation FROM ({_EXACT})) SELECT a, b, count(*) AS points, " + ", ".join(f"round(avg(CASE WHEN coalesce(separation <= {m}, FALSE) THEN 1.0::DOUBLE ELSE 0 END), 4) AS within_{m}" for m in (10, 25, 50, 100, 250)) + ", quantile_cont(separation, 0.5) AS median, max(separation) AS most FROM s GROUP BY 1, 2")
-def geo_within_share(d: Data) -> DataFrame:
-    sep = exact_separations(d).withColumn("separation", F.round("separation", 3))
-    share = lambda m: F.round(F.avg(F.coalesce(F.col("separation") <= m, F.lit(False)).cast("double")), 4)
-    return sep.groupBy("a", "b").agg(F.count("*").alias("points"), *(share(m).alias(f"within_{m}") for m in (10, 25, 50, 100, 250)), st.quantile("separation", 0.5).alias("median"), F.max("separation").alias("most"))
-
-
-@query(f"""WITH {_FINE}, s AS (SELECT a, b, round(separation, 3) AS separation FROM ({_EXACT})), l AS (SELECT route_id, max(along_m) AS m FROM r GROUP BY 1)
-SELECT s.a, s.b, round(100.0::DOUBLE * abs(x.m - y.m) / y.m, 4) AS length_error_pct, quantile_disc(separation, 0.5) AS p50, quantile_disc(separation, 0.95) AS p95 FROM s JOIN l x ON x.route_id = s.a JOIN l y ON y.route_id = s.b GROUP BY 1, 2, x.m, y.m""")
-def geo_benchmark(d: Data) -> DataFrame:
-    """A route against a reference: its length, and separations by nearest rank."""
-    length = g.measured(d.points).groupBy("route_id").agg(F.max("cum_m").alias("m"))
-    side = lambda x: length.select(F.col("route_id").alias(x), F.col("m").alias(f"m{x}"))
-    sep = exact_separations(d).withColumn("separation", F.round("separation", 3)).groupBy("a", "b").agg(st.nearest_rank("separation", 0.5).alias("p50"), st.nearest_rank("separation", 0.95).alias("p95"))
-    return sep.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.round(100.0 * F.abs(F.col("ma") - F.col("mb")) / F.col("mb"), 4).alias("length_error_pct"), "p50", "p95")
-
-
 @query(f"SELECT t.route_id, t.idx, cum_m, CASE WHEN ele IS NOT NULL THEN smooth END AS smooth FROM ({_THIN}) t JOIN (SELECT route_id, idx, ele, quantile_cont(ele, 0.5) OVER (PARTITION BY route_id ORDER BY idx ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS smooth FROM f_route_points) m USING (route_id, idx)")
 def geo_elevation_profile(d: Data) -> DataFrame:
     """Points 50 m apart with the median of seven elevations; unknown ones stay null."""
@@ -277,7 +159,7 @@ def win_gaps_islands(d: Data) -> DataFrame:
     return runs.groupBy("route_id", "run").agg(F.min("idx").alias("from_idx"), F.max("idx").alias("to_idx"), F.count("*").alias("points")).drop("run")
 
 
-@query(f"SELECT a.route_id, b.route_id AS peer, abs(a.m - b.m) <= 80 AS length_agrees FROM (SELECT route_id, max(cum_m) AS m FROM ({_MEAS}) GROUP BY 1) a JOIN (SELECT route_id, max(cum_m) AS m FROM ({_MEAS}) GROUP BY 1) b ON b.route_id = a.route_id + 10")
+@query(f"SELECT a.route_id, b.route_id AS peer, abs(a.m - b.m) <= 80 AS length_agrees FROM (SELECT route_id, max(cum_m) AS m FROM ({MEASURED}) GROUP BY 1) a JOIN (SELECT route_id, max(cum_m) AS m FROM ({MEASURED}) GROUP BY 1) b ON b.route_id = a.route_id + 10")
 def geo_verify_peer(d: Data) -> DataFrame:
     """A route's length against its peer's, within 80 m."""
     m = g.measured(d.points).groupBy("route_id").agg(F.max("cum_m").alias("m"))
@@ -294,7 +176,7 @@ def geo_elevation_evidence(d: Data) -> DataFrame:
     return up.join(peer, "route_id", "left").select("route_id", F.round("up", 2).alias("ascent"), F.round(F.col("up") - F.col("pup"), 2).alias("over_peer"))
 
 
-@query(f"SELECT family AS highway, count(DISTINCT route_id) AS ways, round(sum(leg) / 1000, 3) AS km FROM ({_MEAS}) GROUP BY 1")
+@query(f"SELECT family AS highway, count(DISTINCT route_id) AS ways, round(sum(leg) / 1000, 3) AS km FROM ({MEASURED}) GROUP BY 1")
 def geo_network_summary(d: Data) -> DataFrame:
     return g.measured(d.points).groupBy(F.col("family").alias("highway")).agg(F.count_distinct("route_id").alias("ways"), F.round(F.sum("leg") / 1000, 3).alias("km"))
 
@@ -308,16 +190,7 @@ def geo_affine(d: Data) -> DataFrame:
     return xy.withColumn("step", step).groupBy("route_id").agg(F.round(F.sum("step"), 4).alias("length"))
 
 
-@query(f"""WITH {_FINE}, s AS (SELECT a, b, along_m, least(coalesce(round(separation, 3), 250), 250) AS sep FROM ({_SERIES}))
-SELECT a, b, CAST(floor(along_m / 2000) AS BIGINT) AS edge, round(quantile_cont(sep, 0.8), 4) AS deviation, round(count(*) * (1 + pow(quantile_cont(sep, 0.8) / 100, 2)), 4) AS cost FROM s GROUP BY 1, 2, 3""")
-def geo_edge_trace_deviation(d: Data) -> DataFrame:
-    """For each stretch of two kilometres how far the other trace is, and the cost that grows with its square."""
-    sep = separations(d).withColumn("sep", F.least(F.coalesce(F.round("separation", 3), F.lit(250.0)), F.lit(250.0)))
-    e = sep.groupBy("a", "b", F.floor(F.col("along_m") / 2000).alias("edge")).agg(st.quantile("sep", 0.8).alias("deviation"), F.count("*").alias("n"))
-    return e.select("a", "b", "edge", F.round("deviation", 4).alias("deviation"), F.round(F.col("n") * (1 + F.pow(F.col("deviation") / 100, 2)), 4).alias("cost"))
-
-
-@query(f"SELECT route_id, third, round(ascent / nullif(km, 0), 3) AS per_km FROM (SELECT route_id, CAST(ntile AS INTEGER) AS third, sum(greatest(coalesce(ele - prev, 0), 0)) AS ascent, sum(leg) / 1000 AS km FROM (SELECT *, ntile(3) OVER w AS ntile, lag(ele) OVER w AS prev FROM ({_MEAS}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) GROUP BY 1, 2)")
+@query(f"SELECT route_id, third, round(ascent / nullif(km, 0), 3) AS per_km FROM (SELECT route_id, CAST(ntile AS INTEGER) AS third, sum(greatest(coalesce(ele - prev, 0), 0)) AS ascent, sum(leg) / 1000 AS km FROM (SELECT *, ntile(3) OVER w AS ntile, lag(ele) OVER w AS prev FROM ({MEASURED}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) GROUP BY 1, 2)")
 def seg_climb_intensity(d: Data) -> DataFrame:
     """Ascent for each kilometre by thirds of a route."""
     w = g.along()
@@ -329,7 +202,7 @@ _BACK = "SELECT route_id, idx, lat, lon FROM f_route_points UNION ALL SELECT rou
 _BACK_M = f"SELECT *, sum(leg) OVER (PARTITION BY route_id ORDER BY idx) AS cum_m FROM (SELECT *, coalesce({_LEG}, 0) AS leg FROM ({_BACK}) WINDOW w AS (PARTITION BY route_id ORDER BY idx))"
 
 
-@query(f"""WITH m AS ({_BACK_M}), p AS (SELECT a.route_id, a.idx AS i, b.idx AS j, round({_HAV.format(a="a.lat", b="a.lon", c="b.lat", d="b.lon")}, 3) AS sep, b.cum_m - a.cum_m AS loop_m
+@query(f"""WITH m AS ({_BACK_M}), p AS (SELECT a.route_id, a.idx AS i, b.idx AS j, round({HAVERSINE.format(a="a.lat", b="a.lon", c="b.lat", d="b.lon")}, 3) AS sep, b.cum_m - a.cum_m AS loop_m
   FROM m a JOIN m b ON a.route_id = b.route_id AND a.idx < b.idx WHERE b.cum_m - a.cum_m BETWEEN 300 AND 3000)
 SELECT route_id, min((sep, i, j))[2] AS i, min((sep, i, j))[3] AS j, round(arg_min(loop_m, (sep, i, j)), 3) AS loop_m FROM p WHERE sep <= 15 GROUP BY 1""")
 def geo_loop_splice(d: Data) -> DataFrame:
@@ -350,90 +223,6 @@ def geo_loop_splice(d: Data) -> DataFrame:
     return best.select("route_id", "s.i", "s.j", F.round("s.loop_m", 3).alias("loop_m"))
 
 
-# whole comparisons: every pair of a family, both ways, however far ------------------------------------------------
-
-
-def both_ways(d: Data, samples: DataFrame, step: float) -> DataFrame:
-    """Each route's samples, for every other route ``b`` of its family, with the metres to b's nearest sample."""
-    ids = d.points.select("route_id", "family").distinct()
-    pairs = ids.select("family", F.col("route_id").alias("a")).join(ids.select("family", F.col("route_id").alias("b")), "family").where("a <> b").select("a", "b")
-    left = pairs.join(samples.drop("family").withColumnRenamed("route_id", "a"), "a")
-    return g.nearest_exact(left, samples.select(F.col("route_id").alias("b"), "lat", "lon"), ["b"], 5 * step)
-
-
-def pooled(sep: DataFrame) -> DataFrame:
-    """Both ways under one pair a < b."""
-    return sep.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "separation")
-
-
-def route_ends(d: Data) -> DataFrame:
-    m = g.measured(d.points)
-    at = lambda f, c: f(c, "idx").alias(f"{'from' if f is F.min_by else 'to'}_{c}")
-    return m.groupBy("route_id").agg(F.max("cum_m").alias("m"), *(at(f, c) for f in (F.min_by, F.max_by) for c in ("lat", "lon")))
-
-
-def with_ends(pairs: DataFrame, d: Data) -> DataFrame:
-    """Pairs with both routes' lengths (``ma``, ``mb``) and how far their starts and finishes are apart."""
-    ends = route_ends(d)
-    side = lambda x: ends.select(F.col("route_id").alias(x), *(F.col(c).alias(f"{c}{x}") for c in ends.columns[1:]))
-    gap = lambda p: g.haversine(F.col(f"{p}_lata"), F.col(f"{p}_lona"), F.col(f"{p}_latb"), F.col(f"{p}_lonb"))
-    x = pairs.join(side("a"), "a").join(side("b"), "b").withColumns({"start_m": gap("from"), "finish_m": gap("to")})
-    return x.select(*pairs.columns, "ma", "mb", "start_m", "finish_m")
-
-
-def _share(m: int):
-    return F.avg((F.col("separation") <= m).cast("double"))
-
-
-@query()
-def geo_pair_corridor(d: Data) -> DataFrame:
-    """Samples 50 m apart: separations each way, shares within a corridor each way and their least and mean, a class."""
-    metres = (25, 50, 100, 250)
-    figures = {"points": F.count("*"), "median": st.quantile("separation", 0.5), "p95": st.quantile("separation", 0.95), "most": F.max("separation")} | {f"within_{m}": _share(m) for m in metres}
-    one = both_ways(d, g.resampled(d.points, 50.0), 50.0).groupBy("a", "b").agg(*(c.alias(name) for name, c in figures.items()))
-    way = lambda x, y: one.select(F.col("a").alias(x), F.col("b").alias(y), *(F.col(c).alias(f"{c}_{x}") for c in figures))
-    least = {f"within_{m}_least": F.round(F.least(f"within_{m}_a", f"within_{m}_b"), 4) for m in metres}
-    mean = {f"within_{m}_mean": F.round((F.col(f"within_{m}_a") + F.col(f"within_{m}_b")) / 2, 4) for m in metres}
-    x = with_ends(way("a", "b").where("a < b").join(way("b", "a"), ["a", "b"]), d).withColumns(least | mean)
-    prints = geo_fingerprint(d)
-    side = lambda c: prints.select(F.col("route_id").alias(c), F.col("fingerprint").alias(f"print_{c}"))
-    kind = F.expr("""CASE WHEN print_a = print_b THEN 'exact' WHEN within_50_least >= 0.98D AND abs(mb - ma) <= 500 AND start_m <= 100 AND finish_m <= 100 THEN 'strong'
-      WHEN within_100_least >= 0.95D THEN 'largely' WHEN within_100_least >= 0.7D THEN 'substantial' ELSE 'different' END""")
-    return x.join(side("a"), "a").join(side("b"), "b").withColumn("class", kind).drop("print_a", "print_b")
-
-
-@query()
-def geo_pair_divergence(d: Data) -> DataFrame:
-    """Stretches of 300 m and more on which a route's samples, 50 m apart, are all over 100 m from the other route."""
-    w = Window.partitionBy("a", "b").orderBy("along_m")
-    far = F.col("separation") > 100
-    marked = both_ways(d, g.resampled(d.points, 50.0), 50.0).withColumn("far", far).withColumn("new", (F.col("far") & ~F.coalesce(F.lag("far").over(w), F.lit(False))).cast("int"))
-    runs = marked.withColumn("run", F.sum("new").over(w)).where("far").groupBy("a", "b", "run").agg(
-        F.min("along_m").alias("from_m"), F.max("along_m").alias("to_m"), F.count("*").alias("points"), st.quantile("separation", 0.5).alias("median"), F.max("separation").alias("most")
-    )
-    return runs.where("to_m - from_m >= 300").drop("run")
-
-
-@query()
-def geo_pair_overlap(d: Data) -> DataFrame:
-    """Samples 100 m apart, both ways pooled: shares, separations and a hint."""
-    x = pooled(both_ways(d, g.resampled(d.points, 100.0), 100.0)).groupBy("a", "b").agg(
-        F.count("*").alias("points"), *(F.round(_share(m), 4).alias(f"within_{m}") for m in (10, 25, 50, 100, 250)),
-        st.quantile("separation", 0.5).alias("median"), st.quantile("separation", 0.95).alias("p95"), F.max("separation").alias("most"),
-    )
-    hint = F.expr("CASE WHEN within_50 >= 0.98D THEN 'same' WHEN within_50 >= 0.95D THEN 'near' WHEN within_100 >= 0.9D THEN 'similar' ELSE 'different' END")
-    return with_ends(x, d).withColumn("hint", hint)
-
-
-@query()
-def geo_pair_benchmark(d: Data) -> DataFrame:
-    """A route against the reference ``b``, legs in parts of 10 m, both ways pooled: nearest ranks and shares."""
-    x = pooled(both_ways(d, g.densified(d.points, 10.0), 10.0)).groupBy("a", "b").agg(
-        F.count("*").alias("points"), *(_share(m).alias(f"within_{m}") for m in (10, 25, 50)), st.nearest_rank("separation", 0.5).alias("p50"), st.nearest_rank("separation", 0.95).alias("p95")
-    )
-    return with_ends(x, d).withColumn("length_error_pct", F.round(100 * (F.col("ma") - F.col("mb")) / F.nullif(F.col("mb"), F.lit(0.0)), 4)).drop("start_m", "finish_m")
-
-
 # positions in time -----------------------------------------------------------------------------------------------
 
 _ANCH = "SELECT race_key, rid, seconds AS t, km FROM (SELECT *, max(seconds) OVER (PARTITION BY rid ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM f_obs WHERE seconds IS NOT NULL) WHERE seconds > coalesce(top, -1)"
@@ -481,7 +270,7 @@ def rep_time_at_distance(d: Data) -> DataFrame:
     return a.select("rid", F.round(F.col("t") + (30 - F.col("km")) / (F.col("nkm") - F.col("km")) * (F.col("nt") - F.col("t")), 6).alias("t"))
 
 
-_CUT = f"SELECT route_id, {{v}} FROM (SELECT *, lag(cum_m) OVER w AS m0, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0, lag(ele) OVER w AS ele0 FROM ({_MEAS}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE m0 <= 1000 AND cum_m > 1000"
+_CUT = f"SELECT route_id, {{v}} FROM (SELECT *, lag(cum_m) OVER w AS m0, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0, lag(ele) OVER w AS ele0 FROM ({MEASURED}) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE m0 <= 1000 AND cum_m > 1000"
 
 
 def cut_at(d: Data, metres: float) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.plans import compare, evidence, geo, ingest, joins, rankings, segments, stats
+from racelab.plans import compare, evidence, geo, ingest, joins, rankings, routes, segments, stats
 
-MODULES = (stats, segments, rankings, joins, compare, geo, evidence, ingest)
+MODULES = (stats, segments, rankings, joins, compare, geo, routes, evidence, ingest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

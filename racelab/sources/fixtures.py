@@ -111,6 +111,15 @@ def route_points(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def landmarks(spark: SparkSession, sf: str) -> DataFrame:
+    """A landmark for each supplier, near the routes of a family: (landmark, title, family, lat, lon)."""
+    key = F.col("s_suppkey")
+    return table(spark, sf, "supplier").select(
+        key.alias("landmark"), F.col("s_name").alias("title"), (key % 10).alias("family"),
+        (55.5 + (key % 90) * 0.0005 + (F.col("s_nationkey") - 12) / 5000).alias("lat"), (14 + (key % 90) * 0.0007 + (key % 10) * 0.0002).alias("lon"),
+    )
+
+
 CTE = {
     "f_segsum": "SELECT l_orderkey AS k, CASE WHEN l_linenumber <= 2 THEN 1 WHEN l_linenumber <= 4 THEN 2 ELSE 3 END AS cp, sum(l_quantity) * 60 AS secs FROM lineitem GROUP BY 1, 2",
     "f_results": """SELECT o_orderkey AS rid, year(o_orderdate) || '-' || lower(c_mktsegment) AS race_key, CAST(year(o_orderdate) AS INTEGER) AS year, lower(c_mktsegment) AS race_family,
@@ -128,6 +137,7 @@ CTE = {
     "f_courses": "SELECT race_key, year, race_family, race_family || '-' || CASE WHEN year <= 1997 THEN 'a' WHEN year <= 1999 THEN 'b' ELSE 'c' END AS course_version, CASE WHEN year <= 1999 THEN race_family || '-ab' END AS course_group FROM f_races",
     "f_route_points": """SELECT user_id AS route_id, user_id % 10 AS family, idx, 55.5::DOUBLE + idx * 0.0005::DOUBLE + (value - 150) / 100000 AS lat, 14 + idx * 0.0007::DOUBLE + (user_id % 10) * 0.0002::DOUBLE AS lon,
       CASE WHEN event_type <> 'error' THEN value END AS ele FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS idx FROM events)""",
+    "f_landmarks": "SELECT s_suppkey AS landmark, s_name AS title, s_suppkey % 10 AS family, 55.5::DOUBLE + (s_suppkey % 90) * 0.0005::DOUBLE + (s_nationkey - 12) / 5000 AS lat, 14 + (s_suppkey % 90) * 0.0007::DOUBLE + (s_suppkey % 10) * 0.0002::DOUBLE AS lon FROM supplier",
     # observations of each result at each boundary: never interpolated
     "f_obs": """SELECT r.race_key, r.rid, r.status, r.sex, r.class_name, r.club, r.age, r.finish_seconds, c.cp_key, c.seq, c.km, CASE c.cp_key WHEN 'start' THEN CASE WHEN r.status NOT IN ('DNS', 'UNKNOWN') THEN 0.0::DOUBLE END
       WHEN 'finish' THEN CASE WHEN r.status = 'FINISHED' AND r.finish_seconds > 0 THEN r.finish_seconds END ELSE s.elapsed_seconds END AS seconds,

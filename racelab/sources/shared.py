@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,6 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/racelab-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts the lineage and survives a lost executor."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
     path = tempfile.mkdtemp(prefix="racelab-")
