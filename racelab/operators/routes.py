@@ -148,3 +148,62 @@ def projected(landmarks: DataFrame, lines: DataFrame, keys: list[str], reach: fl
 
 def projection_quality(off_m: Column) -> Column:
     return F.when(off_m <= 25, "excellent").when(off_m <= 75, "good").when(off_m <= 200, "review").otherwise("poor")
+
+
+def edge_costs(edges: DataFrame, lines: DataFrame, keys: list[str], cap: float = 300.0, scale: float = 32.0, gross: float = 180.0) -> DataFrame:
+    """(way, pos, length_m, deviation_m, cost) of every network edge with a length: how far it is from a trace, and what it costs.
+
+    ``edges`` are (way, pos, *keys, factor, lat0, lon0, lat1, lon1). Five points of an edge look for the nearest trace
+    line of the same keys; the deviation is their 80th percentile, ``cap`` at most. Cost is the length times
+    1 + (deviation / scale) ** 2 times the factor of the relations that the way is in; a grossly deviating edge has a
+    factor of 1.35 at least. The search ends at five times the cap: a point beyond can't leave a deviation below it.
+    """
+    length = g.haversine(F.col("lat0"), F.col("lon0"), F.col("lat1"), F.col("lon1"))
+    long = edges.withColumn("length_m", length).where("length_m > 0")
+    at = lambda c: (F.col(f"{c}0") + F.col("i") / 4 * (F.col(f"{c}1") - F.col(f"{c}0"))).alias(c)
+    points = long.select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("i")).select(F.struct("way", "pos", "i").alias("landmark"), *keys, at("lat"), at("lon"))
+    points = stored(points)
+    near = stored(projected(points, lines, keys, scale).groupBy("landmark").agg(F.min("off_m").alias("off_m")))
+    # only points that aren't near are searched for far
+    far = projected(points.join(near, "landmark", "left_anti"), lines, keys, 5 * cap).groupBy("landmark").agg(F.min("off_m").alias("off_m"))
+    off = near.unionByName(far)
+    found = points.select("landmark").join(off, "landmark", "left").select("landmark.*", F.coalesce("off_m", F.lit(5 * cap)).alias("off_m"))
+    deviation = found.groupBy("way", "pos").agg(F.least(F.percentile("off_m", F.lit(0.8)), F.lit(cap)).alias("deviation_m"))
+    scored = long.join(deviation, ["way", "pos"])
+    factor = F.when(F.col("deviation_m") > gross, F.greatest("factor", F.lit(1.35))).otherwise(F.col("factor"))
+    return scored.select("way", "pos", "length_m", "deviation_m", (F.col("length_m") * (1 + F.pow(F.col("deviation_m") / scale, 2)) * factor).alias("cost"))
+
+
+# loops -------------------------------------------------------------------------------------------------------------
+
+
+def splice(points: DataFrame, apart: float, first: tuple[float, float], loop: tuple[float, float], rest: tuple[float, float], wanted: tuple[float, float]) -> DataFrame:
+    """(route_id, i, j, apart_m, first_m, second_m, loop_m, rest_m): the pair of passages of a place between which a loop is cut.
+
+    Passages are ``apart`` metres or less from each other; the way to the first, the loop and what remains after the
+    second are within their bounds. The least |way - wanted| + |remainder - wanted| + 10 x metres apart wins, then the
+    first points. A route without such a pair has no row. Points meet in cells as wide as ``apart``.
+    """
+    m = g.measured(points).withColumn("total", F.max("cum_m").over(Window.partitionBy("route_id"))).select("route_id", "idx", "lat", "lon", "cum_m", "total")
+    a = g.in_cells(m.where(F.col("cum_m").between(*first)), apart)
+    b = g.around_cells(m.where((F.col("total") - F.col("cum_m")).between(*rest)), apart)
+    b = b.select("route_id", "cy", "cx", F.col("idx").alias("j"), F.col("lat").alias("jlat"), F.col("lon").alias("jlon"), F.col("cum_m").alias("jm"))
+    d = F.round(g.haversine(F.col("lat"), F.col("lon"), F.col("jlat"), F.col("jlon")), 3)
+    pairs = a.join(b, ["route_id", "cy", "cx"]).where((F.col("idx") < F.col("j")) & (F.col("jm") - F.col("cum_m")).between(*loop)).withColumn("apart_m", d).where(F.col("apart_m") <= apart)
+    score = F.round(F.abs(F.col("cum_m") - wanted[0]) + F.abs(F.col("total") - F.col("jm") - wanted[1]) + 10 * F.col("apart_m"), 3)
+    kept = F.struct(score.alias("score"), F.col("idx").alias("i"), "j", "apart_m", F.col("cum_m").alias("first_m"), F.col("jm").alias("second_m"), (F.col("jm") - F.col("cum_m")).alias("loop_m"), (F.col("total") - F.col("jm")).alias("rest_m"))
+    return pairs.groupBy("route_id").agg(F.min(kept).alias("s")).select("route_id", "s.*").drop("score")
+
+
+def spliced(points: DataFrame, choice: DataFrame, length: tuple[float, float] | None = None) -> DataFrame:
+    """The points of the routes in ``choice`` without those between its passages, numbered from 1 on and measured anew.
+
+    A route whose new length isn't within ``length`` metres fails the query.
+    """
+    kept = points.join(choice.select("route_id", "i", "j"), "route_id").where("idx <= i or idx >= j").drop("i", "j")
+    m = g.measured(kept.withColumn("idx", F.row_number().over(g.along())))
+    if not length:
+        return m
+    whole = F.max("cum_m").over(Window.partitionBy("route_id"))
+    checked = F.when(whole.between(*length), F.col("cum_m")).otherwise(F.raise_error(F.concat(F.lit("spliced length out of bounds: "), whole.cast("string"))).cast("double"))
+    return m.withColumn("cum_m", checked)

@@ -176,11 +176,6 @@ def geo_elevation_evidence(d: Data) -> DataFrame:
     return up.join(peer, "route_id", "left").select("route_id", F.round("up", 2).alias("ascent"), F.round(F.col("up") - F.col("pup"), 2).alias("over_peer"))
 
 
-@query(f"SELECT family AS highway, count(DISTINCT route_id) AS ways, round(sum(leg) / 1000, 3) AS km FROM ({MEASURED}) GROUP BY 1")
-def geo_network_summary(d: Data) -> DataFrame:
-    return g.measured(d.points).groupBy(F.col("family").alias("highway")).agg(F.count_distinct("route_id").alias("ways"), F.round(F.sum("leg") / 1000, 3).alias("km"))
-
-
 @query("SELECT route_id, round(sum(sqrt(pow(x - px, 2) + pow(y - py, 2))), 4) AS length FROM (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM (SELECT route_id, idx, 2.0::DOUBLE * idx + 0.5::DOUBLE * family + 10 AS x, -0.5::DOUBLE * idx + 2.0::DOUBLE * family + 20 AS y FROM f_route_points) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE px IS NOT NULL GROUP BY 1")
 def geo_affine(d: Data) -> DataFrame:
     """Pixels by an affine map, and the length in the plane."""
@@ -198,31 +193,6 @@ def seg_climb_intensity(d: Data) -> DataFrame:
     return x.groupBy("route_id", "third").agg(F.round(F.sum(F.greatest(F.coalesce("step", F.lit(0.0)), F.lit(0.0))) / F.nullif(F.sum("leg") / 1000, F.lit(0.0)), 3).alias("per_km"))
 
 
-_BACK = "SELECT route_id, idx, lat, lon FROM f_route_points UNION ALL SELECT route_id, 2 * n - idx, lat, lon FROM (SELECT *, count(*) OVER (PARTITION BY route_id) AS n FROM f_route_points) WHERE idx < n"
-_BACK_M = f"SELECT *, sum(leg) OVER (PARTITION BY route_id ORDER BY idx) AS cum_m FROM (SELECT *, coalesce({_LEG}, 0) AS leg FROM ({_BACK}) WINDOW w AS (PARTITION BY route_id ORDER BY idx))"
-
-
-@query(f"""WITH m AS ({_BACK_M}), p AS (SELECT a.route_id, a.idx AS i, b.idx AS j, round({HAVERSINE.format(a="a.lat", b="a.lon", c="b.lat", d="b.lon")}, 3) AS sep, b.cum_m - a.cum_m AS loop_m
-  FROM m a JOIN m b ON a.route_id = b.route_id AND a.idx < b.idx WHERE b.cum_m - a.cum_m BETWEEN 300 AND 3000)
-SELECT route_id, min((sep, i, j))[2] AS i, min((sep, i, j))[3] AS j, round(arg_min(loop_m, (sep, i, j)), 3) AS loop_m FROM p WHERE sep <= 15 GROUP BY 1""")
-def geo_loop_splice(d: Data) -> DataFrame:
-    """The closest pair of nearly coincident points of an out-and-back course, with a loop of bounded length between.
-
-    Points meet in cells wider than the 15 m, so no route is joined with itself as a whole.
-    """
-    n = F.count("*").over(Window.partitionBy("route_id"))
-    there = d.points.select("route_id", "idx", "lat", "lon")
-    back = there.withColumn("n", n).where("idx < n").select("route_id", (2 * F.col("n") - F.col("idx")).cast("int").alias("idx"), "lat", "lon")
-    m = g.measured(there.unionByName(back)).withColumns({"cy": F.floor(F.col("lat") / 0.0003), "cx": F.floor(F.col("lon") / 0.0005)})
-    around = F.sequence(F.lit(-1), F.lit(1))
-    b = m.select("route_id", F.col("idx").alias("j"), F.col("lat").alias("blat"), F.col("lon").alias("blon"), F.col("cum_m").alias("bm"), "cy", "cx").withColumn("dy", F.explode(around)).withColumn("dx", F.explode(around))
-    b = b.select("route_id", "j", "blat", "blon", "bm", (F.col("cy") + F.col("dy")).alias("cy"), (F.col("cx") + F.col("dx")).alias("cx"))
-    pairs = m.join(b, ["route_id", "cy", "cx"]).where("idx < j and bm - cum_m between 300 and 3000")
-    pairs = pairs.withColumn("sep", F.round(g.haversine(F.col("lat"), F.col("lon"), F.col("blat"), F.col("blon")), 3)).where("sep <= 15")
-    best = pairs.groupBy("route_id").agg(F.min(F.struct("sep", F.col("idx").alias("i"), "j", (F.col("bm") - F.col("cum_m")).alias("loop_m"))).alias("s"))
-    return best.select("route_id", "s.i", "s.j", F.round("s.loop_m", 3).alias("loop_m"))
-
-
 # positions in time -----------------------------------------------------------------------------------------------
 
 _ANCH = "SELECT race_key, rid, seconds AS t, km FROM (SELECT *, max(seconds) OVER (PARTITION BY rid ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM f_obs WHERE seconds IS NOT NULL) WHERE seconds > coalesce(top, -1)"

@@ -274,22 +274,6 @@ def prv_mask_nested(d: Data) -> DataFrame:
     return d.results.select("rid", mask_nested(doc).alias("m")).select("rid", "m.clean", "m.changes")
 
 
-@query("SELECT route_id, CAST(idx - 1 AS INTEGER) AS pos, lat, lon FROM f_route_points WHERE route_id % 5 <> 0")
-def src_osm_ways(d: Data) -> DataFrame:
-    """Ways of an OSM document with an accepted tag as ordered points; ways with missing nodes drop out."""
-    node = F.when(~((F.col("route_id") % 5 == 0) & (F.col("idx") == 3)), F.concat(F.lit('<node id="'), F.col("idx").cast("string"), F.lit('" lat="'), F.col("lat").cast("string"), F.lit('" lon="'), F.col("lon").cast("string"), F.lit('"/>')))
-    nodes = route_text(d, F.coalesce(node, F.lit("")), "").withColumnRenamed("body", "nodes")
-    nds = route_text(d, F.concat(F.lit('<nd ref="'), F.col("idx").cast("string"), F.lit('"/>')), "").withColumnRenamed("body", "nds")
-    xml = F.concat(F.lit("<osm>"), "nodes", F.lit('<way id="1">'), "nds", F.lit('<tag k="highway" v="path"/></way></osm>'))
-    schema = "node array<struct<_id:long,_lat:double,_lon:double>>, way array<struct<_id:long,nd:array<struct<_ref:long>>,tag:array<struct<_k:string,_v:string>>>>"
-    doc = nodes.join(nds, "route_id").select("route_id", F.from_xml(xml, schema).alias("o"))
-    points = doc.select("route_id", F.explode("o.node").alias("n")).select("route_id", F.col("n._id").alias("ref"), F.col("n._lat").alias("lat"), F.col("n._lon").alias("lon"))
-    ways = doc.select("route_id", F.explode("o.way").alias("w")).where(F.exists("w.tag", lambda t: (t["_k"] == "highway") & t["_v"].isin("path", "track", "footway")))
-    refs = ways.select("route_id", F.posexplode("w.nd").alias("pos", "nd")).select("route_id", "pos", F.col("nd._ref").alias("ref")).join(points, ["route_id", "ref"], "left")
-    whole = F.bool_and(F.col("lat").isNotNull()).over(Window.partitionBy("route_id"))
-    return refs.withColumn("whole", whole).where("whole").select("route_id", "pos", "lat", "lon")
-
-
 # writing ---------------------------------------------------------------------------------------------------------
 
 

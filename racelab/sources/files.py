@@ -17,6 +17,9 @@ _LINE = "struct<type:string,coordinates:array<array<double>>>"
 _GEOJSON = f"type string, coordinates array<array<double>>, geometry {_LINE}, features array<struct<geometry:{_LINE}>>"
 SNAPSHOT = "result_id long, headers array<string>, row array<string>, error string"
 
+#: The highways that are taken from an OSM file.
+WALKED = ("path", "footway", "track", "steps", "pedestrian", "service", "unclassified", "tertiary", "secondary", "residential", "living_street", "cycleway", "bridleway", "road")
+
 
 def document_id() -> Column:
     """The name of a row's file, without its folder and ending."""
@@ -49,6 +52,28 @@ def read_geojson(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("file", "line", "pos", F.col("c")[1].alias("lat"), F.col("c")[0].alias("lon"))
 
 
+def read_osm_ways(spark: SparkSession, folder: str, accepted: tuple[str, ...] = WALKED) -> DataFrame:
+    """(way, pos, lat, lon, highway, name, tags): the points, in order, of each way of an accepted highway in a folder of OSM files.
+
+    The files are scanned for nodes and for ways; a way gets its points from the nodes of all files. A way with a node
+    that no file has, or with fewer than two, drops out. Nodes and ways that several files repeat count once.
+    """
+    scan = lambda tag, schema: spark.read.format("xml").option("rowTag", tag).option("recursiveFileLookup", "true").schema(schema).load(folder)
+    nodes = scan("node", "_id long, _lat double, _lon double").where("_id is not null and _lat is not null and _lon is not null")
+    nodes = nodes.groupBy(F.col("_id").alias("ref")).agg(F.min(F.struct(F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))).alias("at"))
+    ways = scan("way", "_id long, nd array<struct<_ref:long>>, tag array<struct<_k:string,_v:string>>").where("_id is not null")
+    pairs = F.coalesce(F.filter("tag", lambda t: t["_k"].isNotNull()), F.array().cast("array<struct<_k:string,_v:string>>"))
+    # of a repeated key the last counts
+    tags = F.map_from_entries(F.filter(pairs, lambda t, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda u: u["_k"] == t["_k"])))
+    refs = F.transform(F.filter("nd", lambda n: n["_ref"].isNotNull()), lambda n: n["_ref"])
+    ways = ways.select(F.col("_id").alias("way"), refs.alias("refs"), tags.alias("tags")).where(F.try_element_at("tags", F.lit("highway")).isin(*accepted) & (F.size("refs") >= 2))
+    ways = ways.groupBy("way").agg(F.min_by(F.struct("refs", "tags"), F.to_json(F.struct("refs", "tags"))).alias("w")).select("way", "w.*")
+    found = ways.select("way", F.posexplode("refs").alias("pos", "ref")).join(nodes, "ref", "left")
+    whole = found.groupBy("way").agg(F.bool_and(F.col("at").isNotNull()).alias("whole")).where("whole").select("way")
+    named = ways.select("way", F.try_element_at("tags", F.lit("highway")).alias("highway"), F.try_element_at("tags", F.lit("name")).alias("name"), "tags")
+    return found.join(whole, "way").join(named, "way").select("way", "pos", "at.lat", "at.lon", "highway", "name", "tags")
+
+
 def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """A provider's records, a JSON object on each line; a line that can't be read has nulls only."""
     return spark.read.schema(SNAPSHOT).json(folder)

@@ -54,3 +54,22 @@ def test_bundles(spark, tmp_path):
     total = [p for parts in by_race.values() for p in parts]
     want = {race: (len(parts), sum(n for *_, n in parts), hashlib.sha256("".join(sorted(h for _, h, _ in parts)).encode()).hexdigest()) for race, parts in [*by_race.items(), (None, total)]}
     assert {r["race_key"]: (r["files"], r["bytes"], r["sha256"]) for r in files.manifest(spark, folder).collect()} == want
+
+
+def test_osm(spark, tmp_path):
+    """Ways over several files with shared and repeated nodes, several tags, and ways that drop out."""
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/1.osm").write_text(
+        '<?xml version="1.0"?>\n<osm version="0.6"><node id="1" lat="1.5" lon="10"/><node id="2" lat="2.5" lon="20"><tag k="x" v="y"/></node>\n'
+        '<way id="70"><nd ref="1"/><nd ref="2"/><nd ref="3"/><nd ref="1"/><tag k="name" v="Old"/><tag k="highway" v="path"/><tag k="name" v="Round"/></way>\n'
+        '<way id="71"><nd ref="1"/><nd ref="2"/><tag k="highway" v="motorway"/></way><way id="72"><nd ref="1"/><nd ref="99"/><tag k="highway" v="path"/></way></osm>'
+    )
+    (tmp_path / "2.osm").write_text(
+        '<osm><node id="2" lat="2.5" lon="20"/><node id="3" lat="-3" lon="30"/><node id="4" lat="4"/>'
+        '<way id="73"><nd ref="3"/><nd ref="2"/><tag k="highway" v="track"/></way><way id="73"><nd ref="3"/><nd ref="2"/><tag k="highway" v="track"/></way>'
+        '<way id="74"><nd ref="1"/><tag k="highway" v="path"/></way><way id="75"><nd ref="1"/><nd ref="4"/><tag k="highway" v="path"/></way><way id="76"><nd ref="1"/><nd ref="2"/></way></osm>'
+    )
+    out = [(r["way"], r["pos"], r["lat"], r["lon"], r["highway"], r["name"]) for r in files.read_osm_ways(spark, str(tmp_path)).orderBy("way", "pos").collect()]
+    round_ = [(70, i, lat, lon, "path", "Round") for i, (lat, lon) in enumerate([(1.5, 10), (2.5, 20), (-3, 30), (1.5, 10)])]
+    assert out == [*round_, (73, 0, -3, 30, "track", None), (73, 1, 2.5, 20, "track", None)]
+    assert {r["way"] for r in files.read_osm_ways(spark, str(tmp_path), ("motorway",)).collect()} == {71}
