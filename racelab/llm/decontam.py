@@ -113,8 +113,8 @@ def _judged(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame
     own = docs.select("doc_id", "text")
 
     def facts_of(ws: Column) -> Column:
-        # size 0: the number of words, under a hash that spreads the rows
-        number = F.array(F.struct(F.lit(0).alias("size"), F.hash(F.size(ws)).cast("long").alias("hash"), F.size(ws).alias("place")))
+        # size 0: the number of words, under a hash of the row, so no two rows need meet
+        number = F.array(F.struct(F.lit(0).alias("size"), F.xxhash64("doc_id", "text").alias("hash"), F.size(ws).alias("place")))
         if not sizes:
             return number
         tagged = lambda h, t: F.transform(fingerprints(h, t), lambda p: F.struct(F.lit(t).alias("size"), p["hash"].alias("hash"), p["place"].alias("place")))

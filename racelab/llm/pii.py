@@ -23,6 +23,8 @@ THRESHOLD = 0.5
 #: Context words count within so many code points around a span.
 NEAR = 40
 CONTEXT_BONUS = 0.3
+#: Where a bank account number passes mod-97 without a registered country's length: context has to confirm it.
+UNREGISTERED = 0.3
 _LOCAL, _LABEL = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
 #: What follows the first four characters of a bank account number: at most 34 characters in all, spaces not counted.
 _REST = r"(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
@@ -73,6 +75,13 @@ def _valid(kind: str) -> Callable[[Column], Column]:
     return lambda m: F.lit(True)
 
 
+def _registered_length(number: Column) -> Column:
+    """Whether a bank account number is as long as its country's are; false for countries that have none."""
+    lengths = F.create_map(*(F.lit(x) for pair in ACCOUNT_LENGTHS.items() for x in pair))
+    registered = F.try_element_at(lengths, F.substr(number, F.lit(1), F.lit(2)))
+    return F.coalesce(F.length(F.replace(number, F.lit(" "), F.lit(""))) == registered, F.lit(False))
+
+
 def account_in(run: Column) -> Column:
     """The bank account number at the start of a text, null if none is there.
 
@@ -139,7 +148,8 @@ def spans_of(text: Column, kind: str) -> Column:
             beyond = F.length(s["m"]) - F.length(pieces[s["i"]]["m"])  # an account goes on behind its match
             right = F.substr(_after(pieces, s["i"], NEAR + _ACCOUNT), beyond + 1, F.lit(NEAR)) if kind == "iban" else _after(pieces, s["i"], NEAR)
             around = F.concat_ws(" ", _before(pieces, s["i"], NEAR), right)
-            value = F.lit(score) + F.when(around.rlike(context), CONTEXT_BONUS).otherwise(0.0)
+            start_score = F.when(_registered_length(s["m"]), score).otherwise(UNREGISTERED) if kind == "iban" else F.lit(score)
+            value = start_score + F.when(around.rlike(context), CONTEXT_BONUS).otherwise(0.0)
             return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), value.alias("score"))
 
         def confirmed(ends_: Column) -> Column:

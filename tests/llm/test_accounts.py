@@ -15,7 +15,8 @@ CASES = [
     (f"{DE} {GB} {FR} {NO} 12 AB", [DE, GB, FR, NO]),
     (f"é😀 REF AB12 3456 7890 {DE} EUR 100", [DE]),
     (f"REF AB12 3456 {NO} AND {GB} TOO", [NO, GB]),
-    (f"{ZZ} XY 99", [ZZ]),
+    (f"{ZZ} XY 99", []),
+    (f"bank {ZZ} XY 99", [ZZ]),
     (f"{DE[:-1]}1 BIC COBADEFF", []),
     (f"X{DE} BIC", []),
     (f"{DE.replace(' ', '')}A2 BIC", []),
@@ -53,6 +54,8 @@ SCORED = [
     (f"to the bank account {DE} or {GB} now", [("iban", 20, 47, 0.9), ("iban", 51, 73, 0.9)]),
     (f"{DE} {'x' * 32} bank", [("iban", 0, 27, 0.9)]),
     (f"{DE} {'x' * 40} bank", [("iban", 0, 27, 0.6)]),
+    (f"{ZZ} alone", []),
+    (f"{ZZ} is my account", [("iban", 0, 21, 0.6)]),
     ("host 10.0.0.1, then 10.0.0.2", [("ip", 5, 13, 0.9), ("ip", 20, 28, 0.9)]),
     ("x 10.0.0.1", [("ip", 2, 10, 0.6)]),
 ]
