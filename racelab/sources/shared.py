@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
+    """A new folder below ``spark.checkpoint.dir``; those of a session are removed as it ends.
 
     Without that setting a local session has one below its temporary folder, removed as Python ends; any other fails.
     """
@@ -20,8 +20,24 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_folder()
-    return f"{root.rstrip('/')}/racelab-{uuid.uuid4().hex}"
+        return f"{_local_folder()}/{uuid.uuid4().hex}"
+    return f"{_session_folder(spark, root.rstrip('/'))}/{uuid.uuid4().hex}"
+
+
+_SESSION_FOLDERS: dict[tuple[str, str], str] = {}
+
+
+def _session_folder(spark: SparkSession, root: str) -> str:
+    """The folder of this application below ``root``, which Hadoop's file system removes as the driver's JVM ends."""
+    key = spark.sparkContext.applicationId, root
+    if key not in _SESSION_FOLDERS:
+        folder = f"{root}/racelab-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _SESSION_FOLDERS[key] = folder
+    return _SESSION_FOLDERS[key]
 
 
 def stored(df: DataFrame) -> DataFrame:
