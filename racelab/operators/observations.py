@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,52 +14,57 @@ def starter() -> Column:
     return F.col("status").isin("FINISHED", "DNF", "DSQ")
 
 
-def observations(results: DataFrame, checkpoints: DataFrame, splits: DataFrame) -> DataFrame:
-    """One row for each result and boundary: seconds and place, null where none was published.
+def with_passages(results: DataFrame, splits: DataFrame) -> DataFrame:
+    """Results with their few ``passages`` in the row: one shuffle by rid."""
+    each = splits.groupBy("rid").agg(F.collect_list(F.struct("cp_key", "elapsed_seconds", "place_overall")).alias("passages"))
+    return results.join(each, "rid", "left")
 
-    The start is 0 unless the result is DNS or UNKNOWN; the finish is known of finishers only; nothing is interpolated.
-    A race's few boundaries and a result's few passages stand in its row until they are laid out, so results and
-    passages meet by rid alone, and what follows by rid needs no further shuffle.
+
+def laid_out(results: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """Results with ``passages`` and ``overall_place``: these become ``observed``, the row's observations by boundary.
+
+    An observation has seconds and place, null where none was published. The start is 0 unless the result is DNS or
+    UNKNOWN; the finish is known of finishers only; nothing is interpolated. A race's boundaries are few, so they and
+    all that follows of them stay in the result's row.
     """
-    catalog = checkpoints.groupBy("race_key").agg(F.collect_list(F.struct("cp_key", "seq", "km")).alias("boundaries"))
-    passage = F.struct("elapsed_seconds", "place_overall").alias("p")
-    passed = splits.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("cp_key", passage))).alias("passed"))
-    grid = results.join(catalog, "race_key").join(passed, "rid", "left").select(*results.columns, "passed", F.inline("boundaries"))
-    key, seen = F.col("cp_key"), F.try_element_at("passed", F.col("cp_key"))
-    seconds = (
-        F.when(key == "start", F.when(~F.col("status").isin("DNS", "UNKNOWN"), F.lit(0.0)))
-        .when(key == "finish", F.when(finished(), F.col("finish_seconds")))
-        .otherwise(seen["elapsed_seconds"])
-    )
-    place = F.when(key == "finish", F.col("overall_place")).otherwise(seen["place_overall"])
-    return grid.select(*results.columns, "cp_key", "seq", "km", seconds.alias("seconds"), place.alias("place"))
-
-
-def segments(obs: DataFrame) -> DataFrame:
+    catalog = checkpoints.groupBy("race_key").agg(F.array_sort(F.collect_list(F.struct("seq", "cp_key", "km"))).alias("boundaries"))
+
+    def observation(b: Column) -> Column:
+        seen = lambda c: F.get(F.filter("passages", lambda p: p["cp_key"] == b["cp_key"]), F.lit(0))[c]
+        seconds = (
+            F.when(b["cp_key"] == "start", F.when(~F.col("status").isin("DNS", "UNKNOWN"), F.lit(0.0)))
+            .when(b["cp_key"] == "finish", F.when(finished(), F.col("finish_seconds")))
+            .otherwise(seen("elapsed_seconds"))
+        )
+        place = F.when(b["cp_key"] == "finish", F.col("overall_place")).otherwise(seen("place_overall"))
+        return F.struct(b["cp_key"].alias("cp_key"), b["seq"].alias("seq"), b["km"].alias("km"), seconds.alias("seconds"), place.alias("place"))
+
+    kept = [c for c in results.columns if c != "passages"]
+    return results.join(catalog, "race_key").select(*kept, F.transform("boundaries", observation).alias("observed"))
+
+
+def observations(laid: DataFrame) -> DataFrame:
+    """One row for each result and boundary: cp_key, seq, km, seconds, place."""
+    return laid.select(*(c for c in laid.columns if c != "observed"), F.inline("observed"))
+
+
+def segments(laid: DataFrame) -> DataFrame:
     """Between consecutive boundaries: seconds if positive, km, pace and places gained."""
-    w = Window.partitionBy("rid").orderBy("seq")
-    ahead = obs.select("*", *(F.lead(c).over(w).alias(f"to_{c}") for c in ("cp_key", "seconds", "km", "place")))
-    took = F.col("to_seconds") - F.col("seconds")
-    km = F.col("to_km") - F.col("km")
-    kept = [c for c in obs.columns if c not in ("cp_key", "seq", "km", "seconds", "place")]
-    return ahead.where("to_cp_key is not null").select(
-        *kept, F.col("seq").alias("seg_no"), F.col("cp_key").alias("from_key"), F.col("to_cp_key").alias("to_key"),
+    o = F.col("observed")
+    pairs = F.transform(F.slice(o, 1, F.greatest(F.size(o) - 1, F.lit(0))), lambda x, i: F.struct(x.alias("a"), F.get(o, i + 1).alias("b")))
+    kept = [c for c in laid.columns if c != "observed"]
+    x = laid.select(*kept, F.inline(pairs))
+    took, km = F.col("b.seconds") - F.col("a.seconds"), F.col("b.km") - F.col("a.km")
+    return x.select(
+        *kept, F.col("a.seq").alias("seg_no"), F.col("a.cp_key").alias("from_key"), F.col("b.cp_key").alias("to_key"),
         F.when(took > 0, took).alias("seconds"), km.alias("km"), F.when(took > 0, took / km).alias("pace"),
-        (F.col("place") - F.col("to_place")).alias("gain"), F.col("to_seconds").alias("elapsed"), "to_place",
+        (F.col("a.place") - F.col("b.place")).alias("gain"), F.col("b.seconds").alias("elapsed"), F.col("b.place").alias("to_place"),
     )
 
 
-def complete_cohort(obs: DataFrame) -> DataFrame:
-    """rid of finishers seen at every boundary of their own race."""
-    bounds = F.count("*")  # a result has one row for each boundary of its race
-    return obs.where(finished()).groupBy("rid").agg(F.count("seconds").alias("seen"), bounds.alias("n")).where("seen = n").select("rid")
-
-
-def of_complete_cohort(obs: DataFrame) -> DataFrame:
-    """The observations of that cohort, counted in a window: segments need the same rows together anyway."""
-    w = Window.partitionBy("rid")
-    seen = F.count("seconds").over(w) == F.count("*").over(w)
-    return obs.where(finished()).withColumn("_seen", seen).where("_seen").drop("_seen")
+def of_complete_cohort(laid: DataFrame) -> DataFrame:
+    """Finishers seen at every boundary of their own race."""
+    return laid.where(finished() & F.forall("observed", lambda x: x["seconds"].isNotNull()))
 
 
 def at_least(n: int, value: Column, count: Column | str = "n") -> Column:

@@ -21,12 +21,6 @@ def nearest_rank(value: str, q: float) -> Column:
     return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {value})")
 
 
-def rounded_index(value: str, q: float) -> Column:
-    """The value at index round((n - 1) q), halves to even. Gathers a group's values: for groups as large as a race."""
-    ordered = F.sort_array(F.collect_list(value))
-    return F.get(ordered, F.bround((F.size(ordered) - 1) * q).cast("int"))
-
-
 def distribution(value: str, prefix: str = "") -> list[Column]:
     """n, median, quartiles and outer deciles of a column."""
     n = F.count(value)

@@ -19,13 +19,23 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return fx.table(self.spark, self.sf, name)
 
+    @cached_property
+    def most(self) -> int:
+        """As many results as a race can have at most: the rows of the table, which its files' footers tell."""
+        return self.table("orders").count()
+
+    @cached_property
+    def timed(self) -> DataFrame:
+        """Results with the seconds at checkpoints."""
+        return fx.timed_results(self.spark, self.sf)
+
     @cached_property
     def results(self) -> DataFrame:
         return fx.results(self.spark, self.sf)
 
     @cached_property
     def placed(self) -> DataFrame:
-        return fx.places(self.results)
+        return fx.placed(self.results, ["overall_place", "gender_place", "class_place"], self.most)
 
     @cached_property
     def races(self) -> DataFrame:
@@ -37,24 +47,30 @@ class Data:
 
     @cached_property
     def splits(self) -> DataFrame:
-        return fx.splits(self.spark, self.sf, self.results)
+        return fx.splits(fx.placed(self.timed, ["place_1", "place_2"], self.most))
+
+    @cached_property
+    def laid(self) -> DataFrame:
+        """Results with their observations in the row."""
+        placed = fx.placed(self.timed, list(fx.PLACES), self.most).withColumn("passages", fx.passages())
+        return ob.laid_out(placed.drop("elapsed_1", "elapsed_2", "place_1", "place_2"), self.checkpoints)
 
     @cached_property
     def obs(self) -> DataFrame:
-        return ob.observations(self.placed, self.checkpoints, self.splits)
+        return ob.observations(self.laid)
 
     @cached_property
     def segments(self) -> DataFrame:
-        return ob.segments(self.obs)
+        return ob.segments(self.laid)
 
     @cached_property
     def complete(self) -> DataFrame:
-        return ob.complete_cohort(self.obs)
+        return ob.of_complete_cohort(self.laid).select("rid")
 
     @cached_property
     def cohort_segments(self) -> DataFrame:
         """Segments of results that were seen at every boundary."""
-        return ob.segments(ob.of_complete_cohort(self.obs))
+        return ob.segments(ob.of_complete_cohort(self.laid))
 
     @cached_property
     def courses(self) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from racelab.operators import stats as st
 from racelab.operators.observations import at_least, finished, segments
 from racelab.plans.base import Book, Data
-from racelab.plans.joins import CP_PAIRS, beside_winner, checkpoint_pairs, leader_observations
+from racelab.plans.joins import CP_PAIRS, beside_winner, checkpoint_pairs, laid_leaders
 from racelab.plans.rankings import _SLOWER, slower
 from racelab.plans.segments import _REF, _SEG_STATS, segment_stats, with_reference
 from racelab.plans.stats import _EDITION, FIN, editions
@@ -68,7 +68,7 @@ _PAIR = "SELECT a.race_key, a.rid AS a, b.rid AS b FROM f_places a JOIN f_places
 
 @query(f"SELECT p.race_key, p.a, p.b, x.seg_no, y.seconds - x.seconds AS delta FROM ({_PAIR}) p JOIN f_seg x ON x.rid = p.a JOIN f_seg y ON y.rid = p.b AND x.seg_no = y.seg_no WHERE x.seconds IS NOT NULL AND y.seconds IS NOT NULL")
 def cmp_segment_duel(d: Data) -> DataFrame:
-    known = segments(leader_observations(d)).where("seconds is not null").select("race_key", "rid", "overall_place", "seg_no", "seconds")
+    known = segments(laid_leaders(d)).where("seconds is not null").select("race_key", "rid", "overall_place", "seg_no", "seconds")
     x = beside_winner(known, "seg_no", {"seconds": "s"}).where("sa is not null")
     return x.select("race_key", "a", "b", "seg_no", (F.col("sb") - F.col("sa")).alias("delta"))
 
@@ -81,7 +81,7 @@ def cmp_vs_field(d: Data) -> DataFrame:
 
 @query(f"SELECT race_key, a, b, cp_key, pa, pb FROM ({CP_PAIRS}) WHERE pa IS NOT NULL AND pb IS NOT NULL")
 def cmp_placement_journey(d: Data) -> DataFrame:
-    return checkpoint_pairs(d).where("pa is not null and pb is not null").select("race_key", "a", "b", "cp_key", "pa", "pb")
+    return checkpoint_pairs(d, places=True).where("pa is not null and pb is not null").select("race_key", "a", "b", "cp_key", "pa", "pb")
 
 
 _WIN = "SELECT race_key, rid, finish_seconds FROM f_places WHERE overall_place = 1"
@@ -101,7 +101,7 @@ _PERSON_RESULTS = f"SELECT r.custkey, r.race_key, r.rid, r.status, r.finish_seco
 @query(_PERSON_RESULTS)
 def cmp_person_results(d: Data) -> DataFrame:
     """Every person's results across editions, side by side."""
-    pct = slower(d.results).select("rid", (100.0 * F.col("slower") / F.col("n")).alias("percentile"))
+    pct = slower(d.results, d.most).select("rid", (100.0 * F.col("slower") / F.col("n")).alias("percentile"))
     return d.results.join(pct, "rid", "left").select("custkey", "race_key", "rid", "status", "finish_seconds", "percentile")
 
 

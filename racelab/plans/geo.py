@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.operators import geo as g
+from racelab.operators import ranks
 from racelab.operators import stats as st
 from racelab.operators.observations import finished
 from racelab.plans.base import Book, Data
@@ -272,9 +273,10 @@ def rep_ascent_remaining(d: Data) -> DataFrame:
 
 @query(f"SELECT race_key, t, rid, rank() OVER (PARTITION BY race_key, t ORDER BY round(km, 6) DESC) AS rank, round(max(km) OVER (PARTITION BY race_key, t) - km, 5) AS behind_km FROM ({_AT})")
 def rep_leaderboard(d: Data) -> DataFrame:
-    w = Window.partitionBy("race_key", "t")
-    x = distance_at(anchors(d), _TIMES)
-    return x.select("race_key", "t", "rid", F.rank().over(w.orderBy(F.desc(F.round("km", 6)))).alias("rank"), F.round(F.max("km").over(w) - F.col("km"), 5).alias("behind_km"))
+    x = distance_at(anchors(d), _TIMES).withColumn("at", F.round("km", 6))
+    x = ranks.standings(x, ["race_key", "t"], "at", "rank", d.most)
+    x = ranks.with_largest(x, ["race_key", "t"], "km", "first", d.most)
+    return x.select("race_key", "t", "rid", "rank", F.round(F.col("first") - F.col("km"), 5).alias("behind_km"))
 
 
 @query(f"SELECT race_key, rid, t, round(km, 6) AS km, round(60 - km, 6) AS left_km, CASE WHEN km + 0.001::DOUBLE >= 60 THEN 'finish' WHEN km + 0.001::DOUBLE >= 45 THEN 'cp2' WHEN km + 0.001::DOUBLE >= 20 THEN 'cp1' ELSE 'start' END AS last_cp FROM ({_AT})")

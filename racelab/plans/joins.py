@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
-from racelab.operators.observations import finished, observations, starter
+from racelab.operators import stats as st
+from racelab.operators.observations import finished, laid_out, observations, starter
 from racelab.plans.base import Book, Data
 from racelab.plans.stats import FIN, START
+from racelab.sources import fixtures as fx
 
 book = Book()
 query = book.query
@@ -53,9 +55,8 @@ def jn_anti_cascade(d: Data) -> DataFrame:
 
 
 def leaders(d: Data, most: int = 5) -> DataFrame:
-    """The results on the first places, with overall_place: Spark keeps each task's first rows only before it shuffles."""
-    place = F.row_number().over(Window.partitionBy("race_key").orderBy("finish_seconds", "rid"))
-    return d.results.where("finish_seconds is not null").withColumn("overall_place", place).where(F.col("overall_place") <= most)
+    """The timed results on the first places, with overall_place: Spark keeps each task's first rows only before it shuffles."""
+    return st.top(d.timed.where("finish_seconds is not null"), most, ["race_key"], F.col("finish_seconds"), F.col("rid")).withColumnRenamed("rank", "overall_place")
 
 
 def beside_winner(rows: DataFrame, at: str, values: dict[str, str]) -> DataFrame:
@@ -69,13 +70,17 @@ def beside_winner(rows: DataFrame, at: str, values: dict[str, str]) -> DataFrame
     return x.where("overall_place > 1").withColumnsRenamed({"rid": "b"} | {c: f"{name}b" for c, name in values.items()})
 
 
-def leader_observations(d: Data) -> DataFrame:
-    return observations(leaders(d), d.checkpoints, d.splits)
+def laid_leaders(d: Data, places: bool = False) -> DataFrame:
+    """The leaders' observations in their rows; with their places at checkpoints if asked for."""
+    first = leaders(d)
+    if places:
+        first = first.join(fx.placed(d.timed.select("rid", "race_key", "sex", "elapsed_1", "elapsed_2"), ["place_1", "place_2"], d.most).select("rid", "place_1", "place_2"), "rid")
+    return laid_out(first.withColumn("passages", fx.passages(tuple(first.columns))), d.checkpoints)
 
 
-def checkpoint_pairs(d: Data) -> DataFrame:
+def checkpoint_pairs(d: Data, places: bool = False) -> DataFrame:
     """(race_key, a, b, cp_key, seq, sa, sb, pa, pb): both sides' observations at shared checkpoints."""
-    known = leader_observations(d).where("seconds is not null").select("race_key", "rid", "overall_place", "cp_key", "seq", "seconds", "place")
+    known = observations(laid_leaders(d, places)).where("seconds is not null").select("race_key", "rid", "overall_place", "cp_key", "seq", "seconds", "place")
     return beside_winner(known, "cp_key", {"seconds": "s", "place": "p"}).where("sa is not null").drop("overall_place")
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from racelab.operators import ranks
 from racelab.operators import stats as st
 from racelab.operators.observations import finished
 from racelab.plans.base import Book, Data
 from racelab.plans.segments import _REF, with_reference
 from racelab.plans.stats import FIN
+from racelab.sources.shared import stored
 
 book = Book()
 query = book.query
@@ -21,13 +23,12 @@ FROM f_segc s LEFT JOIN r ON r.race_key = s.race_key AND r.seg_no = s.seg_no AND
 def rnk_segment(d: Data) -> DataFrame:
     """Ranks of each segment by time and by places gained, and the time against the own class's median."""
     keys = ["race_key", "seg_no"]
-    w, own = Window.partitionBy(*keys), Window.partitionBy(*keys, "class_name")
-    ref = F.when(F.col("class_name").isNotNull() & (F.count("seconds").over(own) >= 5), F.percentile("seconds", F.lit(0.5)).over(own))
-    known = d.cohort_segments.where("seconds is not null").select(*keys, "rid", "class_name", "seconds", "gain").repartition(*keys)  # one shuffle for all windows
-    return known.select(
-        *keys, "rid", (F.col("seconds") / ref).alias("relative"), F.row_number().over(w.orderBy("seconds", "rid")).alias("rank_time"),
-        F.row_number().over(w.orderBy(F.desc_nulls_last("gain"), "rid")).alias("rank_gain"),
-    )
+    known = d.cohort_segments.where("seconds is not null").select(*keys, "rid", "class_name", "seconds", "gain")
+    known = known.repartition(*keys) if ranks.fits(d.most) else stored(known)  # one shuffle for all windows
+    ref = known.where("class_name is not null").groupBy(*keys, "class_name").agg(at_least_five("seconds").alias("ref"))
+    by_time = ranks.numbered(known, keys, [F.col("seconds"), F.col("rid")], "rank_time", d.most)
+    both = ranks.numbered(by_time, keys, [F.desc_nulls_last("gain"), F.col("rid")], "rank_gain", d.most)
+    return both.join(ref, [*keys, "class_name"], "left").select(*keys, "rid", (F.col("seconds") / F.col("ref")).alias("relative"), "rank_time", "rank_gain")
 
 
 def at_least_five(value: str) -> Column:
@@ -131,12 +132,9 @@ def rnk_club_finishers(d: Data) -> DataFrame:
     return st.top(x, 5, ["race_key", "club", "sex"], F.col("finish_seconds"), F.col("rid")).select("race_key", "club", "sex", "rank", "rid", "finish_seconds")
 
 
-def slower(results: DataFrame) -> DataFrame:
+def slower(results: DataFrame, within: int) -> DataFrame:
     """Finishers with n, the finishers of their race, and how many of those are slower; ties aren't."""
-    race = Window.partitionBy("race_key")
-    n = F.count("*").over(race)
-    # the default frame of an ordered window takes ties in
-    return results.where(finished()).select("*", n.alias("n"), (n - F.count("*").over(race.orderBy("finish_seconds"))).alias("slower"))
+    return ranks.slower(results.where(finished()), ["race_key"], "finish_seconds", within)
 
 
 _SLOWER = f"SELECT *, count(*) OVER (PARTITION BY race_key) AS n, count(*) OVER (PARTITION BY race_key) - count(*) OVER (PARTITION BY race_key ORDER BY finish_seconds) AS slower FROM f_results WHERE {FIN}"
@@ -144,12 +142,12 @@ _SLOWER = f"SELECT *, count(*) OVER (PARTITION BY race_key) AS n, count(*) OVER
 
 @query(f"SELECT race_key, rid, 100.0::DOUBLE * slower / n AS percentile FROM ({_SLOWER})")
 def rnk_field_percentile(d: Data) -> DataFrame:
-    return slower(d.results).select("race_key", "rid", (100.0 * F.col("slower") / F.col("n")).alias("percentile"))
+    return slower(d.results, d.most).select("race_key", "rid", (100.0 * F.col("slower") / F.col("n")).alias("percentile"))
 
 
 @query(f"SELECT race_key, rid, CASE WHEN n > 1 THEN 100.0::DOUBLE * slower / (n - 1) END AS percentile FROM ({_SLOWER})")
 def rnk_profile_percentile(d: Data) -> DataFrame:
-    return slower(d.results).select("race_key", "rid", F.when(F.col("n") > 1, 100.0 * F.col("slower") / (F.col("n") - 1)).alias("percentile"))
+    return slower(d.results, d.most).select("race_key", "rid", F.when(F.col("n") > 1, 100.0 * F.col("slower") / (F.col("n") - 1)).alias("percentile"))
 
 
 @query("SELECT race_key, rid, finish_seconds, overall_place FROM f_places WHERE finish_seconds > 0 AND overall_place > 0 AND race_key IN (SELECT race_key FROM f_places WHERE finish_seconds > 0 GROUP BY 1 HAVING count(*) >= 2)")
@@ -262,8 +260,8 @@ def srt_locale_numeric(d: Data) -> DataFrame:
 
 @query("SELECT race_key, rid, row_number() OVER (PARTITION BY race_key ORDER BY coalesce(overall_place, 999999), name, rid) AS n FROM f_places")
 def srt_export_order(d: Data) -> DataFrame:
-    w = Window.partitionBy("race_key").orderBy(F.coalesce("overall_place", F.lit(999999)), "name", "rid")
-    return d.placed.select("race_key", "rid", F.row_number().over(w).alias("n"))
+    rows = d.placed.select("race_key", "rid", "name", F.coalesce("overall_place", F.lit(999999)).alias("place"))
+    return ranks.numbered(rows, ["race_key"], [F.col("place"), F.col("name"), F.col("rid")], "n", d.most).select("race_key", "rid", "n")
 
 
 @query("SELECT race_key, count(*) AS records FROM f_results GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")

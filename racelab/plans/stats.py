@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from racelab.operators import ranks
 from racelab.operators import stats as st
 from racelab.operators.observations import at_least, finished, starter
 from racelab.plans.base import Book, Data
@@ -26,13 +27,13 @@ def agg_quantile(d: Data) -> DataFrame:
 
 @query("SELECT race_key, quantile_disc(finish_seconds, 0.5) AS p50, quantile_disc(finish_seconds, 0.95) AS p95 FROM f_results GROUP BY race_key")
 def agg_quantile_nearest_rank(d: Data) -> DataFrame:
-    return d.results.groupBy("race_key").agg(st.nearest_rank("finish_seconds", 0.5).alias("p50"), st.nearest_rank("finish_seconds", 0.95).alias("p95"))
+    return ranks.order_statistics(d.results, ["race_key"], "finish_seconds", {"p50": ranks.nearest_rank_at(0.5), "p95": ranks.nearest_rank_at(0.95)})
 
 
 @query("""SELECT race_key, l[CAST(round_even((len(l) - 1) * 0.9::DOUBLE, 0) AS BIGINT) + 1] AS p90 FROM (
   SELECT race_key, list_sort(list(finish_seconds) FILTER (WHERE finish_seconds IS NOT NULL)) AS l FROM f_results GROUP BY race_key)""")
 def agg_quantile_rounded_index(d: Data) -> DataFrame:
-    return d.results.groupBy("race_key").agg(st.rounded_index("finish_seconds", 0.9).alias("p90"))
+    return ranks.order_statistics(d.results, ["race_key"], "finish_seconds", {"p90": ranks.rounded_at(0.9)})
 
 
 _DIST = """count(t) AS n, CASE WHEN count(t) >= 5 THEN quantile_cont(t, 0.5) END AS median, CASE WHEN count(t) >= 10 THEN quantile_cont(t, 0.25) END AS q25,

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from racelab.operators import ranks
+
 NOMINAL_KM = 60.0
 #: Checkpoints of every race: key, sequence, km, label.
 CHECKPOINTS = (("start", 0, 0.0, "Start"), ("cp1", 1, 20.0, "20 km"), ("cp2", 2, 45.0, "45 km"), ("finish", 3, 60.0, "Finish"))
@@ -20,15 +22,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def segment_sums(spark: SparkSession, sf: str) -> DataFrame:
-    """Seconds per order and leg; repeated line items are summed first."""
-    line = F.col("l_linenumber")
-    cp = F.when(line <= 2, 1).when(line <= 4, 2).otherwise(3)
-    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k"), cp.alias("cp")).agg((F.sum("l_quantity") * 60).alias("secs"))
+def results(spark: SparkSession, sf: str) -> DataFrame:
+    return timed_results(spark, sf).drop("elapsed_1", "elapsed_2")
 
 
-def results(spark: SparkSession, sf: str) -> DataFrame:
-    total = segment_sums(spark, sf).groupBy("k").agg(F.sum("secs").alias("fs"))
+def timed_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Results with the seconds at both checkpoints: line items are summed up once for finish and passages."""
+    line, took = F.col("l_linenumber"), F.col("l_quantity")
+    leg = lambda c, name: (F.sum(F.when(c, took)) * 60).alias(name)
+    legs = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg((F.sum(took) * 60).alias("fs"), leg(line <= 2, "s1"), leg((line > 2) & (line <= 4), "s2"))
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     status = (
         F.when(F.col("o_orderstatus").isin("F", "O") & F.col("fs").isNotNull(), "FINISHED")
@@ -40,27 +42,40 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "orders")
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(total, key == F.col("k"), "left")
+        .join(legs, key == F.col("k"), "left")
     )
+    seen = lambda seconds: F.when(F.col("status") != "DNS", seconds)
     return joined.select(
         key.alias("rid"), F.concat_ws("-", year, family).alias("race_key"), year.alias("year"), family.alias("race_family"),
         F.col("c_name").alias("name"), key.cast("string").alias("bib"), F.col("o_orderpriority").alias("class_name"), F.col("n_name").alias("club"),
         F.element_at(F.array(F.lit("F"), F.lit("M"), F.lit(None)), (cust % 3 + 1).cast("int")).alias("sex"),
         F.when(cust % 7 != 0, (15 + cust % 60).cast("int")).alias("age"),
-        status.alias("status"), F.when(status == "FINISHED", F.col("fs")).alias("finish_seconds"), cust.alias("custkey"),
-    )
+        status.alias("status"), F.when(status == "FINISHED", F.col("fs")).alias("finish_seconds"), cust.alias("custkey"), "s1", "s2",
+    ).withColumns({"elapsed_1": seen(F.col("s1")), "elapsed_2": seen(F.coalesce("s1", F.lit(0)) + F.col("s2"))}).drop("s1", "s2")
 
 
-def places(res: DataFrame) -> DataFrame:
-    """Results with overall_place, gender_place and class_place, as published places would be."""
+#: Places as published: by which value, among rows of the same race and which other column.
+PLACES = {"overall_place": ("finish_seconds", None), "gender_place": ("finish_seconds", "sex"), "class_place": ("finish_seconds", "class_name"), "place_1": ("elapsed_1", None), "place_2": ("elapsed_2", None)}
 
-    def place(*keys: str) -> Column:
-        w = Window.partitionBy("race_key", "fin", *keys).orderBy("finish_seconds", "rid")
-        return F.when(F.col("fin"), F.row_number().over(w))
 
-    marked = res.withColumn("fin", F.col("finish_seconds").isNotNull()).repartition("race_key")  # one shuffle for all three
-    ranked = marked.select("*", place().alias("overall_place"), place("sex").alias("gender_place"), place("class_name").alias("class_place"))
-    return ranked.withColumn("gender_place", F.when(F.col("sex").isNotNull(), F.col("gender_place"))).drop("fin")
+def placed(rows: DataFrame, names: list[str], within: int | None) -> DataFrame:
+    """``rows`` with places; a race has ``within`` rows at most, see ``ranks``. Without a value, or a sex, there is no place."""
+    if ranks.fits(within):
+        rows = rows.repartition("race_key")  # one shuffle for all
+    for name in names:
+        value, among = PLACES[name]
+        known = F.col(value).isNotNull() & (F.col("sex").isNotNull() if among == "sex" else F.lit(True))
+        keys = ["race_key", "_known", *([among] if among else [])]
+        rows = ranks.numbered(rows.withColumn("_known", known), keys, [F.col(value), F.col("rid")], "_place", within)
+        rows = rows.withColumn(name, F.when(F.col("_known"), F.col("_place"))).drop("_known", "_place")
+    return rows
+
+
+def passages(names: tuple[str, ...] = ("place_1", "place_2")) -> Column:
+    """A row's published passages; their places where the row has them."""
+    place = lambda i: F.col(f"place_{i}") if f"place_{i}" in names else F.lit(None)
+    one = lambda i: F.struct(F.lit(f"cp{i}").alias("cp_key"), F.lit(i).alias("seq"), F.col(f"elapsed_{i}").alias("elapsed_seconds"), place(i).cast("int").alias("place_overall"))
+    return F.filter(F.array(one(1), one(2)), lambda p: p["elapsed_seconds"].isNotNull())
 
 
 def races(res: DataFrame) -> DataFrame:
@@ -79,15 +94,9 @@ def checkpoints(keys: DataFrame) -> DataFrame:
     return keys.select("race_key", F.inline(rows))
 
 
-def splits(spark: SparkSession, sf: str, res: DataFrame) -> DataFrame:
+def splits(rows: DataFrame) -> DataFrame:
     """Published passages: (race_key, rid, cp_key, seq, elapsed_seconds, place_overall)."""
-    running = F.sum("secs").over(Window.partitionBy("k").orderBy("cp"))
-    legs = segment_sums(spark, sf).select("k", "cp", running.alias("elapsed_seconds")).where("cp in (1, 2)")
-    place = F.row_number().over(Window.partitionBy("race_key", "cp").orderBy("elapsed_seconds", "rid"))
-    return (
-        legs.join(res.where("status <> 'DNS'").select("rid", "race_key"), F.col("k") == F.col("rid"))
-        .select("race_key", "rid", F.concat(F.lit("cp"), "cp").alias("cp_key"), F.col("cp").alias("seq"), "elapsed_seconds", place.alias("place_overall"))
-    )
+    return rows.select("race_key", "rid", F.inline(passages()))
 
 
 def courses(res: DataFrame) -> DataFrame:
