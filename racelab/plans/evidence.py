@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
+from racelab.operators import privacy as pv
 from racelab.operators.observations import finished, starter
 from racelab.plans.base import Book, Data
 from racelab.plans.stats import _FLAGS, _READY, FIN, START, agg_readiness
@@ -304,18 +305,57 @@ def registry(d: Data) -> DataFrame:
     return d.table("customer").where("c_custkey % 100 = 0").select(F.sha2(F.lower(F.trim("c_name")), 256).alias("fp"), F.when(k == 0, "remove").when(k == 1, "temporary").otherwise("restrict").alias("action"))
 
 
-@query(f"SELECT r.rid, g.action FROM f_results r JOIN ({_REG}) g ON g.fp = sha256(lower(trim(r.name)))")
+_PERSON = "lower('Customer ' || substr(c_name, 10))"
+#: Each seventh customer; nations and balances decide on actions, scopes, ends, reviews and, of some entries, faults.
+_ENTRIES = f"""SELECT CASE WHEN c_nationkey = 3 THEN upper(sha256({_PERSON})) ELSE sha256({_PERSON}) END AS fingerprint, CASE WHEN c_nationkey = 7 THEN 'hide' WHEN c_nationkey % 3 = 0 THEN 'remove_result' WHEN c_nationkey % 3 = 1 THEN 'temporary_restriction' ELSE 'restrict_identifiers' END AS action,
+  CASE WHEN c_nationkey % 4 = 0 THEN 'roster' ELSE '*' END AS scope, c_acctbal < 2000 AS ended, c_nationkey % 5 = 0 AS review, '1-URGENT' AS approved, CASE WHEN c_nationkey = 9 THEN c_name END AS name, c_nationkey FROM customer WHERE c_custkey % 7 = 0"""
+
+
+def person(name: Column) -> Column:
+    return F.concat(F.lit("Customer "), F.substr(name, F.lit(10)))
+
+
+def raw_registry(d: Data) -> DataFrame:
+    """A registry as it comes in, with faults."""
+    n = F.col("c_nationkey")
+    print_ = F.sha2(F.lower(person(F.col("c_name"))), 256)
+    return d.table("customer").where("c_custkey % 7 = 0").select(
+        F.when(n == 3, F.upper(print_)).otherwise(print_).alias("fingerprint"),
+        F.when(n == 7, "hide").when(n % 3 == 0, "remove_result").when(n % 3 == 1, "temporary_restriction").otherwise("restrict_identifiers").alias("action"),
+        F.array(F.when(n % 4 == 0, "roster").otherwise("*")).alias("scopes"),
+        F.when(F.col("c_acctbal") < 2000, F.lit("2001-01-01")).otherwise("2999-01-01").cast("timestamp").alias("expires"), (n % 5 == 0).alias("review"),
+        F.array(F.struct(F.lit("*").alias("scope"), F.create_map(F.lit("class_name"), F.lit("1-URGENT")).alias("identifiers"))).alias("approved"),
+        F.when(n == 9, F.col("c_name")).alias("name"),
+    )
+
+
+def sound_registry(d: Data) -> DataFrame:
+    """The entries that break no rule."""
+    return raw_registry(d).where(~(pv.RULES["bad_action"]() | pv.RULES["bad_fingerprint"]() | F.col("name").isNotNull())).drop("name")
+
+
+_SOUND = f"SELECT * FROM ({_ENTRIES}) WHERE c_nationkey NOT IN (3, 7, 9)"
+_RECORDS = "SELECT rid, class_name, unnest(CASE rid % 3 WHEN 0 THEN ['Customer ' || substr(name, 10)] WHEN 1 THEN ['Customer ' || substr(name, 10), substr(name, 10) || ' Customer'] ELSE [substr(name, 10) || ' Customer', 'Customer ' || substr(name, 10)] END) AS form FROM f_results"
+
+
+@query(f"""WITH h AS (SELECT rid, class_name, g.* FROM ({_RECORDS}) r JOIN ({_SOUND}) g ON g.fingerprint = sha256(lower(form)) WHERE scope = '*' AND NOT (action = 'temporary_restriction' AND ended))
+SELECT rid, arg_min(action, CASE action WHEN 'remove_result' THEN 1 WHEN 'temporary_restriction' THEN 2 ELSE 3 END) AS action, bool_or(review AND class_name <> approved) AS review FROM h GROUP BY 1""")
 def prv_match(d: Data) -> DataFrame:
-    """Results whose name's fingerprint is registered; the strongest action counts. The registry is joined by its
-    size: Spark broadcasts it while it is small."""
-    order = F.array(F.lit("remove"), F.lit("temporary"), F.lit("restrict"))
-    hits = d.results.withColumn("fp", tx.name_fingerprint(F.col("name"))).join(registry(d), "fp")
-    return hits.groupBy("rid").agg(F.min_by("action", F.array_position(order, F.col("action"))).alias("action"))
+    """Results that the registry knows, by a full name or by first and last name in either order, and who needs a review."""
+    parts = F.substr("name", F.lit(10))
+    given = lambda n, v: F.when(F.col("rid") % 3 == n, v)
+    records = d.results.select(
+        "rid", "class_name", given(0, person(F.col("name"))).alias("name"),
+        F.coalesce(given(1, F.lit("Customer")), given(2, parts)).alias("first_name"), F.coalesce(given(1, parts), given(2, F.lit("Customer"))).alias("last_name"),
+    )
+    names = pv.candidate_names(["name"], ["first_name"], ["last_name"])
+    return pv.matches(records, "rid", names, sound_registry(d), "results", F.lit("2026-01-01").cast("timestamp"), ["class_name"], abort=False)
 
 
-@query(f"SELECT count(*) AS entries, count(*) FILTER (WHERE NOT regexp_full_match(fp, '[0-9a-f]{{64}}')) AS bad_fingerprints, count(*) FILTER (WHERE action NOT IN ('remove', 'temporary', 'restrict')) AS bad_actions FROM ({_REG})")
+@query(f"SELECT count(*) AS entries, count(*) FILTER (WHERE action = 'hide') AS bad_action, count(*) FILTER (WHERE NOT regexp_full_match(fingerprint, '[0-9a-f]{{64}}')) AS bad_fingerprint, count(*) FILTER (WHERE name IS NOT NULL) AS plaintext FROM ({_ENTRIES})")
 def prv_registry_rules(d: Data) -> DataFrame:
-    return registry(d).agg(F.count("*").alias("entries"), F.count_if(~F.col("fp").rlike("^[0-9a-f]{64}$")).alias("bad_fingerprints"), F.count_if(~F.col("action").isin("remove", "temporary", "restrict")).alias("bad_actions"))
+    """A registry's breaches by rule; ``checked_registry`` refuses one that has any."""
+    return pv.registry_breaches(raw_registry(d))
 
 
 @query(f"SELECT r.rid, CASE WHEN g.fp IS NOT NULL THEN 'Protected participant' ELSE name END AS name, CASE WHEN g.fp IS NULL THEN bib END AS bib FROM f_results r LEFT JOIN ({_REG}) g ON g.fp = sha256(lower(trim(r.name)))")
@@ -325,11 +365,25 @@ def prv_mask_identity(d: Data) -> DataFrame:
     return x.select("rid", F.when(hit, "Protected participant").otherwise(F.col("name")).alias("name"), F.when(~hit, F.col("bib")).alias("bib"))
 
 
-@query(f"SELECT 'registered' AS name, count(*) AS value FROM f_results WHERE sha256(lower(trim(name))) IN (SELECT fp FROM ({_REG})) UNION ALL SELECT 'minor', count(*) FROM f_results WHERE {_MINOR}")
+_BLOCKED = f"SELECT fingerprint FROM ({_SOUND})"
+_FULL = "'Customer ' || substr(name, 10)"
+
+
+@query(f"""WITH r AS (SELECT rid, {_FULL} AS full, sha256(lower({_FULL})) IN ({_BLOCKED}) AS blocked, age FROM f_results), l AS (SELECT rid, blocked, age, unnest([1, 2, 3]) AS i FROM r)
+SELECT rid, path, breach FROM (SELECT rid, '$.name' AS path, CASE WHEN rid % 9 = 1 THEN 'masked_row' WHEN blocked AND rid % 2 = 0 THEN 'registered' END AS breach FROM r
+  UNION ALL SELECT rid, '$.team.members[1].runner.text', 'registered' FROM r WHERE blocked AND rid % 4 = 1 UNION ALL SELECT rid, '$.notes[0][0]', 'registered' FROM r WHERE blocked AND rid % 5 = 0
+  UNION ALL SELECT rid, '$.minor', 'minor' FROM f_results WHERE {_MINOR}) WHERE breach IS NOT NULL""")
 def prv_audit_public(d: Data) -> DataFrame:
-    """What a public table must not hold, counted."""
-    named = d.results.withColumn("fp", tx.name_fingerprint(F.col("name"))).join(registry(d), "fp", "left_semi").agg(F.lit("registered").alias("name"), F.count("*").alias("value"))
-    return named.unionByName(with_band(d).where(confirmed_minor(F.col("age"), F.col("band"))).agg(F.lit("minor").alias("name"), F.count("*").alias("value")))
+    """What published documents must not hold, wherever in them it stands: registered names, masked persons, minors."""
+    full, n = person(F.col("name")), F.col("rid")
+    hidden = lambda hit, other: F.when(hit, F.concat(F.lit("  "), F.upper(full), F.lit(" "))).otherwise(other)
+    name = F.when(n % 9 == 1, pv.SHOWN).otherwise(hidden(n % 2 == 0, F.lit("someone")))
+    runner = lambda text: F.struct(F.struct(text.alias("text"), n.alias("rid")).alias("runner"))
+    team = F.struct(F.array(runner(F.lit("first")), runner(hidden(n % 4 == 1, F.lit("second")))).alias("members"), "club")
+    notes = F.array(F.array(hidden(n % 5 == 0, F.lit(""))), F.array(F.lit("x"), F.lit(None)))
+    documents = d.results.select("rid", F.to_json(F.struct(name.alias("name"), team.alias("team"), notes.alias("notes"), "finish_seconds")).alias("doc"))
+    minors = with_band(d).where(confirmed_minor(F.col("age"), F.col("band"))).select("rid", F.lit("$.minor").alias("path"), F.lit("minor").alias("breach"))
+    return pv.audited(documents, "rid", "doc", sound_registry(d)).unionByName(minors)
 
 
 # catalogs --------------------------------------------------------------------------------------------------------
