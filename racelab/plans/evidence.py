@@ -161,11 +161,6 @@ def aud_keys(d: Data) -> DataFrame:
 _TIMES = dict(finished_without_time="status = 'FINISHED' AND finish_seconds IS NULL", other_with_time="status <> 'FINISHED' AND finish_seconds IS NOT NULL", not_positive="finish_seconds <= 0", very_long="finish_seconds > 20000")
 
 
-@query(_checks_sql("f_results", **_TIMES))
-def aud_times(d: Data) -> DataFrame:
-    return checks(d.results, **{n: F.expr(c) for n, c in _TIMES.items()})
-
-
 _VERDICT = _checks_sql("f_results", **_TIMES)
 
 
@@ -173,7 +168,7 @@ _VERDICT = _checks_sql("f_results", **_TIMES)
 def aud_verdict(d: Data) -> DataFrame:
     """PASS unless a rule that stops the build is broken; the others inform."""
     hard = F.col("name") != "very_long"
-    return aud_times(d).agg(F.when(F.bool_and(~hard | (F.col("value") == 0)), "PASS").otherwise("FAIL").alias("verdict"), F.count_if(F.col("value") > 0).alias("broken"))
+    return checks(d.results, **{n: F.expr(c) for n, c in _TIMES.items()}).agg(F.when(F.bool_and(~hard | (F.col("value") == 0)), "PASS").otherwise("FAIL").alias("verdict"), F.count_if(F.col("value") > 0).alias("broken"))
 
 
 @query("SELECT 'splits_without_result' AS name, count(*) AS value FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'results_without_splits', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -183,12 +178,6 @@ def aud_orphans(d: Data) -> DataFrame:
     return n(li, o, "splits_without_result").unionByName(n(o, li, "results_without_splits"))
 
 
-@query("SELECT r.race_key, count(*) FILTER (WHERE s.elapsed_seconds > r.finish_seconds) AS past_finish, count(*) FILTER (WHERE s.elapsed_seconds <= 0) AS not_positive FROM f_results r JOIN f_splits s ON s.rid = r.rid GROUP BY 1")
-def aud_chronology(d: Data) -> DataFrame:
-    x = d.results.join(d.splits.drop("race_key"), "rid")
-    return x.groupBy("race_key").agg(F.count_if(F.col("elapsed_seconds") > F.col("finish_seconds")).alias("past_finish"), F.count_if(F.col("elapsed_seconds") <= 0).alias("not_positive"))
-
-
 @query("SELECT e.race_family, e.year, f.race_key IS NOT NULL AS found FROM (SELECT DISTINCT a.race_family, b.year FROM f_races a, (SELECT CAST(unnest(range(1994, 2003)) AS INTEGER) AS year) b) e LEFT JOIN f_races f ON f.race_family = e.race_family AND f.year = e.year")
 def aud_coverage(d: Data) -> DataFrame:
     """Expected editions and whether they are there."""
@@ -196,33 +185,6 @@ def aud_coverage(d: Data) -> DataFrame:
     return expected.join(d.races, ["race_family", "year"], "left").select("race_family", "year", F.col("race_key").isNotNull().alias("found"))
 
 
-@query("SELECT course_version, count(*) AS editions, count(DISTINCT course_group) AS groups, count(DISTINCT coalesce(course_group, '-')) = 1 AS one_group FROM f_courses GROUP BY 1")
-def aud_config_integrity(d: Data) -> DataFrame:
-    """A course version belongs to one comparison group."""
-    g = F.coalesce("course_group", F.lit("-"))
-    return d.courses.groupBy("course_version").agg(F.count("*").alias("editions"), F.count_distinct("course_group").alias("groups"), (F.count_distinct(g) == 1).alias("one_group"))
-
-
-@query(f"""SELECT race_key, with_splits, coalesce(published, 0) AS published, with_splits = coalesce(published, 0) AS passages_agree, NOT segments OR with_splits > 0 AS segments_have_passages, results = assigned AS results_agree
-FROM (SELECT {_FLAGS} FROM ({_READY})) LEFT JOIN (SELECT race_key, count(DISTINCT rid) AS published FROM f_splits GROUP BY 1) USING (race_key)
-  LEFT JOIN (SELECT year(o_orderdate) || '-' || lower(c_mktsegment) AS race_key, count(*) AS assigned FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1) USING (race_key)""")
-def aud_readiness_agreement(d: Data) -> DataFrame:
-    """What readiness claims of a race against the passages and the entries themselves."""
-    published = d.splits.groupBy("race_key").agg(F.count_distinct("rid").alias("published"))
-    entries = d.table("orders").join(d.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    assigned = entries.groupBy(F.concat_ws("-", F.year("o_orderdate"), F.lower("c_mktsegment")).alias("race_key")).agg(F.count("*").alias("assigned"))
-    x = agg_readiness(d).join(published, "race_key", "left").join(assigned, "race_key", "left").withColumn("published", F.coalesce("published", F.lit(0)))
-    return x.selectExpr("race_key", "with_splits", "published", "with_splits = published AS passages_agree", "NOT segments OR with_splits > 0 AS segments_have_passages", "results = assigned AS results_agree")
-
-
-_CONTRACT = dict(bad_status="status NOT IN ('FINISHED', 'DNF', 'DNS', 'DSQ', 'UNKNOWN')", bad_sex="sex NOT IN ('F', 'M')", bad_age="age < 1 OR age > 99", bad_place="overall_place <= 0")
-
-
-@query(_checks_sql("f_places", **_CONTRACT))
-def aud_contract(d: Data) -> DataFrame:
-    return checks(d.placed, **{n: F.expr(c) for n, c in _CONTRACT.items()})
-
-
 #: Bytes that a race's records may take.
 BUNDLE_BYTES = 20_000
 
@@ -236,16 +198,6 @@ def aud_delivery_budget(d: Data) -> DataFrame:
     return x.withColumn("within_budget", F.col("bytes") <= BUNDLE_BYTES)
 
 
-@query("""WITH p AS (SELECT race_key, string_agg(cp_key || '@' || km, ';' ORDER BY seq) AS payload FROM f_checkpoints GROUP BY 1)
-SELECT race_family, count(*) AS races, count(DISTINCT sha256(payload)) AS payloads, count(DISTINCT sha256(payload)) = 1 AS one_generation FROM f_races JOIN p USING (race_key) GROUP BY 1""")
-def aud_generation(d: Data) -> DataFrame:
-    """Whether all editions of a family were delivered with the same payload, here their checkpoints."""
-    parts = F.array_sort(F.collect_list(F.struct("seq", F.concat_ws("@", "cp_key", F.col("km").cast("string")).alias("part"))))
-    payload = d.checkpoints.groupBy("race_key").agg(F.sha2(F.array_join(F.transform(parts, lambda p: p["part"]), ";"), 256).alias("sha"))
-    x = d.races.join(payload, "race_key").groupBy("race_family").agg(F.count("*").alias("races"), F.count_distinct("sha").alias("payloads"))
-    return x.withColumn("one_generation", F.col("payloads") == 1)
-
-
 @query("SELECT year, race_family, count(*) AS discovered, count(finish_seconds) AS normalized, count(*) <> count(finish_seconds) AS differs FROM f_results GROUP BY 1, 2")
 def aud_import_counts(d: Data) -> DataFrame:
     n = F.count("finish_seconds")

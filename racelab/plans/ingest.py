@@ -258,13 +258,6 @@ def evi_semantics_profile(d: Data) -> DataFrame:
     return read_snapshots(d).groupBy(F.array_join(kinds, "|").alias("shape")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT count(*) AS results FROM f_results")
-def aud_curated_gate(d: Data) -> DataFrame:
-    """The results, if no rule that stops the build is broken; else the query fails."""
-    bad = F.count_if((F.col("status") == "FINISHED") & F.col("finish_seconds").isNull()) + F.count_if(F.col("finish_seconds") <= 0)
-    return d.results.agg(F.when(bad == 0, F.count("*")).otherwise(F.raise_error(F.lit("hard checks failed")).cast("bigint")).alias("results"))
-
-
 @query()
 def prv_mask_nested(d: Data) -> DataFrame:
     """Direct identifiers masked anywhere inside JSON documents, with the number of changes."""

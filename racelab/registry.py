@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from racelab.plans import compare, evidence, geo, ingest, joins, network, rankings, routes, segments, stats
+from racelab.plans import audits, compare, evidence, geo, ingest, joins, network, rankings, routes, segments, stats
 
-MODULES = (stats, segments, rankings, joins, compare, geo, routes, network, evidence, ingest)
+MODULES = (stats, segments, rankings, joins, compare, geo, routes, network, evidence, audits, ingest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
