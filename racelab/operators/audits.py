@@ -10,9 +10,11 @@ from __future__ import annotations
 import uuid
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from racelab.sources.shared import removed, renamed
+
 
 class Rule(NamedTuple):
     """What is wrong with a row that meets ``breach``; a hard rule stops publication, any other informs."""
@@ -72,21 +74,3 @@ def publish(rows: DataFrame, folder: str, rules: list[Rule], key: str, kept: lis
     except Exception:
         removed(rows.sparkSession, beside)
         raise
-
-
-def _file_system(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def renamed(spark: SparkSession, source: str, target: str) -> None:
-    """``source`` in place of ``target``, which must not exist yet."""
-    at, files = _file_system(spark, source)
-    to, _ = _file_system(spark, target)
-    if files.exists(to) or not files.rename(at, to):
-        raise FileExistsError(target)
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    at, files = _file_system(spark, path)
-    files.delete(at, True)

@@ -5,6 +5,8 @@ The documents are made by Spark from the given tables, as a provider would publi
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -270,28 +272,61 @@ def prv_mask_nested(d: Data) -> DataFrame:
 # writing ---------------------------------------------------------------------------------------------------------
 
 
-RECORD = "rid long, name string, status string, finish_seconds double"
-_LINES = """SELECT race_key, '{"rid":' || rid || ',"name":"' || name || '","status":"' || status || '"' || CASE WHEN finish_seconds IS NULL THEN '' ELSE ',"finish_seconds":' || finish_seconds END || '}' || chr(10) AS line, rid FROM f_results"""
+RECORD = "rid long, name string, status string, finish_seconds double, overall_place int"
+TEAM, MEMBER, PASSAGE, CHECKPOINT = "team long, name string", "team long, member int, name string", "rid long, cp_key string, elapsed_seconds double", "seq int, cp_key string, km double, label string"
+#: Sections of a bundle as SQL: race, order, and the line's JSON.
+_SECTIONS = {
+    "checkpoints": ("f_checkpoints", "seq", """'{"seq":' || seq || ',"cp_key":"' || cp_key || '","km":' || km || ',"label":"' || label || '"}'"""),
+    "records": ("f_places", "rid", """'{"rid":' || rid || ',"name":"' || name || '","status":"' || status || '"' || coalesce(',"finish_seconds":' || finish_seconds, '') || coalesce(',"overall_place":' || overall_place, '') || '}'"""),
+    "passages": ("f_splits", "rid, cp_key", """'{"rid":' || rid || ',"cp_key":"' || cp_key || '","elapsed_seconds":' || elapsed_seconds || '}'"""),
+    "teams": ("f_results WHERE custkey % 10 = 0", "rid", """'{"team":' || rid || ',"name":"' || club || '"}'"""),
+    "members": ("(SELECT *, unnest([1, 2]) AS i FROM f_results WHERE custkey % 10 = 0)", "rid, i", """'{"team":' || rid || ',"member":' || i || ',"name":"' || name || '"}'"""),
+}
+
+
+def teams(d: Data) -> DataFrame:
+    return d.results.where("custkey % 10 = 0").select("race_key", F.col("rid").alias("team"), F.col("club").alias("name"))
+
+
+def members(d: Data) -> DataFrame:
+    """Two members of each team."""
+    two = F.explode(F.array(F.lit(1), F.lit(2)))
+    return d.results.where("custkey % 10 = 0").select("race_key", F.col("rid").alias("team"), two.alias("member"), "name")
 
 
 def written_bundles(d: Data) -> str:
-    """The folder of all races' records; at these scales a race is one file."""
+    """The folder of all races' documents; at these scales a section is one file."""
     folder = shared_folder(d.spark)
-    files.write_bundles(d.results.select("race_key", "rid", "name", "status", "finish_seconds"), folder)
+    sections = {
+        "checkpoints": (d.checkpoints.select("race_key", "seq", "cp_key", "km", "label"), ["seq"]), "records": (d.placed.select("race_key", "rid", "name", "status", "finish_seconds", "overall_place"), ["rid"]),
+        "passages": (d.splits.select("race_key", "rid", "cp_key", "elapsed_seconds"), ["rid", "cp_key"]), "teams": (teams(d), ["team"]), "members": (members(d), ["team", "member"]),
+    }
+    files.write_bundles(sections, folder)
     return folder
 
 
-@query("SELECT race_key, count(*) AS records, sum(finish_seconds) AS seconds, count(DISTINCT rid) AS rids FROM f_results GROUP BY 1")
+@query("""SELECT race_key, checkpoints, records, seconds, places, passages, elapsed, teams, members, member_names FROM (SELECT race_key, count(*) AS records, sum(finish_seconds) AS seconds, CAST(sum(overall_place) AS BIGINT) AS places FROM f_places GROUP BY 1)
+LEFT JOIN (SELECT race_key, count(*) AS checkpoints FROM f_checkpoints GROUP BY 1) USING (race_key) LEFT JOIN (SELECT race_key, count(*) AS passages, sum(elapsed_seconds) AS elapsed FROM f_splits GROUP BY 1) USING (race_key)
+LEFT JOIN (SELECT race_key, count(*) AS teams, 2 * count(*) AS members, count(DISTINCT name) AS member_names FROM f_results WHERE custkey % 10 = 0 GROUP BY 1) USING (race_key)""")
 def snk_race_bundles(d: Data) -> DataFrame:
-    """Records written by race, read back."""
-    back = files.read_bundles(d.spark, written_bundles(d), f"{RECORD}, race_key string")
-    return back.groupBy("race_key").agg(F.count("*").alias("records"), F.sum("finish_seconds").alias("seconds"), F.count_distinct("rid").alias("rids"))
-
-
-@query(f"""WITH f AS (SELECT race_key, string_agg(line, '' ORDER BY rid) AS body FROM ({_LINES}) GROUP BY 1), e AS (SELECT race_key, 1 AS files, octet_length(encode(body)) AS bytes, sha256(body) AS sha FROM f)
-SELECT race_key, CAST(count(*) AS BIGINT) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(string_agg(sha, '' ORDER BY sha)) AS sha256 FROM e GROUP BY ROLLUP (race_key)""")
+    """Each race's document of five sections as written, read back section by section."""
+    folder, n = written_bundles(d), F.count("*")
+    read = lambda section, schema, *figures: files.read_bundles(d.spark, folder, section, schema).groupBy("race_key").agg(*figures)
+    parts = [
+        read("records", RECORD, n.alias("records"), F.sum("finish_seconds").alias("seconds"), F.sum("overall_place").alias("places")), read("checkpoints", CHECKPOINT, n.alias("checkpoints")),
+        read("passages", PASSAGE, n.alias("passages"), F.sum("elapsed_seconds").alias("elapsed")), read("teams", TEAM, n.alias("teams")), read("members", MEMBER, n.alias("members"), F.count_distinct("name").alias("member_names")),
+    ]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.join(x, "race_key", "left")
+    return out
+
+
+@query(f"""WITH l AS ({" UNION ALL ".join(f"SELECT race_key, '{n}' AS section, string_agg({line} || chr(10), '' ORDER BY {order}) AS body, count(*) AS records FROM {source} GROUP BY 1" for n, (source, order, line) in _SECTIONS.items())}),
+e AS (SELECT race_key, section, records, octet_length(encode(body)) AS bytes, sha256(body) AS sha FROM l)
+SELECT race_key, section, CAST(sum(records) AS BIGINT) AS records, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(string_agg(sha, '' ORDER BY sha)) AS sha256 FROM e GROUP BY ROLLUP (race_key, section)""")
 def snk_manifest(d: Data) -> DataFrame:
-    """Files, bytes and a hash of each bundle as written, and of all."""
+    """Records, files, bytes and a hash of each section as written, of each race and of all."""
     return files.manifest(d.spark, written_bundles(d))
 
 
@@ -303,13 +338,27 @@ def snk_bootstrap(d: Data) -> DataFrame:
     return d.spark.read.schema(d.races.schema).json(folder)
 
 
-@query("SELECT year, race_family, count(*) AS n, count(finish_seconds) AS timed FROM f_results GROUP BY 1, 2")
+_STAR = {
+    "results": ("SELECT year, race_family, finish_seconds AS x FROM f_results"), "participants": "SELECT year, race_family, age AS x FROM f_results", "teams": "SELECT year, race_family, rid AS x FROM f_results WHERE custkey % 10 = 0",
+    "members": "SELECT year, race_family, unnest([rid, rid]) AS x FROM f_results WHERE custkey % 10 = 0", "passages": "SELECT year, race_family, elapsed_seconds AS x FROM f_splits JOIN f_results USING (rid)",
+    "metrics": "SELECT year, race_family, pace AS x FROM f_seg JOIN f_races USING (race_key) WHERE pace IS NOT NULL",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS name, year, race_family, count(*) AS n, round(sum(x), 3) AS total FROM ({q}) GROUP BY 2, 3" for n, q in _STAR.items()))
 def snk_star_tables(d: Data) -> DataFrame:
-    """Results as a table partitioned by year and family, written to the shared folder and read back."""
-    path = shared_folder(d.spark)
-    d.results.repartition("year", "race_family").write.partitionBy("year", "race_family").parquet(path)
-    back = d.spark.read.schema(d.results.schema).parquet(path)
-    return back.groupBy("year", "race_family").agg(F.count("*").alias("n"), F.count("finish_seconds").alias("timed"))
+    """Results, participants, teams, members, passages and metrics as tables partitioned by year and family, written and read back."""
+    folder, by = shared_folder(d.spark), ["year", "race_family"]
+    of = d.results.select("rid", *by)
+    tables = {
+        "results": d.results.select(*by, "rid", "race_key", "status", "finish_seconds"), "participants": d.results.select(*by, "rid", "name", "sex", "age", "club"),
+        "teams": of.join(teams(d).withColumnRenamed("team", "rid"), "rid").select(*by, "rid", "name"), "members": of.join(members(d).withColumnRenamed("team", "rid"), "rid").select(*by, "rid", "member", "name"),
+        "passages": of.join(d.splits, "rid").select(*by, "rid", "cp_key", "elapsed_seconds"), "metrics": d.segments.where("pace is not null").select(*by, "rid", "seg_no", "pace"),
+    }
+    files.write_star(tables, folder, by)
+    figure = {"results": "finish_seconds", "participants": "age", "teams": "rid", "members": "rid", "passages": "elapsed_seconds", "metrics": "pace"}
+    back = lambda name: d.spark.read.schema(tables[name].schema).parquet(f"{folder}/{name}").groupBy(*by).agg(F.count("*").alias("n"), F.round(F.sum(F.col(figure[name]).cast("double")), 3).alias("total"))
+    return reduce(DataFrame.unionByName, [back(name).select(F.lit(name).alias("name"), *by, "n", "total") for name in tables])
 
 
 QUERIES, ORACLE = book.queries, book.sql

@@ -6,9 +6,14 @@ Writers split a race's records over files of a bounded number of rows, so neithe
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from racelab.sources.shared import renamed
+
 #: Records of a bundle's file.
 FILE_RECORDS = 50_000
 _POINT = "array<struct<_lat:double,_lon:double,ele:double>>"
@@ -89,23 +94,54 @@ def write_documents(rows: DataFrame, folder: str, key: str = "key", body: str =
     rows.select(key, F.col(body).alias("value")).write.partitionBy(key).text(folder)
 
 
-def write_bundles(records: DataFrame, folder: str, race: str = "race_key", order: str = "rid", file_records: int = FILE_RECORDS) -> None:
-    """Records as JSON lines by race, in ascending ``order`` within a file; a large race has as many files as it needs."""
-    parts = records.groupBy(race).agg(F.ceil(F.count("*") / file_records).cast("int").alias("_parts"))
-    dealt = records.join(parts, race).withColumn("_part", F.pmod(F.xxhash64(order), F.col("_parts"))).repartition(race, "_part")
-    dealt.sortWithinPartitions(race, order).drop("_parts", "_part").write.partitionBy(race).option("maxRecordsPerFile", 2 * file_records).json(folder)
+def write_bundles(sections: dict[str, tuple[DataFrame, list[str]]], folder: str, race: str = "race_key", file_records: int = FILE_RECORDS) -> None:
+    """A document for each race: its sections in the given order, each in parts of about ``file_records`` JSON lines.
 
-
-def read_bundles(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(folder)
+    A section is a DataFrame with the race and an order of its rows. A part is a file of its own, written by one task,
+    below race, section and part number, so a large race is written by many tasks and read back in order by those names.
+    The folder takes its place as a whole, by a rename, once all is written.
+    """
+    lines = []
+    for i, (name, (rows, order)) in enumerate(sections.items()):
+        values = F.to_json(F.struct(*(c for c in rows.columns if c != race)))
+        lines.append(rows.select(race, F.lit(f"{i}-{name}").alias("section"), F.xxhash64(*order).alias("_h"), *(F.col(c).alias(f"_o{i}_{k}") for k, c in enumerate(order)), values.alias("value")))
+    keys = sorted({c for x in lines for c in x.columns if c.startswith("_o")})
+    whole = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), lines)
+    parts = whole.groupBy(race, "section").agg(F.ceil(F.count("*") / file_records).cast("int").alias("_parts"))
+    dealt = whole.join(parts, [race, "section"]).withColumn("part", F.pmod(F.col("_h"), F.col("_parts")).cast("int")).repartition(race, "section", "part")
+    beside = f"{folder.rstrip('/')}.{uuid.uuid4().hex}"
+    ordered = dealt.sortWithinPartitions(race, "section", "part", *keys)
+    ordered.select(race, "section", "part", "value").write.partitionBy(race, "section", "part").text(beside)
+    renamed(whole.sparkSession, beside, folder)
+
+
+def read_bundles(spark: SparkSession, folder: str, section: str, schema: str, race: str = "race_key") -> DataFrame:
+    """The rows of one section of all races."""
+    of_section = spark.read.option("basePath", folder).schema(f"value string, {race} string, section string, part int").text(f"{folder}/*/section=[0-9]*-{section}")
+    return of_section.select(race, F.from_json("value", schema).alias("r")).select(race, "r.*")
 
 
 def manifest(spark: SparkSession, folder: str, race: str = "race_key") -> DataFrame:
-    """(race, files, bytes, sha256) of each race's bundle and, with a null race, of all: the hash is one of its files' hashes."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
-    each = files.select(F.regexp_extract("path", rf"/{race}=([^/]*)/", 1).alias(race), "length", F.sha2("content", 256).alias("sha"))
+    """(race, section, records, files, bytes, sha256) of each section, of each race (no section) and of all (neither).
+
+    The hash is one of the files' hashes. A file holds a part, so no section is read into one row.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
+    text = F.decode("content", "UTF-8")
+    each = files.select(
+        F.regexp_extract("path", rf"/{race}=([^/]*)/", 1).alias(race), F.regexp_extract("path", r"/section=[0-9]+-([^/]*)/", 1).alias("section"),
+        "length", F.sha2("content", 256).alias("sha"), (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).alias("records"),
+    )
     hash_of = F.sha2(F.array_join(F.array_sort(F.collect_list("sha")), ""), 256)
-    return each.rollup(race).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), hash_of.alias("sha256"))
+    return each.rollup(race, "section").agg(F.sum("records").alias("records"), F.count("*").alias("files"), F.sum("length").alias("bytes"), hash_of.alias("sha256"))
+
+
+def write_star(tables: dict[str, DataFrame], folder: str, by: list[str], file_rows: int = 20 * FILE_RECORDS) -> None:
+    """Each table below its name, partitioned ``by`` columns; as many tasks write a partition as its rows need."""
+    for name, rows in tables.items():
+        sizes = rows.groupBy(*by).agg(F.ceil(F.count("*") / file_rows).cast("int").alias("_parts"))
+        dealt = rows.join(sizes, by).withColumn("_part", F.pmod(F.xxhash64(*(c for c in rows.columns if c not in by)), F.col("_parts"))).repartition(*by, "_part")
+        dealt.drop("_parts", "_part").write.partitionBy(*by).parquet(f"{folder}/{name}")
 
 
 def write_bootstrap(races: DataFrame, folder: str) -> None:

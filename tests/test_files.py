@@ -39,21 +39,40 @@ def test_snapshots_and_config(spark, tmp_path):
 
 
 def test_bundles(spark, tmp_path):
-    rows = [(f"r{i % 3}", i, f"n{i}") for i in range(100)] + [("big", i, "x") for i in range(1000, 1300)]
-    folder = str(tmp_path / "out")
-    files.write_bundles(spark.createDataFrame(rows, "race_key string, rid long, name string"), folder, file_records=50)
-    written = {p: p.read_bytes() for p in (tmp_path / "out").rglob("*.json")}
-    by_race = {}
-    for path, body in written.items():
-        ids = [json.loads(line)["rid"] for line in body.splitlines()]
-        assert ids == sorted(ids)
-        by_race.setdefault(path.parent.name.split("=")[1], []).append((ids, hashlib.sha256(body).hexdigest(), len(body)))
-    assert len(by_race["big"]) > 2 and {race: sorted(i for ids, *_ in parts for i in ids) for race, parts in by_race.items()} == {race: sorted(i for r, i, _ in rows if r == race) for race in by_race}
-    back = files.read_bundles(spark, folder, "race_key string, rid long, name string")
-    assert {(r["race_key"], r["rid"], r["name"]) for r in back.collect()} == set(rows)
-    total = [p for parts in by_race.values() for p in parts]
-    want = {race: (len(parts), sum(n for *_, n in parts), hashlib.sha256("".join(sorted(h for _, h, _ in parts)).encode()).hexdigest()) for race, parts in [*by_race.items(), (None, total)]}
-    assert {r["race_key"]: (r["files"], r["bytes"], r["sha256"]) for r in files.manifest(spark, folder).collect()} == want
+    """Sections of several races, one of them large: parts in order, read back, and a manifest of what is there."""
+    rows = [(f"r{i % 3}", i, f"n{i}") for i in range(100)] + [("big", i, "é") for i in range(1000, 1300)]
+    marks = [(r, c) for r in ("r0", "big", "alone") for c in "ba"]
+    sections = {"marks": (spark.createDataFrame(marks, "race_key string, cp string"), ["cp"]), "records": (spark.createDataFrame(rows, "race_key string, rid long, name string").repartition(3), ["rid"])}
+    folder = f"file://{tmp_path}/out"
+    files.write_bundles(sections, folder, file_records=50)
+    written = {p: p.read_bytes() for p in (tmp_path / "out").rglob("*.txt")}
+    by = {}
+    for path, body in sorted(written.items()):
+        race, section = (path.parts[k].split("=")[1] for k in (-4, -3))
+        lines = [json.loads(line) for line in body.splitlines()]
+        assert lines == sorted(lines, key=lambda x: list(x.values())) and len(lines) < 100
+        by.setdefault((race, section), []).append((lines, body))
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    assert sorted(s for r, s in by if r == "r0") == ["0-marks", "1-records"] and len(by["big", "1-records"]) > 2
+    back = files.read_bundles(spark, folder, "records", "rid long, name string")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    assert sorted(map(tuple, files.read_bundles(spark, folder, "marks", "cp string").collect())) == sorted(marks)
+    want = {}
+    for (race, section), parts in by.items():
+        for key in ((race, section[2:]), (race, None), (None, None)):
+            want.setdefault(key, []).extend(parts)
+    sha = lambda parts: hashlib.sha256("".join(sorted(hashlib.sha256(b).hexdigest() for _, b in parts)).encode()).hexdigest()
+    got = {(r["race_key"], r["section"]): (r["records"], r["files"], r["bytes"], r["sha256"]) for r in files.manifest(spark, folder).collect()}
+    assert got == {k: (sum(len(x) for x, _ in v), len(v), sum(len(b) for _, b in v), sha(v)) for k, v in want.items()}
+
+
+def test_star(spark, tmp_path):
+    rows = [(2000 + i % 2, "a" if i % 10 else "b", i) for i in range(500)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would make one task
+    files.write_star({"t": spark.createDataFrame(rows, "year int, family string, x int")}, str(tmp_path), ["year", "family"], file_rows=60)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/t").select("year", "family", "x").collect())) == sorted(rows)
+    assert len(list((tmp_path / "t/year=2001/family=a").glob("*.parquet"))) > 1
 
 
 def test_osm(spark, tmp_path):
