@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from racelab.functions import text as tx
 from racelab.plans.base import Book, Data
 from racelab.sources import files
-from racelab.sources.html import table_cells
+from racelab.sources.html import list_entries, table_cells
 from racelab.sources.shared import shared_folder
 
 book = Book()
@@ -49,8 +49,26 @@ def nrm_splits(d: Data) -> DataFrame:
     return rows.select("rid", F.col("c")[0].alias("point"), tx.parse_seconds(F.col("c")[1]).cast("long").alias("seconds"), number.alias("sequence_no"))
 
 
-@query("SELECT page_id, len(list_distinct(regexp_extract_all(html, 'href=\"/([^\"]*)\"', 1))) AS links FROM pages")
+def list_pages(d: Data) -> DataFrame:
+    """Result lists, some hundred entries a page: a table with a header row, or links without any table."""
+    page = F.floor(F.col("rid") / 1000)
+    link = F.concat(F.lit('<a href="/event/'), F.col("year").cast("string"), F.lit("/app/results/"), F.col("rid").cast("string"), F.lit('">'), "name", F.lit("</a>"))
+    row = F.concat(F.lit("<tr><td>"), F.col("bib"), F.lit("</td><td>"), link, F.lit("</td><td>"), F.coalesce("club", F.lit("")), F.lit("</td></tr>"))
+    listed = d.results.select("race_key", page.alias("page"), F.struct("rid", F.when(page % 3 == 0, link).otherwise(row).alias("html")).alias("e"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["html"]), "\n")
+    table = F.concat(F.lit("<table><tr><th>Other</th></tr></table><table><tr><th>Bib</th><th>Name</th><th>Club</th></tr>"), body, F.lit("<tr><td>no link</td></tr></table>"))
+    return listed.groupBy("race_key", "page").agg(F.when(F.col("page") % 3 == 0, body).otherwise(table).alias("html"))
+
+
+@query("SELECT race_key, CAST(rid AS VARCHAR) AS result_id, CASE WHEN (rid // 1000) % 3 = 0 THEN '' ELSE 'Bib|Name|Club' END AS headers, CASE WHEN (rid // 1000) % 3 = 0 THEN '' ELSE bib || '|' || name || '|' || club END AS cells FROM f_results")
 def src_html_entry_discovery(d: Data) -> DataFrame:
+    """The entries of list pages with the headers and cells of their rows; of pages without tables the ids alone."""
+    found = list_pages(d).select("race_key", F.inline(list_entries(F.col("html"), r"/event/[0-9]+/app/results/([0-9]+)")))
+    return found.select("race_key", "result_id", F.array_join("headers", "|").alias("headers"), F.array_join("row", "|").alias("cells"))
+
+
+@query("SELECT page_id, len(list_distinct(regexp_extract_all(html, 'href=\"/([^\"]*)\"', 1))) AS links FROM pages")
+def src_page_links(d: Data) -> DataFrame:
     """Distinct links of a page, in one pass of a pattern."""
     links = F.array_distinct(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), F.lit(1)))
     return d.table("pages").select("page_id", F.size(links).cast("long").alias("links"))

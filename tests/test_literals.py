@@ -110,3 +110,17 @@ def test_html_cells():
 
 def test_masked():
     assert masked({"name": "A", "list": [{"bib": "1", "x": 2}], "deep": {"name": "B"}}) == ({"name": "Protected participant", "list": [{"bib": None, "x": 2}], "deep": {"name": "Protected participant"}}, 3)
+
+
+def test_list_entries():
+    from racelab.sources.html import entries_of
+
+    pattern = r"/results/([0-9]+)"
+    page = """<a href="/results/9">elsewhere</a><table><tr><th>Bib</th><th> Full
+      name</th></tr><tr><td>1</td><td><a href="/x">x</a><a href="/results/5">Ann &amp; Bo</a></td></tr><tr><th>Only</th></tr><tr><td><a href="/results/6">C</a></td></tr>
+      <tr><td><a href="/results/7/edit">not this</a></td></tr></table><table><tr><td><a href="/results/8">no header here</a></td></tr></table>"""
+    assert [(e["result_id"], e["headers"], e["row"]) for e in entries_of(page, pattern)] == [
+        ("5", ["Bib", "Full name"], ["1", "xAnn & Bo"]), ("6", ["Only"], ["C"]), ("8", [], ["no header here"]),
+    ]
+    assert [(e["result_id"], e["row"]) for e in entries_of('<a href="/results/3">a</a> /results/4 /results/3', pattern)] == [("3", []), ("4", [])]
+    assert entries_of(None, pattern) == entries_of("", pattern) == []
