@@ -35,7 +35,7 @@ def cmp_comparable(d: Data) -> DataFrame:
 @query(f"""WITH e AS ({_EDITION}), s AS (SELECT race_key, count(DISTINCT cp_key) AS n FROM f_splits GROUP BY 1)
 SELECT c.a, c.b, comparable AS whole_course, coalesce(x.n, 0) >= 1 AND coalesce(y.n, 0) >= 1 AND comparable AS checkpoints, p.finished >= 5 AND q.finished >= 5 AS field, coalesce(x.n, 0) >= 2 AND coalesce(y.n, 0) >= 2 AS replay
 FROM ({_COMP}) c JOIN e p ON p.race_key = c.a JOIN e q ON q.race_key = c.b LEFT JOIN s x ON x.race_key = c.a LEFT JOIN s y ON y.race_key = c.b""")
-def cmp_capabilities(d: Data) -> DataFrame:
+def cmp_edition_capabilities(d: Data) -> DataFrame:
     """What may be compared of two editions."""
     seen = d.splits.groupBy("race_key").agg(F.count_distinct("cp_key").alias("n"))
     e = editions(d.results).select("race_key", "finished").join(seen, "race_key", "left").select("race_key", "finished", F.coalesce("n", F.lit(0)).alias("n"))
@@ -45,6 +45,58 @@ def cmp_capabilities(d: Data) -> DataFrame:
     )
 
 
+_GATES = """WITH few AS MATERIALIZED (SELECT race_key, rid, overall_place, status, finish_seconds FROM f_places WHERE overall_place <= 5), o AS MATERIALIZED (SELECT o.* FROM f_obs o SEMI JOIN few ON o.rid = few.rid),
+s AS MATERIALIZED (SELECT g.rid, g.seg_no, g.pace FROM f_seg g SEMI JOIN few ON g.rid = few.rid WHERE g.seconds IS NOT NULL), f AS (SELECT race_key, seg_no FROM f_segc GROUP BY 1, 2 HAVING count(pace) >= 5),
+p AS (SELECT x.race_key, x.rid AS a, y.rid AS b FROM few x JOIN few y ON x.race_key = y.race_key AND x.overall_place = 1 AND y.overall_place > 1),
+c AS (SELECT p.race_key, p.a, p.b, count(x.seconds) >= 2 AND count(y.seconds) >= 2 AS anchored, count(*) FILTER (WHERE x.cp_key <> 'start' AND x.seconds IS NOT NULL AND y.seconds IS NOT NULL) AS common,
+  count(*) FILTER (WHERE x.cp_key <> 'start' AND x.seconds IS NOT NULL AND y.seconds IS NOT NULL AND x.place IS NOT NULL AND y.place IS NOT NULL) AS placed, count(*) FILTER (WHERE x.cp_key NOT IN ('start', 'finish') AND x.seconds IS NOT NULL AND y.seconds IS NOT NULL) AS inner_common
+  FROM p JOIN o x ON x.rid = p.a JOIN o y ON y.rid = p.b AND y.cp_key = x.cp_key GROUP BY 1, 2, 3),
+g AS (SELECT p.a, p.b, count(*) AS segs, count(*) FILTER (WHERE f.seg_no IS NOT NULL) AS field FROM p JOIN s x ON x.rid = p.a JOIN s y ON y.rid = p.b AND x.seg_no = y.seg_no LEFT JOIN f ON f.race_key = p.race_key AND f.seg_no = x.seg_no GROUP BY 1, 2),
+r AS (SELECT race_key, count(*) >= 5 AS can_segment, count(DISTINCT cp_key) >= 2 AND count(*) >= 5 AS can_replay FROM (SELECT race_key, rid, cp_key FROM f_splits) GROUP BY 1)
+SELECT c.race_key, c.a, c.b, TRUE AS exact_two, TRUE AS finish_comparison, common > 0 AS checkpoint_gap, placed > 0 AS placement_journey, coalesce(can_segment AND segs > 0, FALSE) AS segment_comparison, coalesce(can_segment AND field > 0, FALSE) AS edition_field_normalization,
+  year <= 1999 AS shared_course_context, anchored AND coalesce(can_replay, FALSE) AND year <= 1999 AS animated_two_result_comparison, anchored AND coalesce(can_replay, FALSE) AND year <= 1999 AS elevation_seek, TRUE AS shareable_comparison_state, FALSE AS cross_edition_comparison,
+  inner_common <= 1 AS sparse_comparison_fallback, race_family = 'furniture' AS team_entity, anchored AND coalesce(can_replay, FALSE) AND year <= 1999 AS audio
+FROM c JOIN f_races USING (race_key) LEFT JOIN g ON g.a = c.a AND g.b = c.b LEFT JOIN r ON r.race_key = c.race_key"""
+
+
+def gates(pairs: DataFrame) -> DataFrame:
+    """What may be shown of two results beside each other: fourteen gates.
+
+    ``pairs`` have both sides' observations (``oa``, ``ob``: arrays by boundary) and status, the seg_nos with five
+    paces in the field, and what the race is capable of: ``can_segment``, ``can_replay``, ``has_route``, ``is_team``.
+    """
+    both = F.arrays_zip("oa", "ob")
+    known = lambda x, c: x["oa"][c].isNotNull() & x["ob"][c].isNotNull()
+    common = F.filter(both, lambda x: (x["oa"]["cp_key"] != "start") & known(x, "seconds"))
+    inner = F.filter(common, lambda x: x["oa"]["cp_key"] != "finish")
+    took = lambda o, i: o[i + 1]["seconds"] - o[i]["seconds"]
+    at = F.sequence(F.lit(0), F.size("oa") - 2)
+    shared = F.filter(at, lambda i: F.coalesce((took(F.col("oa"), i) > 0) & (took(F.col("ob"), i) > 0), F.lit(False)))
+    anchors = lambda o: F.size(F.filter(o, lambda x: x["seconds"].isNotNull())) >= 2
+    moving = anchors("oa") & anchors("ob") & F.col("can_replay") & F.col("has_route")
+    yes, no = F.lit(True), F.lit(False)
+    return pairs.withColumns({"common": common, "inner": inner, "shared": F.transform(shared, lambda i: F.col("oa")[i]["seq"])}).select(
+        "race_key", "a", "b", yes.alias("exact_two"), ((F.col("status_a") == "FINISHED") & (F.col("status_b") == "FINISHED")).alias("finish_comparison"), (F.size("common") > 0).alias("checkpoint_gap"),
+        F.exists("common", lambda x: known(x, "place")).alias("placement_journey"), (F.col("can_segment") & (F.size("shared") > 0)).alias("segment_comparison"),
+        (F.col("can_segment") & F.arrays_overlap("shared", F.coalesce("field", F.array().cast("array<int>")))).alias("edition_field_normalization"), F.col("has_route").alias("shared_course_context"),
+        moving.alias("animated_two_result_comparison"), moving.alias("elevation_seek"), yes.alias("shareable_comparison_state"), no.alias("cross_edition_comparison"), (F.size("inner") <= 1).alias("sparse_comparison_fallback"),
+        F.col("is_team").alias("team_entity"), moving.alias("audio"),
+    )
+
+
+@query(_GATES)
+def cmp_capabilities(d: Data) -> DataFrame:
+    """Fourteen gates for the winner of each race beside the next four."""
+    first = laid_leaders(d, places=True)
+    side = lambda x, c: first.where(c).select("race_key", *(["year", "race_family"] if x == "a" else []), F.col("rid").alias(x), F.col("status").alias(f"status_{x}"), F.col("observed").alias(f"o{x}"))
+    pairs = side("a", "overall_place = 1").join(side("b", "overall_place > 1"), "race_key")
+    n = F.count("*")
+    capable = d.splits.groupBy("race_key").agg((n >= 5).alias("can_segment"), ((F.count_distinct("cp_key") >= 2) & (n >= 5)).alias("can_replay"))
+    field = d.cohort_segments.groupBy("race_key", "seg_no").agg(F.count("pace").alias("n")).where("n >= 5").groupBy("race_key").agg(F.collect_list("seg_no").alias("field"))
+    x = pairs.join(capable, "race_key", "left").join(field, "race_key", "left").fillna(False, ["can_segment", "can_replay"])
+    return gates(x.withColumns({"has_route": F.col("year") <= 1999, "is_team": F.col("race_family") == "furniture"}))
+
+
 @query(f"SELECT race_key, a, b, cp_key, seq, sb - sa AS gap FROM ({CP_PAIRS})")
 def cmp_checkpoint_gap(d: Data) -> DataFrame:
     return checkpoint_pairs(d).select("race_key", "a", "b", "cp_key", "seq", (F.col("sb") - F.col("sa")).alias("gap"))

@@ -359,9 +359,44 @@ def cat_source_coverage(d: Data) -> DataFrame:
     return s.select("race_key", "cps", F.when(F.col("n") == 0, "none").when(F.col("n") * 2 < F.col("all"), "partial").otherwise("observed").alias("split_status"))
 
 
-@query(f"SELECT race_key, f.feature, CASE f.feature WHEN 'distributions' THEN distributions WHEN 'segments' THEN segments ELSE by_sex END AS available FROM (SELECT {_FLAGS} FROM ({_READY})), (VALUES ('distributions'), ('segments'), ('by_sex')) f(feature)")
+#: Rules by feature, the first that holds counts: condition, status, reason. Expressions of a class's row for both engines.
+_PENDING = ("TRUE", "blocked_pending_source")
+_NEEDS_CLASS = [("has_class", "source_ready", "'Result class observed.'"), (*_PENDING, "'No result class observed.'")]
+_PROFILE = [("detail = 'participant'", "source_ready", "'Participant detail page observed.'"), ("detail = 'team'", "adapter_needed", "'Team result format needs a dedicated adapter.'"), (*_PENDING, "'Participant or team detail page not observed.'")]
+_MOVING = [
+    ("split_n >= 2 AND geometry", "source_ready", "'Published checkpoints and archived route geometry are both available.'"),
+    (*_PENDING, "'Missing: ' || concat_ws(', ', CASE WHEN split_n = 0 THEN 'published splits' END, CASE WHEN split_n < 2 THEN 'at least two observed checkpoints' END, CASE WHEN NOT geometry THEN 'archived route geometry' END) || '.'"),
+]
+FEATURES = {
+    "results_database": _NEEDS_CLASS, "finish_statistics": _NEEDS_CLASS, "cross_year_participation": _NEEDS_CLASS, "runner_profile": _PROFILE, "runner_or_team_profile": _PROFILE,
+    "split_analysis": [("split_n > 0", "source_ready", "CAST(split_n AS STRING) || ' published checkpoint labels observed in the sampled result.'"), ("TRUE", "not_available_in_sample", "'No split table observed in the sampled result for this class.'")],
+    "runner_replay": _MOVING, "map_duel": _MOVING, "course_difficulty_vs_pacing": _MOVING,
+    "course_version_records": [
+        ("NOT has_class", "blocked_pending_source", "'No result class observed.'"), ("version IS NULL", "blocked_pending_geometry", "'Course version is not yet assigned.'"), ("TRUE", "source_ready", "'Assigned to verified course version ' || version || '.'"),
+    ],
+}
+
+
+def _feature(k: int) -> str:
+    """The SQL that picks status (1) or reason (2) by feature."""
+    rules = lambda rows: "CASE " + " ".join(f"WHEN {r[0]} THEN {r[k] if k == 2 else repr(r[k])}" for r in rows) + " END"
+    return "CASE feature " + " ".join(f"WHEN '{name}' THEN {rules(rows)}" for name, rows in FEATURES.items()) + " END"
+
+
+@query(f"""WITH c AS (SELECT r.race_key, r.year, r.race_family, r.club, r.class_name, min(r.rid) AS sample, bool_or(r.status IN ('FINISHED', 'DNF')) AS has_class FROM f_results r GROUP BY ALL),
+x AS (SELECT c.*, CASE WHEN r.sex IS NULL AND r.custkey % 2 = 0 THEN 'team' WHEN r.status <> 'UNKNOWN' THEN 'participant' END AS detail, coalesce(s.n, 0) AS split_n, year <= 1999 AS geometry, CASE WHEN year <= 1997 THEN race_family || '-a' WHEN year <= 1999 THEN race_family || '-b' END AS version
+  FROM c JOIN (SELECT rid, sex, status, custkey FROM f_results) r ON r.rid = sample LEFT JOIN (SELECT rid, count(*) AS n FROM f_splits GROUP BY 1) s ON s.rid = sample)
+SELECT race_key, club, class_name, feature, {_feature(1)} AS status, {_feature(2)} AS reason FROM x, (SELECT unnest({list(FEATURES)}) AS feature)""")
 def cat_feature_status(d: Data) -> DataFrame:
-    return agg_readiness(d).unpivot("race_key", ["distributions", "segments", "by_sex"], "feature", "available")
+    """For each class of a race and each feature whether its sources are there, and why not; judged by the class's first result."""
+    keys = ["race_key", "year", "race_family", "club", "class_name"]
+    classes = d.results.groupBy(*keys).agg(F.min(F.struct("rid", "sex", "status", "custkey")).alias("s"), F.bool_or(F.col("status").isin("FINISHED", "DNF")).alias("has_class")).withColumn("rid", F.col("s.rid"))
+    seen = d.splits.groupBy("rid").agg(F.count("*").alias("n"))
+    version = F.when(F.col("year") <= 1997, F.concat("race_family", F.lit("-a"))).when(F.col("year") <= 1999, F.concat("race_family", F.lit("-b")))
+    detail = F.when(F.col("s.sex").isNull() & (F.col("s.custkey") % 2 == 0), "team").when(F.col("s.status") != "UNKNOWN", "participant")
+    x = classes.join(seen, "rid", "left").select(*keys, "has_class", detail.alias("detail"), F.coalesce("n", F.lit(0)).alias("split_n"), (F.col("year") <= 1999).alias("geometry"), version.alias("version"))
+    x = x.withColumn("feature", F.explode(F.array(*map(F.lit, FEATURES))))
+    return x.select("race_key", "club", "class_name", "feature", F.expr(_feature(1)).alias("status"), F.expr(_feature(2)).alias("reason"))
 
 
 @query("SELECT r.race_key, r.class_name, count(DISTINCT s.cp_key) AS labels, min(s.rid) AS sample FROM f_results r LEFT JOIN f_splits s ON s.rid = r.rid GROUP BY 1, 2")
