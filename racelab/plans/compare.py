@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from racelab.operators import stats as st
-from racelab.operators.observations import at_least, finished, segments
+from racelab.operators.observations import segments
 from racelab.plans.base import Book, Data
 from racelab.plans.joins import CP_PAIRS, beside_winner, checkpoint_pairs, laid_leaders
 from racelab.plans.rankings import _SLOWER, slower
@@ -192,20 +191,76 @@ def his_performance(d: Data) -> DataFrame:
     return with_latest(d).select("race_key", "year", F.when(F.col("comparable"), F.col("median")).alias("median"))
 
 
-@query(f"SELECT s.race_key, s.seg_no, CASE WHEN e.comparable THEN s.pace_median END AS pace_median FROM ({_SEG_STATS}) s JOIN ({_WITH_LATEST}) e ON e.race_key = s.race_key")
+#: Segments of two editions are the same one only as long as their distances differ by this many km at most.
+SEGMENT_TOLERANCE_KM = 0.15
+
+
+def segment_trend(stats: DataFrame, pairs: DataFrame, tolerance: float = SEGMENT_TOLERANCE_KM) -> DataFrame:
+    """(race_key, from_key, to_key, pace_median): each segment beside the reference edition's segment of the same ends.
+
+    ``stats`` are (race_key, from_key, to_key, distance_km, pace_median); ``pairs`` (reference, race_key, comparable). The
+    median is null unless the editions compare and both distances are known and within ``tolerance``.
+    """
+    ends = ["from_key", "to_key"]
+    ref = stats.select(F.col("race_key").alias("reference"), *ends, F.col("distance_km").alias("ref_km"))
+    x = stats.join(pairs.select("reference", "race_key", "comparable"), "race_key").join(ref, ["reference", *ends])
+    same = F.col("comparable") & (F.abs(F.col("distance_km") - F.col("ref_km")) <= tolerance)
+    return x.select("race_key", *ends, F.when(same, F.col("pace_median")).alias("pace_median"))
+
+
+@query(f"""WITH s AS (SELECT race_key, from_key, to_key, pace_median, km + (CAST(left(race_key, 4) AS INTEGER) - 1995) * 0.04::DOUBLE AS distance_km FROM ({_SEG_STATS}) JOIN (SELECT DISTINCT race_key, seg_no, km FROM f_seg) USING (race_key, seg_no))
+SELECT s.race_key, s.from_key, s.to_key, CASE WHEN c.comparable AND abs(s.distance_km - r.distance_km) <= 0.15::DOUBLE THEN s.pace_median END AS pace_median
+FROM s JOIN ({_COMP}) c ON c.b = s.race_key JOIN ({_LATEST.replace("max(year)", "min(year)")}) l ON l.race_family = c.race_family AND l.latest = c.year_a JOIN s r ON r.race_key = c.a AND r.from_key = s.from_key AND r.to_key = s.to_key""")
 def his_segment_trend(d: Data) -> DataFrame:
-    ok = with_latest(d).select("race_key", "comparable")
-    return segment_stats(d.cohort_segments).join(ok, "race_key").select("race_key", "seg_no", F.when(F.col("comparable"), F.col("pace_median")).alias("pace_median"))
+    """Median paces beside the family's first edition; an edition's course is 40 m a segment longer than the year's before."""
+    ends = d.cohort_segments.select("race_key", "seg_no", (F.col("km") + (F.substring("race_key", 1, 4).cast("int") - 1995) * 0.04).alias("distance_km")).distinct()
+    stats = segment_stats(d.cohort_segments).join(ends, ["race_key", "seg_no"])
+    first = d.races.groupBy("race_family").agg(F.min("year").alias("year_a"))
+    pairs = comparable(d.courses).join(first, ["race_family", "year_a"]).select(F.col("a").alias("reference"), F.col("b").alias("race_key"), "comparable")
+    return segment_trend(stats, pairs)
+
+
+#: Shares of women count only where so many starters, and this share of them, have a published sex.
+SEX_KNOWN, SEX_COVERAGE = 20, 0.8
+_WOMEN = "starters > 0 AND starters_with_sex >= 20 AND starters_with_sex >= 0.8::DOUBLE * starters"
+
+
+def fingerprint(entries: DataFrame, pairs: DataFrame) -> DataFrame:
+    """An edition against the median of at least two earlier ones, 100 being that median.
+
+    ``entries`` are rows of ``editions``, ``pairs`` have (a, b, comparable) of a family's editions. Median time and share
+    of DNF need comparable courses with a median; starters and share of women do not. An index is null with fewer than
+    two references, without a value of its own, or where the median reference is 0.
+    """
+    share = F.when(F.col("starters") > 0, F.col("dnf") / F.col("starters"))
+    enough = (F.col("starters") > 0) & (F.col("starters_with_sex") >= SEX_KNOWN) & (F.col("starters_with_sex") >= SEX_COVERAGE * F.col("starters"))
+    women = F.when(enough, F.col("starters_f") / F.col("starters_with_sex"))
+    measures = {"median": F.col("median"), "dnf": share, "starters": F.when(F.col("starters") > 0, F.col("starters")), "women": women}
+    e = entries.select("race_key", "year", *(v.cast("double").alias(f"own_{k}") for k, v in measures.items()))
+    ref = e.select(F.col("race_key").alias("b"), F.col("year").alias("year_b"), *(F.col(f"own_{k}").alias(f"ref_{k}") for k in measures))
+    x = e.join(pairs.select(F.col("a").alias("race_key"), "b", "comparable"), "race_key").join(ref, "b")
+    earlier = F.col("year_b") < F.col("year")
+    counts = {k: earlier & ((F.col("comparable") & F.col("ref_median").isNotNull()) if k in ("median", "dnf") else F.lit(True)) for k in measures}
+    held = lambda k: F.when(counts[k], F.col(f"ref_{k}"))
+    s = x.groupBy("race_key").agg(F.count_if(earlier).alias("earlier"), *(F.first(f"own_{k}").alias(f"own_{k}") for k in measures), *(F.count(held(k)).alias(f"n_{k}") for k in measures), *(F.percentile(held(k), F.lit(0.5)).alias(f"base_{k}") for k in measures))
+    index = lambda k: F.when((F.col(f"n_{k}") >= 2) & (F.col(f"base_{k}") > 0), 100.0 * F.col(f"own_{k}") / F.col(f"base_{k}")).alias(f"{k}_index")
+    return s.select("race_key", "earlier", *map(index, measures))
+
+
+def _index_sql(own: str, ref: str, where: str) -> str:
+    held = f"CASE WHEN b.year < a.year AND {where} THEN {ref} END"
+    return f"CASE WHEN count({held}) >= 2 AND quantile_cont({held}, 0.5) > 0 THEN 100.0::DOUBLE * any_value({own}) / quantile_cont({held}, 0.5) END"
+
+
+_SAME = "comparable AND b.median IS NOT NULL"
 
 
-@query(f"""WITH e AS ({_EDITION}) SELECT a.race_key, count(b.race_key) AS earlier, CASE WHEN count(b.race_key) >= 2 THEN 100.0::DOUBLE * any_value(a.median) / quantile_cont(b.median, 0.5) END AS median_index,
-  CASE WHEN count(b.race_key) >= 2 THEN 100.0::DOUBLE * any_value(a.starters) / CAST(quantile_cont(b.starters, 0.5) AS DOUBLE) END AS starters_index FROM e a LEFT JOIN e b ON a.race_family = b.race_family AND b.year < a.year GROUP BY a.race_key""")
+@query(f"""WITH e AS MATERIALIZED (SELECT *, CAST(CASE WHEN starters > 0 THEN dnf / starters END AS DOUBLE) AS dnf_share, CAST(CASE WHEN starters > 0 THEN starters END AS DOUBLE) AS field, CAST(CASE WHEN {_WOMEN} THEN starters_f / starters_with_sex END AS DOUBLE) AS women FROM ({_EDITION}))
+SELECT a.race_key, count(*) FILTER (WHERE b.year < a.year) AS earlier, {_index_sql("a.median", "b.median", _SAME)} AS median_index, {_index_sql("a.dnf_share", "b.dnf_share", _SAME)} AS dnf_index, {_index_sql("a.field", "b.field", "TRUE")} AS starters_index, {_index_sql("a.women", "b.women", "TRUE")} AS women_index
+FROM ({_COMP}) c JOIN e a ON a.race_key = c.a JOIN e b ON b.race_key = c.b GROUP BY 1""")
 def his_fingerprint(d: Data) -> DataFrame:
-    """An edition against the medians of at least two earlier ones."""
-    earlier = Window.partitionBy("race_family").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
-    n = F.count("*").over(earlier)
-    index = lambda c: at_least(2, 100.0 * F.col(c) / F.percentile(c, F.lit(0.5)).over(earlier), n)
-    return editions(d.results).select("race_key", n.alias("earlier"), index("median").alias("median_index"), index("starters").alias("starters_index"))
+    """Editions of a family beside each other: years squared, not results."""
+    return fingerprint(editions(d.results), comparable(d.courses))
 
 
 @query(f"SELECT race_family, arg_min(race_key, (best, race_key)) AS race_key, min(best) AS best FROM ({_WITH_LATEST}) WHERE comparable GROUP BY 1")

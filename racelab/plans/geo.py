@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.operators import geo as g
-from racelab.operators import ranks
+from racelab.operators import replay as rp
 from racelab.operators import stats as st
 from racelab.operators.observations import finished
 from racelab.plans.base import Book, Data
@@ -196,27 +196,26 @@ def seg_climb_intensity(d: Data) -> DataFrame:
 
 # positions in time -----------------------------------------------------------------------------------------------
 
-_ANCH = "SELECT race_key, rid, seconds AS t, km FROM (SELECT *, max(seconds) OVER (PARTITION BY rid ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM f_obs WHERE seconds IS NOT NULL) WHERE seconds > coalesce(top, -1)"
+def anchors_sql(source: str, key: str) -> str:
+    return f"SELECT race_key, {key}, seconds AS t, km FROM (SELECT *, max(seconds) OVER (PARTITION BY race_key, {key} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM ({source}) WHERE seconds IS NOT NULL) WHERE seconds > coalesce(top, -1)"
+
+
+def positions_sql(source: str, key: str) -> str:
+    return f"""SELECT race_key, {key}, g.t, CASE WHEN g.t >= max(a.t) THEN max(a.km) ELSE max(CASE WHEN a.t <= g.t AND a.nt > g.t THEN a.km + (g.t - a.t) / (a.nt - a.t) * (a.nkm - a.km) END) END AS km
+FROM (SELECT *, lead(t) OVER w AS nt, lead(km) OVER w AS nkm FROM ({anchors_sql(source, key)}) WINDOW w AS (PARTITION BY race_key, {key} ORDER BY t)) a, (VALUES {", ".join(f"({t}::DOUBLE)" for t in _TIMES)}) g(t) GROUP BY race_key, {key}, g.t HAVING min(a.t) <= g.t"""
+
+
 _TIMES = (1200, 3600, 7200)
-_AT = f"""SELECT race_key, rid, g.t, CASE WHEN g.t >= max(a.t) THEN max(a.km) ELSE max(CASE WHEN a.t <= g.t AND a.nt > g.t THEN a.km + (g.t - a.t) / (a.nt - a.t) * (a.nkm - a.km) END) END AS km
-FROM (SELECT *, lead(t) OVER w AS nt, lead(km) OVER w AS nkm FROM ({_ANCH}) WINDOW w AS (PARTITION BY rid ORDER BY t)) a, (VALUES (1200.0::DOUBLE), (3600), (7200)) g(t) GROUP BY race_key, rid, g.t HAVING min(a.t) <= g.t"""
+_ANCH, _AT = anchors_sql("SELECT * FROM f_obs", "rid"), positions_sql("SELECT * FROM f_obs", "rid")
 
 
 def anchors(d: Data) -> DataFrame:
     """(race_key, rid, t, km): observations later than all before them."""
-    w = Window.partitionBy("rid").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    x = d.obs.where("seconds is not null").withColumn("top", F.max("seconds").over(w))
-    return x.where(F.col("seconds") > F.coalesce("top", F.lit(-1.0))).select("race_key", "rid", F.col("seconds").alias("t"), "km")
+    return d.laid.select("race_key", "rid", F.inline(rp.row_anchors(F.col("observed"))))
 
 
-def distance_at(anchor_rows: DataFrame, times: tuple[float, ...]) -> DataFrame:
-    """Kilometres at each time: linear between anchors, the last one's after it, nothing before the first."""
-    w = Window.partitionBy("rid").orderBy("t")
-    a = anchor_rows.select("*", F.lead("t").over(w).alias("nt"), F.lead("km").over(w).alias("nkm"))
-    grid = F.filter(F.array(*(F.lit(float(x)) for x in times)), lambda x: (x >= F.col("t")) & (F.col("nt").isNull() | (x < F.col("nt"))))
-    hit = a.select("race_key", "rid", F.col("t").alias("t0"), "km", "nt", "nkm", F.explode(grid).alias("t"))
-    part = (F.col("t") - F.col("t0")) / (F.col("nt") - F.col("t0"))
-    return hit.select("race_key", "rid", "t", F.when(F.col("nt").isNull(), F.col("km")).otherwise(F.col("km") + part * (F.col("nkm") - F.col("km"))).alias("km"))
+def positions(d: Data) -> DataFrame:
+    return rp.positions(d.laid, _TIMES).select("race_key", "rid", "t", "km")
 
 
 @query(_ANCH)
@@ -226,12 +225,12 @@ def rep_anchors(d: Data) -> DataFrame:
 
 @query(f"SELECT race_key, rid, t, round(km, 6) AS km FROM ({_AT})")
 def rep_distance_at_time(d: Data) -> DataFrame:
-    return distance_at(anchors(d), _TIMES).withColumn("km", F.round("km", 6))
+    return positions(d).withColumn("km", F.round("km", 6))
 
 
 @query(f"SELECT race_key, rid, t, round(least(greatest(km, 1), 50), 6) AS km FROM ({_AT})")
 def rep_distance_clamped(d: Data) -> DataFrame:
-    return distance_at(anchors(d), _TIMES).withColumn("km", F.round(F.least(F.greatest("km", F.lit(1.0)), F.lit(50.0)), 6))
+    return positions(d).withColumn("km", F.round(F.least(F.greatest("km", F.lit(1.0)), F.lit(50.0)), 6))
 
 
 @query(f"SELECT rid, round(t + (30 - km) / (nkm - km) * (nt - t), 6) AS t FROM (SELECT *, lead(t) OVER w AS nt, lead(km) OVER w AS nkm FROM ({_ANCH}) WINDOW w AS (PARTITION BY rid ORDER BY t)) WHERE km <= 30 AND nkm > 30")
@@ -257,11 +256,20 @@ def rep_point_at_distance(d: Data) -> DataFrame:
     return cut_at(d, 1000.0).select("route_id", mix("lat"), mix("lon"))
 
 
-@query(_CUT.format(v="round(ele0 + (1000 - m0) / (cum_m - m0) * (ele - ele0), 3) AS ele, round(100.0::DOUBLE * (ele - ele0) / (cum_m - m0), 3) AS grade"))
+_HEIGHTS = f"""WITH m AS MATERIALIZED ({MEASURED}), v AS (SELECT *, lag(cum_m) OVER w AS m0, lag(ele) OVER w AS e0 FROM m WHERE ele IS NOT NULL WINDOW w AS (PARTITION BY route_id ORDER BY idx)),
+r AS (SELECT route_id, max(cum_m) AS full_m, max(cum_m) FILTER (WHERE ele IS NOT NULL) AS top, arg_max(ele, idx) FILTER (WHERE ele IS NOT NULL) AS last_ele FROM m GROUP BY 1),
+q AS (SELECT r.*, g.at_m, o.off, g.at_m + o.off AS d FROM r, (VALUES (1000.0::DOUBLE), (2500)) g(at_m), (VALUES (0.0::DOUBLE), (-50), (50), (-160), (160)) o(off) WHERE g.at_m <= r.full_m),
+e AS (SELECT q.route_id, q.at_m, q.off, any_value(full_m) AS full_m, any_value(top) AS top, coalesce(max(CASE WHEN v.m0 IS NULL THEN v.ele ELSE e0 + (d - m0) / (cum_m - m0) * (ele - e0) END), any_value(last_ele)) AS h
+  FROM q LEFT JOIN v ON v.route_id = q.route_id AND q.d <= v.cum_m AND (v.m0 IS NULL OR q.d > v.m0) GROUP BY 1, 2, 3),
+p AS (SELECT route_id, at_m, max(h) FILTER (WHERE off = 0) AS ele, 100.0::DOUBLE * (max(h) FILTER (WHERE off = 50) - max(h) FILTER (WHERE off = -50)) AS near, 100.0::DOUBLE * (max(h) FILTER (WHERE off = 160) - max(h) FILTER (WHERE off = -160)) AS wide,
+  least(at_m + 50, any_value(full_m)) - greatest(at_m - 50, 0) AS near_m, least(at_m + 160, any_value(top)) - greatest(at_m - 160, 0) AS wide_m FROM e GROUP BY 1, 2)
+SELECT route_id, at_m, round(ele, 3) AS ele, round(CASE WHEN near_m > 1 THEN near / near_m END, 3) AS grade, round(CASE WHEN ele IS NOT NULL THEN CASE WHEN wide_m > 0 THEN wide / wide_m ELSE 0 END END, 3) AS chart_grade FROM p"""
+
+
+@query(_HEIGHTS)
 def rep_elevation_at(d: Data) -> DataFrame:
-    x = cut_at(d, 1000.0)
-    ele = F.col("ele0") + F.col("part") * (F.col("ele") - F.col("ele0"))
-    return x.select("route_id", F.round(ele, 3).alias("ele"), F.round(100.0 * (F.col("ele") - F.col("ele0")) / (F.col("cum_m") - F.col("cum_m0")), 3).alias("grade"))
+    """Elevation at 1,000 and 2,500 m of each route that is so long, with the grades over 50 and 160 m to both sides."""
+    return rp.heights(d.points, (1000.0, 2500.0)).select("route_id", "at_m", *(F.round(c, 3).alias(c) for c in ("ele", "grade", "chart_grade")))
 
 
 @query("SELECT route_id, idx, round(coalesce(sum(up) OVER (PARTITION BY route_id ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0), 4) AS remaining FROM (SELECT *, CASE WHEN ele - lag(ele) OVER w > 0 THEN ele - lag(ele) OVER w END AS up FROM f_route_points WINDOW w AS (PARTITION BY route_id ORDER BY idx))")
@@ -271,20 +279,32 @@ def rep_ascent_remaining(d: Data) -> DataFrame:
     return d.points.withColumn("up", F.when(step > 0, step)).select("route_id", "idx", F.round(F.coalesce(F.sum("up").over(after), F.lit(0.0)), 4).alias("remaining"))
 
 
-@query(f"SELECT race_key, t, rid, rank() OVER (PARTITION BY race_key, t ORDER BY round(km, 6) DESC) AS rank, round(max(km) OVER (PARTITION BY race_key, t) - km, 5) AS behind_km FROM ({_AT})")
+@query(f"""SELECT a.race_key, a.t, a.rid, rank, behind_km, last_cp FROM (SELECT race_key, t, rid, rank() OVER (PARTITION BY race_key, t ORDER BY round(km, 6) DESC) AS rank, round(max(km) OVER (PARTITION BY race_key, t) - km, 5) AS behind_km FROM ({_AT})) a
+JOIN (SELECT rid, g.t, arg_max(cp_key, (seconds, seq)) AS last_cp FROM f_obs, (VALUES {", ".join(f"({t}::DOUBLE)" for t in _TIMES)}) g(t) WHERE seconds <= g.t GROUP BY 1, 2) c ON c.rid = a.rid AND c.t = a.t""")
 def rep_leaderboard(d: Data) -> DataFrame:
-    x = distance_at(anchors(d), _TIMES).withColumn("at", F.round("km", 6))
-    x = ranks.standings(x, ["race_key", "t"], "at", "rank", d.most)
-    x = ranks.with_largest(x, ["race_key", "t"], "km", "first", d.most)
-    return x.select("race_key", "t", "rid", "rank", F.round(F.col("first") - F.col("km"), 5).alias("behind_km"))
+    return rp.leaderboard(d.laid, _TIMES, d.most).withColumn("behind_km", F.round("behind_km", 5))
+
+
+_LINES = ("women", "men", "field")
+_LINE_SQL = f"""SELECT race_key, line, seq, km, quantile_cont(seconds, 0.5) AS seconds FROM (SELECT *, unnest(CASE sex WHEN 'F' THEN ['field', 'women'] WHEN 'M' THEN ['field', 'men'] ELSE ['field'] END) AS line FROM f_obs WHERE {FIN} AND seconds IS NOT NULL)
+GROUP BY 1, 2, 3, 4 HAVING count(*) >= 5"""
+
+
+def reference_lines(obs: DataFrame) -> DataFrame:
+    """(race_key, line, seq, km, seconds): median times of finishers at each boundary, of all and by sex, of five rows at least."""
+    sexes = F.when(F.col("sex") == "F", F.array(F.lit("field"), F.lit("women"))).when(F.col("sex") == "M", F.array(F.lit("field"), F.lit("men"))).otherwise(F.array(F.lit("field")))
+    known = obs.where(finished() & F.col("seconds").isNotNull()).withColumn("line", F.explode(sexes))
+    return known.groupBy("race_key", "line", "seq", "km").agg(F.count("*").alias("n"), st.quantile("seconds", 0.5).alias("seconds")).where("n >= 5").drop("n")
 
 
-@query(f"SELECT race_key, rid, t, round(km, 6) AS km, round(60 - km, 6) AS left_km, CASE WHEN km + 0.001::DOUBLE >= 60 THEN 'finish' WHEN km + 0.001::DOUBLE >= 45 THEN 'cp2' WHEN km + 0.001::DOUBLE >= 20 THEN 'cp1' ELSE 'start' END AS last_cp FROM ({_AT})")
+@query(f"""WITH p AS MATERIALIZED ({_AT}), c AS (SELECT p.rid, p.t, max(o.km) AS full_km, arg_max(cp_key, (o.km, seq)) FILTER (WHERE o.km <= p.km + 0.001::DOUBLE) AS last_cp, arg_max(place, seq) FILTER (WHERE seconds <= p.t AND place IS NOT NULL) AS place FROM p JOIN f_obs o ON o.rid = p.rid GROUP BY 1, 2),
+s AS (SELECT p.rid, p.t, min({{'n': g.seg_no, 'name': from_key || '>' || to_key, 'pace': g.pace}}) AS s FROM p JOIN f_seg g ON g.rid = p.rid JOIN f_checkpoints k ON k.race_key = g.race_key AND k.seq = g.seg_no WHERE p.km BETWEEN k.km - 0.001::DOUBLE AND k.km + g.km + 0.001::DOUBLE GROUP BY 1, 2),
+l AS MATERIALIZED ({positions_sql(_LINE_SQL, "line")}), w AS (SELECT race_key, t, {", ".join(f"max(km) FILTER (WHERE line = '{n}') AS line_{n}" for n in _LINES)} FROM l GROUP BY 1, 2)
+SELECT p.race_key, p.rid, p.t, round(km, 6) AS km, round(full_km - km, 6) AS left_km, last_cp, s.s.name AS segment, round(s.s.pace, 6) AS pace, place, {", ".join(f"round(line_{n} - km, 6) AS to_{n}" for n in _LINES)}
+FROM p JOIN c ON c.rid = p.rid AND c.t = p.t LEFT JOIN s ON s.rid = p.rid AND s.t = p.t LEFT JOIN w ON w.race_key = p.race_key AND w.t = p.t""")
 def rep_now_state(d: Data) -> DataFrame:
-    x = distance_at(anchors(d), _TIMES)
-    km = F.col("km") + 0.001
-    last = F.when(km >= 60, "finish").when(km >= 45, "cp2").when(km >= 20, "cp1").otherwise("start")
-    return x.select("race_key", "rid", "t", F.round("km", 6).alias("km"), F.round(60 - F.col("km"), 6).alias("left_km"), last.alias("last_cp"))
+    x = rp.now_state(d.laid, reference_lines(d.obs), _TIMES, _LINES)
+    return x.withColumns({c: F.round(c, 6) for c in ("km", "left_km", "pace", *(f"to_{n}" for n in _LINES))})
 
 
 @query("SELECT rid, arg_max(place_overall, elapsed_seconds) AS place FROM f_splits WHERE elapsed_seconds <= 3600 GROUP BY 1")
