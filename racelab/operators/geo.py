@@ -121,15 +121,3 @@ def divergence(series: DataFrame, keys: list[str], over: float, least: float) ->
     marked = series.withColumn("far", far).withColumn("new", (F.col("far") != F.coalesce(F.lag("far").over(w), ~F.col("far"))).cast("int"))
     runs = marked.withColumn("run", F.sum("new").over(w)).where("far").groupBy(*keys, "run").agg(F.min("along_m").alias("from_m"), F.max("along_m").alias("to_m"), F.count("*").alias("points"))
     return runs.where(F.col("to_m") - F.col("from_m") >= least).drop("run")
-
-
-def terrain(points: DataFrame) -> DataFrame:
-    """Ascent, descent, least and most elevation of each route; null with fewer than two or under 90 % known."""
-    step = F.col("ele") - F.lag("ele").over(along())
-    known = F.count("ele")
-    ok = (known >= 2) & (known >= 0.9 * F.count("*"))
-    s = points.withColumn("step", step)
-    return s.groupBy("route_id").agg(
-        F.when(ok, F.sum(F.greatest("step", F.lit(0.0)))).alias("ascent"), F.when(ok, -F.sum(F.least("step", F.lit(0.0)))).alias("descent"),
-        F.when(ok, F.min("ele")).alias("lowest"), F.when(ok, F.max("ele")).alias("highest"), (known / F.count("*")).alias("coverage"),
-    )

@@ -207,3 +207,92 @@ def spliced(points: DataFrame, choice: DataFrame, length: tuple[float, float] |
     whole = F.max("cum_m").over(Window.partitionBy("route_id"))
     checked = F.when(whole.between(*length), F.col("cum_m")).otherwise(F.raise_error(F.concat(F.lit("spliced length out of bounds: "), whole.cast("string"))).cast("double"))
     return m.withColumn("cum_m", checked)
+
+
+def inventory(points: DataFrame) -> DataFrame:
+    """One row for each route: points, km, both ends, known elevations, raw ascent and descent between known neighbours,
+    and the hash of its points. Ascent and descent are null without any elevation, 0 where no two neighbours have one."""
+    x = g.measured(points).withColumn("step", F.col("ele") - F.lag("ele").over(g.along()))
+    known = F.count("ele") > 0
+    climb = lambda c: F.when(known, F.coalesce(F.sum(F.when(c > 0, c)), F.lit(0.0)))
+    end = lambda f: f(F.struct("lat", "lon"), "idx")
+    s = x.groupBy("route_id").agg(
+        F.count("*").alias("points"), (F.max("cum_m") / 1000).alias("km"), end(F.min_by).alias("s"), end(F.max_by).alias("f"), F.count("ele").alias("with_ele"),
+        climb(F.col("step")).alias("raw_ascent"), climb(-F.col("step")).alias("raw_descent"),
+    )
+    s = s.join(geometry_hash(points).withColumnRenamed("hash", "sha256"), "route_id")
+    return s.select("route_id", "points", "km", F.col("s.lat").alias("start_lat"), F.col("s.lon").alias("start_lon"), F.col("f.lat").alias("finish_lat"), F.col("f.lon").alias("finish_lon"), "with_ele", "raw_ascent", "raw_descent", "sha256")
+
+
+def bounds(points: DataFrame, *levels: str) -> DataFrame:
+    """Bounding boxes and their centres, on a Mercator map, of each of the levels and of all: one rollup."""
+    box = points.rollup(*levels).agg(F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"))
+    up = lambda c: F.asinh(F.tan(F.radians(c)))
+    middle = F.degrees(F.atan(F.sinh((up("south") + up("north")) / 2)))
+    return box.select("*", middle.alias("centre_lat"), ((F.col("west") + F.col("east")) / 2).alias("centre_lon"))
+
+
+def terrain_on(points: DataFrame, stretches: dict[str, tuple[float, float]]) -> DataFrame:
+    """(route_id, stretch, ascent, descent, lowest, highest, length_m, coverage) of stretches, from and to some metre.
+
+    Both ends belong to a stretch, in either order; a stretch without points has no row. Elevations that are missing
+    break the chain. With fewer than two known, or under 90 % of a stretch's points, all but the coverage is null. The
+    length goes from the first to the last known point.
+    """
+    spans = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(float(min(s))).alias("a"), F.lit(float(max(s))).alias("b")) for name, s in stretches.items()))
+    held = F.filter(spans, lambda s: F.col("cum_m").between(s["a"], s["b"]))
+    x = g.measured(points).select("route_id", "idx", "ele", "cum_m", F.explode(F.transform(held, lambda s: s["name"])).alias("stretch"))
+    step = F.col("ele") - F.lag("ele").over(Window.partitionBy("route_id", "stretch").orderBy("idx"))
+    known, at = F.count("ele"), F.when(F.col("ele").isNotNull(), F.col("cum_m"))
+    ok = (known >= 2) & (known >= 0.9 * F.count("*"))
+    total = lambda c: F.when(ok, F.coalesce(F.sum(F.when(c > 0, c)), F.lit(0.0)))
+    return x.withColumn("step", step).groupBy("route_id", "stretch").agg(
+        total(F.col("step")).alias("ascent"), total(-F.col("step")).alias("descent"), F.when(ok, F.min("ele")).alias("lowest"), F.when(ok, F.max("ele")).alias("highest"),
+        F.when(ok, F.max(at) - F.min(at)).alias("length_m"), (known / F.count("*")).alias("coverage"),
+    )
+
+
+def snapped(assigned: DataFrame, points: DataFrame, key: str) -> DataFrame:
+    """Each anchor that a route is assigned, on the route's nearest point: (key, route_id, idx, km, offset_m, ok).
+
+    ``assigned`` are (key, route_id, lat, lon, max_offset_m). Of equally near points the first counts; an anchor of a
+    route without points, or farther off than its largest offset, is not ``ok``.
+    """
+    a = assigned.select(key, "route_id", F.col("lat").alias("alat"), F.col("lon").alias("alon"), "max_offset_m")
+    offset = g.haversine(F.col("lat"), F.col("lon"), F.col("alat"), F.col("alon"))
+    near = a.join(g.measured(points), "route_id").withColumn("offset_m", F.round(offset, 3)).groupBy(key, "route_id").agg(F.min(F.struct("offset_m", "idx", "cum_m")).alias("s"))
+    x = a.join(near, [key, "route_id"], "left")
+    return x.select(key, "route_id", "s.idx", (F.col("s.cum_m") / 1000).alias("km"), "s.offset_m", F.coalesce(F.col("s.offset_m") <= F.col("max_offset_m"), F.lit(False)).alias("ok"))
+
+
+def required(anchors: DataFrame, key: str) -> DataFrame:
+    """Rows of ``snapped`` without ``ok``; the job fails at the first anchor that is too far off."""
+    text = F.concat_ws(" ", F.lit("anchor"), F.col(key).cast("string"), F.lit("of route"), F.col("route_id").cast("string"), F.lit("is too far off:"), F.coalesce(F.col("offset_m").cast("string"), F.lit("no point")))
+    return anchors.withColumn("offset_m", F.when(F.col("ok"), F.col("offset_m")).otherwise(F.raise_error(text).cast("double"))).drop("ok")
+
+
+def verified(points: DataFrame, manifest: DataFrame, within_km: float = 0.08) -> DataFrame:
+    """Routes of a manifest, (route_id, expected_km, peers), held against their points and their peers' geometry.
+
+    The length must be as expected, where the manifest expects one, and every peer's points must be the same. A route
+    or a peer without points fails.
+    """
+    m = g.measured(points).groupBy("route_id").agg((F.max("cum_m") / 1000).alias("km")).join(geometry_hash(points), "route_id")
+    peers = manifest.select("route_id", F.explode("peers").alias("peer")).join(m.select(F.col("route_id").alias("peer"), F.col("hash").alias("peer_hash")), "peer", "left")
+    own = manifest.select("route_id", "expected_km").join(m, "route_id", "left")
+    same = peers.join(own.select("route_id", "hash"), "route_id").groupBy("route_id").agg(F.count("*").alias("peers"), F.count_if(F.col("hash") == F.col("peer_hash")).alias("equal_peers"))
+    x = own.join(same, "route_id", "left").fillna(0, ["peers", "equal_peers"])
+    length = F.coalesce(F.col("expected_km").isNull() | (F.abs(F.col("km") - F.col("expected_km")) <= within_km), F.lit(False)) & F.col("km").isNotNull()
+    return x.withColumn("length_ok", length).select("route_id", "km", "length_ok", "peers", "equal_peers", (F.col("length_ok") & (F.col("peers") == F.col("equal_peers"))).alias("verified"))
+
+
+def elevation_evidence(points: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Each route's own ascent, descent and elevations beside what a manifest, (route_id, ascent, descent), reports.
+
+    A difference needs both figures, and the descent's also a reported ascent; a route that the manifest lacks has none.
+    """
+    x = inventory(points).select("route_id", "points", F.col("raw_ascent").alias("own_up"), F.col("raw_descent").alias("own_down"))
+    span = points.groupBy("route_id").agg(F.min("ele").alias("lowest"), F.max("ele").alias("highest"))
+    x = x.join(span, "route_id").join(manifest.select("route_id", F.col("ascent").alias("said_up"), F.col("descent").alias("said_down")), "route_id", "left")
+    up, down = F.col("own_up") - F.col("said_up"), F.col("own_down") - F.col("said_down")
+    return x.select("route_id", "points", F.col("own_up").alias("ascent"), F.col("own_down").alias("descent"), "lowest", "highest", up.alias("ascent_delta"), F.when(up.isNotNull(), down).alias("descent_delta"))

@@ -32,13 +32,6 @@ def win_running_distance(d: Data) -> DataFrame:
     return g.measured(d.points).select("route_id", "idx", F.round("cum_m", 3).alias("cum_m"))
 
 
-@query(f"SELECT route_id, count(*) AS points, round(max(cum_m) / 1000, 4) AS km, count(ele) AS with_ele, round(sum(greatest(ele - prev, 0)), 4) AS raw_ascent FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM ({MEASURED})) GROUP BY 1")
-def geo_inventory(d: Data) -> DataFrame:
-    x = g.measured(d.points).withColumn("step", F.col("ele") - F.lag("ele").over(g.along()))
-    up = F.sum(F.when(F.col("step").isNotNull(), F.greatest("step", F.lit(0.0))))
-    return x.groupBy("route_id").agg(F.count("*").alias("points"), F.round(F.max("cum_m") / 1000, 4).alias("km"), F.count("ele").alias("with_ele"), F.round(up, 4).alias("raw_ascent"))
-
-
 @query("SELECT route_id, CASE WHEN count(ele) = count(*) THEN round(sum(greatest(ele - prev, 0)), 4) END AS whole, round(sum(CASE WHEN ele - prev > 0 THEN ele - prev END), 4) AS pairwise FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM f_route_points) GROUP BY 1")
 def geo_ascent_all_or_nothing(d: Data) -> DataFrame:
     """Ascent of complete profiles only, and over every pair of known neighbours."""
@@ -89,13 +82,6 @@ def geo_grid_index(d: Data) -> DataFrame:
     return d.points.groupBy("route_id", F.floor(F.col("lat") / g.CELL_LAT).alias("cy"), F.floor(F.col("lon") / g.CELL_LON).alias("cx")).agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT route_id, arg_min(idx, (round(dist, 3), idx)) AS idx, min(round(dist, 3)) AS offset_m FROM (SELECT route_id, idx, {HAVERSINE.format(a='lat', b='lon', c='55.51::DOUBLE', d='14.014::DOUBLE')} AS dist FROM f_route_points) GROUP BY 1")
-def geo_anchor_nearest(d: Data) -> DataFrame:
-    dist = F.round(g.haversine(F.col("lat"), F.col("lon"), F.lit(55.51), F.lit(14.014)), 3)
-    x = d.points.withColumn("dist", dist).groupBy("route_id").agg(F.min(F.struct("dist", "idx")).alias("s"))
-    return x.select("route_id", "s.idx", F.col("s.dist").alias("offset_m"))
-
-
 @query("SELECT route_id, idx, CASE WHEN ele IS NOT NULL THEN quantile_cont(ele, 0.5) OVER (PARTITION BY route_id ORDER BY idx ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) END AS smooth FROM f_route_points")
 def win_median7(d: Data) -> DataFrame:
     w = g.along().rowsBetween(-3, 3)
@@ -133,17 +119,6 @@ def win_thin_50m(d: Data) -> DataFrame:
     return thinned(d.points, 50.0).withColumn("cum_m", F.round("cum_m", 3))
 
 
-@query("SELECT route_id, CASE WHEN ok THEN round(up, 4) END AS ascent, CASE WHEN ok THEN round(down, 4) END AS descent, CASE WHEN ok THEN lo END AS lowest, CASE WHEN ok THEN hi END AS highest FROM (SELECT route_id, count(ele) >= 2 AND count(ele) >= 0.9::DOUBLE * count(*) AS ok, sum(CASE WHEN ele - prev IS NOT NULL THEN greatest(ele - prev, 0) END) AS up, -sum(CASE WHEN ele - prev IS NOT NULL THEN least(ele - prev, 0) END) AS down, min(ele) AS lo, max(ele) AS hi FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM f_route_points) GROUP BY 1)")
-def geo_terrain(d: Data) -> DataFrame:
-    return g.terrain(d.points).select("route_id", F.round("ascent", 4).alias("ascent"), F.round("descent", 4).alias("descent"), "lowest", "highest")
-
-
-@query("SELECT family, route_id, min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east FROM f_route_points GROUP BY ROLLUP (family, route_id)")
-def geo_bounds(d: Data) -> DataFrame:
-    """Bounding boxes of each route, family and all: one rollup."""
-    return d.points.rollup("family", "route_id").agg(F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"))
-
-
 @query(f"SELECT t.route_id, t.idx, cum_m, CASE WHEN ele IS NOT NULL THEN smooth END AS smooth FROM ({_THIN}) t JOIN (SELECT route_id, idx, ele, quantile_cont(ele, 0.5) OVER (PARTITION BY route_id ORDER BY idx ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS smooth FROM f_route_points) m USING (route_id, idx)")
 def geo_elevation_profile(d: Data) -> DataFrame:
     """Points 50 m apart with the median of seven elevations; unknown ones stay null."""
@@ -160,23 +135,6 @@ def win_gaps_islands(d: Data) -> DataFrame:
     return runs.groupBy("route_id", "run").agg(F.min("idx").alias("from_idx"), F.max("idx").alias("to_idx"), F.count("*").alias("points")).drop("run")
 
 
-@query(f"SELECT a.route_id, b.route_id AS peer, abs(a.m - b.m) <= 80 AS length_agrees FROM (SELECT route_id, max(cum_m) AS m FROM ({MEASURED}) GROUP BY 1) a JOIN (SELECT route_id, max(cum_m) AS m FROM ({MEASURED}) GROUP BY 1) b ON b.route_id = a.route_id + 10")
-def geo_verify_peer(d: Data) -> DataFrame:
-    """A route's length against its peer's, within 80 m."""
-    m = g.measured(d.points).groupBy("route_id").agg(F.max("cum_m").alias("m"))
-    peer = m.select((F.col("route_id") - 10).alias("route_id"), F.col("route_id").alias("peer"), F.col("m").alias("pm"))
-    return m.join(peer, "route_id").select("route_id", "peer", (F.abs(F.col("m") - F.col("pm")) <= 80).alias("length_agrees"))
-
-
-@query("SELECT a.route_id, round(a.up, 2) AS ascent, round(a.up - b.up, 2) AS over_peer FROM (SELECT route_id, sum(CASE WHEN ele > prev THEN ele - prev END) AS up FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM f_route_points) GROUP BY 1) a LEFT JOIN (SELECT route_id, sum(CASE WHEN ele > prev THEN ele - prev END) AS up FROM (SELECT *, lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS prev FROM f_route_points) GROUP BY 1) b ON b.route_id = a.route_id + 10")
-def geo_elevation_evidence(d: Data) -> DataFrame:
-    """A route's ascent and how it differs from what its peer has; null without a peer."""
-    step = F.col("ele") - F.lag("ele").over(g.along())
-    up = d.points.withColumn("step", step).groupBy("route_id").agg(F.sum(F.when(F.col("step") > 0, F.col("step"))).alias("up"))
-    peer = up.select((F.col("route_id") - 10).alias("route_id"), F.col("up").alias("pup"))
-    return up.join(peer, "route_id", "left").select("route_id", F.round("up", 2).alias("ascent"), F.round(F.col("up") - F.col("pup"), 2).alias("over_peer"))
-
-
 @query("SELECT route_id, round(sum(sqrt(pow(x - px, 2) + pow(y - py, 2))), 4) AS length FROM (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM (SELECT route_id, idx, 2.0::DOUBLE * idx + 0.5::DOUBLE * family + 10 AS x, -0.5::DOUBLE * idx + 2.0::DOUBLE * family + 20 AS y FROM f_route_points) WINDOW w AS (PARTITION BY route_id ORDER BY idx)) WHERE px IS NOT NULL GROUP BY 1")
 def geo_affine(d: Data) -> DataFrame:
     """Pixels by an affine map, and the length in the plane."""

@@ -179,12 +179,12 @@ def src_geojson_line(d: Data) -> DataFrame:
 
 @query("SELECT route_id, CAST(idx - 1 AS INTEGER) AS pos, round(lat, 8) AS lat, round(lon, 8) AS lon FROM f_route_points")
 def src_mercator_json(d: Data) -> DataFrame:
-    """Web-Mercator points as JSON back to degrees."""
+    """A JSON file of Web-Mercator points for each route, read back from the folder as degrees."""
     x, y = F.radians("lon") * 6378137.0, F.asinh(F.tan(F.radians("lat"))) * 6378137.0
     point = F.concat(F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"))
-    rows = route_text(d, point, ",").select("route_id", F.from_json(F.concat(F.lit("["), "body", F.lit("]")), "array<array<double>>").alias("c"))
-    lat = F.degrees(2 * F.atan(F.exp(F.col("p")[1] / 6378137.0)) - F.pi() / 2)
-    return rows.select("route_id", F.posexplode("c").alias("pos", "p")).select("route_id", "pos", F.round(lat, 8).alias("lat"), F.round(F.degrees(F.col("p")[0] / 6378137.0), 8).alias("lon"))
+    folder = shared_folder(d.spark)
+    files.write_documents(route_text(d, point, ",").select("route_id", F.concat(F.lit("["), "body", F.lit("]")).alias("body")), folder, "route_id")
+    return files.read_mercator(d.spark, folder).selectExpr(ROUTE, "pos", "round(lat, 8) AS lat", "round(lon, 8) AS lon")
 
 
 @query("SELECT n_nationkey AS key, n_name AS label, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")

@@ -222,4 +222,79 @@ def geo_project_point(d: Data) -> DataFrame:
     return named.select("landmark", "title", "route_id", "off_m", F.round(F.col("m") / 1000, 3).alias("km"), "segment", F.round("fraction", 4).alias("fraction"), rt.projection_quality(F.col("off_m")).alias("quality"))
 
 
+_STEPS = f"SELECT *, ele - lag(ele) OVER (PARTITION BY route_id ORDER BY idx) AS step FROM ({MEASURED})"
+_CLIMB = "CASE WHEN count(ele) > 0 THEN round(coalesce(sum(CASE WHEN {v} > 0 THEN {v} END), 0), 4) END"
+
+
+@query(f"""SELECT i.*, h.hash AS sha256 FROM (SELECT route_id, count(*) AS points, round(max(cum_m) / 1000, 4) AS km, arg_min(lat, idx) AS start_lat, arg_min(lon, idx) AS start_lon, arg_max(lat, idx) AS finish_lat, arg_max(lon, idx) AS finish_lon,
+  count(ele) AS with_ele, {_CLIMB.format(v="step")} AS raw_ascent, {_CLIMB.format(v="-step")} AS raw_descent FROM ({_STEPS}) GROUP BY 1) i JOIN ({_HASH.format(at=_POINT)}) h ON h.route_id = i.route_id""")
+def geo_inventory(d: Data) -> DataFrame:
+    return rt.inventory(d.points).withColumns({c: F.round(c, 4) for c in ("km", "raw_ascent", "raw_descent")})
+
+
+@query("SELECT *, round(degrees(atan(sinh((asinh(tan(radians(south))) + asinh(tan(radians(north)))) / 2))), 8) AS centre_lat, (west + east) / 2 AS centre_lon FROM (SELECT family, route_id, min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east FROM f_route_points GROUP BY ROLLUP (family, route_id))")
+def geo_bounds(d: Data) -> DataFrame:
+    """Boxes and centres of each route, family and all."""
+    return rt.bounds(d.points, "family", "route_id").withColumn("centre_lat", F.round("centre_lat", 8))
+
+
+#: Stretches of a route in metres.
+STRETCHES = {"whole": (0.0, 1e9), "first": (0.0, 1000.0), "middle": (2500.0, 1000.0)}
+_OK = "count(ele) >= 2 AND count(ele) >= 0.9::DOUBLE * count(*)"
+
+
+@query(f"""SELECT route_id, stretch, {", ".join(f"CASE WHEN {_OK} THEN {v} END AS {n}" for n, v in {"ascent": "round(coalesce(sum(CASE WHEN step > 0 THEN step END), 0), 4)", "descent": "round(coalesce(sum(CASE WHEN step < 0 THEN -step END), 0), 4)", "lowest": "min(ele)", "highest": "max(ele)", "length_m": "round(max(cum_m) FILTER (WHERE ele IS NOT NULL) - min(cum_m) FILTER (WHERE ele IS NOT NULL), 3)"}.items())},
+  count(ele) / count(*) AS coverage FROM (SELECT *, ele - lag(ele) OVER (PARTITION BY route_id, stretch ORDER BY idx) AS step FROM ({MEASURED}) JOIN (VALUES {", ".join(f"('{n}', {min(s)}::DOUBLE, {max(s)}::DOUBLE)" for n, s in STRETCHES.items())}) s(stretch, a, b) ON cum_m BETWEEN a AND b) GROUP BY 1, 2""")
+def geo_terrain(d: Data) -> DataFrame:
+    return rt.terrain_on(d.points, STRETCHES).withColumns({"ascent": F.round("ascent", 4), "descent": F.round("descent", 4), "length_m": F.round("length_m", 3)})
+
+
+_ANCHOR = HAVERSINE.format(a="p.lat", b="p.lon", c="a.lat", d="a.lon")
+
+
+@query(f"""WITH a AS (SELECT landmark, route_id, l.lat, l.lon, 40.0::DOUBLE + s_nationkey * 10 AS max_offset_m FROM f_landmarks l JOIN supplier ON s_suppkey = landmark JOIN (SELECT DISTINCT route_id, family FROM f_route_points) r ON r.family = l.family AND route_id % 25 = s_nationkey),
+n AS (SELECT a.landmark, a.route_id, min({{'off': round({_ANCHOR}, 3), 'idx': p.idx, 'm': p.cum_m}}) AS s FROM a JOIN ({MEASURED}) p ON p.route_id = a.route_id GROUP BY 1, 2)
+SELECT a.landmark, a.route_id, s.idx AS idx, round(s.m / 1000, 3) AS km, s.off AS offset_m, s.off <= max_offset_m AS ok FROM a JOIN n ON n.landmark = a.landmark AND n.route_id = a.route_id""")
+def geo_anchor_nearest(d: Data) -> DataFrame:
+    """Landmarks on the routes that they are assigned, by family and the nation that lays the route out."""
+    nation = d.table("supplier").select(F.col("s_suppkey").alias("landmark"), F.col("s_nationkey").cast("long").alias("nation"))
+    of = d.points.select("route_id", "family", (F.col("route_id") % 25).alias("nation")).distinct()
+    assigned = d.landmarks.join(nation, "landmark").join(of, ["family", "nation"]).withColumn("max_offset_m", 40.0 + F.col("nation") * 10)
+    return rt.snapped(assigned, d.points, "landmark").withColumn("km", F.round("km", 3))
+
+
+_TRACES = "SELECT route_id, idx, lat, lon, ele FROM f_route_points UNION ALL SELECT -1 - route_id, idx, lat + CASE WHEN route_id % 4 = 0 AND idx = 5 THEN 0.0001::DOUBLE ELSE 0 END, lon, ele FROM f_route_points"
+
+
+def traces(d: Data) -> DataFrame:
+    """Routes, and each of them published again under another id; of some a point was moved."""
+    moved = F.when((F.col("route_id") % 4 == 0) & (F.col("idx") == 5), 0.0001).otherwise(0.0)
+    again = d.points.withColumns({"lat": F.col("lat") + moved, "route_id": -1 - F.col("route_id")})
+    return d.points.unionByName(again)
+
+
+@query(f"""WITH t AS MATERIALIZED ({_TRACES}), h AS ({_HASH.format(at=_POINT).replace("f_route_points", "t")}), m AS (SELECT route_id, max(cum_m) / 1000 AS km, max(idx) AS n FROM ({MEASURED}) GROUP BY 1),
+p AS (SELECT m.route_id, unnest(CASE WHEN m.route_id % 6 = 0 THEN [-1 - m.route_id, m.route_id + 1000000] ELSE [-1 - m.route_id] END) AS peer FROM m),
+q AS (SELECT p.route_id, count(*) AS peers, count(*) FILTER (WHERE x.hash = y.hash) AS equal_peers FROM p JOIN h x ON x.route_id = p.route_id LEFT JOIN h y ON y.route_id = p.peer GROUP BY 1)
+SELECT route_id, round(km, 3) AS km, abs(m.route_id % 5 - 2) < 2 AS length_ok, peers, equal_peers, abs(m.route_id % 5 - 2) < 2 AND peers = equal_peers AS verified FROM m JOIN q USING (route_id)""")
+def geo_verify_peer(d: Data) -> DataFrame:
+    """Routes against a manifest of lengths, some of them 100 m off, and of peers, some of which moved or are gone."""
+    km = g.measured(d.points).groupBy("route_id").agg((F.max("cum_m") / 1000).alias("km"))
+    peers = F.when(F.col("route_id") % 6 == 0, F.array(-1 - F.col("route_id"), F.col("route_id") + 1000000)).otherwise(F.array(-1 - F.col("route_id")))
+    manifest = km.select("route_id", (F.col("km") + (F.col("route_id") % 5 - 2) * 0.05).alias("expected_km"), peers.alias("peers"))
+    return rt.verified(traces(d), manifest).withColumn("km", F.round("km", 3))
+
+
+_SAID = "CASE WHEN route_id % 5 <> 0 THEN points * 40.0::DOUBLE END AS said_up, CASE WHEN route_id % 7 <> 0 THEN points * 38.0::DOUBLE END AS said_down"
+
+
+@query(f"""SELECT route_id, points, round(up, 2) AS ascent, round(down, 2) AS descent, lowest, highest, round(up - said_up, 2) AS ascent_delta, CASE WHEN up - said_up IS NOT NULL THEN round(down - said_down, 2) END AS descent_delta FROM (SELECT *, {_SAID} FROM
+  (SELECT route_id, count(*) AS points, {_CLIMB.format(v="step")} AS up, {_CLIMB.format(v="-step")} AS down, min(ele) AS lowest, max(ele) AS highest FROM ({_STEPS}) GROUP BY 1))""")
+def geo_elevation_evidence(d: Data) -> DataFrame:
+    """Routes beside a manifest that reports 40 m up and 38 m down a point, and of some routes nothing."""
+    n = d.points.groupBy("route_id").agg(F.count("*").alias("n"))
+    manifest = n.select("route_id", F.when(F.col("route_id") % 5 != 0, F.col("n") * 40.0).alias("ascent"), F.when(F.col("route_id") % 7 != 0, F.col("n") * 38.0).alias("descent"))
+    return rt.elevation_evidence(d.points, manifest).withColumns({c: F.round(c, 2) for c in ("ascent", "descent", "ascent_delta", "descent_delta")})
+
+
 QUERIES, ORACLE = book.queries, book.sql

@@ -57,6 +57,14 @@ def read_geojson(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("file", "line", "pos", F.col("c")[1].alias("lat"), F.col("c")[0].alias("lon"))
 
 
+def read_mercator(spark: SparkSession, folder: str, radius: float = 6378137.0) -> DataFrame:
+    """(file, pos, lat, lon): JSON files of Web-Mercator points, ``[[x, y], ...]``, in degrees; others have no rows."""
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
+    rows = files.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.from_json("value", "array<array<double>>")).alias("pos", "c"))
+    lat = F.degrees(2 * F.atan(F.exp(F.get("c", F.lit(1)) / radius)) - F.pi() / 2)
+    return rows.select("file", "pos", lat.alias("lat"), F.degrees(F.get("c", F.lit(0)) / radius).alias("lon"))
+
+
 def read_osm_ways(spark: SparkSession, folder: str, accepted: tuple[str, ...] = WALKED) -> DataFrame:
     """(way, pos, lat, lon, highway, name, tags): the points, in order, of each way of an accepted highway in a folder of OSM files.
 

@@ -51,12 +51,6 @@ def test_groups(spark):
     assert len(r) == 1 and r[0]["display"] == " Test " and r[0]["median"] is None
 
 
-def test_terrain(spark):
-    rows = [(1, i, e) for i, e in enumerate([10.0, 30.0, 20.0, 50.0])] + [(2, 0, 1.0), (2, 1, None)]
-    r = {x["route_id"]: x for x in geo.terrain(spark.createDataFrame(rows, "route_id int, idx int, ele double")).collect()}
-    assert (r[1]["ascent"], r[1]["descent"], r[1]["lowest"], r[1]["highest"]) == (50, 10, 10, 50) and r[2]["ascent"] is None
-
-
 def test_nearest_equals_brute_force(spark):
     import random
 
