@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
+from racelab.operators import normalize
 from racelab.plans.base import Book, Data
 from racelab.sources import files
 from racelab.sources.html import list_entries, table_cells
@@ -40,13 +41,43 @@ def src_html_tables(d: Data) -> DataFrame:
     return cells.groupBy("rid", "row_no").agg(of(0).alias("point"), of(2).try_cast("int").alias("place"))
 
 
-@query("SELECT rid, cp_key AS point, CAST(elapsed_seconds AS BIGINT) AS seconds, CAST(row_number() OVER (PARTITION BY rid ORDER BY seq) AS INTEGER) AS sequence_no FROM f_splits")
+_LABEL = "CASE WHEN s.seq = 1 THEN '20 km' WHEN left(s.race_key, 4) >= '1997' THEN 'Bengtemölla km 45' ELSE '45 km' END"
+_PUBLISHED = f"""SELECT rid, CAST(row_number() OVER w AS INTEGER) AS sequence_no, {_LABEL} AS label, CASE WHEN s.seq = 1 THEN '20-km' WHEN left(s.race_key, 4) >= '1997' THEN 'bengtemolla-km-45' ELSE '45-km' END AS checkpoint_key,
+  CASE WHEN s.seq = 1 THEN 20.0::DOUBLE WHEN left(s.race_key, 4) < '1997' THEN 45 END AS reported_km, CASE WHEN s.seq = 1 THEN 20.0::DOUBLE ELSE 25 END AS segment_km, CAST(elapsed_seconds - coalesce(lag(elapsed_seconds) OVER w, 0) AS BIGINT) AS segment_seconds,
+  CAST(place_overall + 1 AS INTEGER) AS segment_place_overall, CASE WHEN rid % 4 <> 0 THEN CAST(rid % 40 + 1 AS INTEGER) END AS segment_place_gender, CASE WHEN rid % 4 <> 0 THEN CAST(rid % 7 + 1 AS INTEGER) END AS segment_place_class,
+  CASE WHEN rid % 5 <> 0 THEN '4:' || lpad(CAST(rid % 60 AS VARCHAR), 2, '0') || ' min/km' END AS segment_pace, CASE WHEN rid % 11 <> 0 THEN CAST(elapsed_seconds AS BIGINT) END AS seconds, CAST(place_overall AS INTEGER) AS place_overall,
+  CAST(rid % 30 + 1 AS INTEGER) AS place_gender, CAST(rid % 9 + 1 AS INTEGER) AS place_class, CASE WHEN rid % 2 = 0 THEN '09:' || lpad(CAST(rid % 60 AS VARCHAR), 2, '0') || ':00' END AS clock FROM f_splits s WINDOW w AS (PARTITION BY rid ORDER BY s.seq)"""
+
+
+def split_label() -> Column:
+    """A passage's label as its year's source writes it."""
+    second = F.when(F.substring("race_key", 1, 4) >= "1997", "Bengtemölla km 45").otherwise("45 km")
+    return F.when(F.col("seq") == 1, "20 km").otherwise(second)
+
+
+def split_pages(d: Data) -> DataFrame:
+    """(rid, html): each result's passages with both triples of ranks, among headings, totals and a row that is too short."""
+    rid, two = F.col("rid"), lambda n: F.lpad((F.col("rid") % n).cast("string"), 2, "0")
+    took = F.col("elapsed_seconds") - F.coalesce(F.lag("elapsed_seconds").over(Window.partitionBy("rid").orderBy("seq")), F.lit(0))
+    some = lambda c: F.when(rid % 4 != 0, c)
+    cells = [
+        split_label(), F.when(F.col("seq") == 1, "20,0 km").otherwise("25 KM"), F.lit("x"), tx.format_time(took), F.concat_ws(" / ", F.col("place_overall") + 1, some(rid % 40 + 1), some(rid % 7 + 1)),
+        F.when(rid % 5 != 0, F.concat(F.lit("4:"), two(60), F.lit(" min/km"))).otherwise(""), F.when(rid % 11 != 0, tx.format_time(F.col("elapsed_seconds"))).otherwise("–"),
+        F.concat("place_overall", F.lit(" ("), rid % 30 + 1, F.lit(", "), rid % 9 + 1, F.lit(")")),
+    ]
+    clock = F.when(rid % 2 == 0, F.concat(F.lit("<td>09:"), two(60), F.lit(":00</td>"))).otherwise("")
+    row = F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells), clock, F.lit("</tr>"))
+    rows = d.splits.withColumn("tr", row).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("seq", "tr"))).alias("rows"))
+    full = lambda label: f"<tr><td>{label}</td>" + "<td>1</td>" * 7 + "</tr>"
+    body = F.array_join(F.transform("rows", lambda r: r["tr"]), full("Mellantid 1"))
+    head = "<table class='info'>" + full("20 km") + "</table><table class='wide splits-table'>" + full("Distans") + "<tr><td>20 km</td><td>short</td></tr>" + full("")
+    return rows.select("rid", F.concat(F.lit(head), body, F.lit(full("Totalt") + "</table>")).alias("html"))
+
+
+@query(_PUBLISHED)
 def nrm_splits(d: Data) -> DataFrame:
-    """Rows of a splits table as passages: header rows skipped, numbered anew."""
-    cells = pages(d).select("rid", F.inline(table_cells(F.col("html")))).where("contains(table_class, 'splits')")
-    rows = cells.groupBy("rid", "row_no").agg(F.map_from_entries(F.collect_list(F.struct("cell_no", "text"))).alias("c"), F.bool_or(F.col("tag") == "th").alias("head")).where("not head and size(c) >= 3")
-    number = F.row_number().over(Window.partitionBy("rid").orderBy("row_no"))
-    return rows.select("rid", F.col("c")[0].alias("point"), tx.parse_seconds(F.col("c")[1]).cast("long").alias("seconds"), number.alias("sequence_no"))
+    """Rows of passage tables with distance, times, pace, clock and three ranks each of segment and passage."""
+    return normalize.passages(split_pages(d), "rid")
 
 
 def list_pages(d: Data) -> DataFrame:
@@ -124,12 +155,24 @@ def nrm_team(d: Data) -> DataFrame:
     return rows.select("result_id", F.concat(F.lit("team:"), at(1)).alias("team"), at(3).alias("club"), tx.parse_seconds(at(5)).cast("long").alias("seconds"))
 
 
-@query("SELECT s.rid, s.cp_key, CASE s.cp_key WHEN 'cp1' THEN 'first_hill' END AS semantic_key, CASE s.cp_key WHEN 'cp1' THEN 'analysis' ELSE 'unmapped_source_checkpoint' END AS role FROM f_splits s")
+#: A configuration as it is kept in a file.
+_CONFIG = """{"mappings": [
+  {"years": [1992, 1993, 1994, 1995, 1996], "source_labels": ["20 km", "45 km"], "semantic_key": "aid", "role": "aid_station_timing", "analysis_primary": true, "confidence": "source_distance"},
+  {"years": [1993, 1994, 1995, 1996], "source_labels": ["45 km"], "semantic_key": "bengtemolla_approach", "canonical_landmark_key": "bengtemolla", "role": "approach_candidate", "analysis_primary": false, "confidence": "inferred"},
+  {"years": [1997], "source_labels": ["Bengtemölla km 45"], "semantic_key": "finish", "role": null, "analysis_primary": true, "confidence": "source_named"}]}"""
+
+
+@query(f"""SELECT rid, label, CASE WHEN y = 1997 AND seq = 2 THEN 'finish' WHEN y BETWEEN 1993 AND 1996 AND seq = 2 THEN 'bengtemolla_approach' WHEN y <= 1996 THEN 'aid' END AS semantic_key,
+  CASE WHEN y BETWEEN 1993 AND 1996 AND seq = 2 THEN 'bengtemolla' WHEN y <= 1996 THEN 'aid' END AS landmark_key, CASE WHEN y = 1997 AND seq = 2 THEN NULL WHEN y BETWEEN 1993 AND 1996 AND seq = 2 THEN 'approach_candidate' WHEN y <= 1996 THEN 'aid_station_timing' ELSE 'unmapped_source_checkpoint' END AS role,
+  CASE WHEN y = 1997 AND seq = 2 THEN TRUE WHEN y BETWEEN 1993 AND 1996 AND seq = 2 THEN FALSE WHEN y <= 1996 THEN TRUE END AS analysis_primary, CASE WHEN y = 1997 AND seq = 2 THEN 'source_named' WHEN y BETWEEN 1993 AND 1996 AND seq = 2 THEN 'inferred' WHEN y <= 1996 THEN 'source_distance' END AS confidence
+FROM (SELECT rid, seq, {_LABEL} AS label, CAST(left(race_key, 4) AS INTEGER) AS y FROM f_splits s)""")
 def nrm_checkpoint_semantics(d: Data) -> DataFrame:
-    """Checkpoints by a small mapping; those it lacks are marked."""
-    mapping = d.spark.createDataFrame([("cp1", "first_hill", "analysis")], "cp_key string, semantic_key string, role string")
-    x = d.splits.join(F.broadcast(mapping), "cp_key", "left")  # the mapping is configuration: a few rows
-    return x.select("rid", "cp_key", "semantic_key", F.coalesce("role", F.lit("unmapped_source_checkpoint")).alias("role"))
+    """Passages by a configuration file of years and labels; an entry of less trust that comes later counts."""
+    folder = shared_folder(d.spark)
+    files.write_documents(d.spark.createDataFrame([(1, _CONFIG)], "key int, body string"), folder)
+    index = normalize.semantics_index(files.read_config(d.spark, folder, normalize.MAPPINGS))
+    rows = d.splits.select("rid", split_label().alias("label"), F.substring("race_key", 1, 4).cast("int").alias("year"))
+    return normalize.with_semantics(rows, index).drop("year")
 
 
 @query("SELECT a.rid, CASE WHEN b.elapsed_seconds >= a.elapsed_seconds THEN b.elapsed_seconds - a.elapsed_seconds END AS gap FROM f_splits a JOIN f_splits b ON a.rid = b.rid AND a.cp_key = 'cp1' AND b.cp_key = 'cp2'")
@@ -197,10 +240,11 @@ def src_config_dims(d: Data) -> DataFrame:
     return files.read_config(d.spark, folder, "key int, label string, region string").select("key", "label", "region")
 
 
-@query("SELECT rid, cp_key AS point, CAST(elapsed_seconds AS BIGINT) AS seconds, CAST(row_number() OVER (PARTITION BY rid ORDER BY seq) AS INTEGER) AS sequence_no, 'team' AS source_kind FROM f_splits WHERE rid IN (SELECT rid FROM f_results WHERE class_name = '1-URGENT')")
+@query(f"SELECT *, 'team' AS source_kind FROM ({_PUBLISHED}) WHERE rid IN (SELECT rid FROM f_results WHERE class_name = '1-URGENT')")
 def nrm_team_splits(d: Data) -> DataFrame:
+    """The same of teams' pages alone."""
     teams = d.results.where("class_name = '1-URGENT'").select("rid")
-    return nrm_splits(d).join(teams, "rid", "left_semi").withColumn("source_kind", F.lit("team"))
+    return normalize.passages(split_pages(d).join(teams, "rid", "left_semi"), "rid").withColumn("source_kind", F.lit("team"))
 
 
 @query("SELECT l_orderkey AS team, l_linenumber AS member, CAST(max(l_suppkey) AS VARCHAR) AS name FROM lineitem GROUP BY 1, 2")
