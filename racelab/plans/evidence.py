@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
+from racelab.operators import catalog
 from racelab.operators import privacy as pv
 from racelab.operators.observations import finished, starter
 from racelab.plans.base import Book, Data
@@ -341,22 +342,74 @@ def prv_audit_public(d: Data) -> DataFrame:
 # catalogs --------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT c_mktsegment AS label, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'heavy' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'motor' END AS family, count(*) AS n FROM customer GROUP BY 1")
+_CLASS_LABEL = "CASE WHEN p_retailprice < 920 THEN 'Duo ' ELSE '' END || split_part(p_type, ' ', 1) || '  ' || p_size || ' KM'"
+
+
+@query(f"""SELECT label, family, CASE family WHEN 'duo60' THEN 60 WHEN 'trail22' THEN 22 WHEN 'trail14' THEN 14 WHEN 'trail5' THEN 5 END AS nominal_km, CASE WHEN n_size IN (5, 13, 14, 21, 22) THEN n_size WHEN family = 'duo60' THEN 60 END AS historical_km, n FROM (SELECT label, n_size, n,
+  CASE WHEN starts_with(label, 'Duo') THEN 'duo60' WHEN n_size IN (21, 22) THEN 'trail22' WHEN n_size IN (13, 14) THEN 'trail14' WHEN n_size = 5 THEN 'trail5' END AS family FROM (SELECT {_CLASS_LABEL} AS label, CAST(p_size AS INTEGER) AS n_size, count(*) AS n FROM part GROUP BY 1, 2))""")
 def cat_classes(d: Data) -> DataFrame:
-    s = F.col("label")
-    return d.table("customer").groupBy(F.col("c_mktsegment").alias("label")).agg(F.count("*").alias("n")).select("label", F.when(s.rlike("^(BUILD|MACH)"), "heavy").when(s.rlike("MOBILE$"), "motor").alias("family"), "n")
+    """The labels of classes, by kind and size of parts, with their families; those without one are the unmapped list."""
+    label = F.concat(F.when(F.col("p_retailprice") < 920, "Duo ").otherwise(""), F.split_part("p_type", F.lit(" "), F.lit(1)), F.lit("  "), F.col("p_size").cast("string"), F.lit(" KM"))
+    return catalog.classes(d.table("part").groupBy(label.alias("label")).agg(F.count("*").alias("n"))).select("label", "family", "nominal_km", "historical_km", "n")
 
 
-@query(f"SELECT c.race_key, c.course_version, c.course_group, f.distributions, f.segments FROM f_courses c LEFT JOIN (SELECT {_FLAGS} FROM ({_READY})) f ON f.race_key = c.race_key")
-def cat_enriched(d: Data) -> DataFrame:
-    return d.courses.join(agg_readiness(d).select("race_key", "distributions", "segments"), "race_key", "left").select("race_key", "course_version", "course_group", "distributions", "segments")
+#: The family of races that runs as a relay, and the one whose route it runs.
+RELAY, ROUTE = "furniture", "building"
+_ROUTE_FAMILY = f"CASE WHEN race_family = '{RELAY}' THEN '{ROUTE}' ELSE race_family END"
+
+
+def editions_of(d: Data) -> DataFrame:
+    """(year, family, route_family) of all editions."""
+    f = F.col("race_family")
+    return d.races.select("year", f.alias("family"), F.when(f == RELAY, ROUTE).otherwise(f).alias("route_family"))
+
+
+def observed_classes(d: Data) -> DataFrame:
+    """Editions whose class the provider lists: all but machinery in even years."""
+    x = editions_of(d).where("not (family = 'machinery' and year % 2 = 0)")
+    return x.select("year", "family", F.concat(F.col("year").cast("string"), F.lit("-"), F.length("family").cast("string")).alias("distance_id"), F.initcap("family").alias("label"))
 
 
-@query("SELECT r.race_key, list_sort(list(DISTINCT s.cp_key) FILTER (WHERE s.cp_key IS NOT NULL)) AS cps, CASE WHEN count(s.rid) = 0 THEN 'none' WHEN count(DISTINCT s.rid) * 2 < count(DISTINCT r.rid) THEN 'partial' ELSE 'observed' END AS split_status FROM f_results r LEFT JOIN f_splits s ON s.rid = r.rid GROUP BY 1")
+def coverage_of(d: Data) -> DataFrame:
+    """Coverage of all editions: their families' classes, the passages of a sampled result, tracking pages and archived routes."""
+    passed = d.splits.groupBy("rid").agg(F.array_sort(F.collect_set("cp_key")).alias("labels"))
+    sampled = d.results.where("custkey % 3 > 0").groupBy("year", F.col("race_family").alias("family")).agg(F.min("rid").alias("rid")).where("year % 6 <> 0")
+    inventories = sampled.join(passed, "rid", "left").select("year", "family", F.when(F.col("rid") % 2 == 0, F.col("rid")).alias("sample"), F.col("labels").isNotNull().alias("has_table"), "labels")
+    ids = F.array(*(F.concat(F.col("year").cast("string"), F.lit(f"-{n}")) for n in (8, 9)))
+    tracking = d.races.select("year").distinct().where("year >= 1995").select("year", (F.col("year") % 2 == 1).alias("view"), ids.alias("distance_ids"))
+    trace = F.concat(F.col("family"), F.lit("-"), (F.col("year") % 3).cast("string"))
+    sources = editions_of(d).where("family = route_family and year < 1998").select(
+        "year", "family", F.explode(F.array(*(F.struct(F.when(F.lit(i == 0), trace).alias("trace_id"), F.when(F.lit(i == 1) & (F.col("year") > 1993), F.lit("a.gpx")).alias("gpx"), F.when(F.lit(i == 2) & (F.col("year") % 2 == 0), F.lit("m.pdf")).alias("map")) for i in range(3)))).alias("s")
+    ).select("year", "family", "s.*")
+    return catalog.source_coverage(editions_of(d), observed_classes(d), inventories, tracking, sources, relay=RELAY)
+
+
+_COVERAGE = f"""WITH e AS (SELECT year, race_family AS family, {_ROUTE_FAMILY} AS route_family FROM f_races), c AS (SELECT year, family, year || '-' || length(family) AS distance_id, upper(left(family, 1)) || substr(family, 2) AS label FROM e WHERE NOT (family = 'machinery' AND year % 2 = 0)),
+s AS (SELECT year, race_family AS family, min(rid) AS rid FROM f_results WHERE custkey % 3 > 0 AND year % 6 <> 0 GROUP BY 1, 2), p AS (SELECT rid, list_sort(list(DISTINCT cp_key)) AS labels FROM f_splits GROUP BY 1), i AS (SELECT s.*, labels FROM s LEFT JOIN p ON p.rid = s.rid)
+SELECT e.*, c.label IS NOT NULL AS class_observed, distance_id, label, CASE WHEN i.rid % 2 = 0 THEN 'participant_detail_observed' WHEN e.family = '{RELAY}' THEN 'team_or_relay_adapter_needed' ELSE 'not_observed' END AS detail_status, CASE WHEN i.rid % 2 = 0 THEN i.rid END AS sample,
+  CASE WHEN i.rid IS NULL THEN 'not_inventoried' WHEN labels IS NULL THEN 'no_split_table_in_sample' ELSE 'split_table_observed' END AS split_status, coalesce(labels, []) AS split_labels, CAST(coalesce(len(labels), 0) AS INTEGER) AS split_count,
+  e.year >= 1995 AND e.year % 2 = 1 AS tracking_view, e.year >= 1995 AND coalesce(length(label) IN (8, 9), FALSE) AS tracking_match, CASE WHEN e.year < 1998 THEN 1 ELSE 0 END AS route_references, CASE WHEN e.year < 1998 THEN [route_family || '-' || (e.year % 3)] ELSE [] END AS trace_ids,
+  CASE WHEN e.year BETWEEN 1994 AND 1997 THEN 1 ELSE 0 END AS gpx_files, CASE WHEN e.year < 1998 AND e.year % 2 = 0 THEN 1 ELSE 0 END AS map_files,
+  CASE WHEN e.year BETWEEN 1994 AND 1997 THEN CASE WHEN e.family = '{RELAY}' THEN 'via_route_family' ELSE 'archived' END WHEN e.year < 1998 THEN CASE WHEN e.family = '{RELAY}' THEN 'route_family_reference_only' ELSE 'reference_only' END ELSE 'missing' END AS geometry_status
+FROM e LEFT JOIN c USING (year, family) LEFT JOIN i USING (year, family)"""
+
+
+@query(_COVERAGE)
 def cat_source_coverage(d: Data) -> DataFrame:
-    per = d.splits.groupBy("rid").agg(F.collect_set("cp_key").alias("c"))
-    s = d.results.join(per, "rid", "left").groupBy("race_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("c")))).alias("cps"), F.count("c").alias("n"), F.count("*").alias("all"))
-    return s.select("race_key", "cps", F.when(F.col("n") == 0, "none").when(F.col("n") * 2 < F.col("all"), "partial").otherwise("observed").alias("split_status"))
+    return coverage_of(d)
+
+
+@query(f"""SELECT f.year, f.race_family AS family, {_ROUTE_FAMILY} AS route_family, 'c' || (f.year % 3) AS catalog_version, v.distance_id, v.label, CASE WHEN f.year <= 1999 THEN course_version END AS course_version, CASE WHEN f.year <= 1999 THEN 'verified' ELSE 'not_assigned' END AS version_status,
+  v.split_status, v.split_labels, v.detail_status, v.geometry_status, v.tracking_match, CASE WHEN f.year % 2 = 0 THEN sha256({_ROUTE_FAMILY} || f.year) END AS geometry_hash, CASE WHEN f.year % 2 = 0 THEN 60.0::DOUBLE END AS geometry_km, r.distributions, r.segments, r.by_sex, r.by_age
+FROM f_courses f JOIN ({_COVERAGE}) v ON v.year = f.year AND v.family = f.race_family LEFT JOIN (SELECT {_FLAGS} FROM ({_READY})) r ON r.race_key = f.race_key""")
+def cat_enriched(d: Data) -> DataFrame:
+    """Each edition with its class, assigned course version, coverage, capabilities and geometry."""
+    f = F.col("race_family")
+    races = editions_of(d).withColumn("course_version", F.concat(F.lit("c"), (F.col("year") % 3).cast("string")))
+    assigned = d.courses.where("year <= 1999").select("year", f.alias("family"), "course_version", F.lit("verified").alias("status"))
+    ready = agg_readiness(d).join(d.races, "race_key").select("year", f.alias("family"), "distributions", "segments", "by_sex", "by_age")
+    geometry = editions_of(d).where("family = route_family and year % 2 = 0").select("year", "route_family", F.sha2(F.concat("route_family", "year"), 256).alias("hash"), F.lit(60.0).alias("km"))
+    return catalog.enriched(races, observed_classes(d), assigned, coverage_of(d), ready, geometry)
 
 
 #: Rules by feature, the first that holds counts: condition, status, reason. Expressions of a class's row for both engines.

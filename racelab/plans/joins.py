@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
@@ -284,62 +284,36 @@ def fn_category_split(d: Data) -> DataFrame:
     return d.results.where("sex is not null").select("rid", tx.category_split(text).alias("r")).select("rid", "r.sex", "r.age_category")
 
 
-#: Texts by which a status is published, one of them for each result.
-_SAID = {
-    "DNF": ("DNF", "UTGÅTT efter 20 km", "har Brutit loppet", "bröt vid 45 km", "retired", "Did not finish"),
-    "DNS": ("DNS", "ej start", "Ej startat", "inte start", "Inte startat", "Did not START", "no start"),
-    "DSQ": ("DSQ", "DQ", "diskvalificerad", "Diskval.", "disqualified"),
-    "FINISHED": ("startade", "utgåttan", "DNFX"),
-    "UNKNOWN": ("DNF eller DNS", "", "diskret"),
-}
+def raw_text(d: Data) -> Column:
+    """A result's list row as one text: time, status, class and club."""
+    return F.concat_ws(" ", tx.format_time(F.col("finish_seconds")), F.initcap("status"), "class_name", F.concat(F.lit("("), F.lower("status"), F.lit(")")), "club")
 
 
 @query("SELECT rid, CASE WHEN status IN ('DNF', 'DNS', 'DSQ') THEN status END AS detected FROM f_results")
 def fn_status_detect(d: Data) -> DataFrame:
-    said = F.create_map(*(x for status, texts in _SAID.items() for x in (F.lit(status), F.array(*map(F.lit, texts)))))[F.col("status")]
-    text = F.concat_ws(" ", F.lit("tid"), F.get(said, (F.col("rid") % F.size(said)).cast("int")), F.col("club"))
-    return d.results.select("rid", tx.status_detect(text).alias("detected"))
+    return d.results.select("rid", tx.status_detect(raw_text(d)).alias("detected"))
 
 
-@query(f"SELECT (ARRAY[{', '.join(repr(w) for w in tx.COUNTED_WORDS)}])[custkey % {len(tx.COUNTED_WORDS)} + 1] AS word, count(*) AS n FROM f_results GROUP BY 1")
+@query("SELECT lower(status) AS word, 2 * count(*) AS n FROM f_results WHERE status IN ('DNF', 'DNS', 'DSQ') GROUP BY 1")
 def fn_status_words(d: Data) -> DataFrame:
-    """How often each status word stands in raw texts, by itself and in either case."""
-    word = F.get(F.array(*map(F.lit, tx.COUNTED_WORDS)), (F.col("custkey") % len(tx.COUNTED_WORDS)).cast("int"))
-    text = F.concat(F.lit("undnf dnfs ("), F.initcap(word), F.lit("), disqualx"))
-    return d.results.select(F.explode(tx.status_words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """How often each status word stands in raw texts, in either case."""
+    return d.results.select(F.explode(tx.status_words(raw_text(d))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-#: Class label, its family, nominal and stated distance.
-_LABELS = (
-    ("ULTRA", "ultra60", 60, None), ("Lopp  60 km", "ultra60", 60, 60), ("Duo 60k", "duo60", 60, 60), ("DUO", "duo60", 60, 60), ("Relay 22 km", "duo60", 60, 22),
-    ("Trail 22KM", "trail22", 22, 22), ("21 k herrar", "trail22", 22, 21), ("13km", "trail14", 14, 13), ("Trail 14 km", "trail14", 14, 14), ("5 km knatte", "trail5", 5, 5),
-    ("15 km", None, None, None), ("60kmx", None, None, None), ("160 km", None, None, None),
-)
-_LABEL_ROWS = ", ".join("({}, {}, {}, {})".format(i, *("NULL" if x is None else repr(x) for x in row[1:])) for i, row in enumerate(_LABELS))
-
-
-@query(f"SELECT c_custkey, CAST(family AS VARCHAR) AS family, CAST(nominal AS INTEGER) AS nominal, CAST(stated AS INTEGER) AS stated FROM customer JOIN (VALUES {_LABEL_ROWS}) l(i, family, nominal, stated) ON c_custkey % {len(_LABELS)} = i")
+@query("""SELECT p_partkey, family, CASE family WHEN 'duo60' THEN 60 WHEN 'trail22' THEN 22 WHEN 'trail14' THEN 14 WHEN 'trail5' THEN 5 END AS nominal, CASE WHEN p_size IN (5, 13, 14, 21, 22) THEN CAST(p_size AS INTEGER) WHEN family = 'duo60' THEN 60 END AS stated
+FROM (SELECT *, CASE WHEN p_brand LIKE 'Brand#1%' THEN 'duo60' WHEN p_size IN (21, 22) THEN 'trail22' WHEN p_size IN (13, 14) THEN 'trail14' WHEN p_size = 5 THEN 'trail5' END AS family FROM part)""")
 def fn_race_family(d: Data) -> DataFrame:
-    """A label's family by the first pattern that fits, its distance, and the distance that the label states."""
-    label = F.get(F.array(*(F.lit(row[0]) for row in _LABELS)), (F.col("c_custkey") % len(_LABELS)).cast("int"))
+    """Labels of a part's type, brand and size as km: family by the first pattern that fits, its distance, the distance stated."""
+    label = F.concat_ws("  ", F.lower("p_type"), F.replace("p_brand", F.lit("Brand#1"), F.lit("Duo #")), F.concat("p_size", F.lit(" KM")))
     family = tx.race_family(label)
-    return d.table("customer").select("c_custkey", family.alias("family"), tx.nominal_km(family).alias("nominal"), tx.historical_km(label).alias("stated"))
-
+    return d.table("part").select("p_partkey", family.alias("family"), tx.nominal_km(family).alias("nominal"), tx.historical_km(label).alias("stated"))
 
-#: Title and types of a waypoint, and what it stands for.
-_WAYPOINTS = (
-    ("Bengtemölla", (), "bengtemolla"), ("VANTALÄNGAN", ("drink",), "vantalangan"), ("Vid Stenshuvud", (), "stenshuvud"), ("Start/mål", (), "start"), ("restart", (), None),
-    ("Målgång", (), "finish"), ("Finish line", (), "finish"), (None, ("Depart",), "start"), ("x", ("photo", "Arrivee"), "finish"), ("Departure", (), None), (None, (), None),
-)
-_WAYPOINT_ROWS = ", ".join(f"({i}, {'NULL' if row[2] is None else repr(row[2])})" for i, row in enumerate(_WAYPOINTS))
 
-
-@query(f"SELECT p_partkey, CAST(landmark AS VARCHAR) AS landmark FROM part JOIN (VALUES {_WAYPOINT_ROWS}) l(i, landmark) ON p_partkey % {len(_WAYPOINTS)} = i")
+@query("SELECT rid, cp_key, CASE WHEN cp_key IN ('start', 'finish') THEN cp_key END AS landmark FROM f_obs")
 def fn_semantic_landmark(d: Data) -> DataFrame:
-    kinds = "array<string>"
-    rows = F.array(*(F.struct(F.lit(title).cast("string").alias("title"), F.array(*map(F.lit, types)).cast(kinds).alias("types")) for title, types, _ in _WAYPOINTS))
-    point = F.get(rows, (F.col("p_partkey") % len(_WAYPOINTS)).cast("int"))
-    return d.table("part").select("p_partkey", tx.landmark(point["title"], point["types"]).alias("landmark"))
+    """What each observation's checkpoint stands for by its label."""
+    labels = d.checkpoints.select("race_key", "cp_key", "label")
+    return d.obs.join(labels, ["race_key", "cp_key"]).select("rid", "cp_key", tx.landmark(F.upper("label"), F.array("club")).alias("landmark"))
 
 
 @query("SELECT c_custkey, regexp_replace(regexp_replace(c_name, '[A-Za-z]+', '<A>', 'g'), '[0-9]+', '<N>', 'g') || ' <A> <N>⁄<N>' AS shape FROM customer")
@@ -348,19 +322,11 @@ def fn_mask_shape(d: Data) -> DataFrame:
     return d.table("customer").select("c_custkey", tx.mask_shape(F.concat(F.lit("\u00a0 "), "c_name", F.lit("  Ärê \t１½ "))).alias("shape"))
 
 
-#: A cell and how it is shown.
-_CELLS = (
-    ("", "<EMPTY>"), (" \u00a0", "<EMPTY>"), (None, "<EMPTY>"), ("Klass", "Klass"), (" mellantid 3", "mellantid 3"), ("7", "7"), ("12", "<NUMBER>"), ("12,5", "<NUMBER>"), ("1:02:03", "<TIME>"),
-    ("59:10", "<TIME>"), ("123:45", "<TEXT>"), ("10 KM", "<DISTANCE>"), ("9.5km", "<DISTANCE>"), ("Klass A", "<TEXT>"), ("-3", "<TEXT>"),
-)
-_CELL_ROWS = ", ".join(f"({i}, '{shown}')" for i, (_, shown) in enumerate(_CELLS))
-
-
-@query(f"SELECT rid, CASE WHEN finish_seconds IS NULL THEN '<EMPTY>' ELSE '<TIME>' END AS time_cell, shown AS cell, CASE WHEN rid % 2 = 0 THEN '<LINKED_TEXT>' ELSE '<TEXT>' END AS club_cell FROM f_results JOIN (VALUES {_CELL_ROWS}) c(i, shown) ON rid % {len(_CELLS)} = i")
+@query("""SELECT rid, CASE WHEN finish_seconds IS NULL THEN '<EMPTY>' ELSE '<TIME>' END AS time_cell, CASE WHEN length(bib) = 1 THEN bib ELSE '<NUMBER>' END AS bib_cell, CASE WHEN age IS NULL THEN '<EMPTY>' ELSE '<DISTANCE>' END AS km_cell,
+  CASE WHEN rid % 2 = 0 THEN '<LINKED_TEXT>' ELSE '<TEXT>' END AS club_cell FROM f_results""")
 def fn_safe_cell(d: Data) -> DataFrame:
-    cell = F.get(F.array(*(F.lit(text).cast("string") for text, _ in _CELLS)), (F.col("rid") % len(_CELLS)).cast("int"))
-    shown = tx.safe_cell(tx.format_time(F.col("finish_seconds"))), tx.safe_cell(cell), tx.safe_cell(F.col("club"), F.col("rid") % 2 == 0)
-    return d.results.select("rid", *(c.alias(name) for c, name in zip(shown, ("time_cell", "cell", "club_cell"), strict=True)))
+    cells = {"time_cell": tx.safe_cell(tx.format_time(F.col("finish_seconds"))), "bib_cell": tx.safe_cell(F.concat("bib", F.lit(" "))), "km_cell": tx.safe_cell(F.concat("age", F.lit(" KM"))), "club_cell": tx.safe_cell(F.col("club"), F.col("rid") % 2 == 0)}
+    return d.results.select("rid", *(c.alias(name) for name, c in cells.items()))
 
 
 @query("SELECT rid, CASE WHEN custkey % 5 = 0 THEN 'person ' || bib ELSE name END AS shown FROM f_results")

@@ -118,3 +118,88 @@ def test_list_entries():
     ]
     assert [(e["result_id"], e["row"]) for e in entries_of('<a href="/results/3">a</a> /results/4 /results/3', pattern)] == [("3", []), ("4", [])]
     assert entries_of(None, pattern) == entries_of("", pattern) == []
+
+
+SAID = {
+    "DNF": ("DNF", "UTGÅTT efter 20 km", "har Brutit loppet", "bröt vid 45 km", "retired", "Did not finish"),
+    "DNS": ("DNS", "ej start", "Ej startat", "inte start", "Inte startat", "Did not START", "no start"),
+    "DSQ": ("DSQ", "DQ", "diskvalificerad", "Diskval.", "disqualified"),
+    None: ("startade", "utgåttan", "DNFX", "DNF eller DNS", "", "diskret", None),
+}
+
+
+def test_status_texts(spark):
+    cases = [(text, status) for status, texts in SAID.items() for text in texts]
+    assert values(column(spark, [t for t, _ in cases]), tx.status_detect(F.col("x"))) == [s for _, s in cases]
+
+
+def test_status_words(spark):
+    texts = [f"undnf dnfs ({word.capitalize()}), disqualx" for word in tx.COUNTED_WORDS]
+    assert values(column(spark, texts), tx.status_words(F.col("x"))) == [[word] for word in tx.COUNTED_WORDS]
+
+
+LABELS = (
+    ("ULTRA", "ultra60", 60, None), ("Lopp  60 km", "ultra60", 60, 60), ("Duo 60k", "duo60", 60, 60), ("DUO", "duo60", 60, 60), ("Relay 22 km", "duo60", 60, 22),
+    ("Trail 22KM", "trail22", 22, 22), ("21 k herrar", "trail22", 22, 21), ("13km", "trail14", 14, 13), ("Trail 14 km", "trail14", 14, 14), ("5 km knatte", "trail5", 5, 5),
+    ("15 km", None, None, None), ("60kmx", None, None, None), ("160 km", None, None, None), (None, None, None, None),
+)
+
+
+def test_classes(spark):
+    from pyspark.errors import PySparkException
+
+    from racelab.operators import catalog
+
+    found = catalog.classes(spark.createDataFrame([(row[0],) for row in LABELS], "label string"))
+    assert {tuple(r) for r in found.collect()} == set(LABELS)
+    assert catalog.mapped(found.where("family is not null")).count() == 10
+    with pytest.raises(PySparkException, match="unmapped class: 15 km"):
+        catalog.mapped(found.where("label = '15 km'")).collect()
+
+
+WAYPOINTS = (
+    ("Bengtemölla", (), "bengtemolla"), ("VANTALÄNGAN", ("drink",), "vantalangan"), ("Vid Stenshuvud", (), "stenshuvud"), ("Start/mål", (), "start"), ("restart", (), None),
+    ("Målgång", (), "finish"), ("Finish line", (), "finish"), (None, ("Depart",), "start"), ("x", ("photo", "Arrivee"), "finish"), ("Departure", (), None), (None, None, None),
+)
+
+
+def test_landmarks(spark):
+    rows = spark.createDataFrame([(i, t, None if k is None else list(k)) for i, (t, k, _) in enumerate(WAYPOINTS)], "i int, title string, types array<string>")
+    assert values(rows, tx.landmark(F.col("title"), F.col("types"))) == [w for _, _, w in WAYPOINTS]
+
+
+CELLS = (
+    ("", "<EMPTY>"), (" \u00a0", "<EMPTY>"), (None, "<EMPTY>"), ("Klass", "Klass"), (" mellantid 3", "mellantid 3"), ("7", "7"), ("12", "<NUMBER>"), ("12,5", "<NUMBER>"), ("1:02:03", "<TIME>"),
+    ("59:10", "<TIME>"), ("123:45", "<TEXT>"), ("10 KM", "<DISTANCE>"), ("9.5km", "<DISTANCE>"), ("Klass A", "<TEXT>"), ("-3", "<TEXT>"),
+)
+
+
+def test_cells(spark):
+    assert values(column(spark, [c for c, _ in CELLS]), tx.safe_cell(F.col("x"))) == [shown for _, shown in CELLS]
+
+
+def test_source_coverage(spark):
+    from racelab.operators import catalog
+
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    expected = frame([(2020, "duo60", "ultra60"), (2020, "ultra60", "ultra60"), (2021, "duo60", "ultra60"), (2022, "trail", "trail")], "year int, family string, route_family string")
+    observed = frame([(2020, "ultra60", "7", "Ultra")], "year int, family string, distance_id string, label string")
+    inventories = frame([(2020, "ultra60", 5, True, ["", "20 km", "Totalt"]), (2020, "duo60", None, False, None)], "year int, family string, sample int, has_table boolean, labels array<string>")
+    tracking = frame([(2020, True, ["7"])], "year int, view boolean, distance_ids array<string>")
+    sources = frame([(2020, "ultra60", None, "a.gpx", None), (2020, "ultra60", "t1", None, None), (2021, "ultra60", "t2", None, "m.pdf")], "year int, family string, trace_id string, gpx string, map string")
+    args = (expected, observed, inventories, tracking, sources)
+    got = {(r["year"], r["family"]): r for r in catalog.source_coverage(*args).collect()}
+    assert len(got) == 4
+    r = got[2020, "ultra60"]
+    assert (r["detail_status"], r["split_status"], r["split_labels"], r["tracking_match"], r["trace_ids"], r["geometry_status"]) == (catalog.SEEN, catalog.SPLITS, ["20 km"], True, ["t1"], "archived")
+    r = got[2020, "duo60"]
+    assert (r["class_observed"], r["detail_status"], r["split_status"], r["tracking_view"], r["tracking_match"], r["geometry_status"]) == (False, catalog.ADAPTER, catalog.NO_SPLITS, True, False, "via_route_family")
+    assert (got[2021, "duo60"]["geometry_status"], got[2021, "duo60"]["map_files"], got[2021, "duo60"]["split_status"]) == ("route_family_reference_only", 1, catalog.NOT_INVENTORIED)
+    assert (got[2022, "trail"]["geometry_status"], got[2022, "trail"]["split_count"], got[2022, "trail"]["detail_status"]) == ("missing", 0, catalog.UNSEEN)
+    races = expected.withColumn("course_version", F.lit("old"))
+    assigned = frame([(2020, "ultra60", "v1", "verified")], "year int, family string, course_version string, status string")
+    ready = frame([(2020, "ultra60", True)], "year int, family string, replay boolean")
+    geometry = frame([(2020, "ultra60", "h", 60.0)], "year int, route_family string, hash string, km double")
+    rows = {(r["year"], r["family"]): r for r in catalog.enriched(races, observed, assigned, catalog.source_coverage(*args), ready, geometry).collect()}
+    assert (rows[2020, "duo60"]["geometry_hash"], rows[2020, "duo60"]["version_status"], rows[2020, "duo60"]["catalog_version"], rows[2020, "duo60"]["replay"]) == ("h", "not_assigned", "old", None)
+    assert (rows[2020, "ultra60"]["course_version"], rows[2020, "ultra60"]["replay"]) == ("v1", True) and len(rows) == 4
