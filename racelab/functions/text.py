@@ -87,9 +87,14 @@ STATUS_WORDS = {
 COUNTED_WORDS = ("dnf", "dns", "dsq", "dq", "did not finish", "did not start", "disqual", "retired", "abandon", "brutit", "bröt", "brutet", "ej start", "inte start", "utgått")
 
 
+def statuses(text: Column) -> Column:
+    """The statuses whose words occur, in the order of ``STATUS_WORDS``; none for null."""
+    return F.array_compact(F.array(*(F.when(text.rlike(f"(?iuU){'|'.join(words)}"), status) for status, words in STATUS_WORDS.items())))
+
+
 def status_detect(text: Column) -> Column:
     """The one status whose words occur; null for none or several."""
-    found = F.array_compact(F.array(*(F.when(text.rlike(f"(?iuU){'|'.join(words)}"), status) for status, words in STATUS_WORDS.items())))
+    found = statuses(text)
     return F.when(F.size(found) == 1, F.get(found, 0))
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from racelab.functions import text as tx
 from racelab.operators import catalog
 from racelab.operators import privacy as pv
-from racelab.operators.observations import finished, starter
+from racelab.operators import profiles
 from racelab.plans.base import Book, Data
-from racelab.plans.stats import _FLAGS, _READY, FIN, START, agg_readiness
+from racelab.plans.stats import _FLAGS, _READY, agg_readiness
 
 book = Book()
 query = book.query
@@ -124,20 +124,14 @@ def evi_relay_legs(d: Data) -> DataFrame:
     return totals.withColumn("order_proven", F.col("within_2s") >= 0.99 * F.col("exchanged"))
 
 
-@query("SELECT class_name, count(*) AS unknown, count(*) FILTER (WHERE custkey % 3 = 0) AS explicit, count(*) FILTER (WHERE custkey % 3 = 1) AS conflicting FROM f_results WHERE status = 'UNKNOWN' GROUP BY 1")
+@query("""SELECT race_family, kind, value, count(*) AS n FROM (SELECT race_family, unnest(list_concat([{'kind': 'outcome', 'value': 'total'}, {'kind': 'outcome', 'value': CASE custkey % 3 WHEN 0 THEN 'DNF' WHEN 1 THEN 'conflicting_explicit_status' ELSE 'no_explicit_status' END}],
+  CASE WHEN custkey % 3 = 1 THEN [{'kind': 'combination', 'value': 'DNF+DNS'}, {'kind': 'surface', 'value': 'list:DNS'}] ELSE [] END, CASE WHEN custkey % 3 <= 1 THEN [{'kind': 'surface', 'value': 'detail:DNF'}] ELSE [] END,
+  CASE WHEN custkey % 9 = 0 THEN [{'kind': 'surface', 'value': 'list:DNF'}, {'kind': 'surface', 'value': 'same_status_on_both_surfaces'}] ELSE [] END), recursive := true) FROM f_results WHERE status = 'UNKNOWN') GROUP BY ALL""")
 def evi_status_profile(d: Data) -> DataFrame:
-    """Unknown results by what two texts of theirs say."""
-    unknown = d.results.where("status = 'UNKNOWN'")
-    said = F.array(F.when(F.col("custkey") % 3 <= 1, "dnf"), F.when(F.col("custkey") % 3 == 1, "dns"))
-    found = F.array_compact(F.transform(F.array_compact(said), tx.status_detect))
-    kinds = F.size(F.array_distinct(found))
-    return unknown.groupBy("class_name").agg(F.count("*").alias("unknown"), F.count_if(kinds == 1).alias("explicit"), F.count_if(kinds > 1).alias("conflicting"))
-
-
-@query("SELECT race_family, race_key, count(*) AS records, CAST(sum(length(name) + length(club)) AS BIGINT) AS bytes FROM f_results GROUP BY ROLLUP (race_family, race_key)")
-def evi_payload_profile(d: Data) -> DataFrame:
-    """Bytes by family and race, with totals: one rollup."""
-    return d.results.rollup("race_family", "race_key").agg(F.count("*").alias("records"), F.sum(F.octet_length("name") + F.octet_length("club")).alias("bytes"))
+    """Unknown results by family and what their page and their list row say: two thirds of the pages speak of a stop."""
+    detail = F.when(F.col("custkey") % 3 <= 1, F.concat("club", F.lit(" bröt loppet")))
+    listed = F.when(F.col("custkey") % 3 == 1, "Ej start").when(F.col("custkey") % 9 == 0, "dnf").otherwise(F.col("name"))
+    return profiles.status_profile(d.results.where("status = 'UNKNOWN'"), ["race_family"], detail, listed)
 
 
 # audits ----------------------------------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelab.functions import text as tx
-from racelab.operators import normalize
+from racelab.operators import normalize, profiles
 from racelab.plans.base import Book, Data
 from racelab.sources import files
 from racelab.sources.html import list_entries, table_cells
@@ -309,17 +309,28 @@ def fn_identity_kind(d: Data) -> DataFrame:
     return values.groupBy(tx.identity_kind(F.col("v")).alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT regexp_replace(regexp_replace(club, '[A-Za-z]+', '<A>', 'g'), '[0-9]+', '<N>', 'g') AS shape, count(*) AS n FROM f_results GROUP BY 1 HAVING count(*) >= 20")
+_MASK = "regexp_replace(regexp_replace({c}, '[A-Za-z]+', '<A>', 'g'), '[0-9]+', '<N>', 'g')"
+
+
+@query(f"""WITH v AS (SELECT 'shape' AS kind, unnest(list_concat([{_MASK.format(c="name")}, {_MASK.format(c="club")}, '<A>'], CASE WHEN {_KNOWN} THEN ['<A>, <N> <A>', '<N>-<N> <A> <A>'] ELSE [] END)) AS value FROM f_results)
+SELECT kind, value, count(*) AS n FROM v GROUP BY 1, 2 HAVING count(*) >= 20 UNION ALL SELECT 'headers', 'Startnr|Namn|Klubb|Klass|Tid|Plac', count(*) FROM f_results
+UNION ALL SELECT 'filled', unnest(['Startnr', 'Namn', 'Klubb', 'Klass', 'Plac']), count(*) FROM f_results UNION ALL SELECT 'filled', 'Tid', count(finish_seconds) FROM f_results UNION ALL SELECT 'category', class_name, count(*) FROM f_results GROUP BY 2
+UNION ALL SELECT 'form', 'other', 3 * count(*) FROM f_results UNION ALL SELECT 'form', unnest(['gender_age_with_year_word', 'age_category_words']), count(*) FROM f_results WHERE {_KNOWN}""")
 def evi_identity_profile(d: Data) -> DataFrame:
-    """Shapes of published values, letters and digits masked, where twenty rows have one."""
-    return d.results.groupBy(tx.mask_shape(F.col("club")).alias("shape")).agg(F.count("*").alias("n")).where("n >= 20")
+    """Headers, filled cells and classes of list records; forms and masked shapes of unlabelled values, of twenty rows at least."""
+    return profiles.identity_profile(read_snapshots(d), identities(d), "Klass")
 
 
-@query("SELECT CASE WHEN length(bib) = 1 THEN bib ELSE '<NUMBER>' END || '|<TEXT>|<TEXT>|<TEXT>|' || CASE WHEN finish_seconds IS NULL THEN '<EMPTY>' ELSE '<TIME>' END AS shape, count(*) AS n FROM f_results GROUP BY 1")
+@query(f"""WITH l AS MATERIALIZED (SELECT race_key, rid // 1000 AS page, count(*) AS n FROM f_results WHERE (rid // 1000) % 3 <> 0 GROUP BY 1, 2), s AS MATERIALIZED (SELECT rid, s.seq, {_LABEL} AS label FROM f_splits s), g AS MATERIALIZED (SELECT rid, count(*) AS n FROM s GROUP BY 1)
+SELECT kind, value, CAST(sum(n) AS BIGINT) AS n FROM (SELECT 'row_shape' AS kind, '1:TEXT' AS value, 2 * count(*) AS n FROM l UNION ALL SELECT 'row_shape', '3:TEXT,TEXT,TEXT', count(*) + sum(n) FROM l UNION ALL SELECT 'link', '/event/{{id}}/app/results/{{id}}', sum(n) FROM l UNION ALL SELECT 'table_class', '', 2 * count(*) FROM l
+UNION ALL SELECT 'member_links', CAST(n AS VARCHAR), count(*) FROM l GROUP BY 2 UNION ALL SELECT 'member_links', '0', count(*) FROM g UNION ALL SELECT 'table_class', unnest(['info', 'wide splits-table']), count(*) FROM g
+UNION ALL SELECT 'row_shape', '8:TEXT,TEXT,TEXT,TEXT,TEXT,TEXT,TEXT,TEXT', 3 * count(*) + sum(n - 1) FROM g UNION ALL SELECT 'row_shape', '2:TEXT,TEXT', count(*) FROM g UNION ALL SELECT 'row_shape', '8:EMPTY,TEXT,TEXT,TEXT,TEXT,TEXT,TEXT,TEXT', count(*) FROM g
+UNION ALL SELECT 'row_shape', CASE WHEN rid % 2 = 0 THEN 9 ELSE 8 END || ':TEXT,TEXT,TEXT,TIME,TEXT,' || CASE WHEN rid % 5 <> 0 THEN 'TEXT,' ELSE 'EMPTY,' END || CASE WHEN rid % 11 <> 0 THEN 'TIME' ELSE 'TEXT' END || ',TEXT' || CASE WHEN rid % 2 = 0 THEN ',TIME' ELSE '' END, count(*) FROM s GROUP BY 2
+UNION ALL SELECT 'safe_label', 'Distans', count(*) FROM g UNION ALL SELECT 'safe_label', 'Mellantid 1', sum(n - 1) FROM g UNION ALL SELECT 'split_label', label, count(*) FROM s GROUP BY 2 UNION ALL SELECT 'split_label', '20 km', count(*) FROM g) GROUP BY 1, 2 HAVING sum(n) > 0""")
 def evi_semantics_profile(d: Data) -> DataFrame:
-    """Rows of raw records by the kinds of their cells."""
-    kinds = F.transform(F.slice("row", 1, 5), lambda cell: tx.safe_cell(cell))
-    return read_snapshots(d).groupBy(F.array_join(kinds, "|").alias("shape")).agg(F.count("*").alias("n"))
+    """Tables, rows, labels and links of list pages and of pages of passages."""
+    pages = list_pages(d).select(F.concat_ws(":", "race_key", "page").alias("key"), "html").unionByName(split_pages(d).select(F.col("rid").cast("string").alias("key"), "html"))
+    return profiles.table_profile(pages, "key", r"/app/results/[0-9]+")
 
 
 @query()
@@ -356,14 +367,18 @@ def members(d: Data) -> DataFrame:
     return d.results.where("custkey % 10 = 0").select("race_key", F.col("rid").alias("team"), two.alias("member"), "name")
 
 
-def written_bundles(d: Data) -> str:
-    """The folder of all races' documents; at these scales a section is one file."""
-    folder = shared_folder(d.spark)
-    sections = {
+def bundle_sections(d: Data) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The sections of a race's document and their order."""
+    return {
         "checkpoints": (d.checkpoints.select("race_key", "seq", "cp_key", "km", "label"), ["seq"]), "records": (d.placed.select("race_key", "rid", "name", "status", "finish_seconds", "overall_place"), ["rid"]),
         "passages": (d.splits.select("race_key", "rid", "cp_key", "elapsed_seconds"), ["rid", "cp_key"]), "teams": (teams(d), ["team"]), "members": (members(d), ["team", "member"]),
     }
-    files.write_bundles(sections, folder)
+
+
+def written_bundles(d: Data) -> str:
+    """The folder of all races' documents; at these scales a section is one file."""
+    folder = shared_folder(d.spark)
+    files.write_bundles(bundle_sections(d), folder)
     return folder
 
 
@@ -392,6 +407,19 @@ def snk_manifest(d: Data) -> DataFrame:
     return files.manifest(d.spark, written_bundles(d))
 
 
+_PAYLOAD = f"""WITH l AS (SELECT race_key, section, octet_length(encode(line)) + 1 AS bytes FROM ({" UNION ALL ".join(f"SELECT race_key, '{n}' AS section, {line} AS line FROM {source}" for n, (source, _, line) in _SECTIONS.items())})),
+r AS (SELECT race_family, race_key, {", ".join(f"count(*) FILTER (WHERE section = '{n}') AS {n}, CAST(coalesce(sum(bytes) FILTER (WHERE section = '{n}'), 0) AS BIGINT) AS {n}_bytes" for n in _SECTIONS)}, CAST(sum(bytes) AS BIGINT) AS bytes FROM l JOIN f_races USING (race_key) GROUP BY 1, 2)
+SELECT race_family, race_key, {", ".join(f"{n}, {n}_bytes" for n in _SECTIONS)}, bytes, CASE WHEN rn <= 10 THEN CAST(rn AS INTEGER) END AS size_rank, NULL::BIGINT AS races, NULL::BIGINT AS median_bytes FROM (SELECT *, row_number() OVER (ORDER BY bytes DESC, race_key) AS rn FROM r)
+UNION ALL SELECT race_family, NULL, {", ".join(f"CAST(sum({c}) AS BIGINT)" for n in _SECTIONS for c in (n, f"{n}_bytes"))}, CAST(sum(bytes) AS BIGINT), NULL, count(*), list_sort(list(bytes))[count(*) // 2 + 1] FROM r GROUP BY ROLLUP (race_family)"""
+
+
+@query(_PAYLOAD)
+def evi_payload_profile(d: Data) -> DataFrame:
+    """Lines and bytes of the five sections of bundles by race, family and in all; the ten largest races, medians."""
+    sections = {name: x.select("race_key", F.to_json(F.struct(*(c for c in x.columns if c != "race_key"))).alias("line")) for name, (x, _) in bundle_sections(d).items()}
+    return profiles.payload_profile(sections, d.races.select("race_key", "race_family"))
+
+
 @query("SELECT race_key, CAST(year AS INTEGER) AS year, race_family FROM f_races")
 def snk_bootstrap(d: Data) -> DataFrame:
     """The catalog alone, written as one file and read back."""
