@@ -210,7 +210,7 @@ def segment_trend(stats: DataFrame, pairs: DataFrame, tolerance: float = SEGMENT
 
 @query(f"""WITH s AS (SELECT race_key, from_key, to_key, pace_median, km + (CAST(left(race_key, 4) AS INTEGER) - 1995) * 0.04::DOUBLE AS distance_km FROM ({_SEG_STATS}) JOIN (SELECT DISTINCT race_key, seg_no, km FROM f_seg) USING (race_key, seg_no))
 SELECT s.race_key, s.from_key, s.to_key, CASE WHEN c.comparable AND abs(s.distance_km - r.distance_km) <= 0.15::DOUBLE THEN s.pace_median END AS pace_median
-FROM s JOIN ({_COMP}) c ON c.b = s.race_key JOIN ({_LATEST.replace("max(year)", "min(year)")}) l ON l.race_family = c.race_family AND l.latest = c.year_a JOIN s r ON r.race_key = c.a AND r.from_key = s.from_key AND r.to_key = s.to_key""")
+FROM s JOIN ({_COMP}) c ON c.b = s.race_key JOIN ({_LATEST.replace("max(year)", "min(year)")}) l ON l.race_family = c.race_family AND l.latest = c.year_a JOIN s r ON r.race_key = c.a AND r.from_key = s.from_key AND r.to_key = s.to_key""", rounded="pace_median")
 def his_segment_trend(d: Data) -> DataFrame:
     """Median paces beside the family's first edition; an edition's course is 40 m a segment longer than the year's before."""
     ends = d.cohort_segments.select("race_key", "seg_no", (F.col("km") + (F.substring("race_key", 1, 4).cast("int") - 1995) * 0.04).alias("distance_km")).distinct()
@@ -257,7 +257,7 @@ _SAME = "comparable AND b.median IS NOT NULL"
 
 @query(f"""WITH e AS MATERIALIZED (SELECT *, CAST(CASE WHEN starters > 0 THEN dnf / starters END AS DOUBLE) AS dnf_share, CAST(CASE WHEN starters > 0 THEN starters END AS DOUBLE) AS field, CAST(CASE WHEN {_WOMEN} THEN starters_f / starters_with_sex END AS DOUBLE) AS women FROM ({_EDITION}))
 SELECT a.race_key, count(*) FILTER (WHERE b.year < a.year) AS earlier, {_index_sql("a.median", "b.median", _SAME)} AS median_index, {_index_sql("a.dnf_share", "b.dnf_share", _SAME)} AS dnf_index, {_index_sql("a.field", "b.field", "TRUE")} AS starters_index, {_index_sql("a.women", "b.women", "TRUE")} AS women_index
-FROM ({_COMP}) c JOIN e a ON a.race_key = c.a JOIN e b ON b.race_key = c.b GROUP BY 1""")
+FROM ({_COMP}) c JOIN e a ON a.race_key = c.a JOIN e b ON b.race_key = c.b GROUP BY 1""", rounded="median_index dnf_index starters_index women_index")
 def his_fingerprint(d: Data) -> DataFrame:
     """Editions of a family beside each other: years squared, not results."""
     return fingerprint(editions(d.results), comparable(d.courses))
