@@ -30,9 +30,10 @@ def km_at(anchors: Column, t: Column) -> Column:
 
 def positions(laid: DataFrame, times: tuple[float, ...]) -> DataFrame:
     """Rows of ``laid`` for each of the times from their first anchor on, with ``t`` and ``km``."""
-    asked = F.array(*(F.lit(float(t)) for t in times))
+    first = F.try_element_at("anchors", F.lit(1))["t"]
+    asked = F.filter(F.array(*(F.lit(float(t)) for t in times)), lambda t: t >= first)
     x = laid.withColumn("anchors", row_anchors(F.col("observed"))).withColumn("t", F.explode(asked))
-    return x.withColumn("km", km_at(F.col("anchors"), F.col("t"))).where("km is not null").drop("anchors")
+    return x.withColumn("km", km_at(F.col("anchors"), F.col("t"))).drop("anchors")
 
 
 def seen_last(observed: Column, t: Column) -> Column:
