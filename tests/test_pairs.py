@@ -97,6 +97,30 @@ def test_overlap(data):
         assert near(r["within_100"], sum(x <= 100 for x in v) / len(v))
 
 
+def test_overlap_of_all(spark, monkeypatch):
+    """Every pair of a family has its row, also far apart, copies and across tiles; a sample without a place is counted only."""
+    lines = LINES | {r: [(x + r, y + 9.0 * r) for x, y in LINES[60]] for r in range(3, 12)} | {5: LINES[1], 200: LINES[1], 201: LINES[99], 300: [(9e4, 5e6), (9.1e4, 5e6)], 301: [(50.0, 0.0)]}
+    lines = [(f, r, line) for r, line in lines.items() for f in (1, 2) if f == 1 or r < 60]
+    rows = [(f * 1000 + r, f, i, 55.5 + y / 111195, 14 + x / 111195 / math.cos(math.radians(55.5)), None) for f, r, line in lines for i, (x, y) in enumerate(line, 1)]
+    rows += [(r, 3, i, None if r == 9001 and i == 3 else 55.5 + i / 1000, 14.0, None) for r in (9000, 9001) for i in range(1, 4)]
+    given = SimpleNamespace(points=spark.createDataFrame(rows, "route_id long, family long, idx int, lat double, lon double, ele double"))
+    s, family = samples(g.resampled(given.points, 100.0), ["along_m"]), {r: f for r, f, *_ in rows}
+    unknown = sum(lat is None for _, lat, _ in s[9001])
+    s[9001] = [x for x in s[9001] if x[1] is not None]
+    want = {(a, b): sorted(round(min(hav(lat, lon, c, d) for _, c, d in s[y]), 3) for x, y in ((a, b), (b, a)) for _, lat, lon in s[x]) for a in s for b in s if a < b and family[a] == family[b]}
+    for tile in (16, 2):
+        monkeypatch.setattr(rt, "TILE", tile)
+        monkeypatch.setattr(rt, "DISTANCES", 1000 * tile)
+        shares = routes.geo_within_share(given).collect()
+        got = {(r["a"], r["b"]): r for r in shares}
+        assert set(got) == set(want) and len(shares) == len(want)
+        for k, v in want.items():
+            r, n = got[k], len(v) + (unknown if k[1] == 9001 else 0)
+            assert r["points"] == n and near(r["median"], pct(v, 0.5)) and near(r["p95"], pct(v, 0.95)) and abs(r["most"] - v[-1]) < 1e-2
+            assert all(abs(r[f"within_{m}"] - sum(x <= m for x in v) / n) < 1e-4 for m in (10, 25, 50, 100, 250))
+    assert unknown and got[1001, 1300]["within_250"] == 0 and got[1001, 1300]["most"] > 4e6 and got[1001, 1200]["most"] == 0 and got[1001, 1099]["within_100"] < 0.9
+
+
 def test_benchmark(data):
     want = brute(samples(g.densified(data.points, 10.0), ["idx", "part"]))
     pairs = {(a, b) for a, b in alike(want) if a < b}
