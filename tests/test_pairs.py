@@ -121,6 +121,19 @@ def test_overlap_of_all(spark, monkeypatch):
     assert unknown and got[1001, 1300]["within_250"] == 0 and got[1001, 1300]["most"] > 4e6 and got[1001, 1200]["most"] == 0 and got[1001, 1099]["within_100"] < 0.9
 
 
+def test_hint_of_all(data):
+    """A different pair has its row and hint, too."""
+    want = brute(samples(g.resampled(data.points, 100.0), ["along_m"]))
+    got = {(r["a"], r["b"]): r for r in routes.geo_overlap_hint(data).collect()}
+    assert set(got) == {k for k in want if k[0] < k[1]}
+    for k, r in got.items():
+        v = [round(x, 3) for key in (k, k[::-1]) for _, x in want[key]]
+        w50, w100 = (round(sum(x <= m for x in v) / len(v), 4) for m in (50, 100))
+        hint = "same" if w50 >= 0.98 else "near" if w50 >= 0.95 else "similar" if w100 >= 0.9 else "different"
+        assert abs(r["within_50"] - w50) < 1e-4 and abs(r["within_100"] - w100) < 1e-4 and r["hint"] == hint
+    assert {"same", "different"} <= {r["hint"] for r in got.values()}
+
+
 def test_benchmark(data):
     want = brute(samples(g.densified(data.points, 10.0), ["idx", "part"]))
     pairs = {(a, b) for a, b in alike(want) if a < b}
