@@ -12,3 +12,14 @@ def test_results_of_every_person(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     assert rows.count() == orders.count()
     assert rows.select("custkey").distinct().count() == orders.select(F.col("o_custkey")).distinct().count()
+
+
+def test_cells_of_every_form(spark):
+    """Every result shows its cells, and all kinds of cells occur, known labels and single digits as well."""
+    rows = registry.queries()["fn_safe_cell"](spark, SF).collect()
+    assert len({r["rid"] for r in rows}) == len(rows) == spark.read.parquet(f"{SF}/orders.parquet").count()
+    shown = {r["cell"] for r in rows}
+    kinds = {"<EMPTY>", "<NUMBER>", "<TIME>", "<DISTANCE>", "<TEXT>"}
+    assert all(x == "Klass" or x.removeprefix("mellantid ") in list("0123456789") for x in shown - kinds)
+    assert kinds <= shown and "Klass" in shown and any(x.isdigit() for x in shown) and any(x.startswith("mellantid ") for x in shown)
+    assert {r["club_cell"] for r in rows} == {"<LINKED_TEXT>", "<TEXT>"}
