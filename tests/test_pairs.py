@@ -6,10 +6,12 @@ import statistics
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from racelab.operators import geo as g
 from racelab.operators import routes as rt
 from racelab.plans import routes
+from racelab.sources.shared import stored
 from test_nearest import hav
 
 #: Routes of one family by the metres east and north of their points; 100 and 101 are far apart as ids.
@@ -208,3 +210,30 @@ def test_projection(spark):
             else:
                 assert (m, r) not in got
     assert n > 30 and rt.projected(landmarks.limit(0), rt.segments(points, ["family"]), ["family"], 400.0).count() == 0
+
+
+#: Queries whose copies of a route take that route's comparison.
+ONCE = ["geo_benchmark"]
+
+
+@pytest.mark.parametrize("name", ONCE)
+def test_copies_are_compared_once(spark, data, monkeypatch, name):
+    """Copies have the rows of what they copy, and what is kept between jobs grows with routes and courses, not with their pairs or samples."""
+    shifted = (F.col("route_id") + 1000 * F.col("id")).alias("route_id")
+    copies = SimpleNamespace(points=data.points.crossJoin(spark.range(5)).select(shifted, "family", "idx", "lat", "lon", "ele"))
+    kept = []
+
+    def counted(frame):
+        kept.append((out := stored(frame)).count())
+        return out
+
+    monkeypatch.setattr(rt, "stored", counted)
+    monkeypatch.setattr(g, "stored", counted)
+    got = [r.asDict() for r in getattr(routes, name)(copies).collect()]
+    assert sum(kept) < 200
+    want = [r.asDict() for r in getattr(routes, name)(data).collect()]
+    row = lambda r, a, b: tuple((c, round(v, 6) if isinstance(v, float) else v) for c, v in sorted(r.items()) if c not in "ab") + (a, b)
+    same = lambda rows: sorted(rows, key=repr)
+    second = [r for r in got if r["a"] // 1000 == 2 and r["b"] // 1000 == (0 if name == "geo_benchmark" else 2) and r["a"] % 1000 != r["b"] % 1000]
+    assert want and same(row(r, r["a"] % 1000, r["b"] % 1000) for r in second) == same(row(r, r["a"], r["b"]) for r in want)
+    assert any((r["a"] - r["b"]) % 1000 == 0 for r in got) or name.endswith("divergence")
