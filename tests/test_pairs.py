@@ -213,7 +213,7 @@ def test_projection(spark):
 
 
 #: Queries whose copies of a route take that route's comparison.
-ONCE = ["geo_benchmark"]
+ONCE = ["geo_benchmark", "geo_classify", "geo_corridor_stats", "geo_pair_corridor"]
 
 
 @pytest.mark.parametrize("name", ONCE)
