@@ -213,7 +213,7 @@ def test_projection(spark):
 
 
 #: Queries whose copies of a route take that route's comparison.
-ONCE = ["geo_benchmark", "geo_classify", "geo_corridor_stats", "geo_pair_corridor", "geo_divergence", "geo_pair_divergence", "geo_pair_benchmark", "geo_pair_overlap", "jn_nearest_neighbor"]
+ONCE = ["geo_benchmark", "geo_classify", "geo_corridor_stats", "geo_pair_corridor", "geo_divergence", "geo_pair_divergence", "geo_pair_benchmark", "geo_pair_overlap", "jn_nearest_neighbor", "geo_nearest_series"]
 
 
 @pytest.mark.parametrize("name", ONCE)
