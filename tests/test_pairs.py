@@ -237,3 +237,14 @@ def test_copies_are_compared_once(spark, data, monkeypatch, name):
     second = [r for r in got if r["a"] // 1000 == 2 and r["b"] // 1000 == (0 if name == "geo_benchmark" else 2) and r["a"] % 1000 != r["b"] % 1000]
     assert want and same(row(r, r["a"] % 1000, r["b"] % 1000) for r in second) == same(row(r, r["a"], r["b"]) for r in want)
     assert any((r["a"] - r["b"]) % 1000 == 0 for r in got) or name.endswith("divergence")
+
+
+@pytest.mark.parametrize("name", ["geo_within_share", "geo_overlap_hint"])
+def test_many_copies_span_tasks(spark, name):
+    """The pairs of one course that very many routes share are made in several tasks, and none is lost."""
+    routes_of = spark.range(200).select(F.col("id").alias("route_id"), F.lit(1).cast("long").alias("family"))
+    line = [(i, 55.5 + i / 1000, 14.0, 1.0) for i in range(1, 4)]
+    points = routes_of.crossJoin(spark.createDataFrame(line, "idx int, lat double, lon double, ele double"))
+    got = getattr(routes, name)(SimpleNamespace(points=points)).withColumn("task", F.spark_partition_id()).select("a", "b", "within_50", "task").collect()
+    assert sorted((r["a"], r["b"]) for r in got) == [(a, b) for a in range(200) for b in range(a + 1, 200)]
+    assert {r["within_50"] for r in got} == {1.0} and len({r["task"] for r in got}) > 1
