@@ -102,11 +102,12 @@ def write_documents(rows: DataFrame, folder: str, key: str = "key", body: str =
     rows.select(key, F.col(body).alias("value")).write.partitionBy(key).text(folder)
 
 
-def write_bundles(sections: dict[str, tuple[DataFrame, list[str]]], folder: str, race: str = "race_key", file_records: int = FILE_RECORDS) -> None:
+def write_bundles(sections: dict[str, tuple[DataFrame, list[str]]], folder: str, race: str = "race_key", file_records: int | None = FILE_RECORDS) -> None:
     """A document for each race: its sections in the given order, each in parts of about ``file_records`` JSON lines.
 
     A section is a DataFrame with the race and an order of its rows. A part is a file of its own, written by one task,
     below race, section and part number, so a large race is written by many tasks and read back in order by those names.
+    Without ``file_records`` a section is one part: a task streams its sorted lines to the file.
     The folder takes its place as a whole, by a rename, once all is written.
     """
     lines = []
@@ -115,7 +116,7 @@ def write_bundles(sections: dict[str, tuple[DataFrame, list[str]]], folder: str,
         lines.append(rows.select(race, F.lit(f"{i}-{name}").alias("section"), F.xxhash64(*order).alias("_h"), *(F.col(c).alias(f"_o{i}_{k}") for k, c in enumerate(order)), values.alias("value")))
     keys = sorted({c for x in lines for c in x.columns if c.startswith("_o")})
     whole = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), lines)
-    parts = whole.groupBy(race, "section").agg(F.ceil(F.count("*") / file_records).cast("int").alias("_parts"))
+    parts = whole.groupBy(race, "section").agg((F.ceil(F.count("*") / file_records).cast("int") if file_records else F.lit(1)).alias("_parts"))
     dealt = whole.join(parts, [race, "section"]).withColumn("part", F.pmod(F.col("_h"), F.col("_parts")).cast("int")).repartition(race, "section", "part")
     beside = f"{folder.rstrip('/')}.{uuid.uuid4().hex}"
     ordered = dealt.sortWithinPartitions(race, "section", "part", *keys)
@@ -132,13 +133,13 @@ def read_bundles(spark: SparkSession, folder: str, section: str, schema: str, ra
 def manifest(spark: SparkSession, folder: str, race: str = "race_key") -> DataFrame:
     """(race, section, records, files, bytes, sha256) of each section, of each race (no section) and of all (neither).
 
-    The hash is one of the files' hashes. A file holds a part, so no section is read into one row.
+    The hash is one of the files' hashes. A file is read into a row, so parts bound a row's size, else sections do.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
-    text = F.decode("content", "UTF-8")
+    text = F.col("content").cast("string")
     each = files.select(
         F.regexp_extract("path", rf"/{race}=([^/]*)/", 1).alias(race), F.regexp_extract("path", r"/section=[0-9]+-([^/]*)/", 1).alias("section"),
-        "length", F.sha2("content", 256).alias("sha"), (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).alias("records"),
+        "length", F.sha2("content", 256).alias("sha"), (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))).alias("records"),
     )
     hash_of = F.sha2(F.array_join(F.array_sort(F.collect_list("sha")), ""), 256)
     return each.rollup(race, "section").agg(F.sum("records").alias("records"), F.count("*").alias("files"), F.sum("length").alias("bytes"), hash_of.alias("sha256"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from racelab import registry
+from racelab.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,3 +24,12 @@ def test_cells_of_every_form(spark):
     assert all(x == "Klass" or x.removeprefix("mellantid ") in list("0123456789") for x in shown - kinds)
     assert kinds <= shown and "Klass" in shown and any(x.isdigit() for x in shown) and any(x.startswith("mellantid ") for x in shown)
     assert {r["club_cell"] for r in rows} == {"<LINKED_TEXT>", "<TEXT>"}
+
+
+def test_manifest_of_large_sections(spark, monkeypatch):
+    """A section is one file in the manifest, also with more records than a part of a bundle holds."""
+    want = {(r["race_key"], r["section"]): (r["records"], r["bytes"], r["sha256"]) for r in registry.queries()["snk_manifest"](spark, SF).collect()}
+    monkeypatch.setattr(files.write_bundles, "__defaults__", ("race_key", 7))
+    rows = registry.queries()["snk_manifest"](spark, SF).collect()
+    assert {(r["race_key"], r["section"]): (r["records"], r["bytes"], r["sha256"]) for r in rows} == want
+    assert {r["files"] for r in rows if r["section"]} == {1} and max(r["records"] for r in rows if r["section"]) > 7
