@@ -248,3 +248,18 @@ def test_many_copies_span_tasks(spark, name):
     got = getattr(routes, name)(SimpleNamespace(points=points)).withColumn("task", F.spark_partition_id()).select("a", "b", "within_50", "task").collect()
     assert sorted((r["a"], r["b"]) for r in got) == [(a, b) for a in range(200) for b in range(a + 1, 200)]
     assert {r["within_50"] for r in got} == {1.0} and len({r["task"] for r in got}) > 1
+
+
+@pytest.mark.parametrize("name", ["geo_project_point", "geo_anchor_nearest"])
+def test_copies_and_places_are_measured_once(spark, data, monkeypatch, name):
+    """Landmarks of one place and copies of a route have the same row, from one measuring."""
+    kept = []
+    monkeypatch.setattr(routes, "stored", lambda frame: kept.append((out := stored(frame)).count()) or out, raising=False)
+    marks = spark.createDataFrame([(i, f"m{i}", 1, 55.5, 14.001 + (i % 2) / 1000) for i in range(100)], "landmark long, title string, family long, lat double, lon double")
+    suppliers = spark.range(100).select(F.col("id").alias("s_suppkey"), F.lit(1).alias("s_nationkey"))
+    copies = data.points.crossJoin(spark.range(4)).select((F.col("route_id") + 1000 * F.col("id")).alias("route_id"), "family", "idx", "lat", "lon", "ele")
+    rows = getattr(routes, name)(SimpleNamespace(points=copies, landmarks=marks, table=lambda _: suppliers)).collect()
+    rest = lambda r: tuple(v for k, v in r.asDict().items() if k not in ("landmark", "title", "route_id"))
+    due = {r for r in LINES if name == "geo_project_point" or r % 25 == 1}
+    assert len(rows) == 400 * len(due) == len({(r["landmark"], r["route_id"]) for r in rows})
+    assert len({(r["landmark"] % 2, r["route_id"] % 1000, rest(r)) for r in rows}) == 2 * len(due) == kept[-1]
